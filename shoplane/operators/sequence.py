@@ -7,8 +7,8 @@ consecutive partitions:
 
 1. range exchange + per-partition sort; a vectorised pass numbers rows locally
    per key inside each partition (running counter over sorted Arrow batches);
-2. from the same exchange, one small row per partition: its first key, last key
-   and how many rows of the last key it holds;
+2. the numbered rows are checkpointed (one fixed partition assignment), then one
+   small row per partition: its first key, last key and that key's row count;
 3. offset of partition p = rows of p's first key in earlier partitions (a
    running sum over at most #partitions rows), joined back by broadcast. The
    broadcast side has one row per partition, a bound fixed by configuration.
@@ -25,6 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ensure_checkpoint_dir
+
 _PID, _LRN = "_seq_pid", "_seq_lrn"
 
 
@@ -78,14 +80,17 @@ def number_within_groups(df: DataFrame, keys: list[str], order: list[str | Colum
     out_schema = T.StructType(df.schema.fields + [T.StructField(_PID, T.IntegerType()),
                                                   T.StructField(_LRN, T.LongType())])
     numbered = ranged.sortWithinPartitions(*sort_cols).mapInPandas(_local_numbers(keys), out_schema)
+    # Range bounds are sampled per exchange, so two uses of one lazy plan may split
+    # rows differently. A reliable checkpoint (shared checkpoint folder) fixes one
+    # assignment of rows to partitions for both uses and cuts the lineage.
+    ensure_checkpoint_dir(spark)
+    numbered = numbered.checkpoint(eager=True)
 
-    # one row per partition: first key, last key, rows of the last key
-    tagged = ranged.select(F.spark_partition_id().alias(_PID), kstruct.alias("_k"))
-    bounds = tagged.groupBy(_PID).agg(F.min("_k").alias("_fk"), F.max("_k").alias("_lk"))
-    last_cnt = (tagged.join(F.broadcast(bounds), _PID)
-                .filter(F.col("_k").eqNullSafe(F.col("_lk")))
-                .groupBy(_PID).agg(F.count(F.lit(1)).alias("_lc")))
-    stats = bounds.join(last_cnt, _PID)
+    # one row per partition: first key, last key and its row count there
+    stats = (numbered.groupBy(_PID)
+             .agg(F.min(kstruct).alias("_fk"),
+                  F.max(F.struct(kstruct.alias("k"), F.col(_LRN).alias("n"))).alias("_last"))
+             .select(_PID, "_fk", F.col("_last.k").alias("_lk"), F.col("_last.n").alias("_lc")))
     by_last = Window.partitionBy("_lk").orderBy(_PID)
     seq = Window.orderBy(_PID)          # at most one row per partition
     offsets = (stats.withColumn("_cum", F.sum("_lc").over(by_last))

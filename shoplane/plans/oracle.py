@@ -498,15 +498,19 @@ def gold_ctes(s: dict[str, str], t: dict[str, str], p: str) -> tuple[list[str],
     return ctes, names
 
 
+def _r4(c: str) -> str:
+    return f"round({c} * 10000.0) / 10000.0"
+
+
 def query(ctes: list[str], final: str, doubles: list[str] = (), columns: list[str] | None = None
           ) -> str:
     """WITH <ctes> SELECT <columns, doubles rounded to 4 places> FROM <final>."""
     if columns is None:
         body = "*"
         if doubles:
-            body = "* REPLACE (" + ", ".join(f"round({c}, 4) AS {c}" for c in doubles) + ")"
+            body = "* REPLACE (" + ", ".join(f"{_r4(c)} AS {c}" for c in doubles) + ")"
     else:
-        body = ", ".join(f"round({c}, 4) AS {c}" if c in doubles else c for c in columns)
+        body = ", ".join(f"{_r4(c)} AS {c}" if c in doubles else c for c in columns)
     return "WITH " + ",\n".join(ctes) + f"\nSELECT {body} FROM {final}"
 
 

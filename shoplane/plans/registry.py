@@ -27,7 +27,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    return df.select([F.round(F.col(f.name), places).alias(f.name)
+    """Doubles as round(x * 10^p) / 10^p - the same formula the oracle SQL states,
+    so ties like 25.54875 resolve identically in both engines."""
+    scale = float(10 ** places)
+    return df.select([(F.round(F.col(f.name) * scale) / scale).alias(f.name)
                       if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                       for f in df.schema.fields])
 
