@@ -76,9 +76,23 @@ def _null_safe_on(left: DataFrame, right: DataFrame, key: tuple[str, ...]):
     return cond
 
 
+def clustered_by_date(df: DataFrame, date_col: str) -> DataFrame:
+    """Range-partition on (date, other columns) before a date-partitioned write.
+
+    Each task then holds a contiguous date range and writes files for those dates
+    only (files ~ tasks + dates, not tasks x dates). Including the other columns in
+    the range key lets one very large date span several tasks. The partition count
+    is explicit: AQE would otherwise coalesce a small result into one task that
+    then opens every date folder serially.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rest = [c for c in df.columns if c != date_col][:3]
+    return df.repartitionByRange(n, F.col(date_col), *[F.col(c) for c in rest])
+
+
 def _write_full(df: DataFrame, path: str, date_col: str) -> None:
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
-     .partitionBy(date_col).parquet(path))
+    (clustered_by_date(df, date_col).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path))
 
 
 def merge_window(spark: SparkSession, target: DataFrame, new: DataFrame, path: str,
@@ -88,7 +102,7 @@ def merge_window(spark: SparkSession, target: DataFrame, new: DataFrame, path: s
     kept = window.join(new, _null_safe_on(window, new, key), "left_anti")
     merged = new.unionByName(kept.select(*new.columns))
     stage = scratch_path(spark, "merge-stage")
-    merged.write.mode("overwrite").partitionBy(date_col).parquet(stage)
+    clustered_by_date(merged, date_col).write.mode("overwrite").partitionBy(date_col).parquet(stage)
     staged = spark.read.schema(new.schema).parquet(stage).select(*new.columns)
     (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_col).parquet(path))
