@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions import NONE_LABEL, count_if, safe_ratio, to_date
 from ..schemas import conform
+from .incremental import partition_predicate
 from .joins import broadcast_bounded
 from .silver import product_pages
 
@@ -34,10 +35,14 @@ def product_pageviews_dated(pageviews: DataFrame, dim: DataFrame,
                             cutoff: dt.date | None = None) -> DataFrame:
     """(metric_date, product_id, website_session_id) per product pageview."""
     pages = broadcast_bounded(product_pages(dim).select("product_id", "product_page_url"))
-    pv = pageviews.select(to_date("created_at").alias("metric_date"),
+    pv = pageviews.select(*[c for c in ("year", "month") if c in pageviews.columns],
+                          to_date("created_at").alias("metric_date"),
                           F.col("website_session_id").cast("long").alias("website_session_id"),
                           F.col("pageview_url").cast("string").alias("pageview_url"))
     pv = _since(pv, "metric_date", cutoff)
+    if cutoff is not None and {"year", "month"} <= set(pageviews.columns):
+        # year=/month= partitioned source: prune whole months before the cutoff
+        pv = pv.filter(partition_predicate(cutoff))
     return (pv.join(pages, F.col("pageview_url") == F.col("product_page_url"))
             .select("metric_date", "product_id", "website_session_id"))
 

@@ -1,0 +1,129 @@
+"""Incremental merge semantics (FIXTURES.md E28-E32)."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from conftest import ts
+from shoplane.operators import incremental
+from shoplane.plans import pipeline
+
+D = dt.date
+PRODUCTS = [{"product_id": 1, "created_at": ts("2024-01-01 00:00:00"), "product_name": "Bear"}]
+
+
+def _sale(iid, day, price=10.0):
+    at = ts(f"2024-01-{day:02d} 12:00:00")
+    return ({"order_id": iid, "website_session_id": iid, "user_id": iid, "created_at": at,
+             "primary_product_id": 1, "items_purchased": 1, "price_usd": price, "cogs_usd": 1.0},
+            {"order_item_id": iid, "order_id": iid, "product_id": 1, "price_usd": price,
+             "cogs_usd": 1.0, "is_primary_item": 1, "created_at": at})
+
+
+def _src(make_sources, sales, refunds=()):
+    orders, items = zip(*[_sale(*s) for s in sales])
+    return make_sources(products=PRODUCTS, orders=list(orders), order_items=list(items),
+                        order_item_refunds=[{"order_item_id": i, "order_id": i,
+                                             "refund_amount_usd": a, "created_at": ts(at)}
+                                            for i, a, at in refunds])
+
+
+def _returns(spark, wh):
+    df = pipeline.read_table(spark, wh, "mart_product_daily_returns")
+    return {r.order_date: r.asDict() for r in df.collect()}
+
+
+def test_lookback_window_and_idempotence(spark, make_sources, tmp):
+    wh = f"{tmp}/wh"
+    marts = ("mart_product_daily_returns",)
+    first = _src(make_sources, [(1, 13), (2, 12), (3, 20), (4, 5)])
+    f1 = pipeline.build(spark, first, wh, marts=marts)
+    assert f1["mart_product_daily_returns"]["mode"] == "full"
+    before = _returns(spark, wh)
+
+    # late refunds for the sales 7 and 8 days before the newest date, and a new
+    # maximum price on the newest day
+    late = [(1, 2.0, "2024-01-25 00:00:00"), (2, 2.0, "2024-01-25 00:00:00")]
+    second = _src(make_sources, [(1, 13), (2, 12), (3, 20), (4, 5), (5, 20, 50.0)], late)
+    f2 = pipeline.build(spark, second, wh, marts=marts)
+    assert f2["mart_product_daily_returns"] == {"mode": "incremental", "cutoff": D(2024, 1, 13)}
+    after = _returns(spark, wh)
+    assert after[D(2024, 1, 13)]["refund_amount_usd"] == 2.0              # E29: 7 days -> updated
+    assert after[D(2024, 1, 12)]["refund_amount_usd"] == 0.0              # E29: 8 days -> stale
+    assert after[D(2024, 1, 12)] == before[D(2024, 1, 12)]
+    assert after[D(2024, 1, 20)]["list_price_usd"] == 50.0                # E31
+    assert after[D(2024, 1, 5)]["list_price_usd"] == 10.0                 # E31: old list price kept
+    assert after[D(2024, 1, 20)]["order_items_sold_count"] == 2
+
+    pipeline.build(spark, second, wh, marts=marts)                        # E28: unchanged source
+    assert _returns(spark, wh) == after
+
+
+def test_empty_target_builds_dated_rows_only(spark, make_sources, tmp):
+    wh = f"{tmp}/wh"
+    src = make_sources(products=PRODUCTS,
+                       order_items=[{"order_item_id": 9, "order_id": 99, "product_id": 1,
+                                     "price_usd": 1.0, "cogs_usd": 0.5, "is_primary_item": 1,
+                                     "created_at": ts("2024-01-03 00:00:00")}],
+                       orders=[_sale(1, 4)[0]])
+    src["order_items"] = src["order_items"].unionByName(
+        make_sources(order_items=[_sale(1, 4)[1]])["order_items"])
+    os.makedirs(pipeline.table_path(wh, "mart_product_daily_returns"))     # E30
+    facts = pipeline.build(spark, src, wh, marts=("mart_product_daily_returns",))
+    assert facts["mart_product_daily_returns"]["cutoff"] == D(1899, 12, 25)
+    rows = _returns(spark, wh)
+    assert set(rows) == {D(2024, 1, 4)}                                   # orphan NULL date skipped
+    full = pipeline.build(spark, src, f"{tmp}/wh2", marts=("mart_product_daily_returns",))
+    assert full["mart_product_daily_returns"]["mode"] == "full"
+    assert set(_returns(spark, f"{tmp}/wh2")) == {D(2024, 1, 4), None}
+
+
+def test_schema_drift_sync_all_columns(spark, tmp):
+    from pyspark.sql import types as T
+    path = f"{tmp}/mart"
+    s1 = T.StructType([T.StructField("k", T.LongType()), T.StructField("a", T.LongType()),
+                       T.StructField("d", T.DateType())])
+    s2 = T.StructType(s1.fields[:2] + [T.StructField("b", T.StringType()), s1.fields[2]])
+    s3 = T.StructType([s2["k"], s2["b"], s2["d"]])
+
+    def builder(schema, rows):
+        def build(cutoff):
+            df = spark.createDataFrame(rows, schema)
+            return df if cutoff is None else df.filter(F.col("d") >= F.lit(cutoff))
+        return build
+
+    old = [(1, 10, D(2024, 1, 1)), (2, 20, D(2024, 1, 20))]
+    incremental.refresh_mart(spark, path, builder(s1, old), s1, ("k", "d"), "d")
+    new = [(2, 21, "x", D(2024, 1, 20)), (3, 30, "y", D(2024, 1, 21))]
+    incremental.refresh_mart(spark, path, builder(s2, new), s2, ("k", "d"), "d")       # E32 gain
+    got = {r.k: r.asDict() for r in spark.read.parquet(path).collect()}
+    assert got[1]["b"] is None and got[1]["a"] == 10
+    assert got[2]["b"] == "x" and got[2]["a"] == 21 and got[3]["b"] == "y"
+    incremental.refresh_mart(spark, path, builder(s3, [(3, "z", D(2024, 1, 21))]), s3,
+                             ("k", "d"), "d")                                             # E32 lose
+    df = spark.read.parquet(path)
+    assert set(df.columns) == {"k", "b", "d"}
+    got = {r.k: r.b for r in df.collect()}
+    assert got == {1: None, 2: "x", 3: "z"}
+
+
+def test_incremental_equals_full_on_partitioned_lake(spark, tmp):
+    """Lake sources (year/month folders, month pruning on) give the same window."""
+    from shoplane.sources import fixtures
+    from shoplane.sources.lake import LakeSources, ingest_frames
+    sf = "/root/testdata/sf0.001"
+    ingest_frames(fixtures.set_b(spark, sf, before=fixtures.PREFIX_END), f"{tmp}/lake1")
+    ingest_frames(fixtures.set_b(spark, sf), f"{tmp}/lake2")
+    m = ("mart_product_daily_sales",)
+    pipeline.build(spark, LakeSources(spark, f"{tmp}/lake1"), f"{tmp}/wh", marts=m)
+    facts = pipeline.build(spark, LakeSources(spark, f"{tmp}/lake2"), f"{tmp}/wh", marts=m)
+    cutoff = facts[m[0]]["cutoff"]
+    pipeline.build(spark, LakeSources(spark, f"{tmp}/lake2"), f"{tmp}/full", marts=m,
+                   full_refresh=True)
+    inc = pipeline.read_table(spark, f"{tmp}/wh", m[0]).filter(F.col("metric_date") >= cutoff)
+    full = pipeline.read_table(spark, f"{tmp}/full", m[0]).filter(F.col("metric_date") >= cutoff)
+    assert inc.count() > 0
+    assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
