@@ -7,8 +7,9 @@ consecutive partitions:
 
 1. range exchange + per-partition sort; a vectorised pass numbers rows locally
    per key inside each partition (running counter over sorted Arrow batches);
-2. the numbered rows are checkpointed (one fixed partition assignment), then one
-   small row per partition: its first key, last key and that key's row count;
+2. the numbered rows are written once to the shared checkpoint folder (one fixed
+   partition assignment), then one small row per partition: its first key, last
+   key and that key's row count;
 3. offset of partition p = rows of p's first key in earlier partitions (a
    running sum over at most #partitions rows), joined back by broadcast. The
    broadcast side has one row per partition, a bound fixed by configuration.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
+from ..session import scratch_path
 
 _PID, _LRN = "_seq_pid", "_seq_lrn"
 
@@ -81,10 +82,12 @@ def number_within_groups(df: DataFrame, keys: list[str], order: list[str | Colum
                                                   T.StructField(_LRN, T.LongType())])
     numbered = ranged.sortWithinPartitions(*sort_cols).mapInPandas(_local_numbers(keys), out_schema)
     # Range bounds are sampled per exchange, so two uses of one lazy plan may split
-    # rows differently. A reliable checkpoint (shared checkpoint folder) fixes one
-    # assignment of rows to partitions for both uses and cuts the lineage.
-    ensure_checkpoint_dir(spark)
-    numbered = numbered.checkpoint(eager=True)
+    # rows differently. Writing the numbered rows once to the shared checkpoint
+    # folder fixes one assignment of rows to partitions for both uses and cuts the
+    # lineage (one columnar pass; an RDD checkpoint would compute the plan twice).
+    path = scratch_path(spark, "row-numbers")
+    numbered.write.parquet(path)
+    numbered = spark.read.schema(out_schema).parquet(path)
 
     # one row per partition: first key, last key and its row count there
     stats = (numbered.groupBy(_PID)

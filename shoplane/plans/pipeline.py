@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, incremental, quality, silver
+from ..parallel import DEFAULT_PARALLELISM, run_all
 from ..schemas import CONTRACTS, GRAIN, PARTITION_DATE, TABLE_LAYER
 
 SILVER_ORDER = ("dim_products", "fct_sales", "fct_sessions")
@@ -37,36 +38,41 @@ def build_silver(src) -> dict[str, DataFrame]:
             "fct_sessions": silver.fct_sessions(src, dim)}
 
 
-def write_silver(spark: SparkSession, src, warehouse: str) -> dict[str, DataFrame]:
-    """Materialize the silver layer (full rebuild, as the source project does)."""
-    out = {}
-    lazy = build_silver(src)
-    for t in SILVER_ORDER:
+def write_silver(spark: SparkSession, src, warehouse: str,
+                 parallelism: int = DEFAULT_PARALLELISM) -> dict[str, DataFrame]:
+    """Materialize the silver layer (full rebuild, as the source project does).
+
+    The dimension is written first; the two facts (independent of each other)
+    then build concurrently, and the session fact reads the written dimension.
+    """
+    def write(t: str, df: DataFrame) -> DataFrame:
         path = table_path(warehouse, t)
-        df = lazy[t]
         if t in SILVER_DATE:
             # local sort only (no shuffle): each file's row groups cover narrow date
             # ranges, so the marts' "date >= cutoff" skips old row groups by min/max
             df = df.sortWithinPartitions(SILVER_DATE[t])
         df.write.mode("overwrite").parquet(path)
-        out[t] = spark.read.schema(CONTRACTS[t]).parquet(path)
-        if t == "dim_products":     # later builders use the written dimension
-            lazy = {**lazy, "fct_sessions": silver.fct_sessions(src, out[t])}
-    return out
+        return spark.read.schema(CONTRACTS[t]).parquet(path)
+
+    dim = write("dim_products", silver.dim_products(src))
+    facts = run_all({"fct_sales": lambda: write("fct_sales", silver.fct_sales(src)),
+                      "fct_sessions": lambda: write("fct_sessions", silver.fct_sessions(src, dim))},
+                     parallelism)
+    return {"dim_products": dim, **facts}
 
 
 def refresh_gold(spark: SparkSession, tables: dict[str, DataFrame], warehouse: str,
-                 full_refresh: bool = False, marts=GOLD_ORDER) -> dict[str, dict]:
-    """Full build or 7-day-lookback merge of each mart. ``tables`` holds the silver
-    tables plus the ``website_pageviews`` source."""
-    facts = {}
-    for m in marts:
+                 full_refresh: bool = False, marts=GOLD_ORDER,
+                 parallelism: int = DEFAULT_PARALLELISM) -> dict[str, dict]:
+    """Full build or 7-day-lookback merge of each mart (marts are independent and
+    run concurrently). ``tables`` holds the silver tables plus the
+    ``website_pageviews`` source."""
+    def one(m: str):
         builder = gold.MART_BUILDERS[m]
-        facts[m] = incremental.refresh_mart(
-            spark, table_path(warehouse, m),
-            lambda cutoff, b=builder: b(tables, cutoff),
+        return incremental.refresh_mart(
+            spark, table_path(warehouse, m), lambda cutoff: builder(tables, cutoff),
             CONTRACTS[m], GRAIN[m], PARTITION_DATE[m], full_refresh=full_refresh)
-    return facts
+    return run_all({m: (lambda m=m: one(m)) for m in marts}, parallelism)
 
 
 def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
@@ -76,11 +82,12 @@ def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
 
 
 def build(spark: SparkSession, src, warehouse: str, full_refresh: bool = False,
-          marts=GOLD_ORDER) -> dict:
+          marts=GOLD_ORDER, parallelism: int = DEFAULT_PARALLELISM) -> dict:
     """Run the whole model graph; returns per-mart run facts."""
-    written = write_silver(spark, src, warehouse)
+    written = write_silver(spark, src, warehouse, parallelism)
     tables = {**written, "website_pageviews": src["website_pageviews"]}
-    return refresh_gold(spark, tables, warehouse, full_refresh=full_refresh, marts=marts)
+    return refresh_gold(spark, tables, warehouse, full_refresh=full_refresh, marts=marts,
+                        parallelism=parallelism)
 
 
 def validate(spark: SparkSession, warehouse: str) -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..parallel import DEFAULT_PARALLELISM, run_all
 from ..schemas import PARTITIONED_SOURCES, SOURCE_SCHEMAS, STATIC_SOURCES
 
 PARTITION_COLUMNS = ("year", "month")
@@ -61,40 +62,37 @@ def write_static(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def _ingest_one(df: DataFrame, table: str, lake_root: str) -> str:
+    dest = f"{lake_root.rstrip('/')}/{table}"
+    if table in PARTITIONED_SOURCES:
+        write_partitioned(with_partition_columns(df), dest)
+    else:
+        write_static(df, dest)
+    return dest
+
+
 def ingest_csv(spark: SparkSession, csv_dir: str, lake_root: str,
-               files: dict[str, str] | None = None) -> dict[str, str]:
+               files: dict[str, str] | None = None,
+               parallelism: int = DEFAULT_PARALLELISM) -> dict[str, str]:
     """CSV folder -> lake. ``files`` maps table -> file name (default ``<table>.csv``).
 
     Returns table -> written path. Missing optional files (the dictionary) are
-    skipped.
+    skipped. Tables are independent and are written concurrently.
     """
     files = files or {}
-    out = {}
+    tasks = {}
     for table in PARTITIONED_SOURCES + STATIC_SOURCES:
         src = os.path.join(csv_dir, files.get(table, f"{table}.csv"))
-        if not os.path.exists(src):
-            continue
-        df = read_csv(spark, src, table)
-        dest = f"{lake_root.rstrip('/')}/{table}"
-        if table in PARTITIONED_SOURCES:
-            write_partitioned(with_partition_columns(df), dest)
-        else:
-            write_static(df, dest)
-        out[table] = dest
-    return out
-
-
-def ingest_frames(frames: dict[str, DataFrame], lake_root: str) -> dict[str, str]:
-    """Write already-loaded source DataFrames into the lake layout."""
-    out = {}
-    for table, df in frames.items():
-        dest = f"{lake_root.rstrip('/')}/{table}"
-        if table in PARTITIONED_SOURCES:
-            write_partitioned(with_partition_columns(df), dest)
-        else:
-            write_static(df, dest)
-        out[table] = dest
-    return out
+        if os.path.exists(src):
+            tasks[table] = (lambda t=table, p=src: _ingest_one(read_csv(spark, p, t), t, lake_root))
+    return run_all(tasks, parallelism)
+
+
+def ingest_frames(frames: dict[str, DataFrame], lake_root: str,
+                  parallelism: int = DEFAULT_PARALLELISM) -> dict[str, str]:
+    """Write already-loaded source DataFrames into the lake layout (concurrently)."""
+    return run_all({t: (lambda t=t, df=df: _ingest_one(df, t, lake_root))
+                    for t, df in frames.items()}, parallelism)
 
 
 class LakeSources:
