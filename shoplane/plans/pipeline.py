@@ -104,6 +104,8 @@ def register_catalog(spark: SparkSession, warehouse: str) -> None:
         name = f"{TABLE_LAYER[t]}.{t}"
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         spark.catalog.createTable(name, path=table_path(warehouse, t), source="parquet")
+        if t in PARTITION_DATE:                  # register the date folders
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
 def date_of(value) -> dt.date:

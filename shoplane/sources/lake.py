@@ -14,8 +14,6 @@ Layout under a lake root::
 
 from __future__ import annotations
 
-import os
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -77,14 +75,18 @@ def ingest_csv(spark: SparkSession, csv_dir: str, lake_root: str,
     """CSV folder -> lake. ``files`` maps table -> file name (default ``<table>.csv``).
 
     Returns table -> written path. Missing optional files (the dictionary) are
-    skipped. Tables are independent and are written concurrently.
+    skipped. Tables are independent and are written concurrently. Paths may be on
+    any Hadoop-compatible file system.
     """
     files = files or {}
     tasks = {}
     for table in PARTITIONED_SOURCES + STATIC_SOURCES:
-        src = os.path.join(csv_dir, files.get(table, f"{table}.csv"))
-        if os.path.exists(src):
-            tasks[table] = (lambda t=table, p=src: _ingest_one(read_csv(spark, p, t), t, lake_root))
+        src = f"{csv_dir.rstrip('/')}/{files.get(table, f'{table}.csv')}"
+        try:
+            df = read_csv(spark, src, table)
+        except AnalysisException:
+            continue
+        tasks[table] = (lambda t=table, d=df: _ingest_one(d, t, lake_root))
     return run_all(tasks, parallelism)
 
 
@@ -109,16 +111,18 @@ class LakeSources:
 
     def _load(self, table: str) -> DataFrame:
         loc = self.overrides.get(table)
-        if loc is None and table in STATIC_SOURCES:
-            csv = f"{self.root}/{table}.csv"
-            if os.path.exists(csv):
-                loc = csv
-        if loc is not None and loc.endswith(".csv"):
-            return read_csv(self.spark, loc, table)
-        path = loc or f"{self.root}/{table}"
+        if loc is not None:
+            return read_csv(self.spark, loc, table) if loc.endswith(".csv") else \
+                self.spark.read.parquet(loc)
+        path = f"{self.root}/{table}"
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as e:
+            if table in STATIC_SOURCES:          # <root>/<table>.csv location
+                try:
+                    return read_csv(self.spark, f"{path}.csv", table)
+                except AnalysisException:
+                    pass
             raise FileNotFoundError(f"source table {table!r} not found at {path}") from e
 
     def __getitem__(self, table: str) -> DataFrame:
