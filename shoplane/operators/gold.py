@@ -19,6 +19,7 @@ from ..functions import NONE_LABEL, count_if, safe_ratio, to_date
 from ..schemas import conform
 from .incremental import partition_predicate
 from .joins import broadcast_bounded
+from .staging import stage
 from .silver import product_pages
 
 
@@ -34,7 +35,8 @@ def _z(c: str, zero=0):
 def product_pageviews_dated(pageviews: DataFrame, dim: DataFrame,
                             cutoff: dt.date | None = None) -> DataFrame:
     """(metric_date, product_id, website_session_id) per product pageview."""
-    pages = broadcast_bounded(product_pages(dim).select("product_id", "product_page_url"))
+    pages = broadcast_bounded(product_pages(dim).select(
+        F.col("product_id").cast("long").alias("product_id"), "product_page_url"))
     pv = pageviews.select(*[c for c in ("year", "month") if c in pageviews.columns],
                           to_date("created_at").alias("metric_date"),
                           F.col("website_session_id").cast("long").alias("website_session_id"),
@@ -47,12 +49,24 @@ def product_pageviews_dated(pageviews: DataFrame, dim: DataFrame,
             .select("metric_date", "product_id", "website_session_id"))
 
 
-def daily_product_traffic(ppv: DataFrame, sessions: DataFrame) -> DataFrame:
+def product_touch_counts(ppv: DataFrame) -> DataFrame:
+    """Pageviews per (date, product, session): the distinct touch set with its count.
+
+    One pass over the product pageviews feeds both traffic and conversion, and a
+    session with a huge number of pageviews is pre-combined on the map side here.
+    """
+    return (ppv.groupBy("metric_date", "product_id", "website_session_id")
+            .agg(F.count(F.lit(1)).alias("pageviews")))
+
+
+def daily_product_traffic(touch: DataFrame, sessions: DataFrame) -> DataFrame:
+    """From touch counts: pageviews, distinct sessions (one touch row per session,
+    NULL not counted) and distinct viewing users."""
     users = sessions.select("website_session_id", "user_id")
-    return (ppv.join(users, "website_session_id", "left")
+    return (touch.join(users, "website_session_id", "left")
             .groupBy("metric_date", "product_id")
-            .agg(F.count(F.lit(1)).alias("product_pageviews_count"),
-                 F.count_distinct("website_session_id").alias("product_sessions_count"),
+            .agg(F.sum("pageviews").alias("product_pageviews_count"),
+                 F.count("website_session_id").alias("product_sessions_count"),
                  F.count_distinct("user_id").alias("product_viewers_count")))
 
 
@@ -109,13 +123,15 @@ def repeat_buyers(sales: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
     s = _since(sales, "order_date", cutoff)
     per_user = (s.groupBy(F.col("order_date").alias("metric_date"), "product_id", "user_id")
                 .agg(F.count_distinct("order_id").alias("orders_per_user")))
+    # users are already distinct per (date, product) after the first grouping, so a
+    # plain count of non-NULL users is the distinct count without another shuffle
     return (per_user.filter(F.col("orders_per_user") > 1)
             .groupBy("metric_date", "product_id")
-            .agg(F.count_distinct("user_id").alias("repeat_buyers_count")))
+            .agg(F.count("user_id").alias("repeat_buyers_count")))
 
 
 def product_day_grains(traffic: DataFrame, sales_daily: DataFrame) -> DataFrame:
-    return (traffic.select("metric_date", F.col("product_id").cast("long").alias("product_id"))
+    return (traffic.select("metric_date", "product_id")
             .union(sales_daily.select("metric_date", "product_id")).distinct())
 
 
@@ -128,9 +144,12 @@ def mart_product_daily_sales(pageviews: DataFrame, dim: DataFrame, sessions: Dat
     grain set is their distinct union and each part is joined with '=' so a
     NULL date or product yields a row of zeros, as in the source model.
     """
-    ppv = product_pageviews_dated(pageviews, dim, cutoff)
-    traffic = daily_product_traffic(ppv, sessions)
-    conv = product_conversion(session_product_touch(ppv), sales)
+    # one pass over the pageviews; traffic, grains and conversion read the staged rollup
+    touch = stage(product_touch_counts(product_pageviews_dated(pageviews, dim, cutoff)),
+                  "product-touch")
+    traffic = daily_product_traffic(touch, sessions)
+    conv = product_conversion(touch.select("metric_date", "product_id", "website_session_id"),
+                              sales)
     sold = daily_product_sales(sales, cutoff)
     rb = repeat_buyers(sales, cutoff)
     grains = product_day_grains(traffic, sold)

@@ -118,7 +118,7 @@ def _ppv(spark, sf, **kw):
 
 def q_daily_product_traffic(spark, sf):
     _, t, ppv = _ppv(spark, sf)
-    return gold.daily_product_traffic(ppv, t["fct_sessions"])
+    return gold.daily_product_traffic(gold.product_touch_counts(ppv), t["fct_sessions"])
 
 
 def q_session_product_touch(spark, sf):
@@ -154,8 +154,9 @@ def q_repeat_buyers(spark, sf):
 
 def q_product_day_grains(spark, sf):
     _, t, ppv = _ppv(spark, sf)
-    return gold.product_day_grains(gold.daily_product_traffic(ppv, t["fct_sessions"]),
-                                   gold.daily_product_sales(t["fct_sales"]))
+    return gold.product_day_grains(
+        gold.daily_product_traffic(gold.product_touch_counts(ppv), t["fct_sessions"]),
+        gold.daily_product_sales(t["fct_sales"]))
 
 
 def q_all_dates(spark, sf):
