@@ -96,15 +96,28 @@ def validate(spark: SparkSession, warehouse: str) -> DataFrame:
     return quality.validate(tables)
 
 
-def register_catalog(spark: SparkSession, warehouse: str) -> None:
-    """Expose built tables as ``silver.*`` / ``gold.*`` in the session catalog."""
-    for layer in ("silver", "gold"):
+def register_catalog(spark: SparkSession, warehouse: str, lake_root: str | None = None) -> None:
+    """Expose built tables as ``silver.*`` / ``gold.*`` (and the lake's sources as
+    ``raw.*`` when ``lake_root`` is given) in the session catalog."""
+    layers = ("raw", "silver", "gold") if lake_root else ("silver", "gold")
+    for layer in layers:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    for t in SILVER_ORDER + GOLD_ORDER:
-        name = f"{TABLE_LAYER[t]}.{t}"
+    entries = [(f"{TABLE_LAYER[t]}.{t}", table_path(warehouse, t), t in PARTITION_DATE)
+               for t in SILVER_ORDER + GOLD_ORDER]
+    if lake_root:
+        from ..schemas import PARTITIONED_SOURCES, STATIC_SOURCES
+        root = lake_root.rstrip("/")
+        entries += [(f"raw.{t}", f"{root}/{t}", t in PARTITIONED_SOURCES)
+                    for t in PARTITIONED_SOURCES + STATIC_SOURCES]
+    for name, path, partitioned in entries:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.catalog.createTable(name, path=table_path(warehouse, t), source="parquet")
-        if t in PARTITION_DATE:                  # register the date folders
+        try:
+            spark.catalog.createTable(name, path=path, source="parquet")
+        except Exception:  # noqa: BLE001 - an optional raw table (dictionary) may be absent
+            if name.startswith("raw."):
+                continue
+            raise
+        if partitioned:                          # register the partition folders
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 

@@ -21,7 +21,16 @@ def test_build_validate_and_catalog(spark, tmp):
     # orphan items (no order) carry a NULL-date row in the returns mart: the declared
     # not_null test on order_date reports it, as the source project's test would
     assert checks[("mart_product_daily_returns", "not_null", "order_date")] == 1
-    pipeline.register_catalog(spark, f"{tmp}/wh")
+    pipeline.register_catalog(spark, f"{tmp}/wh", lake_root=f"{tmp}/lake")
+    assert spark.sql("SELECT count(*) FROM raw.orders").first()[0] == src["orders"].count()
     n = spark.sql("SELECT count(*) FROM gold.mart_customer_daily_value").first()[0]
     assert n == pipeline.read_table(spark, f"{tmp}/wh", "mart_customer_daily_value").count() > 0
     assert spark.sql("SELECT count(*) FROM silver.fct_sales").first()[0] > 0
+
+
+def test_cli_build_and_test(spark, tmp):
+    from shoplane.__main__ import main
+    ingest_frames(fixtures.set_b(spark, "/root/testdata/sf0.001"), f"{tmp}/lake")
+    assert main(["build", "--lake", f"{tmp}/lake", "--warehouse", f"{tmp}/wh"]) == 0
+    # the returns mart keeps NULL-date rows (orphan items), which its not_null test reports
+    assert main(["test", "--warehouse", f"{tmp}/wh"]) == 1
