@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import flag, product_page_url, seconds_between, to_date
+from ..functions import flag, product_page_url, seconds_between
 from ..schemas import conform
 from .joins import broadcast_bounded
 from .sequence import number_within_groups
@@ -222,4 +222,4 @@ def fct_sessions(src, dim: DataFrame | None = None) -> DataFrame:
 __all__ = ["dim_products", "product_pages", "fct_sales", "refunds_by_item", "typed_orders",
            "typed_order_items", "fct_sessions", "pageviews_agg", "pageviews_ranked",
            "product_pageviews", "product_pageviews_agg", "orders_by_session", "typed_sessions",
-           "typed_pageviews", "to_date"]
+           "typed_pageviews"]

@@ -13,7 +13,6 @@ Warehouse layout::
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -120,6 +119,3 @@ def register_catalog(spark: SparkSession, warehouse: str, lake_root: str | None
         if partitioned:                          # register the partition folders
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
-
-def date_of(value) -> dt.date:
-    return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import gold, quality, silver
-from ..schemas import CONTRACTS, GRAIN, NOT_NULL, PARTITION_DATE, UNIQUE
+from ..schemas import GRAIN, NOT_NULL, PARTITION_DATE, UNIQUE
 from ..session import scratch_path
 from ..sources import fixtures
 from ..sources.lake import with_partition_columns
@@ -35,10 +35,6 @@ def rounded(df: DataFrame, places: int = 4) -> DataFrame:
                       for f in df.schema.fields])
 
 
-def _doubles(df_cols: list[tuple[str, str]]) -> list[str]:
-    return [n for n, t in df_cols if t == "double"]
-
-
 # ------------------------------------------------------------------ Spark side
 def _a(spark, sf):
     return fixtures.set_a(spark, sf)
@@ -454,4 +450,3 @@ ORACLE: dict[str, Callable[[], str]] = {
 }
 
 assert set(QUERIES) == set(ORACLE)
-_ = CONTRACTS  # contracts define the oracle column lists via oracle.contract_query
