@@ -63,3 +63,15 @@ def test_number_within_groups_hot_key(spark):
         Window.partitionBy("k").orderBy("t", "id")).cast("long"))
     assert got.count() == df.count()
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_reingest_replaces_only_its_months(spark, tmp):
+    from shoplane.sources.lake import ingest_frames
+    schema = "order_id long, created_at timestamp_ntz"
+    jan = spark.createDataFrame([(1, ts("2024-01-05 00:00:00")), (2, ts("2024-01-06 00:00:00"))], schema)
+    feb = spark.createDataFrame([(3, ts("2024-02-05 00:00:00"))], schema)
+    ingest_frames({"orders": jan.unionByName(feb)}, f"{tmp}/lake")
+    feb2 = spark.createDataFrame([(4, ts("2024-02-07 00:00:00"))], schema)
+    ingest_frames({"orders": feb2}, f"{tmp}/lake")           # February rewritten, January kept
+    got = sorted(r.order_id for r in spark.read.parquet(f"{tmp}/lake/orders").collect())
+    assert got == [1, 2, 4]
