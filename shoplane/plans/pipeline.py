@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import gold, incremental, quality, silver
 from ..parallel import DEFAULT_PARALLELISM, run_all
-from ..schemas import CONTRACTS, GRAIN, PARTITION_DATE, TABLE_LAYER
+from ..schemas import CONTRACTS, GRAIN, PARTITION_DATE, TABLE_COMMENTS, TABLE_LAYER
 
 SILVER_ORDER = ("dim_products", "fct_sales", "fct_sessions")
 SILVER_DATE = {"fct_sales": "order_date", "fct_sessions": "session_date"}
@@ -101,17 +101,17 @@ def register_catalog(spark: SparkSession, warehouse: str, lake_root: str | None
     layers = ("raw", "silver", "gold") if lake_root else ("silver", "gold")
     for layer in layers:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    entries = [(f"{TABLE_LAYER[t]}.{t}", table_path(warehouse, t), t in PARTITION_DATE)
-               for t in SILVER_ORDER + GOLD_ORDER]
+    entries = [(f"{TABLE_LAYER[t]}.{t}", table_path(warehouse, t), t in PARTITION_DATE,
+                TABLE_COMMENTS[t]) for t in SILVER_ORDER + GOLD_ORDER]
     if lake_root:
         from ..schemas import PARTITIONED_SOURCES, STATIC_SOURCES
         root = lake_root.rstrip("/")
-        entries += [(f"raw.{t}", f"{root}/{t}", t in PARTITIONED_SOURCES)
+        entries += [(f"raw.{t}", f"{root}/{t}", t in PARTITIONED_SOURCES, f"Raw {t} source")
                     for t in PARTITIONED_SOURCES + STATIC_SOURCES]
-    for name, path, partitioned in entries:
+    for name, path, partitioned, comment in entries:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         try:
-            spark.catalog.createTable(name, path=path, source="parquet")
+            spark.catalog.createTable(name, path=path, source="parquet", description=comment)
         except Exception:  # noqa: BLE001 - an optional raw table (dictionary) may be absent
             if name.startswith("raw."):
                 continue

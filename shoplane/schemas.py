@@ -127,6 +127,17 @@ CONTRACTS: dict[str, T.StructType] = {
                             "net_revenue_per_purchasing_user")]),
 }
 
+# One-line description per derived table (registered as the catalog table comment).
+TABLE_COMMENTS: dict[str, str] = {
+    "dim_products": "Product dimension, one row per product.",
+    "fct_sales": "Order-item sales fact with refunds, profit and margin.",
+    "fct_sessions": "Web session fact with channel, device, pageview behaviour and orders.",
+    "mart_product_daily_sales": "Product x day traffic, same-day conversion, sales and buyers.",
+    "mart_product_daily_returns": "Product x day returns, refunds, prices and inferred discount.",
+    "mart_channel_daily_sessions": "Channel x device x day sessions, bounces and conversion.",
+    "mart_customer_daily_value": "Daily users, sessions, orders and revenue per purchasing user.",
+}
+
 # Grain (unique key) of each derived table; gold keys drive the merge.
 GRAIN: dict[str, tuple[str, ...]] = {
     "dim_products": ("product_id",),

@@ -26,6 +26,9 @@ def test_build_validate_and_catalog(spark, tmp):
     n = spark.sql("SELECT count(*) FROM gold.mart_customer_daily_value").first()[0]
     assert n == pipeline.read_table(spark, f"{tmp}/wh", "mart_customer_daily_value").count() > 0
     assert spark.sql("SELECT count(*) FROM silver.fct_sales").first()[0] > 0
+    assert spark.catalog.getTable("silver.fct_sales").description.startswith("Order-item")
+    cols = {c.name: c.description for c in spark.catalog.listColumns("silver.fct_sales")}
+    assert "refund" in (cols["has_returned"] or "")        # column comments survive the write
 
 
 def test_cli_build_and_test(spark, tmp):
