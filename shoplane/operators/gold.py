@@ -60,13 +60,17 @@ def product_touch_counts(ppv: DataFrame) -> DataFrame:
 
 
 def daily_product_traffic(touch: DataFrame, sessions: DataFrame) -> DataFrame:
-    """From touch counts: pageviews, distinct sessions (one touch row per session,
-    NULL not counted) and distinct viewing users."""
+    """From touch counts: pageviews, distinct sessions and distinct viewing users.
+
+    The session lookup is a left join as in the source model (a duplicated session
+    row fans the pageview count out there too); sessions are counted distinct, so
+    that count is exact whatever the lookup holds.
+    """
     users = sessions.select("website_session_id", "user_id")
     return (touch.join(users, "website_session_id", "left")
             .groupBy("metric_date", "product_id")
             .agg(F.sum("pageviews").alias("product_pageviews_count"),
-                 F.count("website_session_id").alias("product_sessions_count"),
+                 F.count_distinct("website_session_id").alias("product_sessions_count"),
                  F.count_distinct("user_id").alias("product_viewers_count")))
 
 

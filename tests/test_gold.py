@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from conftest import ts
-from shoplane.operators import gold, silver
+from shoplane.operators import gold
 from shoplane.plans import pipeline
 
 D = dt.date
@@ -132,8 +132,21 @@ def test_mart_totals_equal_fact_totals(spark):
     want = fs.agg(F.count(F.lit(1)), F.round(F.sum("net_revenue_usd"), 6)).first()
     m4 = gold.MART_BUILDERS["mart_product_daily_sales"](t).filter("metric_date IS NOT NULL")
     got4 = m4.agg(F.sum("order_items_sold_count"), F.round(F.sum("net_revenue_usd"), 6)).first()
-    m5 = silver  # noqa: F841 - keep the import used
     m5 = gold.mart_product_daily_returns(t["fct_sales"], t["dim_products"]).filter(
         "order_date IS NOT NULL")
     got5 = m5.agg(F.sum("order_items_sold_count"), F.round(F.sum("net_revenue_usd"), 6)).first()
     assert tuple(want) == tuple(got4) == tuple(got5)
+
+
+def test_traffic_with_duplicated_session_rows(make_sources):
+    """A session id present twice in the sessions source: pageviews fan out through
+    the left join (as in the source model), distinct sessions do not."""
+    src = make_sources(
+        products=PRODUCTS,
+        website_sessions=[_session(1, 10, "2024-01-05 10:00:00"), _session(1, 11, "2024-01-05 10:00:00")],
+        website_pageviews=[_pv(1, 1, "2024-01-05 10:00:00", "/bear"),
+                           _pv(2, 1, "2024-01-05 10:01:00", "/bear")])
+    t = _tables(src)
+    ppv = gold.product_pageviews_dated(t["website_pageviews"], t["dim_products"])
+    r = gold.daily_product_traffic(gold.product_touch_counts(ppv), t["fct_sessions"]).first()
+    assert (r.product_pageviews_count, r.product_sessions_count, r.product_viewers_count) == (4, 1, 2)
