@@ -152,8 +152,11 @@ def mart_product_daily_sales(pageviews: DataFrame, dim: DataFrame, sessions: Dat
     touch = stage(product_touch_counts(product_pageviews_dated(pageviews, dim, cutoff)),
                   "product-touch")
     traffic = daily_product_traffic(touch, sessions)
+    # touches are dated >= cutoff and the join needs equal dates, so the sales side
+    # can be cut the same way (stated explicitly: the staged touch table carries no
+    # constraint Catalyst could infer it from)
     conv = product_conversion(touch.select("metric_date", "product_id", "website_session_id"),
-                              sales)
+                              _since(sales, "order_date", cutoff))
     sold = daily_product_sales(sales, cutoff)
     rb = repeat_buyers(sales, cutoff)
     grains = product_day_grains(traffic, sold)
