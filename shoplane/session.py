@@ -69,7 +69,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not d:
         d = tempfile.mkdtemp(prefix="shoplane-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+        try:                    # classic sessions: also used by DataFrame.checkpoint()
+            spark.sparkContext.setCheckpointDir(d)
+        except Exception:       # noqa: BLE001 - no SparkContext on a Spark Connect session
+            pass
     return d
 
 
