@@ -9,8 +9,8 @@ session seconds use DuckDB's native boundary-counting ``date_diff``, and the
 incremental checks are stated as "prefix build before the cutoff, full build
 from the cutoff on", not as a merge.
 
-Integer sums are cast to BIGINT (DuckDB sums to HUGEINT). Doubles are rounded
-to 4 places on both sides, since floating-point sums depend on order.
+Integer sums are cast to BIGINT (DuckDB sums to HUGEINT). Doubles are snapped to
+a 2^-14 grid on both sides, since floating-point sums depend on order.
 """
 
 from __future__ import annotations
@@ -499,12 +499,13 @@ def gold_ctes(s: dict[str, str], t: dict[str, str], p: str) -> tuple[list[str],
 
 
 def _r4(c: str) -> str:
-    return f"round({c} * 10000.0) / 10000.0"
+    """Snap a double to the comparison grid 2^-14 (see registry.COMPARE_GRID)."""
+    return f"round({c} * 16384.0) / 16384.0"
 
 
 def query(ctes: list[str], final: str, doubles: list[str] = (), columns: list[str] | None = None
           ) -> str:
-    """WITH <ctes> SELECT <columns, doubles rounded to 4 places> FROM <final>."""
+    """WITH <ctes> SELECT <columns, doubles snapped to the comparison grid> FROM <final>."""
     if columns is None:
         body = "*"
         if doubles:

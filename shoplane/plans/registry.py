@@ -3,8 +3,8 @@ operator/model, and its reference SQL for the DuckDB oracle.
 
 Set A (part/orders/lineitem) drives the sales-at-scale models, Set B (events)
 the clickstream models and incremental runs (FIXTURES.md section 4). Double
-columns are rounded to 4 places on both sides for the comparison only; the
-library functions themselves return full precision.
+columns are snapped to a binary grid (2^-14) on both sides for the comparison
+only; the library functions themselves return full precision.
 """
 
 from __future__ import annotations
@@ -26,11 +26,18 @@ from . import pipeline
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def rounded(df: DataFrame, places: int = 4) -> DataFrame:
-    """Doubles as round(x * 10^p) / 10^p - the same formula the oracle SQL states,
-    so ties like 25.54875 resolve identically in both engines."""
-    scale = float(10 ** places)
-    return df.select([(F.round(F.col(f.name) * scale) / scale).alias(f.name)
+# Comparison grid for doubles (both engines, comparison only): round(x * 2^14) / 2^14.
+# Scaling by a power of two is exact, so only values exactly on a 2^-15 boundary
+# could round differently; decimal money values (cents, 4-place amounts and their
+# averages over small counts) never sit there. A decimal grid does not have this
+# property: e.g. an average of eight cent prices often ends in ...5 at the 5th
+# place, and the two engines' summation orders then round it either way.
+COMPARE_GRID = float(2 ** 14)
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles snapped to the comparison grid - the same formula the oracle SQL states."""
+    return df.select([(F.round(F.col(f.name) * COMPARE_GRID) / COMPARE_GRID).alias(f.name)
                       if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
                       for f in df.schema.fields])
 
