@@ -16,6 +16,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -32,11 +33,16 @@ def source_stream(spark: SparkSession, lake_root: str,
     parts = []
     for t in tables:
         path = f"{root}/{t}"
-        schema = spark.read.parquet(path).schema          # year/month discovered
+        try:
+            schema = spark.read.parquet(path).schema      # year/month discovered
+        except AnalysisException:                         # table not landed yet
+            continue
         s = (spark.readStream.schema(schema).option("basePath", path).parquet(path)
              .select(F.lit(t).alias("source_table"),
                      F.col("created_at").cast("timestamp_ntz").alias("created_at")))
         parts.append(s)
+    if not parts:
+        raise FileNotFoundError(f"no source table under {root}")
     return reduce(DataFrame.unionByName, parts)
 
 
