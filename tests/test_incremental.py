@@ -151,3 +151,10 @@ def test_null_key_rows_do_not_duplicate_on_rerun(spark, tmp):
     got = sorted((str(r.d), str(r.p), r.v) for r in spark.read.parquet(path).collect())
     # window rows replaced once each; the NULL-date row from the first build is untouched
     assert got == sorted([("2024-01-20", "None", 2), ("2024-01-20", "5", 2), ("None", "7", 1)])
+
+
+def test_partition_predicate_across_year_boundary(spark):
+    df = spark.createDataFrame([(2023, 11), (2023, 12), (2024, 1), (2022, 12), (2024, 12)],
+                               "year int, month int")
+    kept = {tuple(r) for r in df.filter(incremental.partition_predicate(D(2023, 12, 28))).collect()}
+    assert kept == {(2023, 12), (2024, 1), (2024, 12)}
