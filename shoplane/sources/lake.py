@@ -43,15 +43,17 @@ def with_partition_columns(df: DataFrame, ts_col: str = "created_at") -> DataFra
     return df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
 
 
-def write_partitioned(df: DataFrame, path: str, ts_col: str = "created_at") -> None:
+def write_partitioned(df: DataFrame, path: str) -> None:
     """Parquet partitioned by year/month; partitions absent from ``df`` survive.
 
-    Rows are range-partitioned on (year, month, timestamp) first: each task then
-    writes one or two partition folders (few files at scale), and a month holding
-    a large share of all rows is split over several tasks instead of one.
+    ``rebalance`` on the partition columns clusters rows by (year, month) before
+    the write, so each task writes few partition folders (bounded small-file
+    count). AQE sizes the tasks from the real shuffle bytes and splits a month
+    holding a large share of all rows into several tasks (each still writing only
+    that month). Unlike a range repartition, there is no sampling pass, which would
+    re-read the whole raw input once more.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (df.repartitionByRange(n, *PARTITION_COLUMNS, ts_col).write.mode("overwrite")
+    (df.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
