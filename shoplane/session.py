@@ -50,7 +50,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", os.environ.get("SHOPLANE_DRIVER_MEMORY", "16g"))
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+         # catalog databases of local runs go to a scratch folder, not the working directory
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="shoplane-warehouse-")))
     for k, v in {**SCALE_CONF, **SEMANTIC_CONF}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
