@@ -4,8 +4,9 @@ Every builder takes the silver inputs it needs and an optional ``cutoff`` date.
 With a cutoff (incremental run) the dated inputs are filtered with
 ``date >= cutoff`` before any aggregation; the filter is a literal, so it reaches
 the Parquet scan and prunes date partitions of written silver/gold tables.
-Lookups that the reference does not filter (list price, session attributes, the
-sales side of the conversion join) stay unfiltered.
+Lookups that the reference does not filter (list price, session attributes) stay
+unfiltered. The sales side of the conversion join is cut to the same window,
+which its same-day join condition already implies.
 """
 
 from __future__ import annotations
