@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import gold, quality, silver
-from ..schemas import GRAIN, NOT_NULL, PARTITION_DATE, UNIQUE
+from ..schemas import GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, UNIQUE
 from ..session import scratch_path
 from ..sources import fixtures
 from ..sources.lake import with_partition_columns
@@ -453,7 +453,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     **{f"incremental_{m}": sql_incremental(m) for m in GOLD},
     "dq_not_null": sql_dq_not_null,
     "dq_unique": lambda: _dup_sql("unique", UNIQUE, skip_nulls=True),
-    "dq_grain": lambda: _dup_sql("grain", GRAIN, skip_nulls=False),
+    "dq_grain": lambda: _dup_sql("grain", GRAIN_CHECKED, skip_nulls=False),
 }
 
 assert set(QUERIES) == set(ORACLE)
