@@ -22,8 +22,10 @@ input are not read.
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,11 @@ from .common import stage
 CAPACITY = 4096
 END_ID = 1
 SPREAD = 64
-CACHED_WORDS = 500_000
+CACHED_WORDS = 800_000
+
+# the byte-level alphabet: visible characters of Latin-1 stand for themselves, all others for 256, 257, ...
+_VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _VISIBLE)}
 
 _tokenizers: dict[str, _Words] = {}
 
@@ -54,18 +60,28 @@ class _Words(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHED_WORDS:
             self.clear()
         core = word.rstrip(self.TAIL)
-        if core != word and core.isalpha():      # a run of ASCII letters, then one of punctuation
+        text = core.decode()
+        if core and core != word and text.isalpha():    # a run of letters, then one of punctuation
             ids = self[core] + self[word[len(core):]]
+        elif core == word and text.isalpha() and text == text.lower() and is_normalized("NFC", text):
+            # one pre-token that normalisation leaves as it is: only its merges are left to do
+            ids = self._bytes(t.id for t in self.merge(core.decode("latin-1").translate(_BYTE_CHARS)))
         else:
-            ids = np.array(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
+            ids = self._bytes(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
         self[word] = ids
         return ids
 
+    @staticmethod
+    def _bytes(ids: Iterable[int]) -> bytes:
+        ids = tuple(ids)
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def ids(self, text: str | None) -> bytes:
         raw = (text or "").encode()
         # Lower-casing ASCII first only makes parts repeat. It is left out where a combining mark (its
