@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, kneser_ney, langid, packing, quality
+from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, packing, quality
 from .common import id_remainder, table
 
 
@@ -18,12 +18,25 @@ def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_dedup.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.fit(docs, table(spark, sf_dir, "labels"), lambda c: id_remainder(c, 5) != 0)
     return quality.classify(docs, model).select("doc_id", _held_out(5), "score", "predicted")
 
 
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_dedup.groups(table(spark, sf_dir, "documents"))
+
+
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"),
                             public_tokenizers.PATTERN)
@@ -42,5 +55,6 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op2_pack, op5_quality, op7_bpe, op8_language, op10_lm_score)}
-ORACLE: dict = {}
+QUERIES = {f.__name__: f for f in (op2_pack, op3_fingerprint, op4_line_dedup, op5_quality, op6_exact_dedup, op7_bpe,
+                                   op8_language, op10_lm_score)}
+ORACLE = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op6_exact_dedup": content_dedup.ORACLE_SQL}
