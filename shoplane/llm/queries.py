@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, packing, quality
+from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, packing, quality, site_templates
 from .common import id_remainder, table
 
 
@@ -14,6 +14,11 @@ def _held_out(modulus: int):
     return (id_remainder("doc_id", modulus) == 0).alias("held_out")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = site_templates.extract(table(spark, sf_dir, "pages"))
+    return rows.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 def op2_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -55,6 +60,6 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {f.__name__: f for f in (op2_pack, op3_fingerprint, op4_line_dedup, op5_quality, op6_exact_dedup, op7_bpe,
+QUERIES = {f.__name__: f for f in (op1_main_text, op2_pack, op3_fingerprint, op4_line_dedup, op5_quality, op6_exact_dedup, op7_bpe,
                                    op8_language, op10_lm_score)}
 ORACLE = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op6_exact_dedup": content_dedup.ORACLE_SQL}
