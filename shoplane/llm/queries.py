@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, packing, quality, site_templates
+from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, packing, partenum, quality, site_templates
 from .common import id_remainder, table
 
 
@@ -53,6 +53,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, model).select("doc_id", _held_out(5), "lang_pred", "score", "accepted")
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return partenum.components_of(docs).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = kneser_ney.fit(docs.filter(id_remainder("doc_id", 10) != 0))
@@ -61,5 +66,5 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_pack, op3_fingerprint, op4_line_dedup, op5_quality, op6_exact_dedup, op7_bpe,
-                                   op8_language, op10_lm_score)}
+                                   op8_language, op9_ngram_join, op10_lm_score)}
 ORACLE = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op6_exact_dedup": content_dedup.ORACLE_SQL}
