@@ -16,7 +16,7 @@ predicted from its whole text.
 
 Defined results: a null text, an empty one and one without any letter get ``und`` with score 0 and are
 rejected; nulls in the language column are not learned; repeated rows get equal results; if there is
-nothing to learn from, every row gets ``und``.
+nothing to learn from, every row gets ``und`` with score 0, and texts with letters are accepted.
 """
 
 from __future__ import annotations
@@ -76,8 +76,10 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, its probability, and whether it is accepted."""
-        if not self.languages or not has_letter(text):
+        if not has_letter(text):
             return UNDETERMINED, 0.0, False
+        if not self.languages:
+            return UNDETERMINED, 0.0, True
         p = _softmax(self.table[features(text)].mean(axis=0) * self.temperature)
         k = int(p.argmax())
         return self.languages[k], float(p[k]), bool(p[k] >= self.threshold)
