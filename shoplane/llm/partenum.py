@@ -4,7 +4,7 @@ Two sets with Jaccard similarity of 3/4 or more differ in at most a third of the
 
 * sets are put in size bands: band j has sizes from 2**j to 2**(j+1) - 1, and a set that may be the larger
   partner of a smaller band's set is put there as well, so any two similar sets share a band;
-* a band divides the domain of shingles into ``n_parts(j)`` parts by a hash. Sets that differ in d shingles
+* a band divides the domain of shingles into ``n_parts`` parts by a hash. Sets that differ in d shingles
   differ in at most d parts, so similar sets agree in at least (filled parts - d) filled parts;
 * the enumerated subsets are the single parts: a signature is a filled part and a hash of the set's
   shingles in it. (Larger subsets would be more signatures, for pairs that the counting below finds
@@ -44,13 +44,15 @@ from pyspark.sql import functions as F
 
 from .common import fresh, stage
 from .components import components
-from .hashing import mix, shingle_hashes, word_hashes
+from .hashing import END_HASH, joined, mix, shingle_hashes, word_hashes
 
 SHINGLE = 5
 FEW = 32                # classes of a signature whose pairs are all looked at
 HOT = 512               # classes of a signature within one batch of a task that use overflow
-BATCH_DOCS = 16_384     # distinct sets of a batch
-BATCH_SIGNATURES = 3_000_000
+BATCH_DOCS = 16_384     # distinct sets of a batch, at most 2**16
+BATCH_SIGNATURES = 1_500_000
+JOINED_BYTES = 1 << 20  # of texts that are hashed together
+SLICES = 8              # of a shard, unpacked one after the other
 RESERVE = 63            # the band of single shingles
 STAR_ROUNDS = 2
 BROADCAST_ROWS = 1_000_000
@@ -62,53 +64,108 @@ def shingle_set(text: str | None, n: int = SHINGLE) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes((text or "").encode("utf-8", "surrogatepass").lower()), n))
 
 
-def set_key(s: np.ndarray) -> int:
-    """One hash of the whole set, as a signed integer."""
-    if not len(s):
-        return 0
-    h = mix(s * np.uint64(0x9E3779B97F4A7C15) + np.uint64(len(s)))
-    return int(mix(np.array([h.sum(dtype=np.uint64) ^ np.bitwise_xor.reduce(mix(h))]))[0].astype(np.int64)) or 1
-
-
-def bands(size: int) -> list[int]:
-    """The set's own band and, if it may be the larger partner of a smaller band's set, that band."""
-    own = size.bit_length() - 1
-    return [own, own - 1] if own and 3 * size <= 4 * ((1 << own) - 1) else [own]
-
-
-def n_parts(band: int) -> int:
+def shingle_sets(raw: bytes, n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """The sets of many ``joined`` texts: all of them one after the other, and their sizes."""
+    words = word_hashes(raw)
+    end = words == END_HASH
+    ends = np.flatnonzero(end)
+    starts = np.concatenate([[0], ends[:-1] + 1])
+    length = ends - starts
+    runs = shingle_hashes(words, n)             # also over the ends of texts: these are left out
+    count = np.maximum(length - n + 1, 0)
+    at = np.repeat(starts - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
+    flat = runs[at] if len(at) else np.zeros(0, np.uint64)
+    short = np.flatnonzero((length > 0) & (length < n))
+    if len(short):
+        whole = np.array([shingle_hashes(words[starts[d]:ends[d]], n)[0] for d in short], np.uint64)
+        flat = np.insert(flat, np.concatenate([[0], np.cumsum(count)])[short], whole)
+        count[short] = 1
+    edge = np.concatenate([[0], np.cumsum(count)])
+    for a, b in zip(edge.tolist(), edge[1:].tolist()):
+        flat[a:b].sort()
+    new = np.ones(len(flat), bool)
+    new[1:] = flat[1:] != flat[:-1]
+    new[edge[:-1][count > 0]] = True
+    size = np.bincount(np.repeat(np.arange(len(count)), count)[new], minlength=len(count))
+    return flat[new], size
+
+
+def _sums(values: np.ndarray, size: np.ndarray, add=np.add) -> np.ndarray:
+    """Sum over each set; 0 for an empty one."""
+    out = np.zeros(len(size), values.dtype)
+    full = size > 0
+    if full.any():
+        out[full] = add.reduceat(values, np.concatenate([[0], np.cumsum(size)[:-1]])[full])
+    return out
+
+
+def set_keys(flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """One hash of each whole set, as a signed integer; 0 for the empty set."""
+    h = mix(flat * np.uint64(0x9E3779B97F4A7C15) + np.repeat(size, size).astype(np.uint64))
+    key = mix(_sums(h, size) ^ _sums(mix(h), size, np.bitwise_xor)).view(np.int64)
+    return np.where(size == 0, 0, np.where(key == 0, 1, key))
+
+
+def own_band(size: np.ndarray) -> np.ndarray:
+    """Position of the highest bit."""
+    return np.frexp(size.astype(np.float64))[1] - 1
+
+
+def n_parts(band: np.ndarray) -> np.ndarray:
     """As many parts as the band's smallest size; more where sets are so small that parts often collide."""
-    return (1 << band) if band > 5 else 4 << band
-
-
-def _parts(s: np.ndarray, band: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every shingle a hash and its part."""
-    m = mix(s ^ np.uint64((band + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-    return m, ((m >> np.uint64(32)) % np.uint64(n_parts(band))).astype(np.int64)
-
-
-def filled(s: np.ndarray, band: int) -> int:
-    return int(np.count_nonzero(np.bincount(_parts(s, band)[1])))
-
-
-def signatures(s: np.ndarray) -> np.ndarray:
-    """All signatures of a set; the lowest six bits are the band."""
-    out, weak = [], False
-    for band in bands(len(s)):
-        m, part = _parts(s, band)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        inside = np.add.reduceat(mix(m[order]), first)
-        weak |= len(first) <= len(s) // 3
-        out.append(_tagged(mix(inside + mix(part[first].astype(np.uint64) + np.uint64(band << 40))), band))
-    if weak:
-        out.append(_tagged(mix(s), RESERVE))
-    return np.concatenate(out)
-
-
-def _tagged(h: np.ndarray, band: int) -> np.ndarray:
-    return (h & ~np.uint64(63)) | np.uint64(band)
+    return np.where(band > 5, 1, 4) << band
+
+
+def in_band_below(size: np.ndarray) -> np.ndarray:
+    """Whether a set may be the larger partner of one in the band below its own."""
+    return (size > 1) & (3 * size <= 4 * ((1 << own_band(np.maximum(size, 1))) - 1))
+
+
+def _filled_parts(flat: np.ndarray, size: np.ndarray, band: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every filled part: its set, its number, and a hash of the shingles in it."""
+    own, parts = np.repeat(np.arange(len(size)), size), n_parts(band)
+    m = mix(flat ^ ((band + 1).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))[own])
+    first = np.concatenate([[0], np.cumsum(parts)])
+    place = first[own] + ((m >> np.uint64(32)) % parts.astype(np.uint64)[own]).astype(np.int64)
+    inside = np.zeros(first[-1], np.uint64)
+    np.add.at(inside, place, mix(m))
+    used = np.flatnonzero(np.bincount(place, minlength=first[-1]))
+    which = np.searchsorted(first, used, "right") - 1
+    return which, used - first[which], inside[used]
+
+
+def filled(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of filled parts of each set in its own band and, where it is in there too, in the one below."""
+    out = []
+    for below in (False, True):
+        n = np.where(in_band_below(size), size, 0) if below else size
+        keep = np.repeat(n > 0, size)
+        band = np.maximum(own_band(np.maximum(n, 1)) - below, 0)
+        which, _, _ = _filled_parts(flat[keep], n, band)
+        out.append(np.bincount(which, minlength=len(size)))
+    return out[0], out[1]
+
+
+def signatures(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of the sets, and for each the place of its set; the lowest six bits are the band."""
+    sigs, owners, weak = [], [], np.zeros(len(size), bool)
+    for below in (False, True):
+        n = np.where(in_band_below(size), size, 0) if below else size
+        keep = np.repeat(n > 0, size)
+        band = np.maximum(own_band(np.maximum(n, 1)) - below, 0)
+        which, part, inside = _filled_parts(flat[keep], n, band)
+        weak |= (n > 0) & (np.bincount(which, minlength=len(size)) <= size // 3)
+        here = band[which].astype(np.uint64)
+        sigs.append(_tagged(mix(inside + mix(part.astype(np.uint64) + (here << np.uint64(40)))), here))
+        owners.append(which)
+    own = np.repeat(np.arange(len(size)), size)
+    sigs.append(_tagged(mix(flat[weak[own]]), np.uint64(RESERVE)))
+    owners.append(own[weak[own]])
+    return np.concatenate(sigs), np.concatenate(owners)
+
+
+def _tagged(h: np.ndarray, band) -> np.ndarray:
+    return (h & ~np.uint64(63)) | band
 
 
 def sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -117,29 +174,48 @@ def sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            rows = []
-            for t in b.column(2):
-                s = shingle_set(t.as_py())
-                f = [filled(s, band) for band in bands(len(s))] if len(s) else []
-                rows.append((set_key(s), len(s), *(f + [0, 0])[:2]))
-            cols = list(zip(*rows)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *(pa.array(c, pa.int64()) for c in cols)],
-                                             names=["id", "text_hash", "key", "n", "f0", "f1"])
+            cols = [[], [], [], []]
+            for _, raw in joined(t.as_py() for t in b.column(2)):
+                flat, size = shingle_sets(raw)
+                for c, x in zip(cols, (set_keys(flat, size), size, *filled(flat, size))):
+                    c.append(x.astype(np.int64))
+            cols = [np.concatenate([np.zeros(0, np.int64), *c]) for c in cols]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, cols)], names=["id", "text_hash", "key", "n", "f0", "f1"])
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
         run, f"id {id_type}, text_hash bigint, key bigint, n bigint, f0 bigint, f1 bigint")
 
 
+def _repeated(sig: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The (signature, class) pairs, once each, of signatures that more than one class has."""
+    if len(sig) < 2:
+        return sig[:0], key[:0]
+    order = np.argsort(sig, kind="stable")
+    sig, key = sig[order], key[order]
+    same = sig[1:] == sig[:-1]
+    again = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    sig, key = sig[again], key[again]
+    if len(sig):                                # copies of one set in several tasks are one class
+        order = np.lexsort((key, sig))
+        sig, key = sig[order], key[order]
+        new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
+        sig, key = sig[new], key[new]
+        first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
+        n = np.diff(np.append(first, len(sig)))
+        keep = np.repeat(n > 1, n)
+        sig, key = sig[keep], key[keep]
+    return sig, key
+
+
 def live_signatures(docs: DataFrame, text_col: str) -> DataFrame:
     """(sig, key) for the signatures of more than one class; rows may repeat."""
     bits = min(max(5, (int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()), 12)
     shards = 1 << bits
 
-    def rows(keys: list[int], sigs: list[np.ndarray], turn: int) -> pa.RecordBatch:
+    def rows(keys: list[np.ndarray], sigs: list[np.ndarray], owners: list[np.ndarray], turn: int) -> pa.RecordBatch:
         """A batch's blobs: shard, its classes, for every signature the place of its class among them, signatures."""
-        key, sig = np.array(keys, np.int64), np.concatenate(sigs)
-        own = np.repeat(np.arange(len(sigs), dtype=np.uint16), [len(x) for x in sigs])
+        key, sig, own = np.concatenate(keys), np.concatenate(sigs), np.concatenate(owners)
         order = np.argsort(sig, kind="stable")
         sig, own, out = sig[order], own[order], []
 
@@ -163,40 +239,37 @@ def live_signatures(docs: DataFrame, text_col: str) -> DataFrame:
                                           names=["shard", "classes", "place", "sig"])
 
     def send(batches):
-        keys, sigs, size, seen, turn = [], [], 0, set(), 0
+        keys, sigs, owners, docs_, size_, seen, turn = [], [], [], 0, 0, set(), 0
         for b in batches:
-            for t in b.column(0):
-                s = shingle_set(t.as_py())
-                if len(s) and (k := set_key(s)) not in seen:
-                    seen.add(k)
-                    keys.append(k)
-                    sigs.append(signatures(s))
-                    size += len(sigs[-1])
-                    if len(keys) == BATCH_DOCS or size > BATCH_SIGNATURES:
-                        yield rows(keys, sigs, turn)
-                        keys, sigs, size, seen, turn = [], [], 0, set(), turn + 1
+            for _, raw in joined((t.as_py() for t in b.column(0)), JOINED_BYTES):
+                flat, size = shingle_sets(raw)
+                key = set_keys(flat, size)
+                fresh_ = np.array([k != 0 and not (k in seen or seen.add(k)) for k in key.tolist()], bool)
+                flat, size = flat[np.repeat(fresh_, size)], size[fresh_]
+                if not len(size):
+                    continue
+                sig, own = signatures(flat, size)
+                if docs_ and (docs_ + len(size) > BATCH_DOCS or size_ + len(sig) > BATCH_SIGNATURES):
+                    yield rows(keys, sigs, owners, turn)
+                    keys, sigs, owners, docs_, size_, seen, turn = [], [], [], 0, 0, set(key.tolist()), turn + 1
+                keys.append(key[fresh_])
+                sigs.append(sig)
+                owners.append((own + docs_).astype(np.uint16))
+                docs_, size_ = docs_ + len(size), size_ + len(sig)
         if keys:
-            yield rows(keys, sigs, turn)
+            yield rows(keys, sigs, owners, turn)
 
     def gather(shard_key, group):
-        key = np.concatenate([np.frombuffer(k, "<i8")[np.frombuffer(at, "<u2")]
-                              for k, at in zip(group["classes"].to_pylist(), group["place"].to_pylist())])
-        sig = np.concatenate([np.frombuffer(x, "<u8") for x in group["sig"].to_pylist()])
-        order = np.argsort(sig, kind="stable")
-        key, sig = key[order], sig[order]
-        same = sig[1:] == sig[:-1]
-        again = np.concatenate([[False], same]) | np.concatenate([same, [False]])
-        key, sig = key[again], sig[again]
-        if len(sig):                            # copies of one set in several tasks are one class
-            order = np.lexsort((key, sig))
-            key, sig = key[order], sig[order]
-            new = np.concatenate([[True], (sig[1:] != sig[:-1]) | (key[1:] != key[:-1])])
-            key, sig = key[new], sig[new]
-            first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-            n = np.diff(np.append(first, len(sig)))
-            keep = np.repeat(n > 1, n)
-            key, sig = key[keep], sig[keep]
-        return pa.table({"sig": sig.view(np.int64), "key": key})
+        shard = shard_key[0].as_py()
+        blobs = [(np.frombuffer(k, "<i8"), np.frombuffer(at, "<u2"), np.frombuffer(x, "<u8"))
+                 for k, at, x in zip(*(group[c].to_pylist() for c in ("classes", "place", "sig")))]
+        # blobs are sorted, so a slice of the shard's range is a slice of each: only one is unpacked at a time
+        low, width = (shard << (64 - bits), 1 << (64 - bits)) if shard < shards else (0, 1 << 64)
+        edges = np.array([low + width * k // SLICES for k in range(1, SLICES)], np.uint64)
+        cuts = [np.concatenate([[0], np.searchsorted(x, edges), [len(x)]]) for _, _, x in blobs]
+        found = [_repeated(np.concatenate([x[c[k]:c[k + 1]] for (_, _, x), c in zip(blobs, cuts)]),
+                           np.concatenate([key[at[c[k]:c[k + 1]]] for (key, at, _), c in zip(blobs, cuts)])) for k in range(SLICES)]
+        return pa.table({"sig": np.concatenate([x for x, _ in found]).view(np.int64), "key": np.concatenate([k for _, k in found])})
 
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
         send, "shard int, classes binary, place binary, sig binary").groupBy("shard").applyInArrow(gather, "sig bigint, key bigint")
