@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import stage
 
-__all__ = ["stage", "table", "id_remainder", "fresh", "ASCII_SPACE"]
+__all__ = ["stage", "table", "id_remainder", "fresh", "small_batches", "ASCII_SPACE"]
 
 #: the white space of all contracts here: space, tab, line feed, vertical tab, form feed, return
 ASCII_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -33,3 +35,15 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
         taken.add(n.lower())
         out.append(n)
     return out
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int):
+    """Python workers get at most ``rows`` rows at a time in what is run (not just declared) in the block."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, stage
+from .common import fresh, small_batches, stage
 from .components import components
 from .hashing import END_HASH, joined, mix, shingle_hashes, word_hashes
 
@@ -57,6 +57,7 @@ RESERVE = 63            # the band of single shingles
 STAR_ROUNDS = 2
 BROADCAST_ROWS = 1_000_000
 BLOCKS = 8
+PAIRS_PER_BATCH = 400
 
 
 def shingle_set(text: str | None, n: int = SHINGLE) -> np.ndarray:
@@ -338,7 +339,8 @@ class _Join:
                       .select("key", "text"), "candidate-texts")
         both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
                 .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"))
-        links = stage(both.filter(_verifier()(F.col("text_a"), F.col("text_b"))).select("a", "b").distinct(), "links")
+        with small_batches(self.spark, PAIRS_PER_BATCH):        # a row is two whole texts
+            links = stage(both.filter(_verifier()(F.col("text_a"), F.col("text_b"))).select("a", "b"), "links")
         if links.isEmpty():
             return False
         self.links = links if self.links is None else self.links.unionByName(links)
