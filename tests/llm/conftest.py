@@ -1,14 +1,7 @@
 from __future__ import annotations
 
-import os
-import sys
-
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-sys.path.insert(0, ROOT)
-os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH", "")]))
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 SF = "/root/testdata/sf0.001"
 
