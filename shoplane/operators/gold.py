@@ -25,7 +25,23 @@ from .silver import product_pages
 
 
 def _since(df: DataFrame, col: str, cutoff: dt.date | None) -> DataFrame:
-    return df if cutoff is None else df.filter(F.col(col) >= F.lit(cutoff))
+    """Rows dated from the cutoff on; on a table with folders by month, earlier months are not read."""
+    if cutoff is None:
+        return df
+    if f"{col}_month" in df.columns:
+        df = df.filter(F.col(f"{col}_month") >= F.lit(cutoff.replace(day=1)))
+    return df.filter(F.col(col) >= F.lit(cutoff))
+
+
+def _one_row_per(key: list[str], *parts: DataFrame) -> DataFrame:
+    """Partial results (disjoint measures, keyed alike) side by side: one union and one grouping
+    instead of a set of all keys and a join for every part. A measure of a key that its part does not
+    have is NULL, as after a left join."""
+    union = parts[0]
+    for part in parts[1:]:
+        union = union.unionByName(part, allowMissingColumns=True)
+    measures = [c for c in union.columns if c not in key]
+    return union.groupBy(*key).agg(*[F.sum(c).alias(c) for c in measures])
 
 
 def _z(c: str, zero=0):
@@ -90,51 +106,60 @@ def product_conversion(touch: DataFrame, sales: DataFrame) -> DataFrame:
                  F.count(F.lit(1)).alias("converted_items_count")))
 
 
+def product_day_users(sales: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
+    """Sales per (date, product), summed by way of (date, product, user).
+
+    The first grouping makes users distinct, so counting users, users with returns and repeat buyers
+    ("more than one distinct order" is exactly min(order) != max(order)) needs no distinct count.
+    """
+    s = _since(sales, "order_date", cutoff)
+    sums = {"gross_revenue_usd": "gross_revenue_usd", "item_cogs_usd": "cogs_usd", "gross_profit_usd": "gross_profit_usd",
+            "refund_event_count": "refund_event_count", "refund_amount_usd": "refund_amount_usd",
+            "net_revenue_usd": "net_revenue_usd", "net_profit_usd": "net_profit_usd"}
+    key = [F.col("order_date").alias("metric_date"), "product_id"]
+    users = (s.groupBy(*key, "user_id")
+             .agg(F.count(F.lit(1)).alias("order_items_sold_count"), *[F.sum(a).alias(b) for a, b in sums.items()],
+                  count_if(F.col("has_returned")).alias("returned_items_count"),
+                  count_if(F.col("has_refund")).alias("refunded_items_count"),
+                  F.min("order_id").alias("first_order"), F.max("order_id").alias("last_order")))
+    known = F.col("user_id").isNotNull()
+    return (users.groupBy("metric_date", "product_id")
+            .agg(*[F.sum(c).alias(c) for c in ("order_items_sold_count", *sums.values(), "returned_items_count",
+                                               "refunded_items_count")],
+                 F.count("user_id").alias("purchasing_users_count"),
+                 count_if(known & (F.col("returned_items_count") > 0)).alias("purchasers_with_returns_count"),
+                 count_if(known & (F.col("first_order") != F.col("last_order"))).alias("repeat_buyers_count"),
+                 count_if(F.col("first_order") != F.col("last_order")).alias("repeated_count")))
+
+
+def product_day_orders(sales: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
+    """Distinct orders and sessions per (date, product): an order may belong to more than one user row,
+    so these do need distinct counts."""
+    s = _since(sales, "order_date", cutoff)
+    return (s.groupBy(F.col("order_date").alias("metric_date"), "product_id")
+            .agg(F.count_distinct("order_id").alias("orders_count"),
+                 F.count_distinct("website_session_id").alias("purchasing_sessions_count")))
+
+
 def daily_product_sales(sales: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
-    """Sales rollup per (date, product), fused with the purchaser counts.
+    """Sales rollup per (date, product), with the purchaser counts.
 
     ``unique_purchasers_count`` equals ``purchasing_users_count`` by definition
     (both count distinct users of the same rows), so it is computed once.
     """
-    s = _since(sales, "order_date", cutoff)
-    return (s.groupBy(F.col("order_date").alias("metric_date"), "product_id")
-            .agg(F.count(F.lit(1)).alias("order_items_sold_count"),
-                 F.count_distinct("order_id").alias("orders_count"),
-                 F.count_distinct("user_id").alias("purchasing_users_count"),
-                 F.count_distinct("website_session_id").alias("purchasing_sessions_count"),
-                 F.sum("gross_revenue_usd").alias("gross_revenue_usd"),
-                 F.sum("item_cogs_usd").alias("cogs_usd"),
-                 F.sum("gross_profit_usd").alias("gross_profit_usd"),
-                 F.sum("refund_event_count").alias("refund_event_count"),
-                 count_if(F.col("has_returned")).alias("returned_items_count"),
-                 count_if(F.col("has_refund")).alias("refunded_items_count"),
-                 F.sum("refund_amount_usd").alias("refund_amount_usd"),
-                 F.sum("net_revenue_usd").alias("net_revenue_usd"),
-                 F.sum("net_profit_usd").alias("net_profit_usd"),
-                 F.count_distinct(F.when(F.col("has_returned"), F.col("user_id")))
-                 .alias("purchasers_with_returns_count")))
+    return _one_row_per(["metric_date", "product_id"], product_day_users(sales, cutoff), product_day_orders(sales, cutoff))
 
 
 def daily_product_customer(sales: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
-    s = _since(sales, "order_date", cutoff)
-    return (s.groupBy(F.col("order_date").alias("metric_date"), "product_id")
-            .agg(F.count_distinct("user_id").alias("unique_purchasers_count"),
-                 F.count_distinct(F.when(F.col("has_returned"), F.col("user_id")))
-                 .alias("purchasers_with_returns_count")))
+    return product_day_users(sales, cutoff).select(
+        "metric_date", "product_id", F.col("purchasing_users_count").alias("unique_purchasers_count"),
+        "purchasers_with_returns_count")
 
 
 def repeat_buyers(sales: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
-    """Users with more than one distinct order of the product on that day."""
-    s = _since(sales, "order_date", cutoff)
-    # "more than one distinct non-NULL order" is exactly min(order) != max(order):
-    # two plain partial aggregates instead of a distinct count (one shuffle fewer)
-    per_user = (s.groupBy(F.col("order_date").alias("metric_date"), "product_id", "user_id")
-                .agg(F.min("order_id").alias("first_order"), F.max("order_id").alias("last_order")))
-    # users are already distinct per (date, product) after the first grouping, so a
-    # plain count of non-NULL users is the distinct count without another shuffle
-    return (per_user.filter(F.col("first_order") != F.col("last_order"))
-            .groupBy("metric_date", "product_id")
-            .agg(F.count("user_id").alias("repeat_buyers_count")))
+    """Users with more than one distinct order of the product on that day, where anybody (known or not) has."""
+    return product_day_users(sales, cutoff).filter("repeated_count > 0").select(
+        "metric_date", "product_id", "repeat_buyers_count")
 
 
 def product_day_grains(traffic: DataFrame, sales_daily: DataFrame) -> DataFrame:
@@ -147,28 +172,29 @@ def mart_product_daily_sales(pageviews: DataFrame, dim: DataFrame, sessions: Dat
     """Product x day: traffic, same-day conversion, sales, refunds, repeat buyers.
 
     ``pageviews`` is the source pageview table; ``sessions``/``sales`` are the
-    silver facts. All partial results are keyed (metric_date, product_id); the
-    grain set is their distinct union and each part is joined with '=' so a
-    NULL date or product yields a row of zeros, as in the source model.
+    silver facts. All partial results are keyed (metric_date, product_id) and
+    brought together by one union and grouping. A NULL date or product yields a
+    row of zeros, as joining the parts with '=' does in the source model.
     """
-    # one pass over the pageviews; traffic, grains and conversion read the staged rollup
+    # one pass over the pageviews; traffic and conversion read the staged rollup
     touch = stage(product_touch_counts(product_pageviews_dated(pageviews, dim, cutoff)),
                   "product-touch")
-    traffic = daily_product_traffic(touch, sessions)
+    # only sessions with a touch matter: in an incremental run these are the window's, not all history
+    touched = broadcast_bounded(touch.select("website_session_id").distinct())
+    traffic = daily_product_traffic(touch, sessions.join(touched, "website_session_id", "left_semi"))
     # touches are dated >= cutoff and the join needs equal dates, so the sales side
     # can be cut the same way (stated explicitly: the staged touch table carries no
     # constraint Catalyst could infer it from)
     conv = product_conversion(touch.select("metric_date", "product_id", "website_session_id"),
                               _since(sales, "order_date", cutoff))
-    sold = daily_product_sales(sales, cutoff)
-    rb = repeat_buyers(sales, cutoff)
-    grains = product_day_grains(traffic, sold)
+    key = ["metric_date", "product_id"]
+    j = _one_row_per(key, traffic, conv, product_day_users(sales, cutoff), product_day_orders(sales, cutoff))
+    # parts meet by "=", which a row without date or product does not
+    whole = F.col("metric_date").isNotNull() & F.col("product_id").isNotNull()
+    j = j.select(*key, *[F.when(whole, F.col(c)).alias(c) for c in j.columns if c not in key])
     names = broadcast_bounded(dim.select(F.col("product_id").cast("long").alias("product_id"),
                                          "product_name"))
-    key = ["metric_date", "product_id"]
-    j = (grains.join(names, "product_id", "left")
-         .join(traffic, key, "left").join(conv, key, "left")
-         .join(sold, key, "left").join(rb, key, "left"))
+    j = j.join(names, "product_id", "left")
     sessions_n = _z("product_sessions_count")
     sold_n = _z("order_items_sold_count")
     out = j.select(
@@ -274,33 +300,41 @@ def mart_channel_daily_sessions(sessions: DataFrame, cutoff: dt.date | None = No
 
 # ------------------------------------------------------------------ customer daily value
 def daily_sessions(sessions: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
+    """Sessions and users per day, by way of (date, user), which makes users distinct without a distinct
+    count. Session ids are counted distinct, as a session may be there twice."""
     s = _since(sessions, "session_date", cutoff)
     rep, viewed = F.col("is_repeat_session"), F.col("has_product_pageview")
-    return (s.groupBy(F.col("session_date").alias("metric_date"))
-            .agg(F.count(F.lit(1)).alias("sessions_count"),
-                 F.count_distinct("user_id").alias("active_users_count"),
-                 F.count_distinct(F.when(rep, F.col("user_id"))).alias("repeat_session_users_count"),
-                 F.count_distinct(F.when(~rep, F.col("user_id"))).alias("new_session_users_count"),
-                 count_if(F.col("is_bounced")).alias("bounced_sessions_count"),
-                 F.sum("product_pageviews_count").alias("product_pageviews_count"),
-                 F.count_distinct(F.when(viewed, F.col("website_session_id")))
-                 .alias("product_view_sessions_count"),
-                 F.count_distinct(F.when(viewed, F.col("user_id")))
-                 .alias("users_with_product_views_count")))
+    users = (s.groupBy(F.col("session_date").alias("metric_date"), "user_id")
+             .agg(F.count(F.lit(1)).alias("sessions_count"), count_if(rep).alias("repeats"), count_if(~rep).alias("news"),
+                  count_if(viewed).alias("viewing"), count_if(F.col("is_bounced")).alias("bounced_sessions_count"),
+                  F.sum("product_pageviews_count").alias("product_pageviews_count")))
+    known = F.col("user_id").isNotNull()
+    by_user = (users.groupBy("metric_date")
+               .agg(F.sum("sessions_count").alias("sessions_count"), F.count("user_id").alias("active_users_count"),
+                    count_if(known & (F.col("repeats") > 0)).alias("repeat_session_users_count"),
+                    count_if(known & (F.col("news") > 0)).alias("new_session_users_count"),
+                    F.sum("bounced_sessions_count").alias("bounced_sessions_count"),
+                    F.sum("product_pageviews_count").alias("product_pageviews_count"),
+                    count_if(known & (F.col("viewing") > 0)).alias("users_with_product_views_count")))
+    by_session = (s.groupBy(F.col("session_date").alias("metric_date"))
+                  .agg(F.count_distinct(F.when(viewed, F.col("website_session_id"))).alias("product_view_sessions_count")))
+    return _one_row_per(["metric_date"], by_user, by_session)
 
 
 def daily_sales(sales: DataFrame, cutoff: dt.date | None = None) -> DataFrame:
     s = _since(sales, "order_date", cutoff)
-    return (s.groupBy(F.col("order_date").alias("metric_date"))
-            .agg(F.count_distinct("order_id").alias("orders_count"),
-                 F.count(F.lit(1)).alias("order_items_sold_count"),
-                 F.count_distinct("user_id").alias("purchasing_users_count"),
-                 F.count_distinct(F.when(F.col("has_returned"), F.col("user_id")))
-                 .alias("users_with_returns_count"),
-                 F.sum("gross_revenue_usd").alias("gross_revenue_usd"),
-                 F.sum("refund_amount_usd").alias("refund_amount_usd"),
-                 F.sum("net_revenue_usd").alias("net_revenue_usd"),
-                 F.sum("net_profit_usd").alias("net_profit_usd")))
+    money = ("gross_revenue_usd", "refund_amount_usd", "net_revenue_usd", "net_profit_usd")
+    users = (s.groupBy(F.col("order_date").alias("metric_date"), "user_id")
+             .agg(F.count(F.lit(1)).alias("order_items_sold_count"), count_if(F.col("has_returned")).alias("returned"),
+                  *[F.sum(c).alias(c) for c in money]))
+    by_user = (users.groupBy("metric_date")
+               .agg(F.sum("order_items_sold_count").alias("order_items_sold_count"),
+                    F.count("user_id").alias("purchasing_users_count"),
+                    count_if(F.col("user_id").isNotNull() & (F.col("returned") > 0)).alias("users_with_returns_count"),
+                    *[F.sum(c).alias(c) for c in money]))
+    by_order = (s.groupBy(F.col("order_date").alias("metric_date"))
+                .agg(F.count_distinct("order_id").alias("orders_count")))
+    return _one_row_per(["metric_date"], by_user, by_order)
 
 
 def all_dates(ds: DataFrame, dsl: DataFrame) -> DataFrame:
@@ -309,9 +343,10 @@ def all_dates(ds: DataFrame, dsl: DataFrame) -> DataFrame:
 
 def mart_customer_daily_value(sessions: DataFrame, sales: DataFrame,
                               cutoff: dt.date | None = None) -> DataFrame:
-    ds = daily_sessions(sessions, cutoff)
-    dsl = daily_sales(sales, cutoff)
-    j = all_dates(ds, dsl).join(ds, "metric_date", "left").join(dsl, "metric_date", "left")
+    # one union and grouping instead of all dates and two joins; parts meet by "=", which a NULL date does not
+    j = _one_row_per(["metric_date"], daily_sessions(sessions, cutoff), daily_sales(sales, cutoff))
+    dated = F.col("metric_date").isNotNull()
+    j = j.select("metric_date", *[F.when(dated, F.col(c)).alias(c) for c in j.columns if c != "metric_date"])
     sess_cols = ("sessions_count", "active_users_count", "repeat_session_users_count",
                  "new_session_users_count", "bounced_sessions_count", "product_pageviews_count",
                  "product_view_sessions_count", "users_with_product_views_count")

@@ -8,17 +8,17 @@
 3. upsert on the unique key: matched rows replaced, new rows inserted, nothing
    deleted. Target rows outside the window (and NULL-date rows) are untouched.
 
-Storage is Parquet partitioned by the mart date. Only partitions at or after the
-cutoff are rewritten (dynamic partition overwrite), so the work per run is the
-lookback window, not the table. The replacement rows are first written to the
-shared checkpoint folder, which cuts the lineage back to the target files before
-those files are replaced; a retried task never re-reads a half-replaced target.
-Column drift (``sync_all_columns``) rewrites the whole target once, aligned.
+Storage is Parquet partitioned by the mart date. A merge rewrites only partitions at or after the
+cutoff (dynamic partition overwrite), so the work per run is the lookback window, not the table. Its
+rows are first written next to the table, which cuts the lineage back to the target files before
+those files are replaced; a run that dies while they are copied is finished by the next one. Full
+builds and column drift (``sync_all_columns``) write a fresh folder and swap it in (see ``commit``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
@@ -27,22 +27,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import EMPTY_TARGET_DATE, LOOKBACK_DAYS
-from ..session import scratch_path
+from ..session import delete, hadoop_path, scratch_path
+from .commit import exists, is_committed, read_note, recover, remove_note, replace_folder, write_note
+
+ROWS_PER_TASK = 2_000_000       # of a date-partitioned write
 
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The target table as stored, or None when the path does not exist.
+    """The target table as stored, or None when there is no committed table at ``path``.
 
-    An existing folder without data files is an empty target with the contract
-    schema (its cutoff is then 1899-12-25 and all dated rows are built).
+    A committed folder without data files, or an empty folder that somebody else made, is an empty
+    target with the contract schema (its cutoff is then 1899-12-25 and all dated rows are built). A
+    folder with an uncommitted write is no target.
     """
+    recover(spark, path)
+    if not exists(spark, path):
+        return None
+    fs, p = hadoop_path(spark, path)
+    if not is_committed(spark, path) and fs.listStatus(p):
+        return None
     try:
-        df = spark.read.parquet(path)
-        df.schema  # noqa: B018 - resolves the schema now
-        return df
+        return spark.read.parquet(path)
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e.getCondition() or "") or "Path does not exist" in str(e):
-            return None
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return spark.read.schema(schema).parquet(path)
 
 
@@ -76,36 +84,64 @@ def _null_safe_on(left: DataFrame, right: DataFrame, key: tuple[str, ...]):
     return cond
 
 
+def _staged(df: DataFrame, folder: str) -> DataFrame:
+    df.write.mode("overwrite").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def clustered_by_date(df: DataFrame, date_col: str) -> DataFrame:
-    """Range-partition on (date, other columns) before a date-partitioned write.
+    """Range-partition written rows on (date, other columns) before a date-partitioned write.
 
-    Each task then holds a contiguous date range and writes files for those dates
-    only (files ~ tasks + dates, not tasks x dates). Including the other columns in
-    the range key lets one very large date span several tasks. The partition count
-    is explicit: AQE would otherwise coalesce a small result into one task that
-    then opens every date folder serially.
+    Each task then holds a contiguous date range and writes files for those dates only, so there are
+    about as many files as dates and tasks together. The number of tasks comes from the rows (at most
+    ``ROWS_PER_TASK`` each), is no larger than the number of dates and, for a small table, than the
+    cores that are there; including the other columns in the key lets one very large date span
+    several tasks.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    rows, dates = df.agg(F.count(F.lit(1)), F.count_distinct(date_col)).first()
+    wanted = max(-(-rows // ROWS_PER_TASK), min(spark.sparkContext.defaultParallelism, dates))
+    n = max(1, min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     rest = [c for c in df.columns if c != date_col][:3]
     return df.repartitionByRange(n, F.col(date_col), *[F.col(c) for c in rest])
 
 
 def _write_full(df: DataFrame, path: str, date_col: str) -> None:
-    (clustered_by_date(df, date_col).write.mode("overwrite")
-     .option("partitionOverwriteMode", "static").partitionBy(date_col).parquet(path))
+    """Replace the whole table by ``df``."""
+    spark = df.sparkSession
+    rows = _staged(df, scratch_path(spark, "full-build"))
+    replace_folder(spark, path, lambda new: clustered_by_date(rows, date_col).write.partitionBy(date_col).parquet(new))
+
+
+def _copy_partitions(spark: SparkSession, staged: str, path: str, schema: T.StructType, date_col: str) -> None:
+    rows = spark.read.schema(schema).parquet(staged).select(*schema.names)
+    (clustered_by_date(rows, date_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(date_col).parquet(path))
+
+
+def finish_pending(spark: SparkSession, path: str, date_col: str) -> None:
+    """Copy again what a merge that died was copying."""
+    staged = read_note(spark, path)
+    if staged is not None:
+        if is_committed(spark, staged):
+            _copy_partitions(spark, staged, path, spark.read.parquet(staged).schema, date_col)
+        remove_note(spark, path)
+        delete(spark, staged)
 
 
 def merge_window(spark: SparkSession, target: DataFrame, new: DataFrame, path: str,
                  key: tuple[str, ...], date_col: str, cutoff: dt.date) -> None:
     """Upsert ``new`` (all rows dated >= cutoff) into the partitions >= cutoff."""
     window = target.filter(F.col(date_col) >= F.lit(cutoff))
+    new = _staged(new, scratch_path(spark, "merge-new"))
     kept = window.join(new, _null_safe_on(window, new, key), "left_anti")
     merged = new.unionByName(kept.select(*new.columns))
-    stage = scratch_path(spark, "merge-stage")
-    clustered_by_date(merged, date_col).write.mode("overwrite").partitionBy(date_col).parquet(stage)
-    staged = spark.read.schema(new.schema).parquet(stage).select(*new.columns)
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(date_col).parquet(path))
+    staged = f"{path.rstrip('/')}.merge-{uuid.uuid4().hex[:12]}"
+    merged.write.parquet(staged)
+    write_note(spark, path, staged)
+    _copy_partitions(spark, staged, path, new.schema, date_col)
+    remove_note(spark, path)
+    delete(spark, staged)
 
 
 def refresh_mart(spark: SparkSession, path: str, build: Callable[[dt.date | None], DataFrame],
@@ -116,6 +152,7 @@ def refresh_mart(spark: SparkSession, path: str, build: Callable[[dt.date | None
     ``build(cutoff)`` returns the mart restricted to ``date >= cutoff`` (all rows
     for ``None``); ``schema`` is the mart's column contract.
     """
+    finish_pending(spark, path, date_col)
     target = None if full_refresh else read_target(spark, path, schema)
     if target is None:
         _write_full(build(None), path, date_col)
@@ -123,11 +160,8 @@ def refresh_mart(spark: SparkSession, path: str, build: Callable[[dt.date | None
 
     stored = {f.name: f.dataType for f in target.schema.fields}
     if stored != {f.name: f.dataType for f in schema.fields}:
-        # sync_all_columns: align the old rows once, into a new folder, then swap in
-        aligned_path = scratch_path(spark, "drift")
-        _write_full(align_columns(target, schema), aligned_path, date_col)
-        _write_full(spark.read.schema(schema).parquet(aligned_path).select(*schema.names),
-                    path, date_col)
+        # sync_all_columns: the old rows take the new columns once
+        _write_full(align_columns(target, schema), path, date_col)
     target = spark.read.schema(schema).parquet(path).select(*schema.names)
     cutoff = lookback_cutoff(target, date_col, lookback_days)
     new = build(cutoff)

@@ -5,94 +5,46 @@ of all rows, that task holds a third of the data. Here the rows are instead
 range-partitioned on (keys, order columns), so a hot key is spread over several
 consecutive partitions:
 
-1. range exchange + per-partition sort; a vectorised pass numbers rows locally
-   per key inside each partition (running counter over sorted Arrow batches);
-2. the numbered rows are written once to the shared checkpoint folder (one fixed
-   partition assignment), then one small row per partition: its first key, last
-   key and that key's row count;
-3. offset of partition p = rows of p's first key in earlier partitions (a
-   running sum over at most #partitions rows), joined back by broadcast. The
-   broadcast side has one row per partition, a bound fixed by configuration.
-
+1. range exchange; the rows are written once to the shared checkpoint folder with
+   the number of their partition, which fixes one assignment (range bounds are
+   sampled per exchange) and cuts the lineage;
+2. a window numbers the rows of each (partition, key);
+3. one small row per partition: its first key, last key and that key's row count.
+   Offset of partition p = rows of p's first key in earlier partitions (a running
+   sum over at most #partitions rows), joined back by broadcast. The broadcast
+   side has one row per partition, a bound fixed by configuration.
+
+All of it is DataFrame work, so column types and values stay as they are.
 NULL keys form one group (as in SQL window partitions). Order columns sort
 ascending with NULLs first unless Column sort expressions are passed.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import scratch_path
+from .staging import stage
 
 _PID, _LRN = "_seq_pid", "_seq_lrn"
 
 
-def _same(a, b) -> bool:
-    for x, y in zip(a, b):
-        xn, yn = pd.isna(x), pd.isna(y)
-        if xn or yn:
-            if not (xn and yn):
-                return False
-        elif x != y:
-            return False
-    return True
-
-
-def _local_numbers(keys: list[str]):
-    def fn(batches):
-        from pyspark import TaskContext
-        pid = TaskContext.get().partitionId()
-        prev_key, prev_n = None, 0
-        for pdf in batches:
-            m = len(pdf)
-            if m == 0:
-                continue
-            same = np.ones(m, dtype=bool)
-            for c in keys:
-                s = pdf[c]
-                sh = s.shift(1)
-                same &= ((s == sh) | (s.isna() & sh.isna())).to_numpy()
-            first = tuple(pdf[keys].iloc[0])
-            same[0] = prev_key is not None and _same(first, prev_key)
-            gid = np.cumsum(~same)
-            n = pd.Series(np.ones(m, dtype=np.int64)).groupby(gid).cumsum().to_numpy()
-            if same[0]:
-                n[gid == gid[0]] += prev_n
-            prev_n = int(n[-1])
-            prev_key = tuple(pdf[keys].iloc[-1])
-            yield pdf.assign(**{_PID: np.int32(pid), _LRN: n})
-    return fn
-
-
 def number_within_groups(df: DataFrame, keys: list[str], order: list[str | Column],
                          out: str, num_partitions: int | None = None) -> DataFrame:
     """Append ``out`` = 1-based row number of each row within its key group."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = [F.col(k) for k in keys] + [F.col(c) if isinstance(c, str) else c for c in order]
-    # explicit partition count: AQE does not coalesce it, so partition ids are stable
-    ranged = df.repartitionByRange(n, *sort_cols)
+    order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    sort_cols = [F.col(k) for k in keys] + order_cols
+    # explicit partition count: AQE does not coalesce it, so key ranges stay in partition order
+    ranged = stage(df.repartitionByRange(n, *sort_cols).withColumn(_PID, F.spark_partition_id()), "row-numbers")
+    local = Window.partitionBy(_PID, *keys).orderBy(*order_cols)
+    numbered = ranged.withColumn(_LRN, F.row_number().over(local).cast("long"))
     kstruct = F.struct(*[F.col(k) for k in keys])
 
-    out_schema = T.StructType(df.schema.fields + [T.StructField(_PID, T.IntegerType()),
-                                                  T.StructField(_LRN, T.LongType())])
-    numbered = ranged.sortWithinPartitions(*sort_cols).mapInPandas(_local_numbers(keys), out_schema)
-    # Range bounds are sampled per exchange, so two uses of one lazy plan may split
-    # rows differently. Writing the numbered rows once to the shared checkpoint
-    # folder fixes one assignment of rows to partitions for both uses and cuts the
-    # lineage (one columnar pass; an RDD checkpoint would compute the plan twice).
-    path = scratch_path(spark, "row-numbers")
-    numbered.write.parquet(path)
-    numbered = spark.read.schema(out_schema).parquet(path)
-
-    # one row per partition: first key, last key and its row count there
-    stats = (numbered.groupBy(_PID)
-             .agg(F.min(kstruct).alias("_fk"),
-                  F.max(F.struct(kstruct.alias("k"), F.col(_LRN).alias("n"))).alias("_last"))
+    # one row per partition: first key, last key and the last key's row count
+    per_key = ranged.groupBy(_PID, kstruct.alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    stats = (per_key.groupBy(_PID).agg(F.min("k").alias("_fk"), F.max(F.struct("k", "n")).alias("_last"))
              .select(_PID, "_fk", F.col("_last.k").alias("_lk"), F.col("_last.n").alias("_lc")))
     by_last = Window.partitionBy("_lk").orderBy(_PID)
     seq = Window.orderBy(_PID)          # at most one row per partition

@@ -7,7 +7,7 @@ are cast to the contract types first, as the source layer is schema-on-read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import flag, product_page_url, seconds_between
@@ -133,6 +133,12 @@ def pageviews_ranked(src) -> DataFrame:
                                 "pageview_number_desc")
 
 
+def _pageview_order():
+    """Keys of the first and the last pageview: by time, then id, NULLs last in both directions."""
+    ts, pid = F.col("pageview_created_at_utc"), F.col("website_pageview_id")
+    return F.struct(ts.isNull(), ts, pid.isNull(), pid), F.struct(ts, pid)
+
+
 def pageviews_agg(src) -> DataFrame:
     """Per session: count, first/last time, landing and exit URL.
 
@@ -141,11 +147,9 @@ def pageviews_agg(src) -> DataFrame:
     ordering structs reproduce NULLS LAST in both directions: for the minimum the
     null indicator sorts non-NULL first; for the maximum NULL already sorts lowest.
     """
-    pv = typed_pageviews(src).filter(F.col("website_session_id").isNotNull())
-    ts, pid = F.col("pageview_created_at_utc"), F.col("website_pageview_id")
-    first_key = F.struct(ts.isNull(), ts, pid.isNull(), pid)
-    last_key = F.struct(ts, pid)
-    return (pv.groupBy("website_session_id")
+    ts = F.col("pageview_created_at_utc")
+    first_key, last_key = _pageview_order()
+    return (typed_pageviews(src).groupBy("website_session_id")
             .agg(F.count(F.lit(1)).alias("pageviews_count"),
                  F.min(ts).alias("first_pageview_at_utc"),
                  F.max(ts).alias("last_pageview_at_utc"),
@@ -155,14 +159,14 @@ def pageviews_agg(src) -> DataFrame:
 
 def product_pageviews(src, dim: DataFrame | None = None) -> DataFrame:
     """Pageviews whose URL is a product page (a pageview counts once per product
-    sharing that slug). The product side is broadcast only under a row bound."""
+    sharing that slug). The product side is broadcast only under a size bound."""
     dim = dim if dim is not None else dim_products(src)
     pages = broadcast_bounded(product_pages(dim).select("product_id", "product_page_url"))
     return typed_pageviews(src).join(pages, F.col("pageview_url") == F.col("product_page_url"))
 
 
 def product_pageviews_agg(src, dim: DataFrame | None = None) -> DataFrame:
-    return (product_pageviews(src, dim).filter(F.col("website_session_id").isNotNull())
+    return (product_pageviews(src, dim)
             .groupBy("website_session_id")
             .agg(F.count(F.lit(1)).alias("product_pageviews_count"),
                  F.count_distinct("product_id").alias("viewed_products_count")))
@@ -171,31 +175,31 @@ def product_pageviews_agg(src, dim: DataFrame | None = None) -> DataFrame:
 def session_pageview_rollup(src, dim: DataFrame | None = None) -> DataFrame:
     """``pageviews_agg`` and ``product_pageviews_agg`` in one pass over the pageviews.
 
-    Each pageview is left-joined to a broadcast URL -> [product_id] list (one row
-    per URL, so no fan-out; bounded by the product dimension). Per session:
-    product pageviews = sum of list sizes (= pageview x product pairs, as the inner
-    join counts them); viewed products = distinct non-NULL ids of the collected
-    lists - a set bounded by the product dimension, not by the session's length.
-    One scan and one shuffle of the largest table instead of two scans and three.
+    Pageviews are first rolled up to (session, URL), which map tasks pre-combine, so a home page
+    or a session with very many hits is a few rows before any join. The product pages then join the
+    rolled-up rows; a URL that several products share becomes one row per product there, of which the
+    first carries the URL's pageviews.
     """
     dim = dim if dim is not None else dim_products(src)
-    url_products = broadcast_bounded(
-        product_pages(dim).filter(F.col("product_page_url").isNotNull())
-        .groupBy("product_page_url").agg(F.collect_list("product_id").alias("url_products")))
-    pv = typed_pageviews(src).filter(F.col("website_session_id").isNotNull())
-    j = pv.join(url_products, F.col("pageview_url") == F.col("product_page_url"), "left")
-    ts, pid = F.col("pageview_created_at_utc"), F.col("website_pageview_id")
-    prods = F.coalesce(F.col("url_products"), F.array().cast("array<int>"))
-    viewed = F.filter(F.array_distinct(F.flatten(F.collect_set(prods))), lambda x: x.isNotNull())
+    ts = F.col("pageview_created_at_utc")
+    first_key, last_key = _pageview_order()
+    by_url = (typed_pageviews(src).groupBy("website_session_id", "pageview_url")
+              .agg(F.count(F.lit(1)).alias("hits"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
+                   F.min(first_key).alias("first_key"), F.max(last_key).alias("last_key")))
+    pages = (product_pages(dim).filter(F.col("product_page_url").isNotNull())
+             .groupBy("product_page_url", "product_id").agg(F.count(F.lit(1)).alias("times")))
+    place = F.row_number().over(Window.partitionBy("product_page_url").orderBy("product_id"))
+    pages = broadcast_bounded(pages.withColumn("place", place))
+    j = by_url.join(pages, F.col("pageview_url") == F.col("product_page_url"), "left")
+    once = F.coalesce(F.col("place"), F.lit(1)) == 1
     return (j.groupBy("website_session_id")
-            .agg(F.count(F.lit(1)).alias("pageviews_count"),
-                 F.min(ts).alias("first_pageview_at_utc"),
-                 F.max(ts).alias("last_pageview_at_utc"),
-                 F.min_by("pageview_url", F.struct(ts.isNull(), ts, pid.isNull(), pid))
-                 .alias("landing_page_url"),
-                 F.max_by("pageview_url", F.struct(ts, pid)).alias("exit_page_url"),
-                 F.sum(F.size(prods)).cast("long").alias("product_pageviews_count"),
-                 F.size(viewed).cast("long").alias("viewed_products_count")))
+            .agg(F.sum(F.when(once, F.col("hits"))).alias("pageviews_count"),
+                 F.min("first_ts").alias("first_pageview_at_utc"),
+                 F.max("last_ts").alias("last_pageview_at_utc"),
+                 F.min_by("pageview_url", "first_key").alias("landing_page_url"),
+                 F.max_by("pageview_url", "last_key").alias("exit_page_url"),
+                 F.coalesce(F.sum(F.col("hits") * F.col("times")), F.lit(0)).alias("product_pageviews_count"),
+                 F.count_distinct("product_id").alias("viewed_products_count")))
 
 
 def orders_by_session(src) -> DataFrame:
@@ -203,7 +207,6 @@ def orders_by_session(src) -> DataFrame:
     return (o.select(F.col("website_session_id").cast("long").alias("website_session_id"),
                      F.col("order_id").cast("long").alias("order_id"),
                      F.col("items_purchased").cast("long").alias("items_purchased"))
-            .filter(F.col("website_session_id").isNotNull())
             .groupBy("website_session_id")
             .agg(F.count_distinct("order_id").alias("orders_count"),
                  F.sum("items_purchased").alias("items_purchased_count")))
@@ -224,8 +227,9 @@ def fct_sessions(src, dim: DataFrame | None = None) -> DataFrame:
     s = typed_sessions(src)
     # Both rollups are hash-partitioned on the session id, as is the session side,
     # so the left joins run without re-shuffling the joined result.
-    j = (s.join(session_pageview_rollup(src, dim), "website_session_id", "left")
-         .join(orders_by_session(src), "website_session_id", "left"))
+    known = F.col("website_session_id").isNotNull()
+    j = (s.join(session_pageview_rollup(src, dim).filter(known), "website_session_id", "left")
+         .join(orders_by_session(src).filter(known), "website_session_id", "left"))
     first, last = F.col("first_pageview_at_utc"), F.col("last_pageview_at_utc")
     ppv = F.coalesce(F.col("product_pageviews_count"), F.lit(0))
     n_orders = F.coalesce(F.col("orders_count"), F.lit(0))

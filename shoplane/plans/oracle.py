@@ -1,520 +1,351 @@
-"""Reference SQL (DuckDB dialect) for every registered query.
-
-The correctness gate runs each Spark query and the SQL given here on the same
-driver tables (pre-registered as views ``part``, ``orders``, ``lineitem``,
-``events`` ...) and compares results. The SQL is an independent statement of
-the same semantics: the test-data mappings of FIXTURES.md section 4, then the
-models. Landing/exit pages use ROW_NUMBER windows here (Spark uses arg-min/max),
-session seconds use DuckDB's native boundary-counting ``date_diff``, and the
-incremental checks are stated as "prefix build before the cutoff, full build
-from the cutoff on", not as a merge.
-
-Integer sums are cast to BIGINT (DuckDB sums to HUGEINT). Doubles are snapped to
-a 2^-14 grid on both sides, since floating-point sums depend on order.
+"""SQL (DuckDB dialect) for every registered query, as a cross-check by other means.
+
+The correctness gate runs each Spark query and the SQL given here on the same driver tables
+(pre-registered as views ``part``, ``orders``, ``lineitem``, ``events`` ...) and compares results. The
+SQL states what the models mean, not how the Spark plans go about it:
+
+* each fact and mart is one grouping over a union of everything that happened (items and refunds;
+  sessions, pageviews and orders; touches and sales), told apart by FILTER clauses;
+* landing and exit page are the first URL of an ordered aggregate;
+* same-day conversion and repeat buyers are EXISTS conditions of a sale;
+* the list price is a window over the daily maxima;
+* the incremental checks are "a build of the prefix before the cutoff, a build of everything from it on",
+  not a merge.
+
+Integer sums are cast to BIGINT (DuckDB sums to HUGEINT). Sums of doubles depend on their order, so these
+columns (and only these) are snapped to a binary grid on both sides, see ``SUMMED``.
 """
 
 from __future__ import annotations
 
-from ..schemas import CONTRACTS, double_columns
+from ..schemas import CONTRACTS
 
-# Fixed values of the test-data mappings (FIXTURES.md section 4), as in sources/fixtures.py.
 SLUG = "'/' || trim(regexp_replace(lower({c}), '[^a-z0-9]+', '-', 'g'), '-')"
-P_OF = "CAST(CASE WHEN ({k}) < 60 THEN ({k}) % 4 ELSE ({k}) - 56 END AS BIGINT)"
 PREFIX_END = "TIMESTAMP '2024-01-21 00:00:00'"
 
+#: columns of marts and rollups that are, or come from, a sum over many doubles
+SUMMED = ("gross_revenue_usd", "cogs_usd", "gross_profit_usd", "refund_amount_usd", "net_revenue_usd", "net_profit_usd",
+          "returned_gross_revenue_usd", "avg_selling_price_usd", "inferred_discount_usd", "inferred_discount_pct",
+          "refund_capture_rate", "net_revenue_per_purchasing_user")
+
+Ctes = list[str]
+
 
 def slug(c: str) -> str:
     return SLUG.format(c=c)
 
 
-def p_of(k: str) -> str:
-    return P_OF.format(k=k)
+def _n(expr: str, where: str | None = None) -> str:
+    """An aggregate as BIGINT, of the rows that match."""
+    return f"CAST({expr}{f' FILTER (WHERE {where})' if where else ''} AS BIGINT)"
+
 
+def _per(a: str, b: str) -> str:
+    return f"CAST({a} AS DOUBLE) / nullif(CAST({b} AS DOUBLE), 0)"
 
-# ------------------------------------------------------------------ source mappings
-def set_a_ctes() -> tuple[list[str], dict[str, str]]:
-    order_cols = ", ".join(f"{c} ASC NULLS LAST" for c in (
-        "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
-    ctes = [
-        f"""a_products AS (
-  SELECT CAST(p_partkey AS INTEGER) AS product_id, TIMESTAMP '1995-01-01 00:00:00' AS created_at,
-         ' ' || p_name || ' ' || p_brand || ' #' || CAST(p_partkey AS VARCHAR) || '! ' AS product_name
-  FROM part WHERE p_partkey < 50)""",
-        f"""a_lines AS (
-  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {order_cols}) AS n FROM lineitem)""",
+
+# ------------------------------------------------------------------ the test data in source shape
+def set_a() -> Ctes:
+    return [
+        """a_products AS (
+  SELECT CAST(p_partkey AS INTEGER) AS product_id, TIMESTAMP '1995-01-01' AS created_at,
+         concat(' ', p_name, ' ', p_brand, ' #', p_partkey, '! ') AS product_name FROM part)""",
+        """a_lines AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity,
+           l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS n FROM lineitem)""",
+        "a_factor AS (SELECT max(n) + 1 AS f FROM a_lines)",
         """a_orders AS (
-  SELECT o.o_orderkey AS order_id, o.o_orderdate AS created_at, o.o_orderkey AS website_session_id,
-         o.o_custkey AS user_id, o.o_orderkey % 50 AS primary_product_id,
-         CAST(COALESCE(c.lines, 0) AS BIGINT) AS items_purchased, o.o_totalprice AS price_usd,
-         CAST(0.6 AS DOUBLE) * o.o_totalprice AS cogs_usd
-  FROM orders o LEFT JOIN (SELECT l_orderkey, count(*) AS lines FROM lineitem GROUP BY l_orderkey) c
-    ON c.l_orderkey = o.o_orderkey)""",
-        """a_items_all AS (
-  SELECT l.l_orderkey * 1000 + l.n AS order_item_id, o.o_orderdate AS created_at,
-         l.l_orderkey AS order_id, l.l_partkey % 50 AS product_id,
-         CASE WHEN l.n = 1 THEN 1 ELSE 0 END AS is_primary_item,
-         l.l_extendedprice AS price_usd, CAST(0.6 AS DOUBLE) * l.l_extendedprice AS cogs_usd,
-         l.l_returnflag, l.l_discount, l.l_shipdate
-  FROM a_lines l LEFT JOIN orders o ON o.o_orderkey = l.l_orderkey)""",
+  SELECT o_orderkey AS order_id, o_orderdate AS created_at, o_orderkey AS website_session_id, o_custkey AS user_id,
+         o_orderkey % (SELECT count(*) FROM part) AS primary_product_id,
+         (SELECT count(*) FROM lineitem WHERE l_orderkey = o_orderkey) AS items_purchased,
+         o_totalprice AS price_usd, 0.6::DOUBLE * o_totalprice AS cogs_usd FROM orders)""",
         """a_order_items AS (
-  SELECT order_item_id, created_at, order_id, product_id, is_primary_item, price_usd, cogs_usd
-  FROM a_items_all)""",
+  SELECT l_orderkey * f + n AS order_item_id, o_orderdate AS created_at, l_orderkey AS order_id, l_partkey AS product_id,
+         CAST(n = 1 AS BIGINT) AS is_primary_item, l_extendedprice AS price_usd, 0.6::DOUBLE * l_extendedprice AS cogs_usd
+  FROM a_lines CROSS JOIN a_factor LEFT JOIN orders ON o_orderkey = l_orderkey)""",
         """a_order_item_refunds AS (
-  SELECT order_item_id, order_id, price_usd * l_discount AS refund_amount_usd,
-         l_shipdate AS created_at
-  FROM a_items_all WHERE l_returnflag = 'R')""",
+  SELECT l_orderkey * f + n AS order_item_id, l_orderkey AS order_id, l_extendedprice * l_discount AS refund_amount_usd,
+         l_shipdate AS created_at FROM a_lines CROSS JOIN a_factor WHERE l_returnflag = 'R')""",
     ]
-    names = {"products": "a_products", "orders": "a_orders", "order_items": "a_order_items",
-             "order_item_refunds": "a_order_item_refunds"}
-    return ctes, names
 
 
-def set_b_ctes(p: str = "b_", collision: bool = False, prefix_only: bool = False
-               ) -> tuple[list[str], dict[str, str]]:
-    name = ("p_name" if collision else
-            "' ' || p_name || ' ' || p_brand || ' #' || CAST(p_partkey AS VARCHAR) || '! '")
-    item_k = "(k + 13 * i) % 100"
-    ctes = [
+def set_b(p: str = "b_", collision: bool = False, prefix_only: bool = False) -> Ctes:
+    name = "p_name" if collision else (
+        "CASE WHEN p_partkey IN (1, 2) THEN ' Twin  Product! ' ELSE concat(' ', p_name, ' ', p_brand, ' #', p_partkey, '! ') END")
+    before = f"WHERE created_at < {PREFIX_END}" if prefix_only else ""
+
+    def product(k: str, event: str) -> str:
+        return f"CASE WHEN {k} < 60 THEN {k} % 4 ELSE 4 + ({event}) % greatest(1, (SELECT count(*) FROM part) - 4) END"
+    return [
+        f"""{p}days AS (
+  SELECT *, CAST(props->>'$.k' AS BIGINT) AS k, CAST(floor((CAST(ts AS DATE) - DATE '2024-01-01') / 2) AS BIGINT) AS two_days FROM events)""",
         f"""{p}ev AS (
-  SELECT event_id, ts, user_id, event_type, value,
-         CAST(json_extract_string(props, '$.k') AS INTEGER) AS k,
-         user_id * 1000 + CAST(floor(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / 2) AS BIGINT) AS sid
-  FROM events)""",
-        f"""{p}products_all AS (
-  SELECT CAST(p_partkey AS INTEGER) AS product_id, TIMESTAMP '2024-01-01 00:00:00' AS created_at,
-         {name} AS product_name
-  FROM part WHERE p_partkey < 44)""",
-        f"""{p}sessions_all AS (
-  SELECT sid AS website_session_id, min(ts) AS created_at, user_id,
-         CASE WHEN sid % 3 = 0 THEN 1 ELSE 0 END AS is_repeat_session,
-         CASE WHEN sid % 4 = 0 THEN NULL WHEN sid % 4 = 1 THEN 'gsearch'
-              WHEN sid % 4 = 2 THEN 'bsearch' ELSE 'social' END AS utm_source,
-         CASE WHEN sid % 5 = 0 THEN NULL WHEN sid % 5 = 1 THEN 'brand' ELSE 'nonbrand' END AS utm_campaign,
-         CASE WHEN sid % 6 = 0 THEN NULL ELSE 'ad_' || CAST(sid % 2 AS VARCHAR) END AS utm_content,
-         CASE WHEN sid % 2 = 0 THEN 'mobile' ELSE 'desktop' END AS device_type,
+  SELECT event_id, ts, user_id, event_type, value, k, user_id * (SELECT max(two_days) + 1 FROM {p}days) + two_days AS sid FROM {p}days)""",
+        f"""{p}products AS (
+  SELECT CAST(p_partkey AS INTEGER) AS product_id, TIMESTAMP '2024-01-01' AS created_at, {name} AS product_name FROM part)""",
+        f"""{p}website_sessions AS (SELECT * FROM (
+  SELECT sid AS website_session_id, min(ts) AS created_at, user_id, CAST(sid % 3 = 0 AS BIGINT) AS is_repeat_session,
+         [NULL, 'gsearch', 'bsearch', 'social'][sid % 4 + 1] AS utm_source,
+         [NULL, 'brand', 'nonbrand', 'nonbrand', 'nonbrand'][sid % 5 + 1] AS utm_campaign,
+         if(sid % 6 = 0, NULL, concat('ad_', sid % 2)) AS utm_content, ['mobile', 'desktop'][sid % 2 + 1] AS device_type,
          CAST(NULL AS VARCHAR) AS http_referer
-  FROM {p}ev WHERE NOT (event_type = 'signup' AND k < 50)
-  GROUP BY sid, user_id)""",
-        f"""{p}pageviews_all AS (
-  SELECT e.event_id AS website_pageview_id, e.ts AS created_at, e.sid AS website_session_id,
-         CASE WHEN e.event_type IN ('view', 'click') THEN u.purl ELSE '/' || e.event_type END AS pageview_url
-  FROM {p}ev e
-  LEFT JOIN (SELECT CAST(product_id AS BIGINT) AS pk, {slug('product_name')} AS purl
-             FROM {p}products_all) u
-    ON u.pk = CASE WHEN e.event_type IN ('view', 'click') THEN {p_of('e.k')} END
-  WHERE e.event_type IN ('view', 'click', 'signup') OR (e.event_type = 'error' AND e.k >= 50))""",
-        f"""{p}orders_all AS (
-  SELECT event_id AS order_id, ts AS created_at, sid AS website_session_id, user_id,
-         {p_of('k')} AS primary_product_id, CAST(k % 3 + 1 AS BIGINT) AS items_purchased,
-         value AS price_usd, CAST(0.4 AS DOUBLE) * value AS cogs_usd
-  FROM {p}ev WHERE event_type = 'purchase' AND k <> 99)""",
-        f"""{p}items_all AS (
-  SELECT event_id * 10 + i AS order_item_id, ts AS created_at, event_id AS order_id,
-         {p_of(item_k)} AS product_id,
-         CASE WHEN i = 0 THEN 1 ELSE 0 END AS is_primary_item,
-         CASE WHEN {p_of(item_k)} = 43 THEN CAST(0.0 AS DOUBLE) ELSE value / (i + 1) END AS price_usd,
-         CAST(0.4 AS DOUBLE) * (value / (i + 1)) AS cogs_usd
-  FROM (SELECT *, unnest(generate_series(0, k % 3)) AS i FROM {p}ev WHERE event_type = 'purchase'))""",
-        f"""{p}refunds_all AS (
+  FROM {p}ev WHERE event_type <> 'signup' OR k >= 50 GROUP BY sid, user_id) {before})""",
+        f"""{p}website_pageviews AS (SELECT * FROM (
+  SELECT event_id AS website_pageview_id,
+         CASE WHEN event_id % 7 = 0 THEN date_trunc('day', ts)::TIMESTAMP WHEN event_id % 89 <> 0 THEN ts END AS created_at,
+         if(event_id % 97 = 0, NULL, sid) AS website_session_id,
+         CASE WHEN event_type IN ('view', 'click')
+              THEN (SELECT {slug('product_name')} FROM {p}products WHERE product_id = {product('k', 'event_id')})
+              ELSE concat('/', event_type) END AS pageview_url
+  FROM {p}ev WHERE event_type IN ('view', 'click', 'signup') OR (event_type = 'error' AND k >= 50)) {before})""",
+        f"""{p}orders AS (SELECT * FROM (
+  SELECT event_id AS order_id, ts AS created_at, if(event_id % 97 = 0, NULL, sid) AS website_session_id, user_id,
+         {product('k', 'event_id')} AS primary_product_id, k % 3 + 1 AS items_purchased, value AS price_usd,
+         0.4::DOUBLE * value AS cogs_usd FROM {p}ev WHERE event_type = 'purchase' AND k <> 99) {before})""",
+        f"""{p}sold AS (
+  SELECT event_id * 10 + i AS order_item_id, ts AS created_at, event_id AS order_id, CAST(i = 0 AS BIGINT) AS is_primary_item,
+         {product('((k + 13 * i) % 100)', 'event_id + i')} AS product_id, value / (i + 1) AS share
+  FROM (SELECT *, unnest(range(k % 3 + 1)) AS i FROM {p}ev WHERE event_type = 'purchase'))""",
+        f"""{p}all_items AS (
+  SELECT order_item_id, created_at, order_id, product_id, is_primary_item,
+         if(product_id % 50 = 43, 0.0::DOUBLE, share) AS price_usd, 0.4::DOUBLE * share AS cogs_usd FROM {p}sold)""",
+        f"{p}order_items AS (SELECT * FROM {p}all_items {before})",
+        f"""{p}order_item_refunds AS (SELECT * FROM (
   SELECT order_item_id, order_id, (order_item_id % 3) * price_usd / 2 / (j + 1) AS refund_amount_usd,
          created_at + to_days(CAST(order_item_id % 12 + 1 AS INTEGER)) AS created_at
-  FROM (SELECT *, unnest(CASE WHEN order_item_id % 14 = 0 THEN [0, 1] ELSE [0] END) AS j
-        FROM {p}items_all WHERE order_item_id % 7 = 0))""",
+  FROM (SELECT *, unnest(range(if(order_item_id % 2 = 0, 2, 1))) AS j FROM {p}all_items WHERE order_item_id % 7 = 0)) {before})""",
+    ]
+
+
+# ------------------------------------------------------------------ silver
+def dim_products(p: str) -> Ctes:
+    return [f"""{p}dim AS (
+  SELECT product_id, created_at AS created_at_utc, CAST(created_at AS DATE) AS created_date, trim(product_name) AS product_name
+  FROM {p}products)"""]
+
+
+def refunds(p: str) -> Ctes:
+    return [f"""{p}refunds AS (
+  SELECT order_item_id, order_id, len(l) AS refund_event_count, list_sum([x.amount for x in l]) AS refund_amount_usd,
+         list_min([x.moment for x in l]) AS first_refund_created_at_utc,
+         list_max([x.moment for x in l]) AS last_refund_created_at_utc
+  FROM (SELECT order_item_id, order_id, list({{'amount': refund_amount_usd, 'moment': CAST(created_at AS TIMESTAMP)}}) AS l
+        FROM {p}order_item_refunds GROUP BY ALL))"""]
+
+
+def fct_sales(p: str) -> Ctes:
+    return [
+        f"""{p}item_events AS (
+  SELECT order_item_id, order_id, true AS is_item, CAST(created_at AS TIMESTAMP) AS moment, product_id, is_primary_item, price_usd, cogs_usd,
+         NULL::DOUBLE AS amount FROM {p}order_items
+  UNION ALL SELECT order_item_id, order_id, false, CAST(created_at AS TIMESTAMP), NULL, NULL, NULL, NULL, refund_amount_usd
+  FROM {p}order_item_refunds)""",
+        f"""{p}sales AS (
+  SELECT order_item_id, e.order_id, max(e.moment) FILTER (WHERE is_item) AS order_item_created_at_utc,
+         CAST(order_item_created_at_utc AS DATE) AS order_item_created_date, max(product_id) AS product_id,
+         max(e.is_primary_item) AS is_primary_item_flag, coalesce(is_primary_item_flag = 1, false) AS is_primary_item,
+         any_value(CAST(o.created_at AS TIMESTAMP)) AS order_created_at_utc, CAST(order_created_at_utc AS DATE) AS order_date,
+         any_value(o.website_session_id) AS website_session_id, any_value(o.user_id) AS user_id,
+         any_value(o.primary_product_id) AS primary_product_id, any_value(o.items_purchased) AS items_purchased,
+         any_value(o.price_usd) AS order_revenue_usd, any_value(o.cogs_usd) AS order_cogs_usd,
+         max(e.price_usd) AS gross_revenue_usd, max(e.cogs_usd) AS item_cogs_usd, gross_revenue_usd - item_cogs_usd AS gross_profit_usd,
+         count(*) FILTER (WHERE NOT is_item) AS refund_event_count, coalesce(sum(amount), 0) AS refund_amount_usd,
+         min(e.moment) FILTER (WHERE NOT is_item) AS first_refund_created_at_utc,
+         max(e.moment) FILTER (WHERE NOT is_item) AS last_refund_created_at_utc,
+         refund_event_count > 0 AS has_returned, refund_amount_usd > 0 AS has_refund,
+         gross_revenue_usd - refund_amount_usd AS net_revenue_usd, net_revenue_usd - item_cogs_usd AS net_profit_usd,
+         net_profit_usd / nullif(gross_revenue_usd, 0) AS net_margin_pct
+  FROM {p}item_events e LEFT JOIN {p}orders o ON o.order_id = e.order_id GROUP BY order_item_id, e.order_id HAVING bool_or(is_item))"""]
+
+
+def pageviews_ranked(p: str) -> Ctes:
+    """Positions counted from either end of a session's ordered list of pageviews."""
+    return [f"""{p}ranked AS (
+  SELECT v.id AS website_pageview_id, website_session_id, v.moment AS pageview_created_at_utc, v.url AS pageview_url,
+         place AS pageview_number_asc, CAST(list_position(back, v.id) AS BIGINT) AS pageview_number_desc
+  FROM (SELECT website_session_id,
+               unnest(list({{'id': website_pageview_id, 'moment': created_at, 'url': pageview_url}}
+                      ORDER BY created_at NULLS LAST, website_pageview_id)) AS v,
+               unnest(range(1, count(*) + 1)) AS place,
+               list(website_pageview_id ORDER BY created_at DESC NULLS LAST, website_pageview_id DESC) AS back
+        FROM {p}website_pageviews GROUP BY website_session_id))"""]
+
+
+def session_facts(p: str) -> Ctes:
+    """One row per session id of any pageview or order, also for none."""
+    return [
+        f"{p}pages AS (SELECT {slug('product_name')} AS url, list(product_id) AS ids FROM {p}dim GROUP BY url)",
+        f"""{p}happened AS (
+  SELECT website_session_id AS sid, 'v' AS kind, website_pageview_id AS id, CAST(created_at AS TIMESTAMP) AS moment, pageview_url AS url,
+         coalesce(ids, []) AS ids, NULL::BIGINT AS items FROM {p}website_pageviews LEFT JOIN {p}pages ON url = pageview_url
+  UNION ALL SELECT website_session_id, 'o', order_id, NULL, NULL, [], items_purchased FROM {p}orders)""",
+        f"""{p}rolled AS (
+  SELECT sid AS website_session_id, count(*) FILTER (WHERE kind = 'v') AS views,
+         min(moment) AS first_pageview_at_utc, max(moment) AS last_pageview_at_utc,
+         first(url ORDER BY moment NULLS LAST, id) FILTER (WHERE kind = 'v') AS landing_page_url,
+         first(url ORDER BY moment DESC NULLS LAST, id DESC) FILTER (WHERE kind = 'v') AS exit_page_url,
+         {_n('sum(len(ids))')} AS product_pageviews_count, len(list_distinct(flatten(list(ids)))) AS viewed_products_count,
+         count(DISTINCT id) FILTER (WHERE kind = 'o') AS orders_count, {_n('sum(items)')} AS items_purchased_count,
+         bool_or(kind = 'o') AS ordered
+  FROM {p}happened GROUP BY sid)""",
+    ]
+
+
+def fct_sessions(p: str) -> Ctes:
+    return session_facts(p) + [f"""{p}sess AS (
+  SELECT website_session_id, s.created_at AS session_created_at_utc, CAST(s.created_at AS DATE) AS session_date, s.user_id,
+         s.is_repeat_session AS is_repeat_session_flag, coalesce(s.is_repeat_session = 1, false) AS is_repeat_session,
+         utm_source, utm_campaign, utm_content, device_type, http_referer, nullif(views, 0) AS pageviews_count,
+         first_pageview_at_utc, last_pageview_at_utc, landing_page_url, exit_page_url, coalesce(views = 1, false) AS is_bounced,
+         date_diff('second', first_pageview_at_utc, last_pageview_at_utc) AS session_duration_seconds,
+         coalesce(product_pageviews_count, 0) AS product_pageviews_count, coalesce(viewed_products_count, 0) AS viewed_products_count,
+         coalesce(r.product_pageviews_count > 0, false) AS has_product_pageview, coalesce(orders_count, 0) AS orders_count,
+         coalesce(r.orders_count > 0, false) AS has_order, coalesce(items_purchased_count, 0) AS items_purchased_count
+  FROM {p}website_sessions s LEFT JOIN {p}rolled r USING (website_session_id))"""]
+
+
+# ------------------------------------------------------------------ gold
+def product_days(p: str) -> Ctes:
+    """Everything that a product has on a day, from one grouping over its touches and its sales."""
+    return [
+        f"""{p}touches AS (
+  SELECT CAST(created_at AS DATE) AS d, unnest(ids)::BIGINT AS product, website_session_id AS sid
+  FROM {p}website_pageviews JOIN {p}pages ON url = pageview_url)""",
+        f"""{p}product_events AS (
+  SELECT t.d, t.product, 't' AS kind, t.sid, user_id AS who, NULL::BIGINT AS order_id, false AS converted, false AS again,
+         NULL AS sale FROM {p}touches t LEFT JOIN {p}sess s ON s.website_session_id = t.sid
+  UNION ALL
+  SELECT order_date, product_id, 's', website_session_id, user_id, order_id,
+         EXISTS (FROM {p}touches t WHERE t.d = f.order_date AND t.product = f.product_id AND t.sid = f.website_session_id),
+         EXISTS (FROM {p}sales g WHERE g.order_date IS NOT DISTINCT FROM f.order_date AND g.product_id IS NOT DISTINCT FROM f.product_id
+                 AND g.user_id IS NOT DISTINCT FROM f.user_id AND g.order_id <> f.order_id), f
+  FROM {p}sales f)""",
+        f"""{p}product_days AS (
+  SELECT d AS metric_date, product AS product_id,
+         count(*) FILTER (WHERE kind = 't') AS product_pageviews_count, count(DISTINCT sid) FILTER (WHERE kind = 't') AS product_sessions_count,
+         count(DISTINCT who) FILTER (WHERE kind = 't') AS product_viewers_count,
+         count(DISTINCT sid) FILTER (WHERE converted) AS converted_sessions_count,
+         count(DISTINCT order_id) FILTER (WHERE converted) AS converted_orders_count,
+         count(*) FILTER (WHERE converted) AS converted_items_count,
+         count(*) FILTER (WHERE kind = 's') AS order_items_sold_count, count(DISTINCT order_id) AS orders_count,
+         count(DISTINCT who) FILTER (WHERE kind = 's') AS purchasing_users_count,
+         count(DISTINCT sid) FILTER (WHERE kind = 's') AS purchasing_sessions_count,
+         sum(sale.gross_revenue_usd) AS gross_revenue_usd, sum(sale.item_cogs_usd) AS cogs_usd,
+         sum(sale.gross_profit_usd) AS gross_profit_usd, {_n('sum(sale.refund_event_count)')} AS refund_event_count,
+         count(*) FILTER (WHERE sale.has_returned) AS returned_items_count, count(*) FILTER (WHERE sale.has_refund) AS refunded_items_count,
+         sum(sale.refund_amount_usd) AS refund_amount_usd, sum(sale.net_revenue_usd) AS net_revenue_usd,
+         sum(sale.net_profit_usd) AS net_profit_usd,
+         count(DISTINCT who) FILTER (WHERE sale.has_returned) AS purchasers_with_returns_count,
+         count(DISTINCT who) FILTER (WHERE again) AS repeat_buyers_count, count(*) FILTER (WHERE again) AS again_rows
+  FROM {p}product_events GROUP BY d, product)""",
     ]
-    names = {}
-    for tbl, base in (("products", "products_all"), ("website_sessions", "sessions_all"),
-                      ("website_pageviews", "pageviews_all"), ("orders", "orders_all"),
-                      ("order_items", "items_all"), ("order_item_refunds", "refunds_all")):
-        where = (f" WHERE created_at < {PREFIX_END}"
-                 if prefix_only and tbl != "products" else "")
-        ctes.append(f"{p}{tbl} AS (SELECT * FROM {p}{base}{where})")
-        names[tbl] = f"{p}{tbl}"
-    return ctes, names
-
-
-# ------------------------------------------------------------------ silver models
-def dim_products_sql(s: dict[str, str], o: str) -> list[str]:
-    return [f"""{o} AS (
-  SELECT CAST(product_id AS INTEGER) AS product_id, CAST(created_at AS TIMESTAMP) AS created_at_utc,
-         CAST(CAST(created_at AS TIMESTAMP) AS DATE) AS created_date,
-         trim(CAST(product_name AS VARCHAR)) AS product_name
-  FROM {s['products']})"""]
-
-
-def refunds_by_item_sql(s: dict[str, str], o: str) -> list[str]:
-    return [f"""{o} AS (
-  SELECT CAST(order_item_id AS BIGINT) AS order_item_id, CAST(order_id AS BIGINT) AS order_id,
-         count(*) AS refund_event_count, sum(CAST(refund_amount_usd AS DOUBLE)) AS refund_amount_usd,
-         min(CAST(created_at AS TIMESTAMP)) AS first_refund_created_at_utc,
-         max(CAST(created_at AS TIMESTAMP)) AS last_refund_created_at_utc
-  FROM {s['order_item_refunds']}
-  GROUP BY CAST(order_item_id AS BIGINT), CAST(order_id AS BIGINT))"""]
-
-
-def fct_sales_sql(s: dict[str, str], o: str) -> list[str]:
-    return refunds_by_item_sql(s, f"{o}_r") + [
-        f"""{o}_i AS (
-  SELECT CAST(order_item_id AS BIGINT) AS order_item_id, CAST(created_at AS TIMESTAMP) AS item_ts,
-         CAST(order_id AS BIGINT) AS order_id, CAST(product_id AS BIGINT) AS product_id,
-         CAST(is_primary_item AS BIGINT) AS is_primary_item_flag,
-         CAST(price_usd AS DOUBLE) AS rev, CAST(cogs_usd AS DOUBLE) AS cogs
-  FROM {s['order_items']})""",
-        f"""{o}_o AS (
-  SELECT CAST(order_id AS BIGINT) AS order_id, CAST(created_at AS TIMESTAMP) AS order_ts,
-         CAST(website_session_id AS BIGINT) AS website_session_id, CAST(user_id AS BIGINT) AS user_id,
-         CAST(primary_product_id AS BIGINT) AS primary_product_id,
-         CAST(items_purchased AS BIGINT) AS items_purchased,
-         CAST(price_usd AS DOUBLE) AS order_revenue_usd, CAST(cogs_usd AS DOUBLE) AS order_cogs_usd
-  FROM {s['orders']})""",
-        f"""{o} AS (
-  SELECT i.order_item_id, i.order_id, i.item_ts AS order_item_created_at_utc,
-         CAST(i.item_ts AS DATE) AS order_item_created_date, i.product_id, i.is_primary_item_flag,
-         CASE WHEN i.is_primary_item_flag = 1 THEN true ELSE false END AS is_primary_item,
-         od.order_ts AS order_created_at_utc, CAST(od.order_ts AS DATE) AS order_date,
-         od.website_session_id, od.user_id, od.primary_product_id, od.items_purchased,
-         od.order_revenue_usd, od.order_cogs_usd,
-         i.rev AS gross_revenue_usd, i.cogs AS item_cogs_usd, i.rev - i.cogs AS gross_profit_usd,
-         COALESCE(r.refund_event_count, 0) AS refund_event_count,
-         COALESCE(r.refund_amount_usd, CAST(0 AS DOUBLE)) AS refund_amount_usd,
-         r.first_refund_created_at_utc, r.last_refund_created_at_utc,
-         CASE WHEN COALESCE(r.refund_event_count, 0) > 0 THEN true ELSE false END AS has_returned,
-         CASE WHEN COALESCE(r.refund_amount_usd, 0) > 0 THEN true ELSE false END AS has_refund,
-         i.rev - COALESCE(r.refund_amount_usd, CAST(0 AS DOUBLE)) AS net_revenue_usd,
-         (i.rev - COALESCE(r.refund_amount_usd, CAST(0 AS DOUBLE))) - i.cogs AS net_profit_usd,
-         CASE WHEN i.rev = 0 THEN NULL
-              ELSE ((i.rev - COALESCE(r.refund_amount_usd, CAST(0 AS DOUBLE))) - i.cogs) / i.rev
-         END AS net_margin_pct
-  FROM {o}_i i
-  LEFT JOIN {o}_o od ON i.order_id = od.order_id
-  LEFT JOIN {o}_r r ON i.order_item_id = r.order_item_id AND i.order_id = r.order_id)"""]
-
-
-def pageviews_typed_sql(s: dict[str, str], o: str) -> list[str]:
-    return [f"""{o} AS (
-  SELECT CAST(website_pageview_id AS BIGINT) AS website_pageview_id,
-         CAST(website_session_id AS BIGINT) AS website_session_id,
-         CAST(created_at AS TIMESTAMP) AS pageview_created_at_utc,
-         CAST(pageview_url AS VARCHAR) AS pageview_url
-  FROM {s['website_pageviews']})"""]
-
-
-def pageviews_ranked_sql(s: dict[str, str], o: str) -> list[str]:
-    return pageviews_typed_sql(s, f"{o}_t") + [f"""{o} AS (
-  SELECT *,
-         row_number() OVER (PARTITION BY website_session_id
-                            ORDER BY pageview_created_at_utc ASC NULLS LAST,
-                                     website_pageview_id ASC NULLS LAST) AS pageview_number_asc,
-         row_number() OVER (PARTITION BY website_session_id
-                            ORDER BY pageview_created_at_utc DESC NULLS LAST,
-                                     website_pageview_id DESC NULLS LAST) AS pageview_number_desc
-  FROM {o}_t)"""]
-
-
-def pageviews_agg_sql(s: dict[str, str], o: str) -> list[str]:
-    return pageviews_ranked_sql(s, f"{o}_rk") + [f"""{o} AS (
-  SELECT website_session_id, count(*) AS pageviews_count,
-         min(pageview_created_at_utc) AS first_pageview_at_utc,
-         max(pageview_created_at_utc) AS last_pageview_at_utc,
-         max(CASE WHEN pageview_number_asc = 1 THEN pageview_url END) AS landing_page_url,
-         max(CASE WHEN pageview_number_desc = 1 THEN pageview_url END) AS exit_page_url
-  FROM {o}_rk GROUP BY website_session_id)"""]
-
-
-def product_pageviews_agg_sql(s: dict[str, str], dim: str, o: str) -> list[str]:
-    return pageviews_typed_sql(s, f"{o}_t") + [f"""{o} AS (
-  SELECT pv.website_session_id, count(*) AS product_pageviews_count,
-         count(DISTINCT pp.product_id) AS viewed_products_count
-  FROM {o}_t pv JOIN (SELECT product_id, {slug('product_name')} AS url FROM {dim}) pp
-    ON pv.pageview_url = pp.url
-  GROUP BY pv.website_session_id)"""]
-
-
-def orders_by_session_sql(s: dict[str, str], o: str) -> list[str]:
-    return [f"""{o} AS (
-  SELECT CAST(website_session_id AS BIGINT) AS website_session_id,
-         count(DISTINCT CAST(order_id AS BIGINT)) AS orders_count,
-         CAST(sum(CAST(items_purchased AS BIGINT)) AS BIGINT) AS items_purchased_count
-  FROM {s['orders']} GROUP BY CAST(website_session_id AS BIGINT))"""]
-
-
-def fct_sessions_sql(s: dict[str, str], dim: str, o: str) -> list[str]:
-    return (pageviews_agg_sql(s, f"{o}_pa") + product_pageviews_agg_sql(s, dim, f"{o}_ppa")
-            + orders_by_session_sql(s, f"{o}_oa") + [f"""{o} AS (
-  SELECT CAST(ss.website_session_id AS BIGINT) AS website_session_id,
-         CAST(ss.created_at AS TIMESTAMP) AS session_created_at_utc,
-         CAST(CAST(ss.created_at AS TIMESTAMP) AS DATE) AS session_date,
-         CAST(ss.user_id AS BIGINT) AS user_id,
-         CAST(ss.is_repeat_session AS BIGINT) AS is_repeat_session_flag,
-         CASE WHEN CAST(ss.is_repeat_session AS BIGINT) = 1 THEN true ELSE false END AS is_repeat_session,
-         CAST(ss.utm_source AS VARCHAR) AS utm_source, CAST(ss.utm_campaign AS VARCHAR) AS utm_campaign,
-         CAST(ss.utm_content AS VARCHAR) AS utm_content, CAST(ss.device_type AS VARCHAR) AS device_type,
-         CAST(ss.http_referer AS VARCHAR) AS http_referer,
-         pa.pageviews_count, pa.first_pageview_at_utc, pa.last_pageview_at_utc,
-         pa.landing_page_url, pa.exit_page_url,
-         CASE WHEN pa.pageviews_count = 1 THEN true ELSE false END AS is_bounced,
-         CASE WHEN pa.first_pageview_at_utc IS NULL OR pa.last_pageview_at_utc IS NULL THEN NULL
-              ELSE date_diff('second', pa.first_pageview_at_utc, pa.last_pageview_at_utc)
-         END AS session_duration_seconds,
-         COALESCE(ppa.product_pageviews_count, 0) AS product_pageviews_count,
-         COALESCE(ppa.viewed_products_count, 0) AS viewed_products_count,
-         CASE WHEN COALESCE(ppa.product_pageviews_count, 0) > 0 THEN true ELSE false END AS has_product_pageview,
-         COALESCE(oa.orders_count, 0) AS orders_count,
-         CASE WHEN COALESCE(oa.orders_count, 0) > 0 THEN true ELSE false END AS has_order,
-         COALESCE(oa.items_purchased_count, 0) AS items_purchased_count
-  FROM {s['website_sessions']} ss
-  LEFT JOIN {o}_pa pa ON CAST(ss.website_session_id AS BIGINT) = pa.website_session_id
-  LEFT JOIN {o}_ppa ppa ON CAST(ss.website_session_id AS BIGINT) = ppa.website_session_id
-  LEFT JOIN {o}_oa oa ON CAST(ss.website_session_id AS BIGINT) = oa.website_session_id)"""])
-
-
-# ------------------------------------------------------------------ gold models
-def _sum_long(expr: str) -> str:
-    return f"CAST(sum({expr}) AS BIGINT)"
-
-
-def _count_if(cond: str) -> str:
-    return f"CAST(sum(CASE WHEN {cond} THEN 1 ELSE 0 END) AS BIGINT)"
-
-
-def _ratio(num: str, den: str) -> str:
-    return f"CASE WHEN {den} = 0 THEN NULL ELSE CAST({num} AS DOUBLE) / CAST({den} AS DOUBLE) END"
-
-
-def product_sales_parts_sql(s: dict[str, str], dim: str, sess: str, sales: str, o: str
-                            ) -> list[str]:
+
+
+def mart_product_daily_sales(p: str) -> Ctes:
+    table = "mart_product_daily_sales"
+    derived = {"product_name": f"(SELECT any_value(product_name) FROM {p}dim x WHERE x.product_id = t.product_id)",
+               "unique_purchasers_count": "CASE WHEN whole THEN purchasing_users_count ELSE 0 END",
+               "product_session_conversion_rate": f"CASE WHEN whole THEN {_per('converted_sessions_count', 'product_sessions_count')} END",
+               "item_return_rate": f"CASE WHEN whole THEN {_per('returned_items_count', 'order_items_sold_count')} END",
+               "item_refund_rate": f"CASE WHEN whole THEN {_per('refunded_items_count', 'order_items_sold_count')} END"}
+    cols = [f"{derived[c]} AS {c}" if c in derived else c if c in ("metric_date", "product_id")
+            else f"CASE WHEN whole THEN coalesce(t.{c}, 0) ELSE 0 END AS {c}" for c in CONTRACTS[table].fieldNames()]
+    return [f"""{p}{table} AS (
+  SELECT {', '.join(cols)}
+  FROM (SELECT *, metric_date IS NOT NULL AND product_id IS NOT NULL AS whole FROM {p}product_days) t)"""]
+
+
+def mart_product_daily_returns(p: str) -> Ctes:
     return [
-        f"""{o}_ppv AS (
-  SELECT CAST(pv.created_at AS DATE) AS metric_date, CAST(pp.product_id AS BIGINT) AS product_id,
-         CAST(pv.website_session_id AS BIGINT) AS website_session_id
-  FROM {s['website_pageviews']} pv
-  JOIN (SELECT product_id, {slug('product_name')} AS url FROM {dim}) pp
-    ON CAST(pv.pageview_url AS VARCHAR) = pp.url)""",
-        f"""{o}_traffic AS (
-  SELECT p.metric_date, p.product_id, count(*) AS product_pageviews_count,
-         count(DISTINCT p.website_session_id) AS product_sessions_count,
-         count(DISTINCT f.user_id) AS product_viewers_count
-  FROM {o}_ppv p LEFT JOIN {sess} f ON p.website_session_id = f.website_session_id
-  GROUP BY p.metric_date, p.product_id)""",
-        f"""{o}_touch AS (SELECT DISTINCT metric_date, product_id, website_session_id FROM {o}_ppv)""",
-        f"""{o}_conv AS (
-  SELECT t.metric_date, t.product_id,
-         count(DISTINCT f.website_session_id) AS converted_sessions_count,
-         count(DISTINCT f.order_id) AS converted_orders_count, count(*) AS converted_items_count
-  FROM {o}_touch t JOIN {sales} f
-    ON t.website_session_id = f.website_session_id AND t.product_id = f.product_id
-   AND t.metric_date = f.order_date
-  GROUP BY t.metric_date, t.product_id)""",
-        f"""{o}_sold AS (
-  SELECT order_date AS metric_date, product_id, count(*) AS order_items_sold_count,
-         count(DISTINCT order_id) AS orders_count, count(DISTINCT user_id) AS purchasing_users_count,
-         count(DISTINCT website_session_id) AS purchasing_sessions_count,
-         sum(gross_revenue_usd) AS gross_revenue_usd, sum(item_cogs_usd) AS cogs_usd,
-         sum(gross_profit_usd) AS gross_profit_usd,
-         {_sum_long('refund_event_count')} AS refund_event_count,
-         {_count_if('has_returned')} AS returned_items_count,
-         {_count_if('has_refund')} AS refunded_items_count,
-         sum(refund_amount_usd) AS refund_amount_usd, sum(net_revenue_usd) AS net_revenue_usd,
-         sum(net_profit_usd) AS net_profit_usd
-  FROM {sales} GROUP BY order_date, product_id)""",
-        f"""{o}_cust AS (
-  SELECT order_date AS metric_date, product_id, count(DISTINCT user_id) AS unique_purchasers_count,
-         count(DISTINCT CASE WHEN has_returned THEN user_id END) AS purchasers_with_returns_count
-  FROM {sales} GROUP BY order_date, product_id)""",
-        f"""{o}_rb AS (
-  SELECT metric_date, product_id, count(DISTINCT user_id) AS repeat_buyers_count
-  FROM (SELECT order_date AS metric_date, product_id, user_id,
-               count(DISTINCT order_id) AS orders_per_user
-        FROM {sales} GROUP BY order_date, product_id, user_id) x
-  WHERE orders_per_user > 1 GROUP BY metric_date, product_id)""",
-        f"""{o}_grains AS (
-  SELECT metric_date, CAST(product_id AS BIGINT) AS product_id FROM {o}_traffic
-  UNION SELECT metric_date, product_id FROM {o}_sold)""",
+        f"""{p}return_days AS (
+  SELECT order_date, product_id, count(*) AS sold, count(*) FILTER (WHERE has_returned) AS returned,
+         count(*) FILTER (WHERE has_refund) AS refunded, {_n('sum(refund_event_count)')} AS refund_event_count,
+         avg(gross_revenue_usd) AS mean_price, min(gross_revenue_usd) AS low, max(gross_revenue_usd) AS high,
+         max(max(gross_revenue_usd)) OVER (PARTITION BY product_id) AS list_price,
+         sum(refund_amount_usd) AS refund_amount_usd, sum(gross_revenue_usd * has_returned::INT) AS back,
+         sum(gross_revenue_usd) AS gross_revenue_usd, sum(net_revenue_usd) AS net_revenue_usd, sum(net_profit_usd) AS net_profit_usd
+  FROM {p}sales GROUP BY order_date, product_id)""",
+        f"""{p}mart_product_daily_returns AS (
+  SELECT order_date, t.product_id, product_name, sold AS order_items_sold_count, returned AS returned_items_count,
+         refunded AS refunded_items_count, refund_event_count, mean_price AS avg_selling_price_usd, low AS min_selling_price_usd,
+         high AS max_selling_price_usd, list_price AS list_price_usd, greatest(0, coalesce(list_price, 0) - mean_price) AS inferred_discount_usd,
+         inferred_discount_usd / nullif(list_price, 0) AS inferred_discount_pct, refund_amount_usd, back AS returned_gross_revenue_usd,
+         gross_revenue_usd, net_revenue_usd, net_profit_usd, {_per('returned', 'sold')} AS item_return_rate,
+         {_per('refunded', 'sold')} AS item_refund_rate, refund_amount_usd / nullif(back, 0) AS refund_capture_rate
+  FROM {p}return_days t LEFT JOIN {p}dim x ON x.product_id = t.product_id)""",
     ]
 
 
-def mart_product_daily_sales_sql(s, dim, sess, sales, o) -> list[str]:
-    z = lambda a, c, zero="0": f"COALESCE({a}.{c}, {zero}) AS {c}"
-    zd = lambda a, c: z(a, c, "CAST(0 AS DOUBLE)")
-    cols = ",\n         ".join(
-        [z("t", c) for c in ("product_pageviews_count", "product_sessions_count",
-                             "product_viewers_count")]
-        + [z("c", c) for c in ("converted_sessions_count", "converted_orders_count",
-                               "converted_items_count")]
-        + [_ratio("COALESCE(c.converted_sessions_count, 0)", "COALESCE(t.product_sessions_count, 0)")
-           + " AS product_session_conversion_rate"]
-        + [z("sd", c) for c in ("order_items_sold_count", "orders_count", "purchasing_users_count",
-                                "purchasing_sessions_count")]
-        + [zd("sd", c) for c in ("gross_revenue_usd", "cogs_usd", "gross_profit_usd")]
-        + [z("sd", c) for c in ("refund_event_count", "returned_items_count", "refunded_items_count")]
-        + [zd("sd", c) for c in ("refund_amount_usd", "net_revenue_usd", "net_profit_usd")]
-        + [z("pc", c) for c in ("unique_purchasers_count", "purchasers_with_returns_count")]
-        + [z("rb", "repeat_buyers_count")]
-        + [_ratio("COALESCE(sd.returned_items_count, 0)", "COALESCE(sd.order_items_sold_count, 0)")
-           + " AS item_return_rate",
-           _ratio("COALESCE(sd.refunded_items_count, 0)", "COALESCE(sd.order_items_sold_count, 0)")
-           + " AS item_refund_rate"])
-    on = lambda a: f"g.metric_date = {a}.metric_date AND g.product_id = {a}.product_id"
-    return product_sales_parts_sql(s, dim, sess, sales, o) + [f"""{o} AS (
-  SELECT g.metric_date, g.product_id, d.product_name,
-         {cols}
-  FROM {o}_grains g
-  LEFT JOIN {dim} d ON g.product_id = d.product_id
-  LEFT JOIN {o}_traffic t ON {on('t')}
-  LEFT JOIN {o}_conv c ON {on('c')}
-  LEFT JOIN {o}_sold sd ON {on('sd')}
-  LEFT JOIN {o}_cust pc ON {on('pc')}
-  LEFT JOIN {o}_rb rb ON {on('rb')})"""]
-
-
-def product_list_price_sql(sales: str, o: str) -> list[str]:
-    return [f"""{o} AS (
-  SELECT product_id, max(gross_revenue_usd) AS list_price_usd FROM {sales} GROUP BY product_id)"""]
-
-
-def mart_product_daily_returns_sql(sales: str, dim: str, o: str) -> list[str]:
-    disc = "greatest(COALESCE(lp.list_price_usd, CAST(0 AS DOUBLE)) - dr.avg_selling_price_usd, CAST(0 AS DOUBLE))"
-    return product_list_price_sql(sales, f"{o}_lp") + [
-        f"""{o}_d AS (
-  SELECT order_date, product_id, count(*) AS order_items_sold_count,
-         avg(gross_revenue_usd) AS avg_selling_price_usd, min(gross_revenue_usd) AS min_selling_price_usd,
-         max(gross_revenue_usd) AS max_selling_price_usd,
-         {_count_if('has_returned')} AS returned_items_count,
-         {_count_if('has_refund')} AS refunded_items_count,
-         {_sum_long('refund_event_count')} AS refund_event_count,
-         sum(refund_amount_usd) AS refund_amount_usd,
-         sum(CASE WHEN has_returned THEN gross_revenue_usd ELSE CAST(0 AS DOUBLE) END) AS returned_gross_revenue_usd,
-         sum(gross_revenue_usd) AS gross_revenue_usd, sum(net_revenue_usd) AS net_revenue_usd,
-         sum(net_profit_usd) AS net_profit_usd
-  FROM {sales} GROUP BY order_date, product_id)""",
-        f"""{o} AS (
-  SELECT dr.order_date, dr.product_id, d.product_name,
-         dr.order_items_sold_count, dr.returned_items_count, dr.refunded_items_count,
-         dr.refund_event_count, dr.avg_selling_price_usd, dr.min_selling_price_usd,
-         dr.max_selling_price_usd, lp.list_price_usd,
-         {disc} AS inferred_discount_usd,
-         CASE WHEN COALESCE(lp.list_price_usd, 0) = 0 THEN NULL ELSE {disc} / lp.list_price_usd END
-           AS inferred_discount_pct,
-         dr.refund_amount_usd, dr.returned_gross_revenue_usd, dr.gross_revenue_usd,
-         dr.net_revenue_usd, dr.net_profit_usd,
-         {_ratio('dr.returned_items_count', 'dr.order_items_sold_count')} AS item_return_rate,
-         {_ratio('dr.refunded_items_count', 'dr.order_items_sold_count')} AS item_refund_rate,
-         CASE WHEN dr.returned_gross_revenue_usd = 0 THEN NULL
-              ELSE dr.refund_amount_usd / dr.returned_gross_revenue_usd END AS refund_capture_rate
-  FROM {o}_d dr
-  LEFT JOIN {dim} d ON dr.product_id = d.product_id
-  LEFT JOIN {o}_lp lp ON dr.product_id = lp.product_id)"""]
-
-
-def mart_channel_daily_sessions_sql(sess: str, o: str) -> list[str]:
-    viewed = "sum(CASE WHEN has_product_pageview THEN 1 ELSE 0 END)"
-    return [f"""{o} AS (
-  SELECT session_date,
-         COALESCE(utm_source, '(none)') AS utm_source, COALESCE(utm_campaign, '(none)') AS utm_campaign,
-         COALESCE(utm_content, '(none)') AS utm_content, COALESCE(device_type, '(none)') AS device_type,
-         count(*) AS sessions_count,
-         {_count_if('is_bounced')} AS bounced_sessions_count,
-         {_sum_long('product_pageviews_count')} AS product_pageviews_count,
-         CAST({viewed} AS BIGINT) AS product_view_sessions_count,
-         {_sum_long('orders_count')} AS orders_count,
-         {_sum_long('items_purchased_count')} AS items_purchased_count,
-         {_ratio('sum(CASE WHEN has_order THEN 1 ELSE 0 END)', 'count(*)')} AS session_conversion_rate,
-         {_ratio('sum(CASE WHEN is_bounced THEN 1 ELSE 0 END)', 'count(*)')} AS bounce_rate,
-         {_ratio(viewed, 'count(*)')} AS product_view_session_rate,
-         {_ratio('sum(orders_count)', viewed)} AS orders_per_product_view_session
-  FROM {sess}
-  GROUP BY session_date, COALESCE(utm_source, '(none)'), COALESCE(utm_campaign, '(none)'),
-           COALESCE(utm_content, '(none)'), COALESCE(device_type, '(none)'))"""]
-
-
-def daily_sessions_sql(sess: str, o: str) -> list[str]:
-    return [f"""{o} AS (
-  SELECT session_date AS metric_date, count(*) AS sessions_count,
-         count(DISTINCT user_id) AS active_users_count,
-         count(DISTINCT CASE WHEN is_repeat_session THEN user_id END) AS repeat_session_users_count,
-         count(DISTINCT CASE WHEN NOT is_repeat_session THEN user_id END) AS new_session_users_count,
-         {_count_if('is_bounced')} AS bounced_sessions_count,
-         {_sum_long('product_pageviews_count')} AS product_pageviews_count,
-         count(DISTINCT CASE WHEN has_product_pageview THEN website_session_id END) AS product_view_sessions_count,
-         count(DISTINCT CASE WHEN has_product_pageview THEN user_id END) AS users_with_product_views_count
-  FROM {sess} GROUP BY session_date)"""]
-
-
-def daily_sales_sql(sales: str, o: str) -> list[str]:
-    return [f"""{o} AS (
-  SELECT order_date AS metric_date, count(DISTINCT order_id) AS orders_count,
-         count(*) AS order_items_sold_count, count(DISTINCT user_id) AS purchasing_users_count,
-         count(DISTINCT CASE WHEN has_returned THEN user_id END) AS users_with_returns_count,
-         sum(gross_revenue_usd) AS gross_revenue_usd, sum(refund_amount_usd) AS refund_amount_usd,
-         sum(net_revenue_usd) AS net_revenue_usd, sum(net_profit_usd) AS net_profit_usd
-  FROM {sales} GROUP BY order_date)"""]
-
-
-def mart_customer_daily_value_sql(sess: str, sales: str, o: str) -> list[str]:
-    z = lambda a, c, zero="0": f"COALESCE({a}.{c}, {zero}) AS {c}"
-    cols = ",\n         ".join(
-        [z("ds", c) for c in ("sessions_count", "active_users_count", "repeat_session_users_count",
-                              "new_session_users_count", "bounced_sessions_count",
-                              "product_pageviews_count", "product_view_sessions_count",
-                              "users_with_product_views_count")]
-        + [z("sl", c) for c in ("orders_count", "order_items_sold_count", "purchasing_users_count",
-                                "users_with_returns_count")]
-        + [z("sl", c, "CAST(0 AS DOUBLE)") for c in ("gross_revenue_usd", "refund_amount_usd",
-                                                     "net_revenue_usd", "net_profit_usd")]
-        + [_ratio("COALESCE(sl.orders_count, 0)", "COALESCE(ds.sessions_count, 0)")
-           + " AS orders_per_session",
-           _ratio("COALESCE(ds.users_with_product_views_count, 0)",
-                  "COALESCE(ds.active_users_count, 0)") + " AS product_view_user_penetration_rate",
-           _ratio("sl.net_revenue_usd", "COALESCE(sl.purchasing_users_count, 0)")
-           + " AS net_revenue_per_purchasing_user"])
-    return daily_sessions_sql(sess, f"{o}_ds") + daily_sales_sql(sales, f"{o}_sl") + [
-        f"""{o}_dates AS (SELECT metric_date FROM {o}_ds UNION SELECT metric_date FROM {o}_sl)""",
-        f"""{o} AS (
-  SELECT d.metric_date,
-         {cols}
-  FROM {o}_dates d
-  LEFT JOIN {o}_ds ds ON d.metric_date = ds.metric_date
-  LEFT JOIN {o}_sl sl ON d.metric_date = sl.metric_date)"""]
+def mart_channel_daily_sessions(p: str) -> Ctes:
+    dims = ", ".join(f"ifnull({c}, '(none)') AS {c}" for c in ("utm_source", "utm_campaign", "utm_content", "device_type"))
+    return [f"""{p}mart_channel_daily_sessions AS (
+  SELECT session_date, utm_source, utm_campaign, utm_content, device_type, count(*) AS sessions_count,
+         count(*) FILTER (WHERE is_bounced) AS bounced_sessions_count, {_n('sum(product_pageviews_count)')} AS product_pageviews_count,
+         count(*) FILTER (WHERE has_product_pageview) AS product_view_sessions_count, {_n('sum(orders_count)')} AS orders_count,
+         {_n('sum(items_purchased_count)')} AS items_purchased_count, avg(has_order::INT) AS session_conversion_rate,
+         avg(is_bounced::INT) AS bounce_rate, avg(has_product_pageview::INT) AS product_view_session_rate,
+         {_per('sum(orders_count)', 'count(*) FILTER (WHERE has_product_pageview)')} AS orders_per_product_view_session
+  FROM (SELECT * REPLACE ({dims}) FROM {p}sess) GROUP BY session_date, utm_source, utm_campaign, utm_content, device_type)"""]
+
+
+def customer_days(p: str) -> Ctes:
+    return [
+        f"""{p}customer_events AS (
+  SELECT session_date AS d, user_id AS who, s AS visit, NULL AS sale FROM {p}sess s
+  UNION ALL SELECT order_date, user_id, NULL, f FROM {p}sales f)""",
+        f"""{p}customer_days AS (
+  SELECT d AS metric_date, count(visit) AS sessions_count, count(DISTINCT who) FILTER (WHERE visit IS NOT NULL) AS active_users_count,
+         count(DISTINCT who) FILTER (WHERE visit.is_repeat_session) AS repeat_session_users_count,
+         count(DISTINCT who) FILTER (WHERE NOT visit.is_repeat_session) AS new_session_users_count,
+         count(*) FILTER (WHERE visit.is_bounced) AS bounced_sessions_count,
+         {_n('sum(visit.product_pageviews_count)')} AS product_pageviews_count,
+         count(DISTINCT visit.website_session_id) FILTER (WHERE visit.has_product_pageview) AS product_view_sessions_count,
+         count(DISTINCT who) FILTER (WHERE visit.has_product_pageview) AS users_with_product_views_count,
+         count(DISTINCT sale.order_id) AS orders_count, count(sale) AS order_items_sold_count,
+         count(DISTINCT who) FILTER (WHERE sale IS NOT NULL) AS purchasing_users_count,
+         count(DISTINCT who) FILTER (WHERE sale.has_returned) AS users_with_returns_count,
+         sum(sale.gross_revenue_usd) AS gross_revenue_usd, sum(sale.refund_amount_usd) AS refund_amount_usd,
+         sum(sale.net_revenue_usd) AS net_revenue_usd, sum(sale.net_profit_usd) AS net_profit_usd
+  FROM {p}customer_events GROUP BY d)""",
+    ]
+
+
+def mart_customer_daily_value(p: str) -> Ctes:
+    table = "mart_customer_daily_value"
+    derived = {"orders_per_session": _per("orders_count", "sessions_count"),
+               "product_view_user_penetration_rate": _per("users_with_product_views_count", "active_users_count"),
+               "net_revenue_per_purchasing_user": _per("net_revenue_usd", "purchasing_users_count")}
+    cols = [f"CASE WHEN metric_date IS NOT NULL THEN {derived[c]} END AS {c}" if c in derived else c if c == "metric_date"
+            else f"CASE WHEN metric_date IS NULL THEN 0 ELSE coalesce(t.{c}, 0) END AS {c}" for c in CONTRACTS[table].fieldNames()]
+    return [f"{p}{table} AS (SELECT {', '.join(cols)} FROM {p}customer_days t)"]
 
 
 # ------------------------------------------------------------------ assembly
-def silver_ctes(s: dict[str, str], p: str) -> tuple[list[str], dict[str, str]]:
-    names = {"dim_products": f"{p}dim", "fct_sales": f"{p}sales", "fct_sessions": f"{p}sess"}
-    ctes = (dim_products_sql(s, names["dim_products"]) + fct_sales_sql(s, names["fct_sales"])
-            + fct_sessions_sql(s, names["dim_products"], names["fct_sessions"]))
-    return ctes, names
-
-
-def gold_ctes(s: dict[str, str], t: dict[str, str], p: str) -> tuple[list[str], dict[str, str]]:
-    names = {m: f"{p}{m}" for m in ("mart_product_daily_sales", "mart_product_daily_returns",
-                                    "mart_channel_daily_sessions", "mart_customer_daily_value")}
-    ctes = (mart_product_daily_sales_sql(s, t["dim_products"], t["fct_sessions"], t["fct_sales"],
-                                         names["mart_product_daily_sales"])
-            + mart_product_daily_returns_sql(t["fct_sales"], t["dim_products"],
-                                             names["mart_product_daily_returns"])
-            + mart_channel_daily_sessions_sql(t["fct_sessions"], names["mart_channel_daily_sessions"])
-            + mart_customer_daily_value_sql(t["fct_sessions"], t["fct_sales"],
-                                            names["mart_customer_daily_value"]))
-    return ctes, names
-
-
-def _r4(c: str) -> str:
-    """Snap a double to the comparison grid 2^-14 (see registry.COMPARE_GRID)."""
-    return f"round({c} * 16384.0) / 16384.0"
-
-
-def query(ctes: list[str], final: str, doubles: list[str] = (), columns: list[str] | None = None
-          ) -> str:
-    """WITH <ctes> SELECT <columns, doubles snapped to the comparison grid> FROM <final>."""
-    if columns is None:
-        body = "*"
-        if doubles:
-            body = "* REPLACE (" + ", ".join(f"{_r4(c)} AS {c}" for c in doubles) + ")"
-    else:
-        body = ", ".join(f"{_r4(c)} AS {c}" if c in doubles else c for c in columns)
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT {body} FROM {final}"
-
-
-def contract_query(ctes: list[str], final: str, table: str) -> str:
-    cols = [f.name for f in CONTRACTS[table].fields]
-    return query(ctes, final, double_columns(table), cols)
+def silver(p: str) -> Ctes:
+    return dim_products(p) + fct_sales(p) + fct_sessions(p)
+
+
+def gold(p: str) -> Ctes:
+    return (product_days(p) + mart_product_daily_sales(p) + mart_product_daily_returns(p) + mart_channel_daily_sessions(p)
+            + customer_days(p) + mart_customer_daily_value(p))
+
+
+TABLE = {"dim_products": "dim", "fct_sales": "sales", "fct_sessions": "sess"}
+
+
+def name_of(table: str, p: str = "b_") -> str:
+    return p + TABLE.get(table, table)
+
+
+def snapped(columns: list[str]) -> list[str]:
+    return [f"round({c} * 16384.0) / 16384.0 AS {c}" if c in SUMMED else c for c in columns]
+
+
+def query(ctes: Ctes, body: str) -> str:
+    return "WITH " + ",\n".join(ctes) + "\n" + body
+
+
+def contract_query(ctes: Ctes, source: str, table: str) -> str:
+    """A model's contract columns; sums are snapped in marts only (a fact's amounts are not sums over many rows)."""
+    columns = CONTRACTS[table].fieldNames()
+    return query(ctes, f"SELECT {', '.join(snapped(columns) if table.startswith('mart_') else columns)} FROM {source}")

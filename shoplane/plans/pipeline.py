@@ -7,18 +7,25 @@ cuts the lineage between layers. Gold marts are refreshed incrementally.
 
 Warehouse layout::
 
-    <warehouse>/silver/<table>/part-*.parquet
+    <warehouse>/silver/dim_products/part-*.parquet
+    <warehouse>/silver/<fact>/<date_col>_month=YYYY-MM-01/part-*.parquet
     <warehouse>/gold/<mart>/<date_col>=YYYY-MM-DD/part-*.parquet
 """
 
 from __future__ import annotations
 
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import gold, incremental, quality, silver
+from ..operators.commit import replace_folder
 from ..parallel import DEFAULT_PARALLELISM, run_all
-from ..schemas import CONTRACTS, GRAIN, PARTITION_DATE, TABLE_COMMENTS, TABLE_LAYER
+from ..schemas import (CONTRACTS, GRAIN, OPTIONAL_SOURCES, PARTITION_DATE, PARTITIONED_SOURCES,
+                       STATIC_SOURCES, TABLE_COMMENTS, TABLE_LAYER)
+from ..session import scratch_scope
 
 SILVER_ORDER = ("dim_products", "fct_sales", "fct_sessions")
 SILVER_DATE = {"fct_sales": "order_date", "fct_sessions": "session_date"}
@@ -45,13 +52,18 @@ def write_silver(spark: SparkSession, src, warehouse: str,
     then build concurrently, and the session fact reads the written dimension.
     """
     def write(t: str, df: DataFrame) -> DataFrame:
-        path = table_path(warehouse, t)
-        if t in SILVER_DATE:
-            # local sort only (no shuffle): each file's row groups cover narrow date
-            # ranges, so the marts' "date >= cutoff" skips old row groups by min/max
-            df = df.sortWithinPartitions(SILVER_DATE[t])
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(CONTRACTS[t]).parquet(path)
+        path, date = table_path(warehouse, t), SILVER_DATE.get(t)
+        schema = CONTRACTS[t]
+        if date is None:
+            replace_folder(spark, path, lambda new: df.write.parquet(new))
+        else:
+            # months are folders, so the marts' "date >= cutoff" skips whole months when it is planned;
+            # rebalance sizes the tasks from the data and splits a month that is very large
+            month = f"{date}_month"
+            rows = df.withColumn(month, F.trunc(date, "month")).hint("rebalance", month).sortWithinPartitions(month, date)
+            replace_folder(spark, path, lambda new: rows.write.partitionBy(month).parquet(new))
+            schema = T.StructType([*schema.fields, T.StructField(month, T.DateType())])
+        return spark.read.schema(schema).parquet(path)
 
     dim = write("dim_products", silver.dim_products(src))
     facts = run_all({"fct_sales": lambda: write("fct_sales", silver.fct_sales(src)),
@@ -82,11 +94,12 @@ def read_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
 
 def build(spark: SparkSession, src, warehouse: str, full_refresh: bool = False,
           marts=GOLD_ORDER, parallelism: int = DEFAULT_PARALLELISM) -> dict:
-    """Run the whole model graph; returns per-mart run facts."""
-    written = write_silver(spark, src, warehouse, parallelism)
-    tables = {**written, "website_pageviews": src["website_pageviews"]}
-    return refresh_gold(spark, tables, warehouse, full_refresh=full_refresh, marts=marts,
-                        parallelism=parallelism)
+    """Run the whole model graph; returns per-mart run facts. Intermediates are deleted at its end."""
+    with scratch_scope(spark, "build"):
+        written = write_silver(spark, src, warehouse, parallelism)
+        tables = {**written, "website_pageviews": src["website_pageviews"]}
+        return refresh_gold(spark, tables, warehouse, full_refresh=full_refresh, marts=marts,
+                            parallelism=parallelism)
 
 
 def validate(spark: SparkSession, warehouse: str) -> DataFrame:
@@ -95,27 +108,35 @@ def validate(spark: SparkSession, warehouse: str) -> DataFrame:
     return quality.validate(tables)
 
 
-def register_catalog(spark: SparkSession, warehouse: str, lake_root: str | None = None) -> None:
-    """Expose built tables as ``silver.*`` / ``gold.*`` (and the lake's sources as
-    ``raw.*`` when ``lake_root`` is given) in the session catalog."""
+def base_view(table: str) -> str:
+    """Bronze model of a source: every column as it is, under its own name."""
+    return f"raw.base_{table}"
+
+
+def register_catalog(spark: SparkSession, warehouse: str, lake_root: str | None = None,
+                     marts=GOLD_ORDER) -> None:
+    """Expose built tables as ``silver.*`` / ``gold.*`` in the session catalog. With ``lake_root``, also
+    the lake's sources as ``raw.*`` and the bronze models over them as views ``raw.base_*``."""
     layers = ("raw", "silver", "gold") if lake_root else ("silver", "gold")
     for layer in layers:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
-    entries = [(f"{TABLE_LAYER[t]}.{t}", table_path(warehouse, t), t in PARTITION_DATE,
-                TABLE_COMMENTS[t]) for t in SILVER_ORDER + GOLD_ORDER]
+    entries = [(f"{TABLE_LAYER[t]}.{t}", table_path(warehouse, t), t in PARTITION_DATE or t in SILVER_DATE,
+                TABLE_COMMENTS[t]) for t in SILVER_ORDER + tuple(marts)]
     if lake_root:
-        from ..schemas import PARTITIONED_SOURCES, STATIC_SOURCES
         root = lake_root.rstrip("/")
         entries += [(f"raw.{t}", f"{root}/{t}", t in PARTITIONED_SOURCES, f"Raw {t} source")
                     for t in PARTITIONED_SOURCES + STATIC_SOURCES]
     for name, path, partitioned, comment in entries:
+        source = name.partition(".")[2]
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         try:
             spark.catalog.createTable(name, path=path, source="parquet", description=comment)
-        except Exception:  # noqa: BLE001 - an optional raw table (dictionary) may be absent
-            if name.startswith("raw."):
+        except AnalysisException as e:
+            if name.startswith("raw.") and source in OPTIONAL_SOURCES and e.getCondition() in (
+                    "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
                 continue
             raise
         if partitioned:                          # register the partition folders
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-
+        if name.startswith("raw.") and source not in OPTIONAL_SOURCES:
+            spark.sql(f"CREATE OR REPLACE VIEW {base_view(source)} AS SELECT * FROM {name}")

@@ -2,13 +2,14 @@
 operator/model, and its reference SQL for the DuckDB oracle.
 
 Set A (part/orders/lineitem) drives the sales-at-scale models, Set B (events)
-the clickstream models and incremental runs (FIXTURES.md section 4). Double
-columns are snapped to a binary grid (2^-14) on both sides for the comparison
+the clickstream models and incremental runs (FIXTURES.md section 4). Sums of
+doubles are snapped to a binary grid (2^-14) on both sides for the comparison
 only; the library functions themselves return full precision.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,29 +17,33 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import gold, quality, silver
-from ..schemas import GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, UNIQUE
+from ..operators.commit import replace_folder
+from ..schemas import CONTRACTS, GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, PARTITIONED_SOURCES, UNIQUE
 from ..session import scratch_path
 from ..sources import fixtures
-from ..sources.lake import with_partition_columns
+from ..sources.lake import LakeSources, ingest_csv, with_partition_columns
 from . import oracle as o
 from . import pipeline
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+LAKE_CUTOFF = dt.date(2024, 1, 13)
 
-# Comparison grid for doubles (both engines, comparison only): round(x * 2^14) / 2^14.
+
+# Comparison grid for sums of doubles (both engines, comparison only): round(x * 2^14) / 2^14.
 # Scaling by a power of two is exact, so only values exactly on a 2^-15 boundary
 # could round differently; decimal money values (cents, 4-place amounts and their
 # averages over small counts) never sit there. A decimal grid does not have this
 # property: e.g. an average of eight cent prices often ends in ...5 at the 5th
-# place, and the two engines' summation orders then round it either way.
+# place, and the two engines' summation orders then round it either way. Columns
+# that do not depend on the order of a sum are compared as they are.
 COMPARE_GRID = float(2 ** 14)
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles snapped to the comparison grid - the same formula the oracle SQL states."""
+    """Sums of doubles snapped to the comparison grid - the same formula the oracle SQL states."""
     return df.select([(F.round(F.col(f.name) * COMPARE_GRID) / COMPARE_GRID).alias(f.name)
-                      if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+                      if isinstance(f.dataType, T.DoubleType) and f.name in o.SUMMED else F.col(f.name)
                       for f in df.schema.fields])
 
 
@@ -70,15 +75,15 @@ def q_raw_partition_columns(spark, sf):
 
 
 def q_refunds_by_item(spark, sf):
-    return rounded(silver.refunds_by_item(_a(spark, sf)))
+    return silver.refunds_by_item(_a(spark, sf))
 
 
 def q_fct_sales(spark, sf):
-    return rounded(silver.fct_sales(_a(spark, sf)))
+    return silver.fct_sales(_a(spark, sf))
 
 
 def q_product_list_price(spark, sf):
-    return rounded(gold.product_list_price(silver.fct_sales(_a(spark, sf))))
+    return gold.product_list_price(silver.fct_sales(_a(spark, sf)))
 
 
 def q_mart_product_daily_returns(spark, sf):
@@ -111,7 +116,7 @@ def q_fct_sessions(spark, sf):
 
 
 def q_fct_sales_clickstream(spark, sf):
-    return rounded(silver.fct_sales(_b(spark, sf)))
+    return silver.fct_sales(_b(spark, sf))
 
 
 def _ppv(spark, sf, **kw):
@@ -140,6 +145,87 @@ A8_COLUMNS = ["metric_date", "product_id", "order_items_sold_count", "orders_cou
               "refunded_items_count", "refund_amount_usd", "net_revenue_usd", "net_profit_usd"]
 
 
+def q_session_pageview_rollup(spark, sf):
+    return silver.session_pageview_rollup(_b(spark, sf))
+
+
+def q_session_pageview_rollup_slug_collision(spark, sf):
+    return silver.session_pageview_rollup(_b(spark, sf, collision=True))
+
+
+def q_fct_sessions_slug_collision(spark, sf):
+    return silver.fct_sessions(_b(spark, sf, collision=True))
+
+
+def _lake(spark, sf, **kw):
+    """Set B written to CSV files, ingested to a lake, and read back from there."""
+    base = scratch_path(spark, "csv-round-trip")
+    for name, df in _b(spark, sf, **kw).items():
+        df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS").csv(f"{base}/csv/{name}.csv")
+    ingest_csv(spark, f"{base}/csv", f"{base}/lake")
+    return base, LakeSources(spark, f"{base}/lake")
+
+
+def q_csv_round_trip(spark, sf):
+    _, src = _lake(spark, sf)
+    rows = None
+    for name in sorted(PARTITIONED_SOURCES):
+        part = src[name].groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("table_name"), "year", "month", "n")
+        rows = part if rows is None else rows.unionByName(part)
+    products = src["products"].agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("products").alias("table_name"), F.lit(None).cast("int").alias("year"), F.lit(None).cast("int").alias("month"), "n")
+    return rows.unionByName(products)
+
+
+def q_lake_orders(spark, sf):
+    _, src = _lake(spark, sf)
+    return src["orders"]
+
+
+def q_lake_month_pruned(spark, sf):
+    """Product touches from a cutoff on, read from the lake's month folders."""
+    _, src = _lake(spark, sf)
+    ppv = gold.product_pageviews_dated(src["website_pageviews"], silver.dim_products(src), LAKE_CUTOFF)
+    return gold.session_product_touch(ppv)
+
+
+def q_schema_drift(spark, sf):
+    """The returns mart without a column, then merged with its whole contract: old rows get NULL."""
+    mart = "mart_product_daily_returns"
+    wh = scratch_path(spark, "drift")
+    pipeline.build(spark, _b(spark, sf, before=fixtures.PREFIX_END), wh, marts=(mart,))
+    path = pipeline.table_path(wh, mart)
+    old = pipeline.read_table(spark, wh, mart).drop("refund_capture_rate")
+    replace_folder(spark, path, lambda new: old.write.partitionBy(PARTITION_DATE[mart]).parquet(new))
+    facts = pipeline.build(spark, _b(spark, sf), wh, marts=(mart,))
+    assert facts[mart]["mode"] == "incremental", facts
+    return rounded(pipeline.read_table(spark, wh, mart))
+
+
+def q_raw_base_views(spark, sf):
+    """Sessions by device through the catalog's bronze model."""
+    base, src = _lake(spark, sf)
+    wh = f"{base}/wh"
+    pipeline.build(spark, src, wh, marts=("mart_channel_daily_sessions",))
+    pipeline.register_catalog(spark, wh, f"{base}/lake", marts=("mart_channel_daily_sessions",))
+    return spark.table("raw.base_website_sessions").groupBy("device_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_column_comments(spark, sf):
+    """Every described column of the built tables, with its number of rows that are not NULL."""
+    _, t = _silver_b(spark, sf)
+    parts = None
+    for name, df in sorted(t.items()):
+        described = [f.name for f in df.schema.fields if f.metadata.get("comment")]
+        counts = df.agg(*[F.count(c).alias(c) for c in described])
+        pairs = ", ".join(f"'{c}', `{c}`" for c in described)
+        part = counts.selectExpr(f"stack({len(described)}, {pairs}) as (column_name, n)").select(
+            F.lit(name).alias("table_name"), "column_name", "n")
+        parts = part if parts is None else parts.unionByName(part)
+    return parts
+
+
 def q_daily_product_sales(spark, sf):
     _, t = _silver_b(spark, sf)
     return rounded(gold.daily_product_sales(t["fct_sales"]).select(*A8_COLUMNS))
@@ -196,12 +282,9 @@ def _incremental(mart: str) -> Query:
 
 
 def _built_b(spark, sf):
-    src, t = _silver_b(spark, sf)
-    tables = dict(t)
-    full = {**t, "website_pageviews": src["website_pageviews"]}
-    for m, b in gold.MART_BUILDERS.items():
-        tables[m] = b(full)
-    return tables
+    wh = scratch_path(spark, "quality")
+    pipeline.build(spark, _b(spark, sf), wh)
+    return {t: pipeline.read_table(spark, wh, t) for t in pipeline.SILVER_ORDER + pipeline.GOLD_ORDER}
 
 
 def q_dq_not_null(spark, sf):
@@ -217,166 +300,80 @@ def q_dq_grain(spark, sf):
 
 
 # ------------------------------------------------------------------ oracle side
-def _sa():
-    ctes, s = o.set_a_ctes()
-    return ctes, s
-
-
-def _sb(p="b_", **kw):
-    ctes, s = o.set_b_ctes(p, **kw)
-    sc, t = o.silver_ctes(s, p)
-    return ctes + sc, s, t
-
-
-def _sb_gold(p="b_", **kw):
-    ctes, s, t = _sb(p, **kw)
-    gc, g = o.gold_ctes(s, t, p)
-    return ctes + gc, s, {**t, **g}
-
-
-def sql_dim_products():
-    ctes, s = _sa()
-    return o.contract_query(ctes + o.dim_products_sql(s, "dim"), "dim", "dim_products")
-
+def _a_sql(*more: str) -> list[str]:
+    return o.set_a() + [c for m in more for c in getattr(o, m)("a_")]
 
-def sql_product_page_url():
-    ctes, s = _sa()
-    return o.query(ctes + o.dim_products_sql(s, "dim"), "dim", columns=[
-        "product_id", "product_name", o.slug("product_name") + " AS product_page_url"])
 
+def _b_sql(*more: str, p: str = "b_", **kw) -> list[str]:
+    return o.set_b(p, **kw) + [c for m in more for c in getattr(o, m)(p)]
 
-def sql_raw_partition_columns():
-    ctes, s = _sa()
-    return o.query(ctes, s["order_items"], columns=[
-        "order_item_id", "created_at", "CAST(year(created_at) AS INTEGER) AS year",
-        "CAST(month(created_at) AS INTEGER) AS month"])
 
+def _of_product_days(columns: str | list[str], where: str) -> Callable[[], str]:
+    cols = ["metric_date", "product_id", *o.snapped(columns.split() if isinstance(columns, str) else columns)]
+    return lambda: o.query(_b_sql("silver", "product_days"), f"SELECT {', '.join(cols)} FROM b_product_days WHERE {where}")
 
-def sql_refunds_by_item():
-    ctes, s = _sa()
-    return o.query(ctes + o.refunds_by_item_sql(s, "r"), "r", ["refund_amount_usd"])
 
+def _of_customer_days(columns: list[str], where: str) -> Callable[[], str]:
+    return lambda: o.query(_b_sql("silver", "customer_days"),
+                           f"SELECT {', '.join(['metric_date', *o.snapped(columns)])} FROM b_customer_days WHERE {where}")
 
-def sql_fct_sales(p_set="a"):
-    if p_set == "a":
-        ctes, s = _sa()
-        ctes = ctes + o.fct_sales_sql(s, "sales")
-        return o.contract_query(ctes, "sales", "fct_sales")
-    ctes, s, t = _sb()
-    return o.contract_query(ctes, t["fct_sales"], "fct_sales")
 
-
-def sql_product_list_price():
-    ctes, s = _sa()
-    ctes = ctes + o.fct_sales_sql(s, "sales") + o.product_list_price_sql("sales", "lp")
-    return o.query(ctes, "lp", ["list_price_usd"])
-
-
-def sql_mart_product_daily_returns_a():
-    ctes, s = _sa()
-    ctes = (ctes + o.dim_products_sql(s, "dim") + o.fct_sales_sql(s, "sales")
-            + o.mart_product_daily_returns_sql("sales", "dim", "m5"))
-    return o.contract_query(ctes, "m5", "mart_product_daily_returns")
-
-
-def sql_pageviews_ranked():
-    ctes, s = o.set_b_ctes("b_")
-    return o.query(ctes + o.pageviews_ranked_sql(s, "rk"), "rk")
-
-
-def sql_pageviews_agg():
-    ctes, s = o.set_b_ctes("b_")
-    return o.query(ctes + o.pageviews_agg_sql(s, "pa"), "pa")
-
-
-def sql_product_pageviews_agg(collision=False):
-    ctes, s = o.set_b_ctes("b_", collision=collision)
-    return o.query(ctes + o.dim_products_sql(s, "dim")
-                   + o.product_pageviews_agg_sql(s, "dim", "ppa"), "ppa")
-
-
-def sql_orders_by_session():
-    ctes, s = o.set_b_ctes("b_")
-    return o.query(ctes + o.orders_by_session_sql(s, "oa"), "oa")
-
-
-def sql_fct_sessions():
-    ctes, s, t = _sb()
-    return o.contract_query(ctes, t["fct_sessions"], "fct_sessions")
-
-
-def _parts(final: str, doubles=(), columns=None):
-    ctes, s, t = _sb()
-    ctes = ctes + o.product_sales_parts_sql(s, t["dim_products"], t["fct_sessions"],
-                                            t["fct_sales"], "m4")
-    return o.query(ctes, f"m4_{final}", list(doubles), columns)
-
-
-def sql_daily_product_sales():
-    return _parts("sold", ["gross_revenue_usd", "cogs_usd", "gross_profit_usd",
-                           "refund_amount_usd", "net_revenue_usd", "net_profit_usd"])
-
-
-def sql_all_dates():
-    ctes, s, t = _sb()
-    ctes = ctes + o.mart_customer_daily_value_sql(t["fct_sessions"], t["fct_sales"], "m7")
-    return o.query(ctes, "m7_dates")
+def sql_mart_b(mart: str, **kw):
+    return lambda: o.contract_query(_b_sql("silver", "gold", **kw), o.name_of(mart), mart)
 
 
-def sql_daily_sessions():
-    ctes, s, t = _sb()
-    return o.query(ctes + o.daily_sessions_sql(t["fct_sessions"], "ds"), "ds")
+def _rollup_sql(columns: str, where: str, **kw) -> Callable[[], str]:
+    return lambda: o.query(_b_sql("dim_products", "session_facts", **kw),
+                           f"SELECT website_session_id, {columns} FROM b_rolled WHERE {where}")
 
 
-def sql_daily_sales():
-    ctes, s, t = _sb()
-    return o.query(ctes + o.daily_sales_sql(t["fct_sales"], "sl"), "sl",
-                   ["gross_revenue_usd", "refund_amount_usd", "net_revenue_usd", "net_profit_usd"])
-
-
-def sql_mart_b(mart: str, **kw):
-    def make():
-        ctes, s, t = _sb_gold(**kw)
-        return o.contract_query(ctes, t[mart], mart)
-    return make
+PAGEVIEWS = ("views AS pageviews_count, first_pageview_at_utc, last_pageview_at_utc, landing_page_url, exit_page_url")
+PRODUCT_PAGEVIEWS = "product_pageviews_count, viewed_products_count"
 
 
 def sql_incremental(mart: str):
     def make():
-        pc, ps, pt = _sb_gold("bp_", prefix_only=True)
-        fc, fs, ft = _sb_gold("b_")
-        d = PARTITION_DATE[mart]
-        cut = f"(SELECT max({d}) FROM {pt[mart]}) - INTERVAL 7 DAY"
-        ctes = pc + fc + [f"""incr AS (
-  SELECT * FROM {pt[mart]} WHERE {d} < {cut} OR {d} IS NULL
-  UNION ALL SELECT * FROM {ft[mart]} WHERE {d} >= {cut})"""]
+        ctes = _b_sql("silver", "gold", p="bp_", prefix_only=True) + _b_sql("silver", "gold")
+        early, late, d = o.name_of(mart, "bp_"), o.name_of(mart), PARTITION_DATE[mart]
+        ctes.append(f"""incr AS (
+  SELECT * FROM {early} WHERE coalesce({d} < (SELECT max({d}) - 7 FROM {early}), true)
+  UNION ALL SELECT * FROM {late} WHERE {d} >= (SELECT max({d}) - 7 FROM {early}))""")
         return o.contract_query(ctes, "incr", mart)
     return make
 
 
-def _dq_tables():
-    ctes, s, t = _sb_gold()
-    return ctes, t
+def sql_schema_drift():
+    return sql_incremental("mart_product_daily_returns")().replace(
+        "SELECT * FROM bp_mart_product_daily_returns WHERE", "SELECT * REPLACE (NULL::DOUBLE AS refund_capture_rate) FROM bp_mart_product_daily_returns WHERE")
+
+
+def sql_csv_round_trip():
+    parts = [f"SELECT '{t}' AS table_name, CAST(year(created_at) AS INTEGER) AS year, CAST(month(created_at) AS INTEGER) AS month, "
+             f"count(*) AS n FROM b_{t} GROUP BY ALL" for t in PARTITIONED_SOURCES]
+    parts.append("SELECT 'products', NULL, NULL, count(*) FROM b_products")
+    return o.query(_b_sql(), "\nUNION ALL ".join(parts))
+
+
+def sql_column_comments():
+    parts = [f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, count({f.name}) AS n FROM {o.name_of(t)}"
+             for t in o.TABLE for f in CONTRACTS[t].fields if f.metadata.get("comment")]
+    return o.query(_b_sql("silver"), "\nUNION ALL ".join(parts))
 
 
 def sql_dq_not_null():
-    ctes, t = _dq_tables()
-    parts = [f"SELECT '{tbl}' AS table_name, 'not_null' AS check_name, '{c}' AS column_name, "
-             f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures FROM {t[tbl]}"
-             for tbl, cols in NOT_NULL.items() for c in cols]
-    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(parts)
+    parts = [f"SELECT '{t}' AS table_name, 'not_null' AS check_name, '{c}' AS column_name, "
+             f"count(*) - count({c}) AS failures FROM {o.name_of(t)}" for t, cols in NOT_NULL.items() for c in cols]
+    return o.query(_b_sql("silver", "gold"), "\nUNION ALL ".join(parts))
 
 
 def _dup_sql(kind: str, keys: dict[str, tuple[str, ...]], skip_nulls: bool) -> str:
-    ctes, t = _dq_tables()
     parts = []
-    for tbl, cols in keys.items():
+    for t, cols in keys.items():
         k = ", ".join(cols)
         where = (" WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in cols)) if skip_nulls else ""
-        parts.append(f"SELECT '{tbl}' AS table_name, '{kind}' AS check_name, "
-                     f"'{','.join(cols)}' AS column_name, count(*) AS failures FROM "
-                     f"(SELECT {k} FROM {t[tbl]}{where} GROUP BY {k} HAVING count(*) > 1)")
-    return "WITH " + ",\n".join(ctes) + "\n" + "\nUNION ALL ".join(parts)
+        parts.append(f"SELECT '{t}' AS table_name, '{kind}' AS check_name, '{','.join(cols)}' AS column_name, count(*) AS failures "
+                     f"FROM (SELECT {k} FROM {o.name_of(t)}{where} GROUP BY {k} HAVING count(*) > 1)")
+    return o.query(_b_sql("silver", "gold"), "\nUNION ALL ".join(parts))
 
 
 # ------------------------------------------------------------------ registry
@@ -414,41 +411,74 @@ QUERIES: dict[str, Query] = {
     "daily_sales": q_daily_sales,
     "mart_customer_daily_value": _mart_b("mart_customer_daily_value"),
     **{f"incremental_{m}": _incremental(m) for m in GOLD},
+    "session_pageview_rollup": q_session_pageview_rollup,
+    "session_pageview_rollup_slug_collision": q_session_pageview_rollup_slug_collision,
+    "fct_sessions_slug_collision": q_fct_sessions_slug_collision,
+    "csv_round_trip": q_csv_round_trip,
+    "lake_orders": q_lake_orders,
+    "lake_month_pruned": q_lake_month_pruned,
+    "schema_drift": q_schema_drift,
+    "raw_base_views": q_raw_base_views,
+    "column_comments": q_column_comments,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_grain": q_dq_grain,
 }
 
+DAY_SESSIONS = ["sessions_count", "active_users_count", "repeat_session_users_count", "new_session_users_count", "bounced_sessions_count",
+                "product_pageviews_count", "product_view_sessions_count", "users_with_product_views_count"]
+DAY_SALES = ["orders_count", "order_items_sold_count", "purchasing_users_count", "users_with_returns_count", "gross_revenue_usd",
+             "refund_amount_usd", "net_revenue_usd", "net_profit_usd"]
+TOUCHES = ("SELECT DISTINCT d AS metric_date, product AS product_id, sid AS website_session_id FROM b_touches")
+
 ORACLE: dict[str, Callable[[], str]] = {
-    "dim_products": sql_dim_products,
-    "product_page_url": sql_product_page_url,
-    "raw_partition_columns": sql_raw_partition_columns,
-    "refunds_by_item": sql_refunds_by_item,
-    "fct_sales": sql_fct_sales,
-    "product_list_price": sql_product_list_price,
-    "mart_product_daily_returns": sql_mart_product_daily_returns_a,
-    "pageviews_ranked": sql_pageviews_ranked,
-    "pageviews_agg": sql_pageviews_agg,
-    "product_pageviews_agg": sql_product_pageviews_agg,
-    "product_pageviews_slug_collision": lambda: sql_product_pageviews_agg(collision=True),
-    "orders_by_session": sql_orders_by_session,
-    "fct_sessions": sql_fct_sessions,
-    "fct_sales_clickstream": lambda: sql_fct_sales("b"),
-    "daily_product_traffic": lambda: _parts("traffic"),
-    "session_product_touch": lambda: _parts("touch"),
-    "product_conversion": lambda: _parts("conv"),
-    "daily_product_sales": sql_daily_product_sales,
-    "daily_product_customer": lambda: _parts("cust"),
-    "repeat_buyers": lambda: _parts("rb"),
-    "product_day_grains": lambda: _parts("grains"),
-    "all_dates": sql_all_dates,
+    "dim_products": lambda: o.contract_query(_a_sql("dim_products"), "a_dim", "dim_products"),
+    "product_page_url": lambda: o.query(_a_sql("dim_products"),
+                                        f"SELECT product_id, product_name, {o.slug('product_name')} AS product_page_url FROM a_dim"),
+    "raw_partition_columns": lambda: o.query(
+        _a_sql(), "SELECT order_item_id, created_at, CAST(date_part('year', created_at) AS INTEGER) AS year, "
+        "CAST(date_part('month', created_at) AS INTEGER) AS month FROM a_order_items"),
+    "refunds_by_item": lambda: o.query(_a_sql("refunds"), "FROM a_refunds"),
+    "fct_sales": lambda: o.contract_query(_a_sql("fct_sales"), "a_sales", "fct_sales"),
+    "product_list_price": lambda: o.query(
+        _a_sql("fct_sales"), "SELECT DISTINCT ON (product_id) product_id, gross_revenue_usd AS list_price_usd FROM a_sales "
+        "ORDER BY product_id, gross_revenue_usd DESC NULLS LAST"),
+    "mart_product_daily_returns": lambda: o.contract_query(
+        _a_sql("dim_products", "fct_sales", "mart_product_daily_returns"), "a_mart_product_daily_returns", "mart_product_daily_returns"),
+    "pageviews_ranked": lambda: o.query(_b_sql("pageviews_ranked"), "FROM b_ranked"),
+    "pageviews_agg": _rollup_sql(PAGEVIEWS, "views > 0"),
+    "product_pageviews_agg": _rollup_sql(PRODUCT_PAGEVIEWS, "product_pageviews_count > 0"),
+    "product_pageviews_slug_collision": _rollup_sql(PRODUCT_PAGEVIEWS, "product_pageviews_count > 0", collision=True),
+    "orders_by_session": _rollup_sql("orders_count, items_purchased_count", "ordered"),
+    "session_pageview_rollup": _rollup_sql(f"{PAGEVIEWS}, {PRODUCT_PAGEVIEWS}", "views > 0"),
+    "session_pageview_rollup_slug_collision": _rollup_sql(f"{PAGEVIEWS}, {PRODUCT_PAGEVIEWS}", "views > 0", collision=True),
+    "fct_sessions": lambda: o.contract_query(_b_sql("silver"), "b_sess", "fct_sessions"),
+    "fct_sessions_slug_collision": lambda: o.contract_query(_b_sql("silver", collision=True), "b_sess", "fct_sessions"),
+    "fct_sales_clickstream": lambda: o.contract_query(_b_sql("silver"), "b_sales", "fct_sales"),
+    "csv_round_trip": sql_csv_round_trip,
+    "lake_orders": lambda: o.query(
+        _b_sql(), "SELECT *, CAST(date_part('year', created_at) AS INTEGER) AS year, "
+        "CAST(date_part('month', created_at) AS INTEGER) AS month FROM b_orders"),
+    "lake_month_pruned": lambda: o.query(_b_sql("silver", "product_days"), f"{TOUCHES} WHERE d >= DATE '{LAKE_CUTOFF}'"),
+    "schema_drift": sql_schema_drift,
+    "raw_base_views": lambda: o.query(_b_sql(), "SELECT device_type, count(*) AS n FROM b_website_sessions GROUP BY device_type"),
+    "column_comments": sql_column_comments,
+    "daily_product_traffic": _of_product_days("product_pageviews_count product_sessions_count product_viewers_count",
+                                              "product_pageviews_count > 0"),
+    "session_product_touch": lambda: o.query(_b_sql("silver", "product_days"), TOUCHES),
+    "product_conversion": _of_product_days("converted_sessions_count converted_orders_count converted_items_count",
+                                           "converted_items_count > 0"),
+    "daily_product_sales": _of_product_days(" ".join(A8_COLUMNS[2:]), "order_items_sold_count > 0"),
+    "daily_product_customer": _of_product_days(["purchasing_users_count AS unique_purchasers_count", "purchasers_with_returns_count"], "order_items_sold_count > 0"),
+    "repeat_buyers": _of_product_days("repeat_buyers_count", "again_rows > 0"),
+    "product_day_grains": _of_product_days("", "product_pageviews_count > 0 OR order_items_sold_count > 0"),
+    "all_dates": _of_customer_days([], "sessions_count > 0 OR order_items_sold_count > 0"),
     "mart_product_daily_sales": sql_mart_b("mart_product_daily_sales"),
-    "mart_product_daily_sales_slug_collision": sql_mart_b("mart_product_daily_sales",
-                                                          collision=True),
+    "mart_product_daily_sales_slug_collision": sql_mart_b("mart_product_daily_sales", collision=True),
     "mart_product_daily_returns_clickstream": sql_mart_b("mart_product_daily_returns"),
     "mart_channel_daily_sessions": sql_mart_b("mart_channel_daily_sessions"),
-    "daily_sessions": sql_daily_sessions,
-    "daily_sales": sql_daily_sales,
+    "daily_sessions": _of_customer_days(DAY_SESSIONS, "sessions_count > 0"),
+    "daily_sales": _of_customer_days(DAY_SALES, "order_items_sold_count > 0"),
     "mart_customer_daily_value": sql_mart_b("mart_customer_daily_value"),
     **{f"incremental_{m}": sql_incremental(m) for m in GOLD},
     "dq_not_null": sql_dq_not_null,

@@ -17,34 +17,129 @@ TS, DT = T.TimestampNTZType(), T.DateType()
 
 def _struct(cols) -> T.StructType:
     return T.StructType([T.StructField(n, t, True, {"comment": c} if c else {})
-                         for n, t, *rest in cols for c in [rest[0] if rest else ""]])
+                         for n, t, *rest in cols for c in [rest[0] if rest else COLUMN_COMMENTS.get(n, "")]])
+
+
+# What a column of a derived table means; a table may say more about its own.
+COLUMN_COMMENTS: dict[str, str] = {
+    "product_id": "product key",
+    "product_name": "trimmed display name of the product",
+    "created_date": "calendar day of creation (UTC)",
+    "order_id": "order that the item belongs to",
+    "order_item_created_at_utc": "time the item was added to its order",
+    "order_item_created_date": "calendar day of that time",
+    "is_primary_item_flag": "1 for the item the order was started with, as in the source",
+    "is_primary_item": "whether the order was started with this item",
+    "order_created_at_utc": "time the order was placed",
+    "website_session_id": "web session",
+    "user_id": "customer",
+    "primary_product_id": "product the order was started with",
+    "items_purchased": "number of items of the whole order",
+    "order_revenue_usd": "price of the whole order",
+    "order_cogs_usd": "cost of goods of the whole order",
+    "item_cogs_usd": "cost of goods of the item",
+    "gross_revenue_usd": "revenue before refunds",
+    "gross_profit_usd": "revenue before refunds less cost of goods",
+    "cogs_usd": "cost of goods sold",
+    "refund_event_count": "number of refund events",
+    "refund_amount_usd": "money refunded",
+    "first_refund_created_at_utc": "time of the first refund event",
+    "last_refund_created_at_utc": "time of the last refund event",
+    "net_revenue_usd": "revenue after refunds",
+    "net_profit_usd": "revenue after refunds less cost of goods",
+    "session_created_at_utc": "time the session began",
+    "session_date": "calendar day the session began",
+    "is_repeat_session_flag": "1 for a session of a returning visitor, as in the source",
+    "is_repeat_session": "whether the visitor had been there before",
+    "utm_source": "where the visit came from",
+    "utm_campaign": "campaign of the visit",
+    "utm_content": "advert of the visit",
+    "device_type": "kind of device",
+    "http_referer": "page that linked to the shop",
+    "first_pageview_at_utc": "time of the first pageview",
+    "last_pageview_at_utc": "time of the last pageview",
+    "landing_page_url": "first page seen",
+    "exit_page_url": "last page seen",
+    "product_pageviews_count": "views of product pages",
+    "viewed_products_count": "different products viewed",
+    "has_product_pageview": "whether any product page was viewed",
+    "orders_count": "different orders",
+    "has_order": "whether anything was ordered",
+    "items_purchased_count": "items ordered",
+    "metric_date": "calendar day the figures are for",
+    "order_date": "calendar day of the order",
+    "product_sessions_count": "sessions that viewed the product",
+    "product_viewers_count": "customers that viewed the product",
+    "converted_sessions_count": "sessions that viewed and bought the product on that day",
+    "converted_orders_count": "orders of the product from such sessions",
+    "converted_items_count": "items of the product from such sessions",
+    "product_session_conversion_rate": "share of viewing sessions that bought, NULL without any",
+    "order_items_sold_count": "items sold",
+    "purchasing_users_count": "customers that bought",
+    "purchasing_sessions_count": "sessions that bought",
+    "returned_items_count": "items sold that were ever returned",
+    "refunded_items_count": "items sold that money was paid back for",
+    "unique_purchasers_count": "different customers that bought",
+    "purchasers_with_returns_count": "buying customers with a returned item",
+    "repeat_buyers_count": "customers with more than one order of the product on that day",
+    "item_return_rate": "share of items sold that were returned",
+    "item_refund_rate": "share of items sold that money was paid back for",
+    "avg_selling_price_usd": "mean price of the items sold",
+    "min_selling_price_usd": "lowest price on that day",
+    "max_selling_price_usd": "highest price on that day",
+    "list_price_usd": "highest price the product was ever sold at",
+    "inferred_discount_usd": "list price less mean price, at least 0",
+    "inferred_discount_pct": "that discount as a share of the list price",
+    "returned_gross_revenue_usd": "revenue before refunds of the returned items",
+    "refund_capture_rate": "money refunded as a share of that revenue",
+    "sessions_count": "sessions",
+    "bounced_sessions_count": "sessions with one pageview",
+    "product_view_sessions_count": "sessions that viewed a product page",
+    "session_conversion_rate": "share of sessions with an order",
+    "bounce_rate": "share of sessions with one pageview",
+    "product_view_session_rate": "share of sessions that viewed a product page",
+    "orders_per_product_view_session": "orders for each session that viewed a product page",
+    "active_users_count": "customers with a session",
+    "repeat_session_users_count": "customers with a session as a returning visitor",
+    "new_session_users_count": "customers with a session as a new visitor",
+    "users_with_product_views_count": "customers that viewed a product page",
+    "users_with_returns_count": "buying customers with a returned item",
+    "orders_per_session": "orders for each session",
+    "product_view_user_penetration_rate": "share of active customers that viewed a product page",
+    "net_revenue_per_purchasing_user": "revenue after refunds for each buying customer",
+}
+
+
+def _plain(cols) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in cols])
 
 
 # ---------------------------------------------------------------- sources
 SOURCE_SCHEMAS: dict[str, T.StructType] = {
-    "orders": _struct([
+    "orders": _plain([
         ("order_id", L), ("created_at", TS), ("website_session_id", L), ("user_id", L),
         ("primary_product_id", L), ("items_purchased", L), ("price_usd", D), ("cogs_usd", D)]),
-    "order_items": _struct([
+    "order_items": _plain([
         ("order_item_id", L), ("created_at", TS), ("order_id", L), ("product_id", L),
         ("is_primary_item", L), ("price_usd", D), ("cogs_usd", D)]),
-    "order_item_refunds": _struct([
+    "order_item_refunds": _plain([
         ("order_item_refund_id", L), ("created_at", TS), ("order_item_id", L), ("order_id", L),
         ("refund_amount_usd", D)]),
-    "website_sessions": _struct([
+    "website_sessions": _plain([
         ("website_session_id", L), ("created_at", TS), ("user_id", L), ("is_repeat_session", L),
         ("utm_source", S), ("utm_campaign", S), ("utm_content", S), ("device_type", S),
         ("http_referer", S)]),
-    "website_pageviews": _struct([
+    "website_pageviews": _plain([
         ("website_pageview_id", L), ("created_at", TS), ("website_session_id", L),
         ("pageview_url", S)]),
-    "products": _struct([("product_id", I), ("created_at", TS), ("product_name", S)]),
+    "products": _plain([("product_id", I), ("created_at", TS), ("product_name", S)]),
 }
 
 # Event tables carry year/month partition columns derived from created_at.
 PARTITIONED_SOURCES = ("orders", "order_items", "order_item_refunds",
                        "website_sessions", "website_pageviews")
 STATIC_SOURCES = ("products", "mff_data_dictionary")
+OPTIONAL_SOURCES = ("mff_data_dictionary",)      # read by no model
 ALL_SOURCES = PARTITIONED_SOURCES + STATIC_SOURCES
 
 # ---------------------------------------------------------------- derived tables
@@ -182,8 +277,7 @@ UNIQUE: dict[str, tuple[str, ...]] = {
 GRAIN_CHECKED: dict[str, tuple[str, ...]] = {
     t: k for t, k in GRAIN.items() if UNIQUE.get(t) != k}
 
-# Namespace (database) per layer.
-LAYER = {"raw": "raw", "silver": "silver", "gold": "gold"}
+# Namespace (database) per table.
 TABLE_LAYER = {**{t: "silver" for t in ("dim_products", "fct_sales", "fct_sessions")},
                **{t: "gold" for t in PARTITION_DATE}}
 

@@ -1,11 +1,8 @@
 """Spark session settings the engine relies on.
 
-Two settings are semantic, not tuning:
-
-* ``spark.sql.session.timeZone=UTC`` - timestamps are zone-less (``timestamp_ntz``);
-  ``date_trunc`` round-trips through the session zone, so pin a zone without DST gaps.
-* ``spark.sql.sources.partitionOverwriteMode=dynamic`` - the incremental merge
-  rewrites only the date partitions it recomputed.
+One setting is semantic, not tuning: ``spark.sql.session.timeZone=UTC``. Timestamps are
+zone-less (``timestamp_ntz``); ``date_trunc`` round-trips through the session zone, so pin a zone
+without DST gaps. Writers that replace single partitions say so in their own write options.
 
 Everything else (AQE, skew join, coalescing) is the scale profile: shuffle
 partition counts are decided at runtime from real map-output sizes, and a skewed
@@ -15,13 +12,15 @@ join partition (one hot key holding a large share of rows) is split.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 SCALE_CONF = {
@@ -64,22 +63,55 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is used as is. Only when it
-    is unset (local tests, the bench) is a private scratch folder created here.
+    On a cluster this setting names shared storage and is used as is; without it there is no folder
+    that the driver and all executors see, so a session with another master than ``local`` is an
+    error. Only a local session (tests, the bench) gets a private scratch folder.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master: {master or 'unknown'})")
         d = tempfile.mkdtemp(prefix="shoplane-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-        try:                    # classic sessions: also used by DataFrame.checkpoint()
-            spark.sparkContext.setCheckpointDir(d)
-        except Exception:       # noqa: BLE001 - no SparkContext on a Spark Connect session
-            pass
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
+_SCRATCH = "shoplane.scratch.dir"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder, for written intermediates."""
-    import uuid
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    base = (spark.conf.get(_SCRATCH, None) or ensure_checkpoint_dir(spark)).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str):
+    """Intermediates written inside the block share one folder, which is deleted at its end.
+
+    For work that ends with written tables; a lazy result must not outlive the block. A block inside
+    another one leaves the deletion to the outer one. One block at a time per session.
+    """
+    if spark.conf.get(_SCRATCH, None):
+        yield
+        return
+    base = scratch_path(spark, name)
+    spark.conf.set(_SCRATCH, base)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_SCRATCH)
+        delete(spark, base)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """(file system, path) of the Hadoop file API, for any store that Spark can write to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = hadoop_path(spark, path)
+    fs.delete(p, True)

@@ -5,7 +5,10 @@ exports, so two deterministic mappings re-shape them (see FIXTURES.md section 4)
 
 * Set A ("sales at scale"): part / orders / lineitem -> products, orders,
   order_items, order_item_refunds.
-* Set B ("clickstream"): events (+ the first 44 parts) -> all six sources.
+* Set B ("clickstream"): events + part -> all six sources.
+
+Both use every part as a product. Ids that combine two numbers take their factor from the data (one
+aggregate), so they stay unique at any size.
 
 Every mapping is plain column arithmetic, one aggregation or one explode, so the
 DuckDB oracle can state the same mapping in SQL. All of it is distributed work
@@ -24,17 +27,18 @@ from ..operators.joins import broadcast_bounded
 from ..operators.sequence import number_within_groups
 
 # Fixed values of the test-data mappings (FIXTURES.md section 4).
-SET_A_PRODUCTS = 50                      # products = l_partkey % 50
 SET_A_PRODUCT_CREATED = dt.datetime(1995, 1, 1)
 SET_A_COGS_SHARE = 0.6
-SET_A_ITEM_ID_STRIDE = 1000              # order_item_id = l_orderkey * 1000 + n
-SET_B_PRODUCTS = 44                      # products 0..43
+SET_B_HOT = 4                            # products 0..3 get 60 of 100 k values
+SET_B_TWINS = (1, 2)                     # two products with one page
 SET_B_EPOCH = dt.date(2024, 1, 1)
 SET_B_PRODUCT_CREATED = dt.datetime(2024, 1, 1)
 SET_B_COGS_SHARE = 0.4
-SET_B_ZERO_PRICE_PRODUCT = 43
+SET_B_FREE_EVERY, SET_B_FREE = 50, 43    # products 43, 93, 143, ... are sold for nothing
+SET_B_NO_SESSION = 97                    # every 97th pageview or order has no session
+SET_B_NO_TIME = 89                       # every 89th pageview has no time
+SET_B_TIED = 7                           # every 7th pageview has the time of its day's start
 SET_B_ORPHAN_K = 99                      # purchases with k = 99 get no order row
-SET_B_SESSION_STRIDE = 1000              # sid = user_id * 1000 + days // 2
 PREFIX_END = dt.datetime(2024, 1, 21)    # first incremental run sees rows before this
 
 
@@ -49,13 +53,18 @@ def _product_name(collision: bool = False):
                     F.col("p_partkey").cast("string"), F.lit("! "))
 
 
+def _value(df: DataFrame, expr) -> int:
+    """A single number of a table (one aggregate)."""
+    return int(df.agg(expr).first()[0] or 0)
+
+
 # ------------------------------------------------------------------ Set A
 def set_a(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     part = _read(spark, sf_dir, "part")
     orders = _read(spark, sf_dir, "orders")
     lineitem = _read(spark, sf_dir, "lineitem")
 
-    products = (part.filter(F.col("p_partkey") < SET_A_PRODUCTS)
+    products = (part
                 .select(F.col("p_partkey").cast("int").alias("product_id"),
                         F.lit(SET_A_PRODUCT_CREATED).cast("timestamp_ntz").alias("created_at"),
                         _product_name().alias("product_name")))
@@ -67,6 +76,8 @@ def set_a(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")]
     numbered = number_within_groups(lineitem, ["l_orderkey"], order_cols, "n")
     line_counts = lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
+    factor = _value(line_counts, F.max("lines")) + 1
+    n_products = max(1, _value(part, F.count(F.lit(1))))
     order_dates = orders.select(F.col("o_orderkey").alias("l_orderkey"),
                                 F.col("o_orderdate").alias("order_created_at"))
 
@@ -76,16 +87,16 @@ def set_a(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
                           F.col("o_orderdate").alias("created_at"),
                           F.col("o_orderkey").alias("website_session_id"),
                           F.col("o_custkey").alias("user_id"),
-                          (F.col("o_orderkey") % SET_A_PRODUCTS).alias("primary_product_id"),
+                          (F.col("o_orderkey") % n_products).alias("primary_product_id"),
                           F.coalesce(F.col("lines"), F.lit(0)).cast("long").alias("items_purchased"),
                           F.col("o_totalprice").alias("price_usd"),
                           (F.lit(SET_A_COGS_SHARE) * F.col("o_totalprice")).alias("cogs_usd")))
 
     items = (numbered.join(order_dates, "l_orderkey", "left")
-             .select((F.col("l_orderkey") * SET_A_ITEM_ID_STRIDE + F.col("n")).alias("order_item_id"),
+             .select((F.col("l_orderkey") * factor + F.col("n")).alias("order_item_id"),
                      F.col("order_created_at").alias("created_at"),
                      F.col("l_orderkey").alias("order_id"),
-                     (F.col("l_partkey") % SET_A_PRODUCTS).alias("product_id"),
+                     F.col("l_partkey").alias("product_id"),
                      F.when(F.col("n") == 1, 1).otherwise(0).cast("long").alias("is_primary_item"),
                      F.col("l_extendedprice").alias("price_usd"),
                      (F.lit(SET_A_COGS_SHARE) * F.col("l_extendedprice")).alias("cogs_usd"),
@@ -106,14 +117,19 @@ def _k():
     return F.get_json_object(F.col("props"), "$.k").cast("int")
 
 
-def _p(k):
-    """Product of a k value: k % 4 below 60 (four hot products), else k - 56."""
-    return F.when(k < 60, k % 4).otherwise(k - 56).cast("long")
+def _p(k, event_id, n_products: int):
+    """Product of a k value: a hot one below 60, else any other one by the event's number."""
+    others = max(1, n_products - SET_B_HOT)
+    return F.when(k < 60, k % SET_B_HOT).otherwise(SET_B_HOT + event_id % others).cast("long")
 
 
-def _sid():
-    days = F.datediff(F.col("ts").cast("date"), F.lit(SET_B_EPOCH))
-    return (F.col("user_id") * SET_B_SESSION_STRIDE + F.floor(days / 2)).cast("long")
+def _half_days():
+    return F.floor(F.datediff(F.col("ts").cast("date"), F.lit(SET_B_EPOCH)) / 2)
+
+
+def _without(col: str, every: int):
+    """The column, null in every n-th event."""
+    return F.when(F.col("event_id") % every != 0, F.col(col))
 
 
 def set_b(spark: SparkSession, sf_dir: str, collision: bool = False,
@@ -123,12 +139,18 @@ def set_b(spark: SparkSession, sf_dir: str, collision: bool = False,
     events = (_read(spark, sf_dir, "events")
               .select("event_id", "ts", "user_id", "event_type", "value",
                       _k().alias("k"))
-              .withColumn("sid", _sid()))
-
-    products = (part.filter(F.col("p_partkey") < SET_B_PRODUCTS)
+              .withColumn("half_days", _half_days()))
+    factor = _value(events, F.max("half_days")) + 1
+    events = events.withColumn("sid", (F.col("user_id") * factor + F.col("half_days")).cast("long")).drop("half_days")
+    n_products = _value(part, F.count(F.lit(1)))
+
+    name = _product_name(collision)
+    if not collision:
+        name = F.when(F.col("p_partkey").isin(*SET_B_TWINS), F.lit(" Twin  Product! ")).otherwise(name)
+    products = (part
                 .select(F.col("p_partkey").cast("int").alias("product_id"),
                         F.lit(SET_B_PRODUCT_CREATED).cast("timestamp_ntz").alias("created_at"),
-                        _product_name(collision).alias("product_name")))
+                        name.alias("product_name")))
 
     sid = F.col("sid")
     sessions = (events.filter(~((F.col("event_type") == "signup") & (F.col("k") < 50)))
@@ -149,29 +171,29 @@ def set_b(spark: SparkSession, sf_dir: str, collision: bool = False,
                         F.lit(None).cast("string").alias("http_referer")))
 
     urls = broadcast_bounded(products.select(F.col("product_id").cast("long").alias("pk"),
-                                             product_page_url("product_name").alias("purl")),
-                             max_rows=SET_B_PRODUCTS)
+                                             product_page_url("product_name").alias("purl")))
     et = F.col("event_type")
     pv = events.filter(et.isin("view", "click", "signup") | ((et == "error") & (F.col("k") >= 50)))
-    pageviews = (pv.withColumn("pk", F.when(et.isin("view", "click"), _p(F.col("k"))))
+    pageviews = (pv.withColumn("pk", F.when(et.isin("view", "click"), _p(F.col("k"), F.col("event_id"), n_products)))
                  .join(urls, "pk", "left")
                  .select(F.col("event_id").alias("website_pageview_id"),
-                         F.col("ts").alias("created_at"),
-                         sid.alias("website_session_id"),
+                         F.when(F.col("event_id") % SET_B_TIED == 0, F.date_trunc("day", "ts").cast("timestamp_ntz"))
+                          .otherwise(_without("ts", SET_B_NO_TIME)).alias("created_at"),
+                         _without("sid", SET_B_NO_SESSION).alias("website_session_id"),
                          F.when(et.isin("view", "click"), F.col("purl"))
                           .otherwise(F.concat(F.lit("/"), et)).alias("pageview_url")))
 
     purchases = events.filter(et == "purchase")
     orders = (purchases.filter(F.col("k") != SET_B_ORPHAN_K)
               .select(F.col("event_id").alias("order_id"), F.col("ts").alias("created_at"),
-                      sid.alias("website_session_id"), "user_id",
-                      _p(F.col("k")).alias("primary_product_id"),
+                      _without("sid", SET_B_NO_SESSION).alias("website_session_id"), "user_id",
+                      _p(F.col("k"), F.col("event_id"), n_products).alias("primary_product_id"),
                       (F.col("k") % 3 + 1).cast("long").alias("items_purchased"),
                       F.col("value").alias("price_usd"),
                       (F.lit(SET_B_COGS_SHARE) * F.col("value")).alias("cogs_usd")))
 
     exploded = purchases.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("k") % 3)))
-    item_product = _p((F.col("k") + 13 * F.col("i")) % 100)
+    item_product = _p((F.col("k") + 13 * F.col("i")) % 100, F.col("event_id") + F.col("i"), n_products)
     share = F.col("value") / (F.col("i") + 1)
     items = (exploded
              .select((F.col("event_id") * 10 + F.col("i")).alias("order_item_id"),
@@ -179,7 +201,7 @@ def set_b(spark: SparkSession, sf_dir: str, collision: bool = False,
                      F.col("event_id").alias("order_id"),
                      item_product.alias("product_id"),
                      F.when(F.col("i") == 0, 1).otherwise(0).cast("long").alias("is_primary_item"),
-                     F.when(item_product == SET_B_ZERO_PRICE_PRODUCT, F.lit(0.0))
+                     F.when(item_product % SET_B_FREE_EVERY == SET_B_FREE, F.lit(0.0))
                       .otherwise(share).alias("price_usd"),
                      (F.lit(SET_B_COGS_SHARE) * share).alias("cogs_usd")))
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..parallel import DEFAULT_PARALLELISM, run_all
-from ..schemas import PARTITIONED_SOURCES, SOURCE_SCHEMAS, STATIC_SOURCES
+from ..schemas import OPTIONAL_SOURCES, PARTITIONED_SOURCES, SOURCE_SCHEMAS, STATIC_SOURCES
 
 PARTITION_COLUMNS = ("year", "month")
 
@@ -76,9 +76,10 @@ def ingest_csv(spark: SparkSession, csv_dir: str, lake_root: str,
                parallelism: int = DEFAULT_PARALLELISM) -> dict[str, str]:
     """CSV folder -> lake. ``files`` maps table -> file name (default ``<table>.csv``).
 
-    Returns table -> written path. Missing optional files (the dictionary) are
-    skipped. Tables are independent and are written concurrently. Paths may be on
-    any Hadoop-compatible file system.
+    Returns table -> written path. A missing file is an error before anything is
+    written; only the dictionary, which no model reads, may be absent. Tables are
+    independent and are written concurrently. Paths may be on any
+    Hadoop-compatible file system.
     """
     files = files or {}
     tasks = {}
@@ -86,8 +87,12 @@ def ingest_csv(spark: SparkSession, csv_dir: str, lake_root: str,
         src = f"{csv_dir.rstrip('/')}/{files.get(table, f'{table}.csv')}"
         try:
             df = read_csv(spark, src, table)
-        except AnalysisException:
-            continue
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            if table in OPTIONAL_SOURCES:
+                continue
+            raise FileNotFoundError(f"source file of {table!r} not found at {src}") from e
         tasks[table] = (lambda t=table, d=df: _ingest_one(d, t, lake_root))
     return run_all(tasks, parallelism)
 
@@ -120,11 +125,14 @@ class LakeSources:
         try:
             return self.spark.read.parquet(path)
         except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             if table in STATIC_SOURCES:          # <root>/<table>.csv location
                 try:
                     return read_csv(self.spark, f"{path}.csv", table)
-                except AnalysisException:
-                    pass
+                except AnalysisException as e2:
+                    if e2.getCondition() != "PATH_NOT_FOUND":
+                        raise
             raise FileNotFoundError(f"source table {table!r} not found at {path}") from e
 
     def __getitem__(self, table: str) -> DataFrame:

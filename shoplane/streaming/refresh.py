@@ -7,12 +7,16 @@ gold seven-day lookback merge. The stream's checkpoint records which files were
 processed, and a re-run batch is harmless because the build is idempotent
 (silver overwrite, gold keyed merge of whole date partitions).
 
+A build reads the whole lake, so it runs at most once per ``min_interval`` (a day by default for a
+running stream): files of a batch that comes earlier are built by the next one that is due.
+
 Each batch also reports the newest event time it saw (the event-time high-water
 mark of the new data), next to the per-mart run facts.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import reduce
 
@@ -49,12 +53,18 @@ def source_stream(spark: SparkSession, lake_root: str,
 def start_refresh(spark: SparkSession, lake_root: str, warehouse: str, checkpoint: str,
                   available_now: bool = True, processing_time: str | None = None,
                   on_build: Callable[[dict], None] | None = None,
-                  tables: tuple[str, ...] = PARTITIONED_SOURCES) -> StreamingQuery:
+                  tables: tuple[str, ...] = PARTITIONED_SOURCES,
+                  min_interval: dt.timedelta = dt.timedelta(days=1)) -> StreamingQuery:
     """Start the refresh stream. ``available_now`` processes what is there and stops."""
+    last: list[dt.datetime] = []
 
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
+        now = dt.datetime.now(dt.timezone.utc)
+        if processing_time and last and now - last[-1] < min_interval:
+            return                  # the lake keeps the files; the next build that is due reads them
+        last.append(now)
         newest = batch.agg(F.max("created_at")).first()[0]
         facts = pipeline.build(spark, LakeSources(spark, lake_root), warehouse)
         if on_build is not None:

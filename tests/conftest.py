@@ -3,11 +3,13 @@ from __future__ import annotations
 import datetime as dt
 import os
 import sys
-import tempfile
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+# Python workers import the package too, from whatever folder the tests are started in
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH", "")]))
 
 from shoplane.schemas import SOURCE_SCHEMAS  # noqa: E402
 from shoplane.session import local_session  # noqa: E402
@@ -43,7 +45,3 @@ class Sources(dict):
 @pytest.fixture()
 def make_sources(spark):
     return lambda **t: Sources(spark, **t)
-
-
-def scratch(prefix="t-"):
-    return tempfile.mkdtemp(prefix=prefix)

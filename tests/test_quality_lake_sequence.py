@@ -7,9 +7,12 @@ import os
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import pytest
+
 from conftest import ts
 from shoplane.operators import quality
 from shoplane.operators.sequence import number_within_groups
+from shoplane.schemas import PARTITIONED_SOURCES, SOURCE_SCHEMAS
 from shoplane.sources.lake import LakeSources, ingest_csv, read_csv
 
 
@@ -35,9 +38,15 @@ def test_csv_ingest_round_trip(spark, tmp):
         f.write("1,2012-03-19 10:42:46,20,30,1,1,49.99,19.49,x\n")
         f.write("2,2013-01-02 00:00:01,21,31,2,2,59.99,22.49,y\n")
     with open(f"{raw}/products.csv", "w") as f:
-        f.write("product_id,created_at,product_name\n1,2012-03-19 08:00:00,The Original Mr. Fuzzy\n")
+        f.write("product_id,created_at,product_name\n1,2012-03-19 08:00:00,The Brown Bear\n")
+    with pytest.raises(FileNotFoundError, match="order_items"):          # a required file is missing
+        ingest_csv(spark, raw, f"{tmp}/lake")
+    assert not os.path.exists(f"{tmp}/lake")                              # before anything is written
+    for t in set(PARTITIONED_SOURCES) - {"orders"}:
+        with open(f"{raw}/{t}.csv", "w") as f:
+            f.write(",".join(SOURCE_SCHEMAS[t].names) + "\n")
     written = ingest_csv(spark, raw, f"{tmp}/lake")
-    assert set(written) == {"orders", "products"}
+    assert set(written) == {*PARTITIONED_SOURCES, "products"}             # the dictionary may be absent
     assert os.path.isdir(f"{tmp}/lake/orders/year=2012/month=3")          # S6 layout
     src = LakeSources(spark, f"{tmp}/lake")
     o = src["orders"]
@@ -65,6 +74,18 @@ def test_number_within_groups_hot_key(spark):
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_numbering_keeps_wide_values(spark):
+    # keys that a double cannot tell apart, NULLs beside them, and times outside the nanosecond range
+    big = 2 ** 53
+    rows = [(big, ts("1500-01-01 00:00:00"), None), (big + 1, None, 5), (big + 1, ts("3000-01-01 00:00:00"), big + 3), (big + 3, None, None),
+            (None, ts("2024-01-01 00:00:00.000001"), 1)]
+    df = spark.createDataFrame(rows, "k long, t timestamp_ntz, v long")
+    got = sorted((tuple(r) for r in number_within_groups(df, ["k"], [F.col("t").asc_nulls_last()], "rn", num_partitions=3).collect()), key=str)
+    want = [(*r, 1) for r in rows]
+    want[1] = (*rows[1], 2)
+    assert got == sorted(want, key=str)
+
+
 def test_reingest_replaces_only_its_months(spark, tmp):
     from shoplane.sources.lake import ingest_frames
     schema = "order_id long, created_at timestamp_ntz"

@@ -64,8 +64,8 @@ def _session(sid, uid=7, at="2024-01-05 09:00:00", repeat=0, src=None):
 
 def test_fct_sessions_edges(make_sources):
     src = make_sources(
-        products=[{"product_id": 1, "created_at": T0, "product_name": " The Mr. Fuzzy! "},
-                  {"product_id": 2, "created_at": T0, "product_name": "the mr fuzzy"}],   # E15
+        products=[{"product_id": 1, "created_at": T0, "product_name": " The Brown Bear! "},
+                  {"product_id": 2, "created_at": T0, "product_name": "the brown bear"}],   # E15
         website_sessions=[_session(1), _session(2), _session(3), _session(4), _session(5)],
         website_pageviews=[
             # session 2: single pageview -> bounced (E8)
@@ -76,10 +76,10 @@ def test_fct_sessions_edges(make_sources):
             _pv(40, 4, "2024-01-05 09:00:00.900", "/first"), _pv(41, 4, None, "/null"),
             _pv(42, 4, "2024-01-05 09:00:01.100", "/last"),
             # session 5: product page shared by two products (E15), other case (E16)
-            _pv(50, 5, "2024-01-05 09:00:00", "/the-mr-fuzzy"),
-            _pv(51, 5, "2024-01-05 09:01:00", "/The-Mr-Fuzzy"),
+            _pv(50, 5, "2024-01-05 09:00:00", "/the-brown-bear"),
+            _pv(51, 5, "2024-01-05 09:01:00", "/The-Brown-Bear"),
             # NULL session id (E12)
-            _pv(60, None, "2024-01-05 09:00:00", "/the-mr-fuzzy")],
+            _pv(60, None, "2024-01-05 09:00:00", "/the-brown-bear")],
         orders=[_order(1, sid=5), _order(2, sid=None)])
     r = _by(silver.fct_sessions(src), "website_session_id")
     assert set(r) == {1, 2, 3, 4, 5}
