@@ -114,10 +114,11 @@ def deduplicate(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_CH
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with n_lines, n_dropped and kept_text (renamed if ``docs`` has such columns)."""
     drops = dropped_lines(docs, batches, min_chars, fanout, id_col, text_col)
-    n_lines, n_dropped, kept, h, places, lines = fresh(docs, "n_lines", "n_dropped", "kept_text", "text_hash", "places", "lines")
-    drops = drops.select(F.col("id").alias("_drop_id"), F.col("text_hash").alias("_drop_hash"), F.col("places").alias(places))
+    n_lines, n_dropped, kept, h, places, lines, drop_id, drop_hash = fresh(
+        docs, "n_lines", "n_dropped", "kept_text", "text_hash", "places", "lines", "drop_id", "drop_hash")
+    drops = drops.select(F.col("id").alias(drop_id), F.col("text_hash").alias(drop_hash), F.col("places").alias(places))
     rows = docs.withColumn(h, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    rows = rows.join(drops, F.col(id_col).eqNullSafe(F.col("_drop_id")) & (F.col(h) == F.col("_drop_hash")), "left")
+    rows = rows.join(drops, F.col(id_col).eqNullSafe(F.col(drop_id)) & (F.col(h) == F.col(drop_hash)), "left")
     rows = rows.withColumn(lines, split_lines(F.col(text_col)))
     dropped = F.coalesce(places, F.array().cast("array<int>"))
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), dropped)

@@ -16,12 +16,16 @@ Documents with the same set are one class. Candidates:
 1. Tasks send packed (signature, class) arrays, dealt by the signature; what more than one class has is
    kept ("live"). A signature that very many classes of one task have sends one of them on, and the others
    by way of overflow shards, so no task gathers a hot signature's classes.
-2. Two star rounds verify each class against one leader of each of its live signatures, and components
-   of the links found are joined. Whole groups of near copies become one component here, without pairs.
+2. A star round verifies each class against one leader of each of its live signatures: the class that has
+   most in common with others, which in a group of near copies is the one that was edited least. The
+   links' components are joined, so whole groups of near copies become one without pairs.
 3. Only pairs across components remain. Signatures of at most ``FEW`` classes give all such pairs. A class
    of which fewer signatures are larger than that than it must share with any similar set needs no
-   more; pairs of two other ("unsafe") classes come from the larger signatures too, in blocks. A pair
-   goes on if it shares as many signatures as similar sets of its sizes must share. This is exact.
+   more. The other ("unsafe") classes are those that consist of very common shingles for the most part and
+   did not link to a leader. Those with larger signatures in common are compared with each other, in
+   blocks of ``BLOCK`` by ``BLOCK``: a task counts what two blocks share by a matrix product and passes
+   on the pairs that share enough. A pair goes on if it shares as many signatures as similar sets of
+   its sizes must share. This is exact.
 
 Every pair that goes on is verified on the words of both texts, so the result has no false links. Texts
 are only fetched for such pairs.
@@ -39,7 +43,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import fresh, small_batches, stage
@@ -54,9 +58,10 @@ BATCH_SIGNATURES = 1_500_000
 JOINED_BYTES = 1 << 20  # of texts that are hashed together
 SLICES = 8              # of a shard, unpacked one after the other
 RESERVE = 63            # the band of single shingles
-STAR_ROUNDS = 2
+STAR_ROUNDS = 1
 BROADCAST_ROWS = 1_000_000
-BLOCKS = 8
+BLOCK = 1024            # unsafe classes that a task compares with as many
+COLUMNS = 4096          # signatures that it takes together
 PAIRS_PER_BATCH = 400
 
 
@@ -293,6 +298,33 @@ def _band(n: Column) -> Column:
     return F.length(F.bin(n)) - 1
 
 
+def _pairs_of_blocks(key, group):
+    """Pairs of two blocks of unsafe classes (or within one) that share as many signatures as they must."""
+    i, j = key[1].as_py(), key[2].as_py()
+    group = group.sort_by("own")
+    own, cls, band, n, f, part, cold = (group[c].to_numpy() for c in ("own", "key", "band", "n", "f", "part", "cold"))
+    lists = group["sigs"].combine_chunks()
+    row = np.repeat(np.arange(len(own)), np.diff(lists.offsets.to_numpy()))
+    _, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    cut = int(np.searchsorted(own, i, "right"))
+    rows, cols = (slice(0, cut), slice(0, cut)) if i == j else (slice(0, cut), slice(cut, len(own)))
+    shared = np.zeros((rows.stop - rows.start, cols.stop - cols.start), np.float32)
+    for low in range(0, int(column.max()) + 1 if len(column) else 0, COLUMNS):
+        part_of = (column >= low) & (column < low + COLUMNS)
+        has = np.zeros((len(own), COLUMNS), np.float32)
+        has[row[part_of], column[part_of] - low] = 1
+        shared += has[rows] @ has[cols].T
+    x, y = np.nonzero(shared)
+    x, y, shared = x + rows.start, y + cols.start, shared[x, y]
+    keep = (part[x] != part[y]) & (band[x] == band[y]) & ((x < y) | (i != j))
+    x, y, shared = x[keep], y[keep], shared[keep]
+    small = np.minimum(n[x], n[y])
+    must = np.where(band[x] == RESERVE, 1, np.maximum(f[x], f[y]) - (n[x] + n[y]) // 7) - np.minimum(cold[x], cold[y])
+    keep = (shared >= must) & ((band[x] == RESERVE) | (band[x] == own_band(small)))
+    x, y = cls[x[keep]], cls[y[keep]]
+    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+
+
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         self.spark = docs.sparkSession
@@ -306,8 +338,12 @@ class _Join:
             F.count(F.lit(1)).alias("copies")), "shingle-classes")
         band = F.col("sig").bitwiseAND(63).cast("int")
         filled_here = F.when(band == _band(F.col("n")), F.col("f0")).when(band == RESERVE, F.lit(0)).otherwise(F.col("f1"))
-        self.live = stage(live_signatures(docs, text_col).distinct().join(self.classes, "key").select(
-            "sig", "key", "n", filled_here.alias("f"), band.alias("band")), "live-signatures")
+        # all steps by signature share one exchange, and so do those by class
+        live = live_signatures(docs, text_col).repartition(self.partitions, "sig").distinct()
+        live = live.join(live.groupBy("sig").agg(F.count(F.lit(1)).alias("size")), "sig").filter("size > 1")
+        common = F.sum("size").over(Window.partitionBy("key"))
+        self.live = stage(live.join(self.classes, "key").select(
+            "sig", "key", "n", "size", filled_here.alias("f"), band.alias("band"), common.alias("common")), "live-signatures")
         self.links: DataFrame | None = None
         self.parts: DataFrame | None = None     # (key, part): component of the links so far
 
@@ -349,7 +385,8 @@ class _Join:
 
     def star(self, turn: int) -> bool:
         live = self.labelled()
-        order = F.struct(F.xxhash64(F.lit(turn), F.col("key")).alias("order"), "key", "n", "f", "part")
+        rank = -F.col("common") if turn == 0 else F.xxhash64(F.lit(turn), F.col("key"))
+        order = F.struct(rank.alias("rank"), "key", "n", "f", "part")
         leaders = (live.groupBy("sig").agg(F.min(order).alias("lead"), F.min("part").alias("low"), F.max("part").alias("high"))
                    .filter("low != high").select("sig", "lead.key", "lead.n", "lead.f", "lead.part"))
         pairs = (live.alias("a").join(leaders.alias("b"), F.col("a.sig") == F.col("b.sig")).filter("a.part != b.part")
@@ -361,31 +398,37 @@ class _Join:
     def across(self) -> bool:
         """Verify all pairs across components that may be similar."""
         live = stage(self.labelled(), "labelled")
-        open_ = (live.groupBy("sig").agg(F.count(F.lit(1)).alias("size"), F.min("part").alias("low"), F.max("part").alias("high"))
-                 .filter("low != high").select("sig", "size"))
-        rows = stage(live.join(open_, "sig"), "open-signatures")
-        hot = rows.filter(F.col("size") > FEW).groupBy("key", "band").agg(F.count(F.lit(1)).alias("hot"))
-        rows = rows.join(hot, ["key", "band"], "left").withColumn("hot", F.coalesce("hot", F.lit(0)))
-        few = rows.filter(F.col("size") <= FEW)
-        unsafe = rows.filter(F.col("size") > FEW).filter(
-            (F.col("band") == RESERVE) | (F.col("f") - F.floor(F.col("n") / 3) - F.col("hot") < 1))
-        # a row meets the rows of every block once: block pairs (i, j), i <= j, spread a hot signature
-        block = F.pmod(F.xxhash64("key"), F.lit(BLOCKS)).cast("int")
-        blocked = unsafe.withColumn("own", block).withColumn("other", F.explode(F.array(*map(F.lit, range(BLOCKS)))))
-        blocked = blocked.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-
-        def pairs(r: DataFrame, on: list[str], more: Column) -> DataFrame:
-            same = F.lit(True)
-            for c in on:
-                same = same & (F.col(f"a.{c}") == F.col(f"b.{c}"))
-            return (r.alias("a").join(r.alias("b"), same & (F.col("a.key") < F.col("b.key")) & (F.col("a.part") != F.col("b.part")) & more)
-                    .filter(self.smaller_band())
-                    .select(F.col("a.key").alias("a"), F.col("b.key").alias("b"),
-                            (self.must_share() - F.least("a.hot", "b.hot")).alias("must")))
-        # two rows of one block meet in that block alone, rows of two blocks in the pair of these
-        once = (F.least("a.own", "b.own") == F.col("a.i")) & (F.greatest("a.own", "b.own") == F.col("a.j"))
-        found = pairs(few, ["sig"], F.lit(True)).unionByName(pairs(blocked, ["sig", "i", "j"], once))
-        return self.verify(found.groupBy("a", "b", "must").count().filter("count >= must").select("a", "b").distinct())
+        open_ = live.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high").select("sig")
+        rows = live.join(open_, "sig")
+        many = F.col("size") > FEW
+        here = Window.partitionBy("key", "band")
+        rows = stage(rows.withColumn("hot", F.count_if(many).over(here)).withColumn("cold", F.count_if(~many).over(here)), "open-signatures")
+        few = rows.filter(~many)
+        unsafe = rows.filter(many & ((F.col("band") == RESERVE) | (F.col("f") - F.floor(F.col("n") / 3) - F.col("hot") < 1)))
+        found = (few.alias("a").join(few.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("a.key") < F.col("b.key"))
+                                     & (F.col("a.part") != F.col("b.part")))
+                 .filter(self.smaller_band())
+                 .groupBy(F.col("a.key").alias("a"), F.col("b.key").alias("b"),
+                          (self.must_share() - F.least("a.hot", "b.hot")).alias("must")).count().filter("count >= must")
+                 .select("a", "b"))
+        return self.verify(found.unionByName(self.unsafe_pairs(unsafe)).distinct())
+
+    def unsafe_pairs(self, unsafe: DataFrame) -> DataFrame:
+        """Pairs (a, b) of unsafe classes that share enough signatures of many classes."""
+        node = F.xxhash64("key", "band")
+        items = stage(unsafe.groupBy("key", "band").agg(
+            F.first("n").alias("n"), F.first("f").alias("f"), F.first("part").alias("part"), F.first("cold").alias("cold"),
+            F.collect_list("sig").alias("sigs")).withColumn("node", node), "unsafe-classes")
+        # groups of classes that have such signatures in common, by way of one class of each signature
+        first = unsafe.groupBy("sig").agg(F.min(node).alias("a"))
+        groups = components(unsafe.select("sig", node.alias("b")).join(first, "sig").select("a", "b"))
+        items = items.join(groups, "node").withColumnRenamed("component", "grp")
+        sizes = items.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        items = (items.join(sizes, "grp").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                 .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
+        return items.select("grp", "i", "j", "own", "key", "band", "n", "f", "part", "cold", "sigs").groupBy("grp", "i", "j").applyInArrow(
+            _pairs_of_blocks, "a bigint, b bigint")
 
     def run(self) -> DataFrame:
         for turn in range(STAR_ROUNDS):
@@ -417,15 +460,15 @@ def components_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One document of every component, that with its smallest id (of several such rows, the smallest text hash)."""
+    text_hash, gone_id, gone_hash = fresh(docs, "text_hash", "gone_id", "gone_hash")
     found = stage(components_of(docs.select(id_col, text_col), id_col, text_col), "components")
     heads = found.filter(F.col("component_size") > 1).filter(F.col(id_col).eqNullSafe(F.col("component_id")))
     heads = heads.groupBy(id_col).agg(F.min("text_hash").alias("text_hash"))
     gone = (found.filter(F.col("component_size") > 1).alias("f").join(
         heads.alias("h"), F.col(f"f.{id_col}").eqNullSafe(F.col(f"h.{id_col}")) & (F.col("f.text_hash") == F.col("h.text_hash")), "left_anti")
-        .select(F.col(f"f.{id_col}").alias("_gone_id"), F.col("f.text_hash").alias("_gone_hash")).distinct())
+        .select(F.col(f"f.{id_col}").alias(gone_id), F.col("f.text_hash").alias(gone_hash)).distinct())
     gone = stage(gone, "near-copies")
     few = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    text_hash, = fresh(docs, "text_hash")
     rows = docs.withColumn(text_hash, F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    return rows.join(F.broadcast(gone) if few else gone, F.col(id_col).eqNullSafe(F.col("_gone_id"))
-                     & (F.col(text_hash) == F.col("_gone_hash")), "left_anti").select(*docs.columns)
+    return rows.join(F.broadcast(gone) if few else gone, F.col(id_col).eqNullSafe(F.col(gone_id))
+                     & (F.col(text_hash) == F.col(gone_hash)), "left_anti").select(*docs.columns)
