@@ -45,11 +45,12 @@ def build_silver(src) -> dict[str, DataFrame]:
 
 
 def write_silver(spark: SparkSession, src, warehouse: str,
-                 parallelism: int = DEFAULT_PARALLELISM) -> dict[str, DataFrame]:
+                 parallelism: int = DEFAULT_PARALLELISM, tables=SILVER_ORDER) -> dict[str, DataFrame]:
     """Materialize the silver layer (full rebuild, as the source project does).
 
     The dimension is written first; the two facts (independent of each other)
     then build concurrently, and the session fact reads the written dimension.
+    ``tables`` may leave out a fact whose sources are not there.
     """
     def write(t: str, df: DataFrame) -> DataFrame:
         path, date = table_path(warehouse, t), SILVER_DATE.get(t)
@@ -66,9 +67,9 @@ def write_silver(spark: SparkSession, src, warehouse: str,
         return spark.read.schema(schema).parquet(path)
 
     dim = write("dim_products", silver.dim_products(src))
-    facts = run_all({"fct_sales": lambda: write("fct_sales", silver.fct_sales(src)),
-                      "fct_sessions": lambda: write("fct_sessions", silver.fct_sessions(src, dim))},
-                     parallelism)
+    builders = {"fct_sales": lambda: write("fct_sales", silver.fct_sales(src)),
+                "fct_sessions": lambda: write("fct_sessions", silver.fct_sessions(src, dim))}
+    facts = run_all({t: f for t, f in builders.items() if t in tables}, parallelism)
     return {"dim_products": dim, **facts}
 
 
