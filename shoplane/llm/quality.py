@@ -119,8 +119,11 @@ def _gradients(w: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray, y: n
 
 
 def train(rows: list[tuple[str, int]], share_of_ones: float, seed: int = 7, epochs: int = 20, batch: int = 32,
-          rate: float = 0.01, decay: float = 1e-4) -> Model:
-    """Fit on (text, label) pairs; ``share_of_ones`` is that of label 1 among all labelled rows."""
+          rate: float = 0.01, decay: float = 1e-4, least_steps: int = 800) -> Model:
+    """Fit on (text, label) pairs; ``share_of_ones`` is that of label 1 among all labelled rows.
+
+    A small sample gets more epochs, so that there are ``least_steps`` updates.
+    """
     y = np.array([label for _, label in rows], np.float64)
     share = min(max(share_of_ones, 1e-3), 1 - 1e-3)
     prior = float(np.log(share / (1 - share)))
@@ -133,6 +136,7 @@ def train(rows: list[tuple[str, int]], share_of_ones: float, seed: int = 7, epoc
          "w": rng.normal(0, 0.1, WIDTH), "c": rng.normal(0, 0.1, WIDTH), "d": np.zeros(1)}
     w = {k: v.astype(np.float32) for k, v in w.items()}
     m, v, step = {k: np.zeros_like(x) for k, x in w.items()}, {k: np.zeros_like(x) for k, x in w.items()}, 0
+    epochs = max(epochs, -(-least_steps // -(-len(y) // batch)))
     total = epochs * -(-len(y) // batch)
     for _ in range(epochs):
         order = rng.permutation(len(y))
