@@ -38,15 +38,12 @@ columns are kept by ``keep_one`` and not read by ``components_of``.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, small_batches, stage
+from .common import fresh, stage
 from .components import components
 from .hashing import END_HASH, joined, mix, shingle_hashes, word_hashes
 
@@ -56,13 +53,14 @@ HOT = 512               # classes of a signature within one batch of a task that
 BATCH_DOCS = 16_384     # distinct sets of a batch, at most 2**16
 BATCH_SIGNATURES = 1_500_000
 JOINED_BYTES = 1 << 20  # of texts that are hashed together
-SLICES = 8              # of a shard, unpacked one after the other
+SLICES = 8              # of a shard, sorted one after the other
+LOWER = np.uint64((1 << 48) - 1)
 RESERVE = 63            # the band of single shingles
 STAR_ROUNDS = 1
 BROADCAST_ROWS = 1_000_000
 BLOCK = 1024            # unsafe classes that a task compares with as many
 COLUMNS = 4096          # signatures that it takes together
-PAIRS_PER_BATCH = 400
+TEXTS = 512             # of a block in verification
 
 
 def shingle_set(text: str | None, n: int = SHINGLE) -> np.ndarray:
@@ -220,14 +218,17 @@ def live_signatures(docs: DataFrame, text_col: str) -> DataFrame:
     shards = 1 << bits
 
     def rows(keys: list[np.ndarray], sigs: list[np.ndarray], owners: list[np.ndarray], turn: int) -> pa.RecordBatch:
-        """A batch's blobs: shard, its classes, for every signature the place of its class among them, signatures."""
+        """A batch's blobs: where they go, the shard of their signatures, their classes, for every signature
+        the place of its class among these, and the lower six bytes of the signatures."""
         key, sig, own = np.concatenate(keys), np.concatenate(sigs), np.concatenate(owners)
+        sig = ((sig >> np.uint64(64 - bits)) << np.uint64(48)) | (sig & LOWER)
         order = np.argsort(sig, kind="stable")
         sig, own, out = sig[order], own[order], []
 
-        def blob(shard: int, part: np.ndarray, classes: np.ndarray) -> None:
+        def blob(to: int, part: np.ndarray, classes: np.ndarray) -> None:
             used, place = np.unique(classes, return_inverse=True)
-            out.append((shard, key[used].tobytes(), place.astype("<u2").tobytes(), part.tobytes()))
+            out.append((to, int(part[0] >> np.uint64(48)), key[used].tobytes(), place.astype("<u2").tobytes(),
+                        part.view(np.uint8).reshape(-1, 8)[:, :6].tobytes()))
         first = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
         n = np.diff(np.append(first, len(sig)))
         if (n > HOT).any():
@@ -236,13 +237,13 @@ def live_signatures(docs: DataFrame, text_col: str) -> DataFrame:
             stays = np.repeat(n <= HOT, n)
             stays[first] = True
             sig, own = sig[stays], own[stays]
-        edges = np.searchsorted(sig, np.arange(1, shards, dtype=np.uint64) << np.uint64(64 - bits))
+        edges = np.searchsorted(sig, np.arange(1, shards, dtype=np.uint64) << np.uint64(48))
         for shard, (i, j) in enumerate(zip([0, *edges], [*edges, len(sig)])):
             if j > i:
                 blob(shard, sig[i:j], own[i:j])
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.int32()),
-                                           *(pa.array([r[k] for r in out], pa.binary()) for k in (1, 2, 3))],
-                                          names=["shard", "classes", "place", "sig"])
+        return pa.RecordBatch.from_arrays([*(pa.array([r[k] for r in out], pa.int32()) for k in (0, 1)),
+                                           *(pa.array([r[k] for r in out], pa.binary()) for k in (2, 3, 4))],
+                                          names=["target", "shard", "classes", "place", "sig"])
 
     def send(batches):
         keys, sigs, owners, docs_, size_, seen, turn = [], [], [], 0, 0, set(), 0
@@ -265,20 +266,24 @@ def live_signatures(docs: DataFrame, text_col: str) -> DataFrame:
         if keys:
             yield rows(keys, sigs, owners, turn)
 
-    def gather(shard_key, group):
-        shard = shard_key[0].as_py()
-        blobs = [(np.frombuffer(k, "<i8"), np.frombuffer(at, "<u2"), np.frombuffer(x, "<u8"))
-                 for k, at, x in zip(*(group[c].to_pylist() for c in ("classes", "place", "sig")))]
-        # blobs are sorted, so a slice of the shard's range is a slice of each: only one is unpacked at a time
-        low, width = (shard << (64 - bits), 1 << (64 - bits)) if shard < shards else (0, 1 << 64)
-        edges = np.array([low + width * k // SLICES for k in range(1, SLICES)], np.uint64)
+    def unpacked(shard: int, raw: bytes) -> np.ndarray:
+        out = np.zeros((len(raw) // 6, 8), np.uint8)
+        out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+        return out.view("<u8").ravel() | (np.uint64(shard) << np.uint64(48))
+
+    def gather(_, group):
+        blobs = [(np.frombuffer(k, "<i8"), np.frombuffer(at, "<u2"), unpacked(shard, x))
+                 for shard, k, at, x in zip(*(group[c].to_pylist() for c in ("shard", "classes", "place", "sig")))]
+        # blobs are sorted, so a slice of a shard's range is a slice of each: only one is sorted at a time
+        low, high = min(int(x[0]) for *_, x in blobs), max(int(x[-1]) for *_, x in blobs)
+        edges = np.array([low + (high - low) * k // SLICES for k in range(1, SLICES)], np.uint64)
         cuts = [np.concatenate([[0], np.searchsorted(x, edges), [len(x)]]) for _, _, x in blobs]
         found = [_repeated(np.concatenate([x[c[k]:c[k + 1]] for (_, _, x), c in zip(blobs, cuts)]),
                            np.concatenate([key[at[c[k]:c[k + 1]]] for (key, at, _), c in zip(blobs, cuts)])) for k in range(SLICES)]
         return pa.table({"sig": np.concatenate([x for x, _ in found]).view(np.int64), "key": np.concatenate([k for _, k in found])})
 
     return docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(
-        send, "shard int, classes binary, place binary, sig binary").groupBy("shard").applyInArrow(gather, "sig bigint, key bigint")
+        send, "target int, shard int, classes binary, place binary, sig binary").groupBy("target").applyInArrow(gather, "sig bigint, key bigint")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -286,12 +291,22 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return 100 * common >= 75 * (len(a) + len(b) - common) and common > 0
 
 
-def _verifier() -> Column:
-    @F.pandas_udf("boolean")
-    def verify(a: pd.Series, b: pd.Series) -> pd.Series:
-        cached = lru_cache(256)(shingle_set)    # a leader's pairs come one after the other
-        return pd.Series([similar(cached(x), cached(y)) for x, y in zip(a, b)], dtype=bool)
-    return verify
+def _verified(key, pairs, texts):
+    """The links among the pairs of two blocks of classes, less those that join what is joined already."""
+    sets_ = {k: shingle_set(t) for k, t in zip(texts["key"].to_pylist(), texts["text"].to_pylist())}
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+    links = []
+    for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
+        x, y = top(a), top(b)
+        if x != y and similar(sets_[a], sets_[b]):
+            up[max(x, y)] = min(x, y)
+            links.append((a, b))
+    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
 
 def _band(n: Column) -> Column:
@@ -363,20 +378,27 @@ class _Join:
         return (F.col("a.band") == RESERVE) | (F.col("a.band") == _band(F.least("a.n", "b.n")))
 
     def verify(self, pairs: DataFrame) -> bool:
-        """Add the links among the pairs (a, b); whether there were any."""
+        """Add the links among the pairs (a, b); whether there were any.
+
+        Pairs are verified in blocks of classes, so that a text goes once to each block that needs it and
+        not once for every pair.
+        """
         pairs = stage(pairs.select("a", "b"), "candidates")
         keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
         wanted = stage(self.classes.join(keys, "key").select("key", "one.id", "one.text_hash"), "candidate-keys")
-        few = wanted.limit(BROADCAST_ROWS + 1).count()
-        if not few:
+        n = wanted.count()
+        if not n:
             return False
-        right = (F.broadcast(wanted) if few <= BROADCAST_ROWS else wanted).alias("w")
-        texts = stage(self.docs.alias("d").join(right, F.col("d.id").eqNullSafe(F.col("w.id")) & (F.xxhash64("d.text") == F.col("w.text_hash")))
-                      .select("key", "text"), "candidate-texts")
-        both = (pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-                .join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b"))
-        with small_batches(self.spark, PAIRS_PER_BATCH):        # a row is two whole texts
-            links = stage(both.filter(_verifier()(F.col("text_a"), F.col("text_b"))).select("a", "b"), "links")
+        right = (F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted).alias("w")
+        texts = (self.docs.alias("d").join(right, F.col("d.id").eqNullSafe(F.col("w.id")) & (F.xxhash64("d.text") == F.col("w.text_hash")))
+                 .select("key", "text"))
+
+        def block(c: str) -> Column:
+            return F.pmod(F.xxhash64(c), F.lit(-(-n // TEXTS)))
+        pairs = pairs.withColumn("i", F.least(block("a"), block("b"))).withColumn("j", F.greatest(block("a"), block("b")))
+        needed = (pairs.select(F.col("i").alias("of_i"), F.col("j").alias("of_j"), F.explode(F.array("a", "b")).alias("key")).distinct()
+                  .join(texts, "key").select("of_i", "of_j", "key", "text"))
+        links = stage(pairs.groupBy("i", "j").cogroup(needed.groupBy("of_i", "of_j")).applyInArrow(_verified, "a bigint, b bigint"), "links")
         if links.isEmpty():
             return False
         self.links = links if self.links is None else self.links.unionByName(links)
@@ -397,7 +419,7 @@ class _Join:
 
     def across(self) -> bool:
         """Verify all pairs across components that may be similar."""
-        live = stage(self.labelled(), "labelled")
+        live = self.labelled()
         open_ = live.groupBy("sig").agg(F.min("part").alias("low"), F.max("part").alias("high")).filter("low != high").select("sig")
         rows = live.join(open_, "sig")
         many = F.col("size") > FEW
