@@ -56,7 +56,7 @@ def features(text: str) -> np.ndarray:
         h = (h[:len(cps) - n + 1] + cps[n - 1:]) * _PRIME
         h ^= h >> np.uint32(15)
         # a border may be the first or the last character of an n-gram, not one inside it
-        ok = inner if n == 1 else np.ones(len(h), bool)
+        ok = inner if n == 1 else inner[:-1] | inner[1:] if n == 2 else np.ones(len(h), bool)
         for k in range(1, n - 1):
             ok = ok[:len(h)] & inner[k:k + len(h)]
         out.append((h + np.uint32(n))[ok[:len(h)]])

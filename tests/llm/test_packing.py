@@ -13,19 +13,22 @@ from shoplane.llm import packing
 VOCAB = public_tokenizers.path("word_bpe_49k.json")
 
 
+WHOLE = Tokenizer.from_file(VOCAB)
+
+
 def expected(text):
-    ids = Tokenizer.from_file(VOCAB).encode(text or "", add_special_tokens=False).ids + [1]
+    ids = WHOLE.encode(text or "", add_special_tokens=False).ids + [1]
     return [(k, at, len(ids[at:at + 4096]), zlib.crc32(np.array(ids[at:at + 4096], "<u4").tobytes()))
             for k, at in enumerate(range(0, len(ids), 4096))]
 
 
 def test_words_are_those_of_the_tokenizer():
-    rng, words, whole = random.Random(1), packing._words(VOCAB), Tokenizer.from_file(VOCAB)
+    rng, words = random.Random(1), packing._words(VOCAB)
     parts = ["a", "The ", " ", "\n", "'S", "É", "日本", "1", "23", "!!", "\U0001F600", "\x00", "́", "J̌", "İ", "ß", "ing", "Σ", "\xa0",
              "\x85", "\x1c", "<|endoftext|>", "<|ENDOFTEXT|>", "K.", "it's.", "word,", "mot,", "été"]
     for _ in range(1500):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
-        assert np.frombuffer(words.ids(text), "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
+        assert np.frombuffer(words.ids(text), "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_cache_may_be_emptied(monkeypatch):
