@@ -22,13 +22,13 @@ Documents with the same set are one class. Candidates:
 3. Only pairs across components remain. Signatures of at most ``FEW`` classes give all such pairs. A class
    of which fewer signatures are larger than that than it must share with any similar set needs no
    more. The other ("unsafe") classes are those that consist of very common shingles for the most part and
-   did not link to a leader. Those with larger signatures in common are compared with each other, in
-   blocks of ``BLOCK`` by ``BLOCK``: a task counts what two blocks share by a matrix product and passes
-   on the pairs that share enough. A pair goes on if it shares as many signatures as similar sets of
-   its sizes must share. This is exact.
+   did not link to a leader. Those with larger signatures in common are compared with each other in
+   blocks: a task counts the shingles that the classes of two blocks share by a matrix product. This
+   is exact. Its work grows with the square of such a group, its rows and memory do not.
 
-Every pair that goes on is verified on the words of both texts, so the result has no false links. Texts
-are only fetched for such pairs.
+A pair from signatures goes on if it shares as many as similar sets of its sizes must share, and is then
+verified on the words of both texts, so the result has no false links. Texts are only fetched for pairs
+that go on and for unsafe classes.
 
 Defined results: a null text counts as empty; a document without words has an empty set, 0 shingles, and
 is linked with nothing; rows with null ids take part, and a component's id is its smallest id that is not
@@ -59,7 +59,8 @@ RESERVE = 63            # the band of single shingles
 STAR_ROUNDS = 1
 BROADCAST_ROWS = 1_000_000
 BLOCK = 1024            # unsafe classes that a task compares with as many
-COLUMNS = 4096          # signatures that it takes together
+BLOCK_SHINGLES = 1 << 19    # of a block
+COLUMNS = 4096          # shingles that it counts together
 TEXTS = 512             # of a block in verification
 
 
@@ -294,33 +295,23 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
 def _verified(key, pairs, texts):
     """The links among the pairs of two blocks of classes, less those that join what is joined already."""
     sets_ = {k: shingle_set(t) for k, t in zip(texts["key"].to_pylist(), texts["text"].to_pylist())}
-    up: dict[int, int] = {}
-
-    def top(x: int) -> int:
-        while x in up:
-            x = up[x]
-        return x
-    links = []
-    for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()):
-        x, y = top(a), top(b)
-        if x != y and similar(sets_[a], sets_[b]):
-            up[max(x, y)] = min(x, y)
-            links.append((a, b))
-    return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+    return _spanning((a, b) for a, b in zip(pairs["a"].to_pylist(), pairs["b"].to_pylist()) if similar(sets_[a], sets_[b]))
 
 
 def _band(n: Column) -> Column:
     return F.length(F.bin(n)) - 1
 
 
-def _pairs_of_blocks(key, group):
-    """Pairs of two blocks of unsafe classes (or within one) that share as many signatures as they must."""
+def _links_of_blocks(key, group):
+    """The links between the classes of two blocks (or within one), less those that join what is joined already."""
     i, j = key[1].as_py(), key[2].as_py()
     group = group.sort_by("own")
-    own, cls, band, n, f, part, cold = (group[c].to_numpy() for c in ("own", "key", "band", "n", "f", "part", "cold"))
-    lists = group["sigs"].combine_chunks()
-    row = np.repeat(np.arange(len(own)), np.diff(lists.offsets.to_numpy()))
-    _, column = np.unique(lists.flatten().to_numpy(), return_inverse=True)
+    own, cls, part = (group[c].to_numpy() for c in ("own", "key", "part"))
+    sets_ = [shingle_set(t) for t in group["text"].to_pylist()]
+    n = np.array([len(x) for x in sets_])
+    row = np.repeat(np.arange(len(own)), n)
+    _, column, times = np.unique(np.concatenate(sets_), return_inverse=True, return_counts=True)
+    column, row = (np.cumsum(times > 1) - 1)[column[often := times[column] > 1]], row[often]      # others are shared by none
     cut = int(np.searchsorted(own, i, "right"))
     rows, cols = (slice(0, cut), slice(0, cut)) if i == j else (slice(0, cut), slice(cut, len(own)))
     shared = np.zeros((rows.stop - rows.start, cols.stop - cols.start), np.float32)
@@ -329,15 +320,27 @@ def _pairs_of_blocks(key, group):
         has = np.zeros((len(own), COLUMNS), np.float32)
         has[row[part_of], column[part_of] - low] = 1
         shared += has[rows] @ has[cols].T
-    x, y = np.nonzero(shared)
-    x, y, shared = x + rows.start, y + cols.start, shared[x, y]
-    keep = (part[x] != part[y]) & (band[x] == band[y]) & ((x < y) | (i != j))
-    x, y, shared = x[keep], y[keep], shared[keep]
-    small = np.minimum(n[x], n[y])
-    must = np.where(band[x] == RESERVE, 1, np.maximum(f[x], f[y]) - (n[x] + n[y]) // 7) - np.minimum(cold[x], cold[y])
-    keep = (shared >= must) & ((band[x] == RESERVE) | (band[x] == own_band(small)))
-    x, y = cls[x[keep]], cls[y[keep]]
-    return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
+    x, y = np.nonzero(100 * shared >= 75 * (n[rows, None] + n[None, cols] - shared))
+    x, y = x + rows.start, y + cols.start
+    keep = (part[x] != part[y]) & ((x < y) | (i != j))
+    return _spanning(zip(cls[x[keep]].tolist(), cls[y[keep]].tolist()))
+
+
+def _spanning(links) -> pa.Table:
+    """Links (a, b) that join what the ones before have not joined."""
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+    out = []
+    for a, b in links:
+        x, y = top(a), top(b)
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            out.append((a, b))
+    return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
 
 
 class _Join:
@@ -377,28 +380,33 @@ class _Join:
     def smaller_band() -> Column:
         return (F.col("a.band") == RESERVE) | (F.col("a.band") == _band(F.least("a.n", "b.n")))
 
-    def verify(self, pairs: DataFrame) -> bool:
-        """Add the links among the pairs (a, b); whether there were any.
+    def texts_of(self, keys: DataFrame) -> tuple[DataFrame, int]:
+        """(key, text) of one row of every class of ``keys`` (each once), and their number."""
+        wanted = stage(self.classes.join(keys, "key").select("key", "one.id", "one.text_hash"), "candidate-keys")
+        n = wanted.count()
+        right = (F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted).alias("w")
+        texts = self.docs.alias("d").join(right, F.col("d.id").eqNullSafe(F.col("w.id")) & (F.xxhash64("d.text") == F.col("w.text_hash")))
+        return texts.select("key", "text"), n
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """Links among the pairs (a, b): those that are needed to join what all of them join.
 
         Pairs are verified in blocks of classes, so that a text goes once to each block that needs it and
         not once for every pair.
         """
         pairs = stage(pairs.select("a", "b"), "candidates")
-        keys = pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
-        wanted = stage(self.classes.join(keys, "key").select("key", "one.id", "one.text_hash"), "candidate-keys")
-        n = wanted.count()
-        if not n:
-            return False
-        right = (F.broadcast(wanted) if n <= BROADCAST_ROWS else wanted).alias("w")
-        texts = (self.docs.alias("d").join(right, F.col("d.id").eqNullSafe(F.col("w.id")) & (F.xxhash64("d.text") == F.col("w.text_hash")))
-                 .select("key", "text"))
+        texts, n = self.texts_of(pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct())
 
         def block(c: str) -> Column:
-            return F.pmod(F.xxhash64(c), F.lit(-(-n // TEXTS)))
+            return F.pmod(F.xxhash64(c), F.lit(max(1, -(-n // TEXTS))))
         pairs = pairs.withColumn("i", F.least(block("a"), block("b"))).withColumn("j", F.greatest(block("a"), block("b")))
-        needed = (pairs.select(F.col("i").alias("of_i"), F.col("j").alias("of_j"), F.explode(F.array("a", "b")).alias("key")).distinct()
-                  .join(texts, "key").select("of_i", "of_j", "key", "text"))
-        links = stage(pairs.groupBy("i", "j").cogroup(needed.groupBy("of_i", "of_j")).applyInArrow(_verified, "a bigint, b bigint"), "links")
+        needed = [pairs.select(F.col("i").alias("of_i"), F.col("j").alias("of_j"), F.col(c).alias("key")) for c in ("a", "b")]
+        needed = needed[0].union(needed[1]).distinct().join(texts, "key").select("of_i", "of_j", "key", "text")
+        return pairs.groupBy("i", "j").cogroup(needed.groupBy("of_i", "of_j")).applyInArrow(_verified, "a bigint, b bigint")
+
+    def add(self, links: DataFrame) -> bool:
+        """Take in links; whether there were any."""
+        links = stage(links, "links")
         if links.isEmpty():
             return False
         self.links = links if self.links is None else self.links.unionByName(links)
@@ -415,7 +423,7 @@ class _Join:
                  .filter(self.smaller_band())
                  .groupBy(F.col("a.key").alias("a"), F.col("b.key").alias("b"), self.must_share().alias("must"))
                  .count().filter("3 * count >= must"))
-        return self.verify(pairs)
+        return self.add(self.verified(pairs))
 
     def across(self) -> bool:
         """Verify all pairs across components that may be similar."""
@@ -424,7 +432,7 @@ class _Join:
         rows = live.join(open_, "sig")
         many = F.col("size") > FEW
         here = Window.partitionBy("key", "band")
-        rows = stage(rows.withColumn("hot", F.count_if(many).over(here)).withColumn("cold", F.count_if(~many).over(here)), "open-signatures")
+        rows = stage(rows.withColumn("hot", F.count_if(many).over(here)), "open-signatures")
         few = rows.filter(~many)
         unsafe = rows.filter(many & ((F.col("band") == RESERVE) | (F.col("f") - F.floor(F.col("n") / 3) - F.col("hot") < 1)))
         found = (few.alias("a").join(few.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("a.key") < F.col("b.key"))
@@ -433,24 +441,27 @@ class _Join:
                  .groupBy(F.col("a.key").alias("a"), F.col("b.key").alias("b"),
                           (self.must_share() - F.least("a.hot", "b.hot")).alias("must")).count().filter("count >= must")
                  .select("a", "b"))
-        return self.verify(found.unionByName(self.unsafe_pairs(unsafe)).distinct())
+        return self.add(self.verified(found.distinct()).unionByName(self.unsafe_links(unsafe)))
 
-    def unsafe_pairs(self, unsafe: DataFrame) -> DataFrame:
-        """Pairs (a, b) of unsafe classes that share enough signatures of many classes."""
+    def unsafe_links(self, unsafe: DataFrame) -> DataFrame:
+        """Links among the unsafe classes that have signatures of many classes in common."""
         node = F.xxhash64("key", "band")
-        items = stage(unsafe.groupBy("key", "band").agg(
-            F.first("n").alias("n"), F.first("f").alias("f"), F.first("part").alias("part"), F.first("cold").alias("cold"),
-            F.collect_list("sig").alias("sigs")).withColumn("node", node), "unsafe-classes")
+        items = stage(unsafe.groupBy("key", "band").agg(F.first("n").alias("n"), F.first("part").alias("part")).withColumn("node", node),
+                      "unsafe-classes")
         # groups of classes that have such signatures in common, by way of one class of each signature
         first = unsafe.groupBy("sig").agg(F.min(node).alias("a"))
         groups = components(unsafe.select("sig", node.alias("b")).join(first, "sig").select("a", "b"))
         items = items.join(groups, "node").withColumnRenamed("component", "grp")
-        sizes = items.groupBy("grp").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+        sizes = items.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
+                                         .cast("int").alias("blocks"))
+        # a class meets the classes of every block once: block pairs (i, j), i <= j, are what a task gets
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        items = (items.join(sizes, "grp").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        items = items.join(sizes, "grp").withColumn("own", own)
+        texts, _ = self.texts_of(items.select("key").distinct())
+        items = (items.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                  .withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")))
-        return items.select("grp", "i", "j", "own", "key", "band", "n", "f", "part", "cold", "sigs").groupBy("grp", "i", "j").applyInArrow(
-            _pairs_of_blocks, "a bigint, b bigint")
+        return (items.join(texts, "key").select("grp", "i", "j", "own", "key", "part", "text").groupBy("grp", "i", "j")
+                .applyInArrow(_links_of_blocks, "a bigint, b bigint"))
 
     def run(self) -> DataFrame:
         for turn in range(STAR_ROUNDS):
