@@ -432,7 +432,7 @@ class _Join:
         rows = live.join(open_, "sig")
         many = F.col("size") > FEW
         here = Window.partitionBy("key", "band")
-        rows = stage(rows.withColumn("hot", F.count_if(many).over(here)), "open-signatures")
+        rows = stage(rows.withColumn("hot", F.count_if(many).over(here)).withColumn("cold", F.count_if(~many).over(here)), "open-signatures")
         few = rows.filter(~many)
         unsafe = rows.filter(many & ((F.col("band") == RESERVE) | (F.col("f") - F.floor(F.col("n") / 3) - F.col("hot") < 1)))
         found = (few.alias("a").join(few.alias("b"), (F.col("a.sig") == F.col("b.sig")) & (F.col("a.key") < F.col("b.key"))
@@ -448,10 +448,15 @@ class _Join:
         node = F.xxhash64("key", "band")
         items = stage(unsafe.groupBy("key", "band").agg(F.first("n").alias("n"), F.first("part").alias("part")).withColumn("node", node),
                       "unsafe-classes")
-        # groups of classes that have such signatures in common, by way of one class of each signature
-        first = unsafe.groupBy("sig").agg(F.min(node).alias("a"))
-        groups = components(unsafe.select("sig", node.alias("b")).join(first, "sig").select("a", "b"))
-        items = items.join(groups, "node").withColumnRenamed("component", "grp")
+        # Groups of classes that may be similar. Such classes share at least ``share`` of these signatures, so
+        # in one order for all, rarest first, they have one in common before the last ``share - 1`` of each.
+        share = F.when(F.col("band") == RESERVE, F.lit(1)).otherwise(
+            F.greatest(F.lit(1), F.col("f") - F.floor(F.col("n") / 3) - F.col("cold")))
+        place = F.row_number().over(Window.partitionBy("key", "band").orderBy("size", "sig"))
+        early = unsafe.withColumn("place", place).filter(F.col("place") <= F.col("hot") - share + 1).select("sig", node.alias("b"))
+        first = early.groupBy("sig").agg(F.min("b").alias("a"))
+        groups = components(early.join(first, "sig").select("a", "b"))
+        items = items.join(groups, "node").withColumnRenamed("component", "grp")       # alone in its group: no partner
         sizes = items.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES))
                                          .cast("int").alias("blocks"))
         # a class meets the classes of every block once: block pairs (i, j), i <= j, are what a task gets
