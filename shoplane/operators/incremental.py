@@ -162,7 +162,8 @@ def refresh_mart(spark: SparkSession, path: str, build: Callable[[dt.date | None
     if stored != {f.name: f.dataType for f in schema.fields}:
         # sync_all_columns: the old rows take the new columns once
         _write_full(align_columns(target, schema), path, date_col)
-    target = spark.read.schema(schema).parquet(path).select(*schema.names)
+        target = spark.read.schema(schema).parquet(path)
+    target = target.select(*schema.names)       # as listed above: a table has a folder for every day
     cutoff = lookback_cutoff(target, date_col, lookback_days)
     new = build(cutoff)
     merge_window(spark, target, new, path, key, date_col, cutoff)
