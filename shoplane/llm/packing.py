@@ -37,7 +37,7 @@ from .common import stage
 CAPACITY = 4096
 END_ID = 1
 SPREAD = 64
-CACHED_WORDS = 800_000
+CACHED_WORDS = 300_000
 
 # the byte-level alphabet: visible characters of Latin-1 stand for themselves, all others for 256, 257, ...
 _VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}

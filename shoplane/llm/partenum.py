@@ -51,7 +51,7 @@ SHINGLE = 5
 FEW = 32                # classes of a signature whose pairs are all looked at
 HOT = 512               # classes of a signature within one batch of a task that use overflow
 BATCH_DOCS = 16_384     # distinct sets of a batch, at most 2**16
-BATCH_SIGNATURES = 1_500_000
+BATCH_SIGNATURES = 1_000_000
 JOINED_BYTES = 1 << 20  # of texts that are hashed together
 SLICES = 8              # of a shard, sorted one after the other
 LOWER = np.uint64((1 << 48) - 1)
