@@ -1,19 +1,24 @@
 """Main text of web pages by removing each site's template (operator 1).
 
 1. Every page is parsed to a light tree in which each element has a hash of its subtree: tag, class, id,
-   texts and children. Tasks send (host, subtree, page body) triples of elements that could be template.
-2. Spark counts, per host, on how many different page bodies a subtree occurs (copies of one page count
-   once). A subtree on at least ``MIN_PAGES`` bodies and a share ``MIN_SHARE`` of the host's is template.
+   texts and children. Tasks send (scope, subtree, page body) triples of elements that could be template.
+   A page is in the scope of its host and, if its path has a folder, in that of the host's section: host and
+   first path segment, be it a topic, a blog or a language.
+2. Spark counts, per scope, on how many different page bodies a subtree occurs (copies of one page count
+   once). A subtree on at least ``MIN_PAGES`` bodies and a share ``MIN_SHARE`` of the scope's is template.
+   Outside the main part, one on ``MANY_PAGES`` bodies of a host is template whatever its share, so a block
+   from a pool of many variants, or of a part of a large host, goes too. Headings, quotes, list items and
+   table rows are not judged by that count: short ones recur in texts of their own.
 3. Each page is parsed again, the template subtrees of its host are deleted, and so are elements whose
    meaning is not text of the article: menus, page headers, footers, sidebars, notices, adverts, forms,
    comments, scripts, by their tag, role, class or id, and lists that consist of links. Text inside the
    page's main element, if it has one, is what remains; paragraphs and headings in there are never
    taken for template, since articles of one site quote the same lines.
 
-The triples are counted by (host, subtree) with map-side combining, so a host with a third of all pages is
-spread over all tasks. As every template subtree is on a share of its host's pages, a host has at most
-(elements per page / ``MIN_SHARE``) of them. They are broadcast if there are at most ``BROADCAST_ROWS``
-in all; otherwise pages join them by host and salt. Html is parsed inside tasks, a page at a time.
+The triples are counted by (scope, subtree) with map-side combining, so a host with a third of all pages is
+spread over all tasks. Templates are written to the shared folder as sorted arrays of keys (see ``arrays``),
+at most about ``SHARD_KEYS`` to an array, and mapped by the workers, so pages join nothing and a host may
+have any number of them. Html is parsed inside tasks, a page at a time.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own; unclosed,
 cut-off and misnested tags are closed as browsers do in simple cases; rows are independent, so repeated
@@ -25,17 +30,23 @@ from __future__ import annotations
 import html as html_module
 import re
 from dataclasses import dataclass, field
+from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from . import arrays
 from .common import stage
 
 MIN_PAGES = 4
 MIN_SHARE = 0.3
+MANY_PAGES = 50
+SHARD_KEYS = 1_000_000
 BROADCAST_ROWS = 500_000
 SALTS = 32
 
@@ -53,6 +64,10 @@ ENDS_AT = {"p": BLOCKS - {"html", "body"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd
            "thead": {"tbody", "tfoot"}, "tbody": {"tbody", "tfoot"}, "head": {"body"}}
 #: elements that an implied end does not look beyond
 SCOPE = set(_words("html body table td th ul ol dl article main section div aside nav form button"))
+#: blocks of texts that stay in the main part
+PLAIN = HEADINGS | set(_words("p blockquote pre li"))
+#: blocks that a count of pages alone does not make template
+SHORT = HEADINGS | set(_words("blockquote pre li dt dd caption figcaption legend option tr tbody thead tfoot"))
 #: never text of the article
 DROPPED_TAGS = RAW | set(_words("head template svg math canvas object embed audio video map nav footer aside form button select datalist "
                                 "menu dialog"))
@@ -214,31 +229,65 @@ def _survey(nodes: list[Element]) -> tuple[list[bool], list[bool]]:
     return dropped, main
 
 
-def template_candidates(source: str) -> tuple[int, list[int]]:
-    """Hash of the page's body, and the distinct subtrees that could be template."""
+def _repeats(n: Element, in_main: bool) -> bool:
+    """Whether the element is of a kind that can be template."""
+    return (n.chars > 0 and n.tag in BLOCKS and n.tag not in ("html", "body") and not n.has_main and not _is_main(n)
+            and not (in_main and n.tag in PLAIN))
+
+
+def template_candidates(source: str) -> tuple[int, dict[int, bool]]:
+    """Hash of the page's body, and the subtrees that could be template: whether a count of pages alone tells."""
     nodes, _ = parse(source)
     dropped, main = _survey(nodes)
-    found = set()
+    found: dict[int, bool] = {}
     for i, n in enumerate(nodes):
-        if not i or not n.chars or n.tag in ("html", "head", "body") or _is_main(n) or n.has_main or dropped[n.parent]:
-            continue
-        if n.tag in BLOCKS and not (main[i] and (n.tag in HEADINGS or n.tag in ("p", "blockquote", "pre", "li"))):
-            found.add(n.subtree)
-    return nodes[1].subtree if len(nodes) > 1 else 0, sorted(found)
+        if i and not dropped[n.parent] and _repeats(n, main[i]):
+            found[n.subtree] = found.get(n.subtree, False) or not (main[i] or n.tag in SHORT)
+    return nodes[1].subtree if len(nodes) > 1 else 0, found
+
+
+class Templates:
+    """Keys of template subtrees: scope ^ subtree, or the complement of it if for blocks outside the main part only."""
+
+    def __init__(self, shards: list[np.ndarray]):
+        self.shards = shards
+
+    def have(self, keys: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(keys), bool)
+        of = keys % len(self.shards)
+        for s in np.unique(of):
+            at, known = np.flatnonzero(of == s), self.shards[s]
+            if len(known):
+                out[at] = known[np.minimum(np.searchsorted(known, keys[at]), len(known) - 1)] == keys[at]
+        return out
+
+    def of_page(self, nodes: list[Element], main: list[bool], scopes: list[int]) -> set[int]:
+        """The elements that are template in one of the scopes, of which the first is the host."""
+        at = [i for i, n in enumerate(nodes) if i and _repeats(n, main[i])]
+        if not at:
+            return set()
+        subtrees = np.array([nodes[i].subtree for i in at], np.int64)
+        outer = np.array([not (main[i] or nodes[i].tag in SHORT) for i in at])
+        keys = np.concatenate([~(subtrees ^ scopes[0]), *(subtrees ^ s for s in scopes)])
+        many, *shares = self.have(keys).reshape(-1, len(at))
+        return {at[k] for k in np.flatnonzero(np.any(shares, axis=0) | (many & outer))}
+
+
+@lru_cache(2)
+def _templates(made: tuple[str, ...]) -> Templates:
+    return Templates([arrays.load(d)["key"] for d in made])
 
 
-def main_text(source: str | None, template: set[int] | frozenset[int] = frozenset()) -> str:
+def main_text(source: str | None, templates: Templates | None = None, scopes: list[int] = ()) -> str:
     """The article's blocks, joined by line feeds."""
     if not source:
         return ""
     nodes, texts = parse(source)
     dropped, main = _survey(nodes)
-    if template:
+    if templates and (found := templates.of_page(nodes, main, scopes)):
         for i, n in enumerate(nodes):
             if i and not dropped[i]:
-                plain = main[i] and (n.tag in HEADINGS or n.tag in ("p", "blockquote", "pre", "li"))
-                dropped[i] = dropped[n.parent] or (n.subtree in template and n.tag in BLOCKS and not plain
-                                                  and not _is_main(n) and not n.has_main and n.tag not in ("html", "body"))
+                dropped[i] = dropped[n.parent] or i in found
     size = {True: 0, False: 0}
     for t in texts:
         if t and not dropped[t[0]]:
@@ -260,50 +309,81 @@ def host(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//(?:[^/?#@]*@)?([^/:?#]*)", 1))
 
 
+def section(url: Column) -> Column:
+    """First segment of the path, if something may come below it; else empty."""
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//[^/?#]*/([^/?#]+)/", 1)
+
+
+def _scopes(url: Column) -> list[Column]:
+    """Hashes of the host, and of its section (null: none)."""
+    return [F.xxhash64(host(url)).alias("host"), F.when(section(url) != "", F.xxhash64(host(url), section(url))).alias("section")]
+
+
 def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-                   min_share: float = MIN_SHARE) -> DataFrame:
-    """(host, subtrees): hash of the host, and the hashes of the subtrees that make its template."""
+                   min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
+    """(key): of every template subtree, as ``Templates`` has them."""
     def run(batches):
         for batch in batches:
-            hosts, bodies, subtrees = [], [], []
-            for h, source in zip(batch.column(0).to_pylist(), batch.column(1)):
+            scopes, bodies, subtrees, outer = [], [], [], []
+            for h, s, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 body, found = template_candidates(source.as_py())
-                hosts += [h] * (len(found) + 1)
-                bodies += [body] * (len(found) + 1)
-                subtrees += [None, *found]                      # null counts the host's bodies
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (hosts, bodies, subtrees)],
-                                             names=["host", "body", "subtree"])
-
-    triples = (pages.select(F.xxhash64(host(F.col(url_col))).alias("host"), F.col(html_col).cast("string").alias("html"))
-               .filter(F.length("html") > 0).mapInArrow(run, "host bigint, body bigint, subtree bigint"))
-    counts = triples.distinct().groupBy("host", "subtree").agg(F.count(F.lit(1)).alias("n"))
-    # hosts with too few bodies have no template; a host's own count meets its subtrees in one aggregate
-    often = counts.filter(F.col("n") >= min_pages).groupBy("host").agg(
+                for scope in (h, s):
+                    if scope is not None:
+                        scopes += [scope] * (len(found) + 1)
+                        bodies += [body] * (len(found) + 1)
+                        subtrees += [None, *found]              # null counts the scope's bodies
+                        outer += [False, *(found.values() if scope == h else [False] * len(found))]
+            yield pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in (scopes, bodies, subtrees)), pa.array(outer, pa.bool_())],
+                                             names=["scope", "body", "subtree", "outer"])
+
+    triples = (pages.select(*_scopes(F.col(url_col)), F.col(html_col).cast("string").alias("html"))
+               .filter(F.length("html") > 0).mapInArrow(run, "scope bigint, body bigint, subtree bigint, outer boolean"))
+    counts = (triples.groupBy("scope", "body", "subtree").agg(F.max("outer").alias("outer"))
+              .groupBy("scope", "subtree").agg(F.count(F.lit(1)).alias("n"), F.count_if("outer").alias("n_outer")))
+    # scopes with too few bodies have no template; a scope's own count meets its subtrees in one aggregate
+    often = counts.filter(F.col("n") >= min_pages).groupBy("scope").agg(
         F.max(F.when(F.col("subtree").isNull(), F.col("n"))).alias("bodies"),
-        F.collect_list(F.when(F.col("subtree").isNotNull(), F.struct("subtree", "n"))).alias("found"))
-    found = F.transform(F.filter("found", lambda x: x["n"] >= F.col("bodies") * min_share), lambda x: x["subtree"])
-    return often.select("host", found.alias("subtrees")).filter(F.size("subtrees") > 0)
+        F.collect_list(F.when(F.col("subtree").isNotNull(), F.struct("subtree", "n", "n_outer"))).alias("found"))
+    rows = often.select("scope", "bodies", F.explode("found").alias("x")).select("scope", "bodies", "x.*")
+    return _keys(rows, min_share, many_pages)
+
+
+def _keys(rows: DataFrame, min_share: float, many_pages: int) -> DataFrame:
+    """Keys of the template subtrees among rows (scope, bodies, subtree, n, n_outer)."""
+    key, share = F.col("scope").bitwiseXOR(F.col("subtree")), F.col("n") >= F.col("bodies") * min_share
+    return rows.filter(share | (F.col("n_outer") >= many_pages)).select(F.when(share, key).otherwise(F.bitwise_not(key)).alias("key"))
+
+
+def _written(keys: DataFrame) -> tuple[str, ...]:
+    """Descriptions of the sorted arrays that hold the keys, by the key's remainder."""
+    folder = scratch_path(keys.sparkSession, "site-templates")
+    n = max(1, -(-keys.count() // SHARD_KEYS))
+
+    def write(group_key, group):
+        s = group_key[0].as_py()
+        made = arrays.save(folder, f"templates-{s}", key=np.sort(group["key"].to_numpy()))
+        return pa.table({"shard": pa.array([s], pa.int64()), "made": [made]})
+
+    rows = keys.withColumn("shard", F.pmod("key", F.lit(n)).cast("bigint")).groupBy("shard").applyInArrow(write, "shard bigint, made string")
+    done = {r["shard"]: r["made"] for r in rows.collect()}
+    none = '{"uri": "", "size": 0, "fields": {"key": ["<i8", 0, 0]}}'
+    return tuple(done.get(s, none) for s in range(n))
 
 
-def extractor() -> Column:
-    """A function of an html column and the array of its host's template subtrees (null: none): the text."""
+def extractor(made: tuple[str, ...]) -> Column:
+    """A function of an html column and the hashes of the page's host and section (null: none): the text."""
     @F.pandas_udf("string")
-    def extract(sources: pd.Series, subtrees: pd.Series) -> pd.Series:
-        return pd.Series([main_text(s, frozenset() if t is None else frozenset(t.tolist())) for s, t in zip(sources, subtrees)],
-                         dtype=object)
+    def extract(sources: pd.Series, hosts: pd.Series, sections: pd.Series, has_section: pd.Series) -> pd.Series:
+        templates = _templates(made)
+        return pd.Series([main_text(x, templates, [h, s] if has else [h])
+                          for x, h, s, has in zip(sources, hosts.tolist(), sections.tolist(), has_section)], dtype=object)
     return extract
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_pages: int = MIN_PAGES,
-            min_share: float = MIN_SHARE) -> DataFrame:
+            min_share: float = MIN_SHARE, many_pages: int = MANY_PAGES) -> DataFrame:
     """Per row: id, url, text."""
-    templates = stage(site_templates(pages, url_col, html_col, min_pages, min_share), "site-templates")
-    rows = pages.select(F.col(id_col), F.col(url_col), F.col(html_col).cast("string").alias("_html"),
-                        F.xxhash64(host(F.col(url_col))).alias("_host"))
-    templates = templates.withColumnRenamed("host", "_host")
-    if templates.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        rows = rows.join(F.broadcast(templates), "_host", "left")
-    else:
-        salted = templates.withColumn("_salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_html"), F.lit(SALTS)).cast("int")).join(salted, ["_host", "_salt"], "left")
-    return rows.select(id_col, url_col, extractor()(F.col("_html"), F.col("subtrees")).alias("text"))
+    made = _written(stage(site_templates(pages, url_col, html_col, min_pages, min_share, many_pages), "site-templates"))
+    h, s = _scopes(F.col(url_col))
+    return pages.select(F.col(id_col), F.col(url_col),
+                        extractor(made)(F.col(html_col).cast("string"), h, F.coalesce(s, F.lit(0)), s.isNotNull()).alias("text"))

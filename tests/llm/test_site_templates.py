@@ -68,3 +68,27 @@ def test_host(spark):
     urls = ["http://A.example:80/x", "https://u@b.example?q", "//c.example", "nothing", None]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in df.select(st.host(df["u"])).collect()] == ["a.example", "b.example", "c.example", "", ""]
+
+
+def test_blocks_of_a_section_go(spark):
+    # five sections of six pages: a section's own sidebar, without a telling name, is on a fifth of the host's pages
+    page = "<html><body><div class=x1><p>Read more about topic %d here</p></div><div class=x2><p>Story %d of %d, told at length</p></div></body></html>"
+    rows = [(10 * s + k, f"http://a.example/topic{s}/{k}", page % (s, k, s), None, None, None) for s in range(5) for k in range(6)]
+    got = {r["page_id"]: r["text"] for r in st.extract(pages(spark, rows)).collect()}
+    assert got == {10 * s + k: f"Story {k} of {s}, told at length" for s in range(5) for k in range(6)}
+
+
+def test_blocks_from_a_pool_go_by_their_count(spark):
+    # one section only, and each of five variants on a fifth of the pages; a heading as frequent stays
+    page = "<html><body><div class=x1>Buy our product %d</div><div class=x2><h2>Chapter %d</h2><p>Story %d, told at length</p></div></body></html>"
+    rows = [(k, f"http://a.example/{k}", page % (k % 5, k % 5, k), None, None, None) for k in range(5 * st.MANY_PAGES)]
+    got = {r["page_id"]: r["text"] for r in st.extract(pages(spark, rows)).collect()}
+    assert got == {k: f"Chapter {k % 5}\nStory {k}, told at length" for k in range(len(rows))}
+    few = {r["page_id"]: r["text"] for r in st.extract(pages(spark, rows[:5 * st.MANY_PAGES - 5])).collect()}
+    assert few[7].startswith("Buy our product 2\n")
+
+
+def test_sections(spark):
+    urls = ["http://a.example/en/1?x=/y/", "http://a.example/en/", "http://a.example/en", "http://a.example/?q=/b/c", "nothing/x/", None]
+    df = spark.createDataFrame([(u,) for u in urls], "u string")
+    assert [r[0] for r in df.select(st.section(df["u"])).collect()] == ["en", "en", "", "", "", ""]
