@@ -16,7 +16,8 @@
    taken for template, since articles of one site quote the same lines.
 
 The triples are counted by (scope, subtree) with map-side combining, so a host with a third of all pages is
-spread over all tasks. Templates are written to the shared folder as sorted arrays of keys (see ``arrays``),
+spread over all tasks, and every subtree meets its scope's own count in a row of its own: the scopes' counts
+are broadcast if there are at most ``BROADCAST_ROWS``, otherwise joined by scope and salt. Templates are written to the shared folder as sorted arrays of keys (see ``arrays``),
 at most about ``SHARD_KEYS`` to an array, and mapped by the workers, so pages join nothing and a host may
 have any number of them. Html is parsed inside tasks, a page at a time.
 
@@ -340,11 +341,15 @@ def site_templates(pages: DataFrame, url_col: str = "url", html_col: str = "html
                .filter(F.length("html") > 0).mapInArrow(run, "scope bigint, body bigint, subtree bigint, outer boolean"))
     counts = (triples.groupBy("scope", "body", "subtree").agg(F.max("outer").alias("outer"))
               .groupBy("scope", "subtree").agg(F.count(F.lit(1)).alias("n"), F.count_if("outer").alias("n_outer")))
-    # scopes with too few bodies have no template; a scope's own count meets its subtrees in one aggregate
-    often = counts.filter(F.col("n") >= min_pages).groupBy("scope").agg(
-        F.max(F.when(F.col("subtree").isNull(), F.col("n"))).alias("bodies"),
-        F.collect_list(F.when(F.col("subtree").isNotNull(), F.struct("subtree", "n", "n_outer"))).alias("found"))
-    rows = often.select("scope", "bodies", F.explode("found").alias("x")).select("scope", "bodies", "x.*")
+    # scopes with too few bodies have no template
+    often = stage(counts.filter(F.col("n") >= min_pages), "site-subtrees")
+    bodies = often.filter(F.col("subtree").isNull()).select("scope", F.col("n").alias("bodies"))
+    rows = often.filter(F.col("subtree").isNotNull())
+    if bodies.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        rows = rows.join(F.broadcast(bodies), "scope")
+    else:
+        bodies = bodies.withColumn("salt", F.explode(F.array(*map(F.lit, range(SALTS)))))
+        rows = rows.withColumn("salt", F.pmod("subtree", F.lit(SALTS)).cast("int")).join(bodies, ["scope", "salt"])
     return _keys(rows, min_share, many_pages)
 
 

@@ -92,3 +92,15 @@ def test_sections(spark):
     urls = ["http://a.example/en/1?x=/y/", "http://a.example/en/", "http://a.example/en", "http://a.example/?q=/b/c", "nothing/x/", None]
     df = spark.createDataFrame([(u,) for u in urls], "u string")
     assert [r[0] for r in df.select(st.section(df["u"])).collect()] == ["en", "en", "", "", "", ""]
+
+
+def test_no_task_gathers_the_subtrees_of_a_host(spark, monkeypatch):
+    rows = [(k, "http://a.example/x/%d" % k, site(k), None, None, None) for k in range(8)]
+    for limit in (st.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(st, "BROADCAST_ROWS", limit)
+        seen = []
+        monkeypatch.setattr(st, "stage", lambda df, name: seen.append(df._jdf.queryExecution().toString()) or df)
+        templates = st.site_templates(pages(spark, rows))
+        plans = "".join(seen) + templates._jdf.queryExecution().toString()
+        assert "collect_list" not in plans and "collect_set" not in plans and "Window" not in plans
+        assert templates.count() == 4          # the div and its paragraph, of the host and of its section
