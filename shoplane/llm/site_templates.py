@@ -13,7 +13,9 @@
    meaning is not text of the article: menus, page headers, footers, sidebars, notices, adverts, forms,
    comments, scripts, by their tag, role, class or id, and lists that consist of links. Text inside the
    page's main element, if it has one, is what remains; paragraphs and headings in there are never
-   taken for template, since articles of one site quote the same lines.
+   taken for template, since articles of one site quote the same lines. A page without main element that
+   would lose all but next to nothing keeps the largest block of the template: near copies of one page
+   repeat its text.
 
 The triples are counted by (scope, subtree) with map-side combining, so a host with a third of all pages is
 spread over all tasks, and every subtree meets its scope's own count in a row of its own: the scopes' counts
@@ -279,6 +281,37 @@ def _templates(made: tuple[str, ...]) -> Templates:
     return Templates([arrays.load(d)["key"] for d in made])
 
 
+def _without(nodes: list[Element], texts: list, dropped: list[bool], main: list[bool], found: set[int]) -> list[bool]:
+    """What is dropped once the template goes, less the page's text where it was taken for template.
+
+    Near copies of one page are different bodies, so that their common text recurs as a template does. If a page
+    without main part keeps next to nothing beside the largest block that went, that block is its text. Pieces
+    of text of one parent count as one block, and texts of links do not count.
+    """
+    out, block, link = list(dropped), [-1] * len(nodes), [False] * len(nodes)
+    for i, n in enumerate(nodes):
+        if i:
+            link[i] = link[n.parent] or n.tag == "a"
+            block[i] = block[n.parent]
+            if block[i] < 0 and i in found and not dropped[i]:
+                block[i] = n.parent if n.tag in SHORT or n.tag == "p" else i
+            out[i] = dropped[i] or block[i] >= 0
+    if any(main):
+        return out
+    gone: dict[int, int] = {}
+    left = 0
+    for t in texts:
+        if t and not dropped[t[0]]:
+            if block[t[0]] < 0:
+                left += len(t[1].strip())
+            elif not link[t[0]]:
+                gone[block[t[0]]] = gone.get(block[t[0]], 0) + len(t[1].strip())
+    if gone and left < 0.2 * max(gone.values()):
+        best = max(gone, key=gone.get)
+        out = [a or (b >= 0 and b != best) for a, b in zip(dropped, block)]
+    return out
+
+
 def main_text(source: str | None, templates: Templates | None = None, scopes: list[int] = ()) -> str:
     """The article's blocks, joined by line feeds."""
     if not source:
@@ -286,9 +319,7 @@ def main_text(source: str | None, templates: Templates | None = None, scopes: li
     nodes, texts = parse(source)
     dropped, main = _survey(nodes)
     if templates and (found := templates.of_page(nodes, main, scopes)):
-        for i, n in enumerate(nodes):
-            if i and not dropped[i]:
-                dropped[i] = dropped[n.parent] or i in found
+        dropped = _without(nodes, texts, dropped, main, found)
     size = {True: 0, False: 0}
     for t in texts:
         if t and not dropped[t[0]]:

@@ -104,3 +104,14 @@ def test_no_task_gathers_the_subtrees_of_a_host(spark, monkeypatch):
         plans = "".join(seen) + templates._jdf.queryExecution().toString()
         assert "collect_list" not in plans and "collect_set" not in plans and "Window" not in plans
         assert templates.count() == 4          # the div and its paragraph, of the host and of its section
+
+
+def test_near_copies_keep_their_text(spark):
+    # four bodies that differ in a date and an advert only; in the second site the date stands among the paragraphs
+    text = "A long story that is told here and goes on for a while. " * 5
+    whole = "<html><body><div class=x0>Visit our other sites</div><p>2024-01-0%d</p><div class=x1><h2>Title</h2><p>" + text + "</p></div></body></html>"
+    parts = "<html><body><div class=x1><p>2024-01-0%d</p><h2>Title</h2><p>" + text + "</p><p>The end.</p></div></body></html>"
+    rows = [(k, f"http://a.example/{k}", whole % k, None, None, None) for k in range(4)]
+    rows += [(10 + k, f"http://b.example/{k}", parts % k, None, None, None) for k in range(4)]
+    got = {r["page_id"]: r["text"] for r in st.extract(pages(spark, rows)).collect()}
+    assert got == {k: f"2024-01-0{k % 10}\nTitle\n{text.strip()}" + ("\nThe end." if k >= 10 else "") for k in (0, 1, 2, 3, 10, 11, 12, 13)}
