@@ -7,8 +7,10 @@ gold seven-day lookback merge. The stream's checkpoint records which files were
 processed, and a re-run batch is harmless because the build is idempotent
 (silver overwrite, gold keyed merge of whole date partitions).
 
-A build reads the whole lake, so it runs at most once per ``min_interval`` (a day by default for a
-running stream): files of a batch that comes earlier are built by the next one that is due.
+A build reads the whole lake, so a running stream starts a batch at most once per ``min_interval`` (a day by
+default): the longer of it and ``processing_time`` is the trigger's interval. The first batch comes at once,
+the next ones at the multiples of the interval. Files that land in between wait and form one batch, and every
+batch with new rows is built, whether or not more files follow.
 
 Each batch also reports the newest event time it saw (the event-time high-water
 mark of the new data), next to the per-mart run facts.
@@ -50,21 +52,22 @@ def source_stream(spark: SparkSession, lake_root: str,
     return reduce(DataFrame.unionByName, parts)
 
 
+def _longer(spark: SparkSession, processing_time: str, min_interval: dt.timedelta) -> str:
+    """The longer of the two, as a trigger takes it."""
+    if spark.sql(f"SELECT INTERVAL '{processing_time.strip()}'").first()[0] >= min_interval:
+        return processing_time
+    return f"{min_interval // dt.timedelta(milliseconds=1)} milliseconds"
+
+
 def start_refresh(spark: SparkSession, lake_root: str, warehouse: str, checkpoint: str,
                   available_now: bool = True, processing_time: str | None = None,
                   on_build: Callable[[dict], None] | None = None,
                   tables: tuple[str, ...] = PARTITIONED_SOURCES,
                   min_interval: dt.timedelta = dt.timedelta(days=1)) -> StreamingQuery:
     """Start the refresh stream. ``available_now`` processes what is there and stops."""
-    last: list[dt.datetime] = []
-
     def run_batch(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
             return
-        now = dt.datetime.now(dt.timezone.utc)
-        if processing_time and last and now - last[-1] < min_interval:
-            return                  # the lake keeps the files; the next build that is due reads them
-        last.append(now)
         newest = batch.agg(F.max("created_at")).first()[0]
         facts = pipeline.build(spark, LakeSources(spark, lake_root), warehouse)
         if on_build is not None:
@@ -73,7 +76,7 @@ def start_refresh(spark: SparkSession, lake_root: str, warehouse: str, checkpoin
     w = (source_stream(spark, lake_root, tables).writeStream
          .foreachBatch(run_batch).option("checkpointLocation", checkpoint))
     if processing_time:
-        w = w.trigger(processingTime=processing_time)
+        w = w.trigger(processingTime=_longer(spark, processing_time, min_interval))
     elif available_now:
         w = w.trigger(availableNow=True)
     return w.start()
