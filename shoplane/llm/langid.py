@@ -4,8 +4,10 @@ A text's features are the character 1- to 4-grams of its lower-cased words, with
 ``BUCKETS`` embeddings. The mean embedding goes through a linear layer and a softmax. Both layers are
 trained together by stochastic gradient descent in numpy on a bounded sample, held to whole texts and to
 short spans of them. A temperature and a rejection threshold are set on a part of the sample that training
-does not see: predictions whose probability is below that of all but ``REJECT`` of the right ones there
-are rejected.
+does not see. The threshold lies between the least probable right prediction of a whole text there and the
+predictions below it that should not be accepted: wrong ones, and those of texts whose language a model
+was not trained on (the languages are left out in ``FOLDS`` turns). So no text of that part with a right
+prediction is rejected.
 
 For prediction the two linear layers are multiplied to one table (buckets x languages), so a text costs
 one look-up per n-gram. Its size is fixed, and it goes to the workers as a Spark broadcast.
@@ -33,7 +35,7 @@ BUCKETS = 1 << 16
 DIMENSION = 16
 MAX_TRAIN = 2400
 SPAN = 120          # characters of the short training spans
-REJECT = 0.002
+FOLDS = 4           # models that are trained without a part of the languages, for the threshold
 
 _PRIME = np.uint32(0x9E3779B1)
 _SPACE = np.uint32(32)
@@ -90,6 +92,48 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=-1, keepdims=True)
 
 
+def _learn(fit: list[tuple], n_languages: int, rng: np.random.Generator, epochs: int, rate: float) -> np.ndarray:
+    """Table (buckets x languages) from (buckets, shares, language) items."""
+    embed = rng.normal(0, 0.1, (BUCKETS, DIMENSION)).astype(np.float32)
+    out = np.zeros((DIMENSION, n_languages), np.float32)
+    out += rng.normal(0, 0.1, out.shape).astype(np.float32)
+    steps = epochs * len(fit)
+    for s in range(steps):
+        if s % len(fit) == 0:
+            order = rng.permutation(len(fit))
+        ids, share, y = fit[order[s % len(fit)]]
+        lr = np.float32(rate * (1 - s / steps))
+        mean = share @ embed[ids]
+        g = _softmax(mean @ out)
+        g[y] -= 1
+        back = out @ g
+        out -= lr * 0.05 * np.outer(mean, g)
+        embed[ids] -= lr * np.outer(share, back)
+    return (embed @ out).astype(np.float32)
+
+
+def _foreign(fit: list[tuple], held: list[tuple], n_languages: int, temperature: float, seed: int, epochs: int, rate: float) -> np.ndarray:
+    """Probabilities of the predictions for held-out texts by models that do not have their language."""
+    found = []
+    for fold in range(min(FOLDS, n_languages)):
+        kept = [k for k in range(n_languages) if k % FOLDS != fold]
+        texts = [x for x in held if x[2] % FOLDS == fold]
+        part = [(ids, share, kept.index(y)) for ids, share, y in fit if y % FOLDS != fold]
+        if len(kept) > 1 and texts and part:        # one language alone always has all the probability
+            table = _learn(part, len(kept), np.random.default_rng(seed + 1 + fold), epochs, rate)
+            found.append(_softmax(np.stack([share @ table[ids] for ids, share, _ in texts]) * temperature).max(axis=1))
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def threshold_between(right: np.ndarray, bad: np.ndarray) -> float:
+    """Below all probabilities in ``right``, half-way to the largest of ``bad`` that is less than them."""
+    if not len(right):
+        return 0.0
+    low = right.min()
+    # never so high that a prediction with most of the probability is rejected
+    return float(min((low + max(bad[bad < low], default=0.0)) / 2, 0.5))
+
+
 def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 3, rate: float = 8.0) -> Model:
     """Fit on (text, language) pairs; every fifth is kept for calibration."""
     rows = [(t, lang) for t, lang in rows if has_letter(t)]
@@ -106,22 +150,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 3, rate: flo
             ids, n = np.unique(features(x), return_counts=True)
             (held if i % 5 == 4 and len(rows) > 20 else fit).append((ids, (n / n.sum()).astype(np.float32), index[lang]))
     held = held or fit
-    embed = rng.normal(0, 0.1, (BUCKETS, DIMENSION)).astype(np.float32)
-    out = np.zeros((DIMENSION, len(languages)), np.float32)
-    out += rng.normal(0, 0.1, out.shape).astype(np.float32)
-    steps = epochs * len(fit)
-    for s in range(steps):
-        if s % len(fit) == 0:
-            order = rng.permutation(len(fit))
-        ids, share, y = fit[order[s % len(fit)]]
-        lr = np.float32(rate * (1 - s / steps))
-        mean = share @ embed[ids]
-        g = _softmax(mean @ out)
-        g[y] -= 1
-        back = out @ g
-        out -= lr * 0.05 * np.outer(mean, g)
-        embed[ids] -= lr * np.outer(share, back)
-    table = (embed @ out).astype(np.float32)
+    table = _learn(fit, len(languages), rng, epochs, rate)
     logits = np.stack([share @ table[ids] for ids, share, _ in held])
     truth = np.array([y for *_, y in held])
     at = np.arange(len(truth))
@@ -129,9 +158,10 @@ def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 3, rate: flo
                       key=lambda t: -np.log(_softmax(logits * t)[at, truth] + 1e-9).mean())
     p = _softmax(logits * temperature)
     right = p.argmax(axis=1) == truth
-    threshold = float(np.quantile(p[right].max(axis=1), REJECT)) if right.any() else 0.0
-    # never so high that a prediction with most of the probability is rejected
-    return Model(languages, table, temperature, min(threshold, 0.5))
+    whole = at % 2 == 0                             # a text comes before its span
+    foreign = _foreign(fit, held, len(languages), temperature, seed, epochs, rate)
+    threshold = threshold_between(p[right & whole].max(axis=1), np.concatenate([p[~right].max(axis=1), foreign]))
+    return Model(languages, table, temperature, threshold)
 
 
 def sample(docs: DataFrame, allowed: Column, max_rows: int = MAX_TRAIN, text_col: str = "text",

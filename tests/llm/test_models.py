@@ -117,3 +117,34 @@ def test_subword_features_share_parts():
     assert a == b
     assert len(a & set(langid.features("haustier").tolist())) >= 8
     assert len(langid.features("a")) == 4       # a, _a, a_ and _a_
+
+
+def test_no_right_prediction_of_a_calibration_text_is_rejected():
+    # six languages that share most words, so that right predictions have little probability
+    rng = np.random.default_rng(1)
+    rows = []
+    for k in range(1800):
+        own = "abcdef"[k % 6]
+        rows.append((" ".join(f"{own}{own}n" if rng.random() < 0.12 else f"w{rng.integers(30)}" for _ in range(14)), own))
+    rng.shuffle(rows)
+    rows = [(str(t), str(lang)) for t, lang in rows]
+    model = langid.train(rows)
+    got = [model.predict(t) for t, lang in rows[4::5] if model.predict(t)[0] == lang]
+    assert len(got) > 20 and min(p for _, p, _ in got) < 0.5 and all(accepted for *_, accepted in got)
+
+
+def test_language_threshold_lies_between():
+    right = np.array([0.4, 0.9])
+    assert langid.threshold_between(right, np.array([0.3, 0.95])) == pytest.approx(0.35)
+    assert langid.threshold_between(right, np.array([])) == 0.2
+    assert langid.threshold_between(np.array([0.9]), np.array([0.8])) == 0.5 and langid.threshold_between(np.array([]), right) == 0
+
+
+def test_language_stage_drops_no_right_held_out_rows(tables):
+    docs, _ = tables
+    model = langid.fit(docs, id_remainder("doc_id", 5) != 0)
+    rows = langid.identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    right = [r for r in rows if held_out(r["doc_id"]) and r["lang_pred"] == r["lang"]]
+    dropped = sum(not r["accepted"] for r in right)
+    print(f"right held-out rows dropped: {dropped} of {len(right)}")
+    assert dropped == 0
