@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, mixing, packing, partenum, quality, site_templates
+from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, mixing, packing, partenum, periodic, quality, site_templates
 from .common import id_remainder, table
 
 
@@ -70,6 +70,10 @@ def op11_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.size", "mix.source_size", "mix.target", F.expr("mix.size * mix.copies").alias("taken"))
 
 
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_pack, op3_fingerprint, op4_line_dedup, op5_quality, op6_exact_dedup, op7_bpe,
-                                   op8_language, op9_ngram_join, op10_lm_score, op11_mix)}
+                                   op8_language, op9_ngram_join, op10_lm_score, op11_mix, op12_runs)}
 ORACLE = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op6_exact_dedup": content_dedup.ORACLE_SQL, "op11_mix": mixing.ORACLE_SQL}
