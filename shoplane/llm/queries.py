@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, mixing, packing, partenum, periodic, quality, site_templates
+from . import (byte_bpe, content_dedup, fingerprints, kneser_ney, langid, line_dedup, mixing, packing, partenum, periodic, prefix_trie, quality,
+               site_templates)
 from .common import id_remainder, table
 
 
@@ -74,6 +75,11 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digests(table(spark, sf_dir, "documents"))
 
 
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.branched(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
 QUERIES = {f.__name__: f for f in (op1_main_text, op2_pack, op3_fingerprint, op4_line_dedup, op5_quality, op6_exact_dedup, op7_bpe,
-                                   op8_language, op9_ngram_join, op10_lm_score, op11_mix, op12_runs)}
-ORACLE = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op6_exact_dedup": content_dedup.ORACLE_SQL, "op11_mix": mixing.ORACLE_SQL}
+                                   op8_language, op9_ngram_join, op10_lm_score, op11_mix, op12_runs, op13_prefix_trie)}
+ORACLE = {"op4_line_dedup": line_dedup.ORACLE_SQL, "op6_exact_dedup": content_dedup.ORACLE_SQL, "op11_mix": mixing.ORACLE_SQL,
+          "op13_prefix_trie": prefix_trie.ORACLE_SQL}

@@ -1,0 +1,152 @@
+from __future__ import annotations
+
+import random
+from hashlib import sha256
+from zlib import crc32
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from shoplane.llm import prefix_trie as pt
+from shoplane.llm import queries
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256"]
+
+
+def sequences(rows):
+    own = {}
+    for c, t, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((t is not None, t or 0, sha256(f"{len((role or '').encode())}:{role or ''}{text or ''}".encode()).hexdigest()[:32],
+                                          (role or "", text or "")))
+    return {c: [x[3] for x in sorted(v)] for c, v in own.items()}
+
+
+def branched(own):
+    out = {}
+    for c, turns in own.items():
+        h = crc32(str(c).encode()) % 6
+        out[c] = own.get(c - c % 100, [])[:h] + turns[h:]
+    return out
+
+
+def brute(seqs):
+    nodes = {}
+    for c, turns in seqs.items():
+        for d in range(len(turns) + 1):
+            nodes.setdefault(tuple(turns[:d]), []).append(c)
+    out = []
+    for p, members in nodes.items():
+        below = [q for q in nodes if q[:len(p)] == p]
+        kids = [q for q in below if len(q) == len(p) + 1]
+        leaves = sum(not any(len(r) == len(q) + 1 and r[:len(q)] == q for r in below) for q in below)
+        saved = sum((len(nodes[q]) - 1) * len(q[-1][1]) for q in below if q)
+        ended = ",".join(str(c) for c in sorted(members) if len(seqs[c]) == len(p))
+        out.append((min(members), len(p), min(nodes[p[:-1]]) if p else None, len(members), len(kids), leaves, saved, sha256(ended.encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted(map(tuple, df.select(*COLUMNS).collect()), key=str)
+
+
+def random_rows(rng, convs, words, ids=None):
+    """Conversations that share beginnings; many copies of one, and one first turn in a third of them."""
+    out, pool = [], [[("user", "hello there")]]
+    for c in ids or range(convs):
+        turns = list(rng.choice(pool[-8:])) if rng.random() < 0.6 else []
+        if rng.random() < 0.3:
+            turns = turns[:1] or [("user", "hello there")]
+        turns += [(rng.choice(["user", "assistant", None]), rng.choice(words)) for _ in range(rng.randrange(4))]
+        if rng.random() < 0.2:
+            turns = [("system", "copy"), ("user", "same")]
+        pool.append(turns)
+        out += [(c, k if rng.random() < 0.98 else None, *t) for k, t in enumerate(turns or [("user", None)])]
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("seed, block", [(0, 1 << 30), (1, 20), (2, 5), (3, 1)])
+def test_against_brute_force(spark, seed, block):
+    rng = random.Random(seed)
+    rows = random_rows(rng, 60, ["a", "b", "some text", "", None, "ü😀"])
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert result(pt.trie(pt.sequences(df), block)) == brute(sequences(rows))
+
+
+def test_branched_conversations(spark):
+    rng = random.Random(7)
+    ids = [*range(40), *range(500, 530), *range(100, 106), 201, 202, 203, 300, 12345]
+    rows = random_rows(rng, 0, ["a", "b", "c"], ids)
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert result(pt.trie(pt.branched(pt.sequences(df)), 10)) == brute(branched(sequences(rows)))
+
+
+EDGES = [(1, None, None, None), (1, 0, "user", ""), (1, 0, "user", ""), (2, None, "", None), (2, 0, "user", ""), (None, 0, "user", "lost"), (3, 5, "user", "x " * 200_000),
+         (4, 5, "user", "x " * 200_000), (5, 1, "user\n", "é😀"), (5, 1, "user", "\né😀"), (1000, 0, "a", "b"), (7, 2, "a", "b")]
+
+
+def test_edges(spark):
+    df = spark.createDataFrame(EDGES, SCHEMA).withColumns({"key": F.lit(1), "block": F.lit("b"), "prefix": F.lit(None).cast("string"), "a.b": F.lit(2)})
+    assert result(pt.trie(pt.sequences(df))) == brute(sequences(EDGES))
+    assert result(pt.trie(pt.branched(pt.sequences(df)))) == brute(branched(sequences(EDGES)))
+    assert result(pt.trie(pt.sequences(df.limit(0)))) == []
+
+
+def test_only_turnless_conversations(spark):
+    rows = [(c, 0, "user", "x") for c in range(1, 90)]      # no conversation 0: what has h > 0 loses its only turn
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert result(pt.trie(pt.branched(pt.sequences(df)))) == brute(branched(sequences(rows)))
+
+
+def test_long_conversations(spark):
+    rows = [(c, k, "user", f"{k if k < 900 + c else c}") for c in range(6) for k in range(1000)] + [(9, 0, "user", "0")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = result(pt.trie(pt.sequences(df), 500))
+    deep = {(r[0], r[1]): r for r in got}
+    seqs = sequences(rows)
+    nodes = {tuple(t[1] for t in s[:d]) for s in seqs.values() for d in range(len(s) + 1)}
+    assert len(got) == len(nodes)
+    assert deep[0, 0][3:6] == (7, 1, 6) and deep[0, 1][3:6] == (7, 1, 6) and deep[0, 2][3] == 6
+    saved = sum((sum(tuple(t[1] for t in s[:len(p)]) == p for s in seqs.values()) - 1) * len(p[-1]) for p in nodes if p and len(p) < 3) + sum(
+        len(str(k)) * (sum(k < 900 + c for c in range(6)) - 1) for k in range(2, 905))
+    assert deep[0, 0][6] == saved
+
+
+def test_many_conversations_end_at_a_node(spark, monkeypatch):
+    rows = [(c, 0, "user", "hi") for c in range(3 * pt.CHUNK + 5)] + [(10**6, 0, "user", "hi"), (10**6, 1, "assistant", "you")]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(8)
+    got = {r["depth"]: r for r in pt.trie(pt.sequences(df)).collect()}
+    assert got[1]["ends_sha256"] == sha256(",".join(map(str, range(3 * pt.CHUNK + 5))).encode()).hexdigest()
+    assert (got[1]["n_convs"], got[2]["n_convs"], got[0]["saved_tokens"]) == (3 * pt.CHUNK + 6, 1, 2 * (3 * pt.CHUNK + 5))
+
+
+def test_range_minima():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 9, 77)
+    t = pt.RangeMin(values)
+    lo = rng.integers(0, 77, 500)
+    hi = np.minimum(lo + rng.integers(0, 77, 500), 76)
+    assert t.minimum(lo, hi).tolist() == [values[a:b + 1].min() for a, b in zip(lo, hi)]
+    for a in range(77):
+        for d in (0, 3, 8, 9):
+            r = a
+            while r < 76 and values[r + 1] >= d:
+                r += 1
+            left = a
+            while left > 0 and values[left] >= d:
+                left -= 1
+            one, depth = np.array([a]), np.array([d])
+            assert (t.extent(one, depth, -1)[0], t.extent(one, depth, +1)[0]) == (left, r)
+
+
+def test_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute("CREATE VIEW conversations AS SELECT * FROM '/root/testdata/sf0.01/conversations.parquet'")
+    want = con.sql(pt.ORACLE_SQL)
+    got = queries.op13_prefix_trie(spark, "/root/testdata/sf0.01")
+    assert sorted(got.columns) == sorted(want.columns) == sorted(COLUMNS)
+    assert result(got) == sorted(want.project(", ".join(COLUMNS)).fetchall(), key=str)
