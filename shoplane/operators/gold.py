@@ -243,10 +243,11 @@ def daily_product_returns(sales: DataFrame, cutoff: dt.date | None = None) -> Da
 
 
 def mart_product_daily_returns(sales: DataFrame, dim: DataFrame,
-                               cutoff: dt.date | None = None) -> DataFrame:
+                               cutoff: dt.date | None = None, list_price: DataFrame | None = None) -> DataFrame:
+    """``list_price``: (product_id, list_price_usd) as kept in a table; without it, from all of ``sales``."""
     daily = daily_product_returns(sales, cutoff)
     # one row per product; AQE turns this into a broadcast when its runtime size is small
-    lp = product_list_price(sales)
+    lp = product_list_price(sales) if list_price is None else list_price
     names = broadcast_bounded(dim.select(F.col("product_id").cast("long").alias("product_id"),
                                          "product_name"))
     j = daily.join(names, "product_id", "left").join(lp, "product_id", "left")
@@ -369,7 +370,7 @@ MART_BUILDERS = {
     "mart_product_daily_sales": lambda t, c=None: mart_product_daily_sales(
         t["website_pageviews"], t["dim_products"], t["fct_sessions"], t["fct_sales"], c),
     "mart_product_daily_returns": lambda t, c=None: mart_product_daily_returns(
-        t["fct_sales"], t["dim_products"], c),
+        t["fct_sales"], t["dim_products"], c, t.get("product_list_price")),
     "mart_channel_daily_sessions": lambda t, c=None: mart_channel_daily_sessions(
         t["fct_sessions"], c),
     "mart_customer_daily_value": lambda t, c=None: mart_customer_daily_value(

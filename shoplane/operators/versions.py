@@ -31,9 +31,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import LOOKBACK_DAYS
+from ..functions import EMPTY_TARGET_DATE, LOOKBACK_DAYS
 from ..session import delete, hadoop_path
-from .incremental import lookback_cutoff
 
 KEEP = 2
 PROPERTY = "shoplane.version"
@@ -194,9 +193,10 @@ def refresh(table: VersionedTable, build: Callable[[dt.date | None], DataFrame],
     """
     if full_refresh or table.version() is None:
         return {"mode": "full", "cutoff": None, "version": table.replace(build(None))}
-    target = table.read()
-    cutoff = lookback_cutoff(target, table.partition, lookback_days)
-    window = target.filter(F.col(table.partition) >= F.lit(cutoff))
-    now = [v for v in table.folders(table.version()) if v is not None and v >= cutoff]
+    # the newest date is that of the newest folder: no scan
+    dated = [v for v in table.folders(table.version()) if v is not None]
+    cutoff = max(dated, default=EMPTY_TARGET_DATE) - dt.timedelta(days=lookback_days)
+    window = table.read().filter(F.col(table.partition) >= F.lit(cutoff))
+    now = [v for v in dated if v >= cutoff]
     n = table.rewrite(newest(build(cutoff), window, key), now)
     return {"mode": "incremental", "cutoff": cutoff, "version": n}

@@ -39,6 +39,7 @@ SET_B_NO_SESSION = 97                    # every 97th pageview or order has no s
 SET_B_NO_TIME = 89                       # every 89th pageview has no time
 SET_B_TIED = 7                           # every 7th pageview has the time of its day's start
 SET_B_ORPHAN_K = 99                      # purchases with k = 99 get no order row
+SET_B_LATE_REFUND, SET_B_LATE_VIEW, SET_B_LATE_ORDER, SET_B_LATE_SESSION = 5, 11, 13, 17     # every n-th comes late
 PREFIX_END = dt.datetime(2024, 1, 21)    # first incremental run sees rows before this
 
 
@@ -223,3 +224,23 @@ def set_b(spark: SparkSession, sf_dir: str, collision: bool = False,
         out = {n: (df if n == "products" else df.filter(F.col("created_at") < cut))
                for n, df in out.items()}
     return out
+
+
+def set_b_with_late_rows(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    """Set B as a first run sees it, and the rows that come after.
+
+    Besides all rows from ``PREFIX_END`` on, every 5th item's refunds and every 11th pageview come late,
+    whatever their time, and so do every 13th order and every 17th session.
+    """
+    src = set_b(spark, sf_dir)
+    late = {"order_item_refunds": ("order_item_id", SET_B_LATE_REFUND), "website_pageviews": ("website_pageview_id", SET_B_LATE_VIEW),
+            "orders": ("order_id", SET_B_LATE_ORDER), "website_sessions": ("website_session_id", SET_B_LATE_SESSION)}
+    early, later = {"products": src["products"]}, {}
+    for name, df in src.items():
+        if name != "products":
+            is_late = F.coalesce(F.col("created_at") >= F.lit(PREFIX_END).cast("timestamp_ntz"), F.lit(False))
+            if name in late:
+                key, every = late[name]
+                is_late = is_late | (F.col(key) % every == 0)
+            early[name], later[name] = df.filter(~is_late), df.filter(is_late)
+    return early, later
