@@ -12,7 +12,8 @@ Storage is Parquet partitioned by the mart date. A merge rewrites only partition
 cutoff (dynamic partition overwrite), so the work per run is the lookback window, not the table. Its
 rows are first written next to the table, which cuts the lineage back to the target files before
 those files are replaced; a run that dies while they are copied is finished by the next one. Full
-builds and column drift (``sync_all_columns``) write a fresh folder and swap it in (see ``commit``).
+builds and column drift (``sync_all_columns``) write a fresh folder and swap it in (see ``commit``). Where
+tables are in a catalog, ``versions`` does the same with one write and a switch that readers never see half done.
 """
 
 from __future__ import annotations
@@ -22,16 +23,14 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import EMPTY_TARGET_DATE, LOOKBACK_DAYS
-from ..session import delete, hadoop_path, scratch_path
+from ..session import delete, hadoop_path
 from .commit import exists, is_committed, read_note, recover, remove_note, replace_folder, write_note
 
-ROWS_PER_TASK = 2_000_000       # of a date-partitioned write
-
 
 def read_target(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
     """The target table as stored, or None when there is no committed table at ``path``.
@@ -76,41 +75,26 @@ def align_columns(df: DataFrame, schema: T.StructType) -> DataFrame:
                       .alias(f.name) for f in schema.fields])
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, key: tuple[str, ...]):
-    cond = None
-    for k in key:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
-def _staged(df: DataFrame, folder: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+def newest(new: DataFrame, old: DataFrame, key: tuple[str, ...]) -> DataFrame:
+    """All rows of ``new``, and those of ``old`` whose key (nulls equal) ``new`` does not have: one shuffle by
+    key, and ``new`` is computed once."""
+    both = new.withColumn("_old", F.lit(False)).unionByName(old.select(*new.columns).withColumn("_old", F.lit(True)))
+    replaced = F.bool_or(~F.col("_old")).over(Window.partitionBy(*key))
+    return both.withColumn("_replaced", replaced).filter(~F.col("_old") | ~F.col("_replaced")).select(*new.columns)
 
 
 def clustered_by_date(df: DataFrame, date_col: str) -> DataFrame:
-    """Range-partition written rows on (date, other columns) before a date-partitioned write.
+    """Rows of a date together, for a date-partitioned write: about one file per date.
 
-    Each task then holds a contiguous date range and writes files for those dates only, so there are
-    about as many files as dates and tasks together. The number of tasks comes from the rows (at most
-    ``ROWS_PER_TASK`` each), is no larger than the number of dates and, for a small table, than the
-    cores that are there; including the other columns in the key lets one very large date span
-    several tasks.
+    ``rebalance`` needs no counts and no sample, so the plan runs once, straight into the write. Adaptive
+    execution joins small dates to tasks of the advisory size and splits a very large date.
     """
-    spark = df.sparkSession
-    rows, dates = df.agg(F.count(F.lit(1)), F.count_distinct(date_col)).first()
-    wanted = max(-(-rows // ROWS_PER_TASK), min(spark.sparkContext.defaultParallelism, dates))
-    n = max(1, min(wanted, int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    rest = [c for c in df.columns if c != date_col][:3]
-    return df.repartitionByRange(n, F.col(date_col), *[F.col(c) for c in rest])
+    return df.hint("rebalance", date_col)
 
 
 def _write_full(df: DataFrame, path: str, date_col: str) -> None:
     """Replace the whole table by ``df``."""
-    spark = df.sparkSession
-    rows = _staged(df, scratch_path(spark, "full-build"))
-    replace_folder(spark, path, lambda new: clustered_by_date(rows, date_col).write.partitionBy(date_col).parquet(new))
+    replace_folder(df.sparkSession, path, lambda new: clustered_by_date(df, date_col).write.partitionBy(date_col).parquet(new))
 
 
 def _copy_partitions(spark: SparkSession, staged: str, path: str, schema: T.StructType, date_col: str) -> None:
@@ -133,11 +117,8 @@ def merge_window(spark: SparkSession, target: DataFrame, new: DataFrame, path: s
                  key: tuple[str, ...], date_col: str, cutoff: dt.date) -> None:
     """Upsert ``new`` (all rows dated >= cutoff) into the partitions >= cutoff."""
     window = target.filter(F.col(date_col) >= F.lit(cutoff))
-    new = _staged(new, scratch_path(spark, "merge-new"))
-    kept = window.join(new, _null_safe_on(window, new, key), "left_anti")
-    merged = new.unionByName(kept.select(*new.columns))
     staged = f"{path.rstrip('/')}.merge-{uuid.uuid4().hex[:12]}"
-    merged.write.parquet(staged)
+    newest(new, window, key).write.parquet(staged)
     write_note(spark, path, staged)
     _copy_partitions(spark, staged, path, new.schema, date_col)
     remove_note(spark, path)

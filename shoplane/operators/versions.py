@@ -27,12 +27,13 @@ import uuid
 from collections.abc import Callable, Iterable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import EMPTY_TARGET_DATE, LOOKBACK_DAYS
 from ..session import delete, hadoop_path
+from .incremental import newest
 
 KEEP = 2
 PROPERTY = "shoplane.version"
@@ -54,6 +55,8 @@ class VersionedTable:
     def __init__(self, spark: SparkSession, name: str, root: str, schema: T.StructType, partition: str | None = None, comment: str = ""):
         self.spark, self.name, self.root = spark, name, root.rstrip("/")
         self.schema, self.partition, self.comment = schema, partition, comment
+        self.observed: dict[str, int] = {}
+        self._metrics: dict[str, Column] = {}
         self.database, _, self.table = name.rpartition(".")
         if partition is not None and not isinstance(schema[partition].dataType, T.DateType):
             raise ValueError(f"{name}: only a date column can be the partition column")
@@ -93,18 +96,21 @@ class VersionedTable:
         return out
 
     # ---- commits
-    def replace(self, rows: DataFrame) -> int:
-        """A version that has exactly these rows."""
+    def replace(self, rows: DataFrame, observe: dict[str, Column] | None = None) -> int:
+        """A version that has exactly these rows. ``observe``: aggregates of them that the write collects on
+        its way; ``observed`` has them afterwards."""
+        self._metrics = observe or {}
         return self._commit(rows, lambda: {})
 
-    def rewrite(self, rows: DataFrame, partitions: Iterable[dt.date | None]) -> int:
+    def rewrite(self, rows: DataFrame, partitions: Iterable[dt.date | None], observe: dict[str, Column] | None = None) -> int:
         """A version in which the given partitions have exactly these rows, and all others what they had.
 
-        Partitions of rows outside of the given ones are replaced as well.
+        Partitions of rows outside of the given ones are replaced as well. ``observe`` sees the rows written.
         """
         now, gone = self.version(), set(partitions)
         if now is None or self.partition is None:
-            return self.replace(rows)
+            return self.replace(rows, observe)
+        self._metrics = observe or {}
         return self._commit(rows, lambda: {v: f for v, f in self.folders(now).items() if v not in gone})
 
     def _commit(self, rows: DataFrame, others: Callable[[], dict[dt.date | None, str]]) -> int:
@@ -129,11 +135,17 @@ class VersionedTable:
         return n
 
     def _write(self, rows: DataFrame, folder: str) -> None:
-        if self.partition is None:
-            rows.write.parquet(folder)
-        else:
+        if self.partition is not None:
             # rebalance sizes tasks from the data: few files per folder, and a very large folder by several tasks
-            rows.hint("rebalance", self.partition).write.partitionBy(self.partition).parquet(folder)
+            rows = rows.hint("rebalance", self.partition)
+        observation = None
+        if self._metrics:
+            # on top of the exchange, in the stage that writes: a task that is repeated counts once there
+            observation = Observation(f"{self.table}-{uuid.uuid4().hex[:8]}")
+            rows = rows.observe(observation, *[c.alias(k) for k, c in self._metrics.items()])
+        writer = rows.write.partitionBy(self.partition) if self.partition is not None else rows.write
+        writer.parquet(folder)
+        self.observed = dict(observation.get) if observation is not None else {}
 
     def _create(self, n: int, folder: str) -> None:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.schema.fields)
@@ -176,14 +188,6 @@ class VersionedTable:
                     delete(self.spark, str(c))
 
 
-def newest(new: DataFrame, old: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """All rows of ``new``, and those of ``old`` whose key (nulls equal) ``new`` does not have: one shuffle by
-    key, and ``new`` is computed once."""
-    both = new.withColumn("_old", F.lit(False)).unionByName(old.select(*new.columns).withColumn("_old", F.lit(True)))
-    replaced = F.bool_or(~F.col("_old")).over(Window.partitionBy(*key))
-    return both.withColumn("_replaced", replaced).filter(~F.col("_old") | ~F.col("_replaced")).select(*new.columns)
-
-
 def refresh(table: VersionedTable, build: Callable[[dt.date | None], DataFrame], key: tuple[str, ...],
             full_refresh: bool = False, lookback_days: int = LOOKBACK_DAYS) -> dict:
     """Full build or lookback merge of a dated table, by the rules of ``incremental.refresh_mart``, with one write.

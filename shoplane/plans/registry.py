@@ -10,6 +10,7 @@ only; the library functions themselves return full precision.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,12 +19,14 @@ from pyspark.sql import types as T
 
 from ..operators import gold, quality, silver
 from ..operators.commit import replace_folder
-from ..schemas import CONTRACTS, GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, PARTITIONED_SOURCES, UNIQUE
+from ..schemas import CONTRACTS, GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, PARTITIONED_SOURCES, RELATIONSHIPS, RULES, UNIQUE
 from ..session import scratch_path
-from ..sources import fixtures
+from ..sources import fixtures, freshness
 from ..sources.lake import LakeSources, ingest_csv, with_partition_columns
+from ..streaming import daily
 from . import oracle as o
 from . import pipeline
+from .warehouse import Warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -214,9 +217,12 @@ def q_raw_base_views(spark, sf):
 
 def q_column_comments(spark, sf):
     """Every described column of the built tables, with its number of rows that are not NULL."""
-    _, t = _silver_b(spark, sf)
+    return _described(_silver_b(spark, sf)[1])
+
+
+def _described(tables: dict[str, DataFrame]) -> DataFrame:
     parts = None
-    for name, df in sorted(t.items()):
+    for name, df in sorted(tables.items()):
         described = [f.name for f in df.schema.fields if f.metadata.get("comment")]
         counts = df.agg(*[F.count(c).alias(c) for c in described])
         pairs = ", ".join(f"'{c}', `{c}`" for c in described)
@@ -281,6 +287,92 @@ def _incremental(mart: str) -> Query:
     return run
 
 
+def _changed(spark, sf, *marts: str) -> Warehouse:
+    """A warehouse built from what a first run sees, then brought up to date by the rows that came late."""
+    early, changes = fixtures.set_b_with_late_rows(spark, sf)
+    wh = Warehouse(spark, scratch_path(spark, "changed"), prefix=f"w{uuid.uuid4().hex[:12]}_", marts=marts)
+    wh.build(early, full_refresh=True)
+    facts = wh.apply(_b(spark, sf), changes)
+    assert facts["mode"] == "changes", facts
+    return wh
+
+
+def _changed_table(table: str) -> Query:
+    if table in GOLD:
+        return lambda spark, sf: rounded(_changed(spark, sf, table).read(table))
+    return lambda spark, sf: _changed(spark, sf).read(table)
+
+
+def q_dq_rules(spark, sf):
+    wh = Warehouse(spark, scratch_path(spark, "rules"), prefix=f"w{uuid.uuid4().hex[:12]}_", marts=())
+    wh.build(_b(spark, sf))
+    return wh.violations()
+
+
+def q_dq_relationships(spark, sf):
+    src, t = _silver_b(spark, sf)
+    return quality.check_relationships({**src, **t})
+
+
+FRESHNESS_CLOCK = dt.datetime(2024, 2, 1, 12)
+
+
+def q_source_freshness(spark, sf):
+    _, src = _lake(spark, sf)
+    return freshness.freshness(spark, src, FRESHNESS_CLOCK)
+
+
+def q_csv_products(spark, sf):
+    """Products from a CSV file: named by an override, and as ``<root>/products.csv``."""
+    base = scratch_path(spark, "csv-products")
+    src = _b(spark, sf)
+    products = src["products"].write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
+    # file names with leading and trailing blanks keep them: the names are quoted
+    for path in (f"{base}/elsewhere/list.csv", f"{base}/lake/products.csv"):
+        products.option("quoteAll", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).mode("overwrite").csv(path)
+    named = LakeSources(spark, f"{base}/none", overrides={"products": f"{base}/elsewhere/list.csv"})["products"]
+    in_root = LakeSources(spark, f"{base}/lake")["products"]
+    return named.withColumn("location", F.lit("override")).unionByName(in_root.withColumn("location", F.lit("root")))
+
+
+def q_column_comments_gold(spark, sf):
+    """Every described column of the marts, with its number of rows that are not NULL."""
+    src, t = _silver_b(spark, sf)
+    inputs = {**t, "website_pageviews": src["website_pageviews"]}
+    return _described({m: gold.MART_BUILDERS[m](inputs) for m in GOLD})
+
+
+STREAM_ENDS = (dt.datetime(2024, 1, 11), dt.datetime(2024, 1, 21), None)
+STREAM_DELAY_DAYS = 2
+
+
+def _streamed(spark, sf) -> str:
+    """Sessions of Set B taken in by four runs of a stream.
+
+    The days of the month land in three parts; the second brings the last two days of the first again; the
+    fourth brings every 17th session of the first part, long after its day was closed.
+    """
+    base = scratch_path(spark, "stream")
+    sessions = _b(spark, sf)["website_sessions"]
+    at, late = F.col("created_at"), F.col("website_session_id") % fixtures.SET_B_LATE_SESSION == 0
+    until = [F.lit(x).cast("timestamp_ntz") for x in STREAM_ENDS[:2]]
+    again = (at >= until[0] - F.expr("INTERVAL 2 DAYS")) & (at < until[0])
+    parts = [(at < until[0]) & ~late, (at >= until[0]) & (at < until[1]) | again & ~late, at >= until[1], (at < until[0]) & late]
+    for k, part in enumerate(parts):
+        sessions.filter(part).write.parquet(f"{base}/in/part={k}")
+        daily.run_channel_days(spark, f"{base}/in", sessions.schema, f"{base}/out", f"{base}/checkpoint", f"{STREAM_DELAY_DAYS} days")
+    return f"{base}/out"
+
+
+def q_stream_channel_days(spark, sf):
+    return spark.read.parquet(f"{_streamed(spark, sf)}/days")
+
+
+def q_stream_late_rows(spark, sf):
+    batches = spark.read.schema(daily.FACTS).parquet(f"{_streamed(spark, sf)}/batches")
+    return batches.agg(F.sum("input_rows").alias("input_rows"), F.sum("late_rows").alias("late_rows"))
+
+
 def _built_b(spark, sf):
     wh = scratch_path(spark, "quality")
     pipeline.build(spark, _b(spark, sf), wh)
@@ -354,12 +446,63 @@ def sql_csv_round_trip():
     return o.query(_b_sql(), "\nUNION ALL ".join(parts))
 
 
-def sql_column_comments():
+def _described_sql(tables, *ctes: str) -> str:
     parts = [f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, count({f.name}) AS n FROM {o.name_of(t)}"
-             for t in o.TABLE for f in CONTRACTS[t].fields if f.metadata.get("comment")]
+             for t in tables for f in CONTRACTS[t].fields if f.metadata.get("comment")]
+    return o.query(_b_sql(*ctes), "\nUNION ALL ".join(parts))
+
+
+def sql_column_comments():
+    return _described_sql(o.TABLE, "silver")
+
+
+def sql_dq_rules():
+    parts = [f"SELECT '{t}' AS table_name, 'rule' AS check_name, '{name}' AS column_name, count(*) FILTER (WHERE {cond}) AS failures FROM {o.name_of(t)}"
+             for t, rules in RULES.items() for name, cond in rules.items()]
+    parts += [f"SELECT '{t}', 'not_null', '{c}', count(*) - count({c}) FROM {o.name_of(t)}" for t in o.TABLE for c in NOT_NULL[t]]
+    return o.query(_b_sql("silver"), "\nUNION ALL ".join(parts))
+
+
+def sql_dq_relationships():
+    def name(t):
+        return o.name_of(t) if t in o.TABLE else f"b_{t}"
+    parts = [f"SELECT '{t}' AS table_name, 'relationship' AS check_name, '{c}->{p}.{k}' AS column_name, count(*) AS failures, "
+             f"count(DISTINCT {c}) AS orphan_keys FROM {name(t)} WHERE {c} NOT IN (SELECT {k} FROM {name(p)} WHERE {k} IS NOT NULL)"
+             for t, c, p, k in RELATIONSHIPS]
     return o.query(_b_sql("silver"), "\nUNION ALL ".join(parts))
 
 
+def sql_source_freshness():
+    clock = f"TIMESTAMP '{FRESHNESS_CLOCK}'"
+    parts = [f"SELECT '{t}' AS source_table, CAST(max(created_at) AS TIMESTAMP) AS newest FROM b_{t}" for t in PARTITIONED_SOURCES]
+    return o.query(_b_sql(), "SELECT *, CAST(floor(epoch_us(" + clock + " - newest) / 1e6) AS BIGINT) AS age_seconds, "
+                   f"CASE WHEN newest IS NULL THEN 'empty' WHEN {clock} - newest > INTERVAL 2 DAY THEN 'error' "
+                   f"WHEN {clock} - newest > INTERVAL 1 DAY THEN 'warn' ELSE 'pass' END AS status FROM ("
+                   + " UNION ALL ".join(parts) + ")")
+
+
+def sql_csv_products():
+    return o.query(_b_sql(), "SELECT p.*, location FROM b_products p, (VALUES ('override'), ('root')) v(location)")
+
+
+_LATE = f"(created_at < TIMESTAMP '{STREAM_ENDS[0]}' AND website_session_id % {fixtures.SET_B_LATE_SESSION} = 0)"
+
+
+def sql_stream_channel_days():
+    channel = ", ".join(f"coalesce({c}, '(none)') AS {c}" for c in daily.CHANNEL)
+    return o.query(_b_sql(), f"""SELECT CAST(created_at AS DATE) AS session_date, {channel}, count(*) AS sessions_count,
+       CAST(sum(is_repeat_session) AS BIGINT) AS repeat_sessions_count
+FROM b_website_sessions WHERE NOT {_LATE}
+  AND CAST(created_at AS DATE) + INTERVAL 1 DAY <= (SELECT max(created_at) FROM b_website_sessions) - INTERVAL {STREAM_DELAY_DAYS} DAY
+GROUP BY ALL""")
+
+
+def sql_stream_late_rows():
+    first = f"TIMESTAMP '{STREAM_ENDS[0]}'"
+    return o.query(_b_sql(), f"""SELECT count(*) + count(*) FILTER (WHERE NOT {_LATE} AND created_at >= {first} - INTERVAL 2 DAY AND created_at < {first}) AS input_rows,
+       count(*) FILTER (WHERE {_LATE}) AS late_rows FROM b_website_sessions""")
+
+
 def sql_dq_not_null():
     parts = [f"SELECT '{t}' AS table_name, 'not_null' AS check_name, '{c}' AS column_name, "
              f"count(*) - count({c}) AS failures FROM {o.name_of(t)}" for t, cols in NOT_NULL.items() for c in cols]
@@ -423,6 +566,15 @@ QUERIES: dict[str, Query] = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_grain": q_dq_grain,
+    "dq_rules": q_dq_rules,
+    "dq_relationships": q_dq_relationships,
+    "source_freshness": q_source_freshness,
+    "csv_products": q_csv_products,
+    "column_comments_gold": q_column_comments_gold,
+    **{f"changed_{t}": _changed_table(t) for t in ("fct_sales", "fct_sessions", *GOLD)},
+    "changed_list_price": _changed_table("product_list_price"),
+    "stream_channel_days": q_stream_channel_days,
+    "stream_late_rows": q_stream_late_rows,
 }
 
 DAY_SESSIONS = ["sessions_count", "active_users_count", "repeat_session_users_count", "new_session_users_count", "bounced_sessions_count",
@@ -484,6 +636,17 @@ ORACLE: dict[str, Callable[[], str]] = {
     "dq_not_null": sql_dq_not_null,
     "dq_unique": lambda: _dup_sql("unique", UNIQUE, skip_nulls=True),
     "dq_grain": lambda: _dup_sql("grain", GRAIN_CHECKED, skip_nulls=False),
+    "dq_rules": sql_dq_rules,
+    "dq_relationships": sql_dq_relationships,
+    "source_freshness": sql_source_freshness,
+    "csv_products": sql_csv_products,
+    "column_comments_gold": lambda: _described_sql(GOLD, "silver", "gold"),
+    "changed_fct_sales": lambda: o.contract_query(_b_sql("silver"), "b_sales", "fct_sales"),
+    "changed_fct_sessions": lambda: o.contract_query(_b_sql("silver"), "b_sess", "fct_sessions"),
+    **{f"changed_{m}": sql_mart_b(m) for m in GOLD},
+    "changed_list_price": lambda: o.query(_b_sql("silver"), "SELECT product_id, max(gross_revenue_usd) AS list_price_usd FROM b_sales GROUP BY product_id"),
+    "stream_channel_days": sql_stream_channel_days,
+    "stream_late_rows": sql_stream_late_rows,
 }
 
 assert set(QUERIES) == set(ORACLE)

@@ -74,6 +74,15 @@ class Warehouse:
     def validate(self) -> DataFrame:
         return quality.validate({t: self.read(t) for t in SILVER_ORDER + self.marts})
 
+    def violations(self) -> DataFrame:
+        """What the last writes of the silver tables observed: business rules and NULLs, without a scan."""
+        return quality.observed(self.spark, {t: self.tables[t].observed for t in SILVER_ORDER})
+
+    def relationships(self, src) -> DataFrame:
+        """Orphans between the built facts, the dimension and the sources."""
+        sources = {t: src[t] for t in ("orders", "order_item_refunds", "website_pageviews")}
+        return quality.check_relationships({**sources, **{t: self.read(t) for t in SILVER_ORDER}})
+
     def _inputs(self, src) -> dict[str, DataFrame]:
         """What marts are built from; facts with their month column."""
         return {**{t: self.tables[t].read() for t in (*SILVER_ORDER, LIST_PRICE)}, "website_pageviews": src["website_pageviews"]}
@@ -83,11 +92,11 @@ class Warehouse:
         """Silver in full, then every mart in full or from its cutoff on; facts of each mart's run."""
         with scratch_scope(self.spark, "build"):
             t = self.tables
-            t["dim_products"].replace(silver.dim_products(src))
+            t["dim_products"].replace(silver.dim_products(src), quality.rule_counts("dim_products"))
             dim = self.read("dim_products")
 
             def fact(name: str, df: DataFrame) -> None:
-                t[name].replace(df.withColumn(t[name].partition, F.trunc(SILVER_DATE[name], "month")))
+                t[name].replace(df.withColumn(t[name].partition, F.trunc(SILVER_DATE[name], "month")), quality.rule_counts(name))
             run_all({"fct_sales": lambda: fact("fct_sales", silver.fct_sales(src)),
                      "fct_sessions": lambda: fact("fct_sessions", silver.fct_sessions(src, dim))}, self.parallelism)
             t[LIST_PRICE].replace(gold.product_list_price(t["fct_sales"].read()))

@@ -270,6 +270,33 @@ UNIQUE: dict[str, tuple[str, ...]] = {
     "fct_sessions": ("website_session_id",),
 }
 
+# Keys that must be there in another table: (table, column, table they point to, column there).
+RELATIONSHIPS: tuple[tuple[str, str, str, str], ...] = (
+    ("fct_sales", "product_id", "dim_products", "product_id"),
+    ("fct_sales", "order_id", "orders", "order_id"),
+    ("fct_sales", "website_session_id", "fct_sessions", "website_session_id"),
+    ("order_item_refunds", "order_item_id", "fct_sales", "order_item_id"),
+    ("website_pageviews", "website_session_id", "fct_sessions", "website_session_id"),
+)
+
+# Business rules: what a row of a fact must not be. A condition that is NULL is no violation.
+RULES: dict[str, dict[str, str]] = {
+    "fct_sales": {
+        "negative_revenue": "gross_revenue_usd < 0",
+        "refund_above_revenue": "refund_amount_usd > gross_revenue_usd",
+        "refund_before_sale": "first_refund_created_at_utc < order_item_created_at_utc",
+        "refund_without_return": "has_refund AND NOT has_returned",
+        "item_without_order": "order_date IS NULL",
+        "loss": "net_profit_usd < 0"},
+    "fct_sessions": {
+        "negative_duration": "session_duration_seconds < 0",
+        "bounce_with_other_views": "is_bounced AND pageviews_count <> 1",
+        "product_views_above_views": "product_pageviews_count > pageviews_count",
+        "order_flag_differs": "has_order <> (orders_count > 0)",
+        "view_before_session": "first_pageview_at_utc < session_created_at_utc",
+        "order_without_views": "has_order AND pageviews_count IS NULL"},
+}
+
 # Grain checks beyond the declared unique tests: where a table's grain is its
 # declared unique key, the unique + not_null checks already cover it (and a second
 # full shuffle of a large fact would only repeat them), so only the gold

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoplane.operators import versions
-from shoplane.operators.versions import VersionedTable, newest, refresh
+from shoplane.operators.incremental import newest
+from shoplane.operators.versions import VersionedTable, refresh
 
 D = dt.date
 SCHEMA = T.StructType([T.StructField("k", T.LongType(), True, {"comment": "it's the key"}), T.StructField("d", T.DateType()), T.StructField("v", T.LongType())])
