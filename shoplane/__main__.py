@@ -4,6 +4,7 @@
     python -m shoplane build  --lake lake/ --warehouse wh/ [--full-refresh]
     python -m shoplane test   --warehouse wh/            (exit 1 on any violation)
     python -m shoplane stream --lake lake/ --warehouse wh/ --checkpoint ck/
+    python -m shoplane changes --lake lake/ --warehouse wh/ --checkpoint ck/    (versioned tables in the catalog)
 
 On a cluster, submit with spark-submit; the session's own settings are kept
 (including ``spark.checkpoint.dir``), plus the two semantic settings.
@@ -47,6 +48,12 @@ def main(argv=None) -> int:
     p.add_argument("--warehouse", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--every", default=None, help="processing-time trigger, e.g. '10 minutes'")
+    p = sub.add_parser("changes")
+    p.add_argument("--lake", required=True)
+    p.add_argument("--warehouse", required=True)
+    p.add_argument("--checkpoint", required=True)
+    p.add_argument("--prefix", default="", help="of the databases, as in <prefix>gold")
+    p.add_argument("--every", default=None, help="processing-time trigger; without it, what is there is taken in once")
     a = ap.parse_args(argv)
 
     spark = _session()
@@ -69,6 +76,12 @@ def main(argv=None) -> int:
         q = start_refresh(spark, a.lake, a.warehouse, a.checkpoint,
                           processing_time=a.every, on_build=lambda f: print(json.dumps(f, default=str)))
         q.awaitTermination()
+    elif a.cmd == "changes":
+        from .plans.warehouse import Warehouse
+        from .streaming.changes import start_changes
+        q = start_changes(Warehouse(spark, a.warehouse, a.prefix), a.lake, a.checkpoint, a.every,
+                          on_apply=lambda f: print(json.dumps(f, default=str)))
+        q.awaitTermination()
     return 0
 
 

@@ -43,8 +43,9 @@ def with_partition_columns(df: DataFrame, ts_col: str = "created_at") -> DataFra
     return df.withColumn("year", F.year(ts)).withColumn("month", F.month(ts))
 
 
-def write_partitioned(df: DataFrame, path: str) -> None:
-    """Parquet partitioned by year/month; partitions absent from ``df`` survive.
+def write_partitioned(df: DataFrame, path: str, append: bool = False) -> None:
+    """Parquet partitioned by year/month; partitions absent from ``df`` survive. Those in ``df`` are replaced,
+    or get more files with ``append``.
 
     ``rebalance`` on the partition columns clusters rows by (year, month) before
     the write, so each task writes few partition folders (bounded small-file
@@ -53,7 +54,7 @@ def write_partitioned(df: DataFrame, path: str) -> None:
     that month). Unlike a range repartition, there is no sampling pass, which would
     re-read the whole raw input once more.
     """
-    (df.hint("rebalance", *PARTITION_COLUMNS).write.mode("overwrite")
+    (df.hint("rebalance", *PARTITION_COLUMNS).write.mode("append" if append else "overwrite")
      .option("partitionOverwriteMode", "dynamic")
      .partitionBy(*PARTITION_COLUMNS).parquet(path))
 
@@ -62,10 +63,10 @@ def write_static(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def _ingest_one(df: DataFrame, table: str, lake_root: str) -> str:
+def _ingest_one(df: DataFrame, table: str, lake_root: str, append: bool = False) -> str:
     dest = f"{lake_root.rstrip('/')}/{table}"
     if table in PARTITIONED_SOURCES:
-        write_partitioned(with_partition_columns(df), dest)
+        write_partitioned(with_partition_columns(df), dest, append)
     else:
         write_static(df, dest)
     return dest
@@ -98,9 +99,10 @@ def ingest_csv(spark: SparkSession, csv_dir: str, lake_root: str,
 
 
 def ingest_frames(frames: dict[str, DataFrame], lake_root: str,
-                  parallelism: int = DEFAULT_PARALLELISM) -> dict[str, str]:
-    """Write already-loaded source DataFrames into the lake layout (concurrently)."""
-    return run_all({t: (lambda t=t, df=df: _ingest_one(df, t, lake_root))
+                  parallelism: int = DEFAULT_PARALLELISM, append: bool = False) -> dict[str, str]:
+    """Write already-loaded source DataFrames into the lake layout (concurrently). ``append`` adds files to
+    the months of event tables, for rows that come on top of what is there."""
+    return run_all({t: (lambda t=t, df=df: _ingest_one(df, t, lake_root, append))
                     for t, df in frames.items()}, parallelism)
 
 
