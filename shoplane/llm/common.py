@@ -2,16 +2,41 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import re
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.staging import stage
 
-__all__ = ["stage", "table", "id_remainder", "fresh", "ASCII_SPACE"]
+__all__ = ["stage", "table", "id_remainder", "fresh", "release_memory", "small_batches", "ASCII_SPACE"]
 
 #: the white space of all contracts here: space, tab, line feed, vertical tab, form feed, return
 ASCII_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
+#: Arrow batches that carry texts to Python; the session's own setting holds if it is smaller
+TEXT_BATCH_BYTES = 8 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Texts go to Python in batches of about ``TEXT_BATCH_BYTES``, so that many long ones are not held at once."""
+    number, unit = re.fullmatch(r"(\d+)([kmg]?)b?", spark.conf.get(_BATCH_BYTES).strip().lower()).groups()
+    if int(number) << {"": 0, "k": 10, "m": 20, "g": 30}[unit] > TEXT_BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES, str(TEXT_BATCH_BYTES))
+
+
+def release_memory() -> None:
+    """Give back to the system what a Python worker no longer uses; workers outlive the tasks they run."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # of the GNU C library
+    if trim is not None:
+        trim(0)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -13,8 +13,8 @@ For prediction the two linear layers are multiplied to one table (buckets x lang
 one look-up per n-gram. Its size is fixed, and it goes to the workers as a Spark broadcast.
 
 The sample: at most ``MAX_TRAIN`` rows, about equally many of every language, chosen by a hash of the
-row among all rows that are allowed for training. This bounded sample is the only limit; every row is
-predicted from its whole text.
+row among all rows that are allowed for training and have at most ``TRAIN_CHARS`` characters. This bounded
+sample is the only limit; every row is predicted from its whole text.
 
 Defined results: a null text, an empty one and one without any letter get ``und`` with score 0 and are
 rejected; nulls in the language column are not learned; repeated rows get equal results; if there is
@@ -23,6 +23,7 @@ nothing to learn from, every row gets ``und`` with score 0, and texts with lette
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,11 +31,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory, small_batches
+
 UNDETERMINED = "und"
 BUCKETS = 1 << 16
 DIMENSION = 16
 MAX_TRAIN = 2400
 SPAN = 120          # characters of the short training spans
+PIECE = 1 << 16     # characters of a text whose n-grams are looked up together
+TRAIN_CHARS = 1 << 16   # longer texts are not learned from
 FOLDS = 4           # models that are trained without a part of the languages, for the threshold
 
 _PRIME = np.uint32(0x9E3779B1)
@@ -65,6 +70,15 @@ def features(text: str) -> np.ndarray:
     return ((np.concatenate(out) * _PRIME) >> np.uint32(16)).astype(np.int64) % BUCKETS
 
 
+def pieces(text: str, size: int = PIECE) -> Iterator[str]:
+    """The text cut at spaces, pieces of about ``size`` characters; all n-grams of the text are in its pieces."""
+    at = 0
+    while at < len(text):
+        end = text.find(" ", at + size)
+        yield text[at:end if end >= 0 else len(text)]
+        at = end if end >= 0 else len(text)
+
+
 def has_letter(text: str | None) -> bool:
     return bool(text) and any(map(str.isalpha, text))
 
@@ -82,7 +96,12 @@ class Model:
             return UNDETERMINED, 0.0, False
         if not self.languages:
             return UNDETERMINED, 0.0, True
-        p = _softmax(self.table[features(text)].mean(axis=0) * self.temperature)
+        total, n = np.zeros(self.table.shape[1]), 0
+        for part in pieces(text):
+            ids = features(part)
+            total += self.table[ids].sum(axis=0)
+            n += len(ids)
+        p = _softmax(total / n * self.temperature)
         k = int(p.argmax())
         return self.languages[k], float(p[k]), bool(p[k] >= self.threshold)
 
@@ -167,7 +186,7 @@ def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 3, rate: flo
 def sample(docs: DataFrame, allowed: Column, max_rows: int = MAX_TRAIN, text_col: str = "text",
            lang_col: str = "lang") -> list[tuple[str, str]]:
     """At most ``max_rows`` (text, language) pairs, about equally many of every language."""
-    known = docs.filter(allowed & F.col(lang_col).isNotNull() & (F.length(F.trim(F.col(text_col))) > 0))
+    known = docs.filter(allowed & F.col(lang_col).isNotNull() & (F.length(F.trim(F.col(text_col))) > 0) & (F.length(F.col(text_col)) <= TRAIN_CHARS))
     known = known.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"),
                          F.xxhash64(*[F.col(c) for c in (lang_col, text_col)]).alias("order"))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
@@ -193,8 +212,11 @@ def predictor(spark, model: Model) -> Column:
     @F.pandas_udf("lang_pred string, score double, accepted boolean")
     def predict(texts: pd.Series) -> pd.DataFrame:
         m = shared.value
-        return pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score", "accepted"])
+        out = pd.DataFrame([m.predict(t) for t in texts], columns=["lang_pred", "score", "accepted"])
+        release_memory()
+        return out
 
+    small_batches(spark)
     return predict
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import release_memory, small_batches, stage
 
 CAPACITY = 4096
 END_ID = 1
@@ -67,7 +67,7 @@ class _Words(dict):
             self.clear()
         core = word.rstrip(self.TAIL)
         text = core.decode()
-        if core and core != word and text.isalpha():    # a run of letters, then one of punctuation
+        if core and core != word and text.lower().isalpha():    # a run of letters, also in lower case, then one of punctuation
             ids = self[core] + self[word[len(core):]]
         elif core == word and text.isalpha() and text == text.lower() and is_normalized("NFC", text):
             # one pre-token that normalisation leaves as it is: only its merges are left to do
@@ -120,7 +120,9 @@ def token_pieces(docs: DataFrame, vocab: str, capacity: int = CAPACITY, end_id:
                 [batch.column(0).take(pa.array(rows, pa.int64())), pa.array(pieces, pa.int32()),
                  pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64())],
                 names=["id", "piece", "start", "length", "ids_crc32"])
+        release_memory()
 
+    small_batches(docs.sparkSession)
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         cut, f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint").withColumnRenamed("id", id_col)
 

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import fresh, stage
+from .common import fresh, release_memory, small_batches, stage
 from .components import components
 from .hashing import END_HASH, joined, mix, shingle_hashes, word_hashes
 
@@ -186,6 +186,7 @@ def sets(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     c.append(x.astype(np.int64))
             cols = [np.concatenate([np.zeros(0, np.int64), *c]) for c in cols]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *map(pa.array, cols)], names=["id", "text_hash", "key", "n", "f0", "f1"])
+        release_memory()
 
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text")).mapInArrow(
@@ -266,6 +267,8 @@ def live_signatures(docs: DataFrame, text_col: str) -> DataFrame:
                 docs_, size_ = docs_ + len(size), size_ + len(sig)
         if keys:
             yield rows(keys, sigs, owners, turn)
+        keys = sigs = owners = seen = flat = size = sig = own = None
+        release_memory()
 
     def unpacked(shard: int, raw: bytes) -> np.ndarray:
         out = np.zeros((len(raw) // 6, 8), np.uint8)
@@ -273,6 +276,7 @@ def live_signatures(docs: DataFrame, text_col: str) -> DataFrame:
         return out.view("<u8").ravel() | (np.uint64(shard) << np.uint64(48))
 
     def gather(_, group):
+        release_memory()
         blobs = [(np.frombuffer(k, "<i8"), np.frombuffer(at, "<u2"), unpacked(shard, x))
                  for shard, k, at, x in zip(*(group[c].to_pylist() for c in ("shard", "classes", "place", "sig")))]
         # blobs are sorted, so a slice of a shard's range is a slice of each: only one is sorted at a time
@@ -346,6 +350,7 @@ def _spanning(links) -> pa.Table:
 class _Join:
     def __init__(self, docs: DataFrame, id_col: str, text_col: str):
         self.spark = docs.sparkSession
+        small_batches(self.spark)
         text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
         self.docs = docs.select(F.col(id_col).alias("id"), text.alias("text"))
         self.partitions = int(self.spark.conf.get("spark.sql.shuffle.partitions"))

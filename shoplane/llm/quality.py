@@ -7,8 +7,9 @@ mean. Only document labels are used; encoder, attention and score are trained to
 hand-written gradients) on a bounded sample.
 
 The sample: at most ``MAX_TRAIN`` labelled documents, half of each label where there are enough, chosen by
-a hash of the id among the rows allowed for training. The score is corrected for the true share of the
-labels. This sample is the only limit; every document is scored from all passages of its whole text.
+a hash of the id among the rows allowed for training that have at most ``TRAIN_BYTES`` bytes and ``TRAIN_LINES``
+lines. The score is corrected for the true share of the labels. This sample is the only limit; every document
+is scored from all passages of its whole text, ``SLICE`` of them at a time.
 The model has a fixed size and goes to the workers as a Spark broadcast; scoring does not shuffle.
 
 Defined results: a null or empty text is one empty passage and gets a score like any other; rows with a
@@ -18,6 +19,7 @@ scores; with no or only one kind of label every score is the share of label 1 (0
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,8 +27,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release_memory, small_batches
+
 PASSAGE = 1024
+SLICE = 2048            # passages that are encoded together
 MAX_TRAIN = 2400
+TRAIN_BYTES = 1 << 16   # longer documents are not learned from
+TRAIN_LINES = 128       # nor those of more lines
 THRESHOLD = 0.3
 WIDTH = 24
 
@@ -48,18 +55,27 @@ def _class_table() -> np.ndarray:
 _CLASS = _class_table()
 
 
-def passages(text: str | None) -> np.ndarray:
-    """Feature rows (float32), one per passage of the whole text; one zero row for an empty text."""
+def passages(text: str | None) -> Iterator[np.ndarray]:
+    """Feature rows (float32), one per passage of the whole text, at most ``SLICE`` at a time; one zero row
+    for an empty text."""
     raw = (text or "").encode("utf-8", "surrogatepass")
     if not raw:
-        return np.zeros((1, N_FEATURES), np.float32)
-    data = np.frombuffer(raw, np.uint8)
-    ends = np.flatnonzero(data == 10) + 1
+        yield np.zeros((1, N_FEATURES), np.float32)
+        return
+    ends = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10) + 1
     cuts = np.unique(np.concatenate([[0], ends, np.arange(0, len(raw), PASSAGE)]))
-    cuts = cuts[cuts < len(raw)]
-    size = np.diff(np.append(cuts, len(raw)))
+    cuts = np.append(cuts[cuts < len(raw)], len(raw))
+    for at in range(0, len(cuts) - 1, SLICE):
+        yield _features(raw, cuts[at:at + SLICE + 1])
+
+
+def _features(raw: bytes, cuts: np.ndarray) -> np.ndarray:
+    """Feature rows of the passages between neighbouring cuts."""
+    cuts, end = cuts[:-1], int(cuts[-1])
+    size = np.diff(np.append(cuts, end))
+    data = np.frombuffer(raw, np.uint8)[cuts[0]:end]
     cls = _CLASS[data].astype(np.int64)
-    pair = cls * _CLASSES + np.append(cls[1:], 4)
+    pair = cls * _CLASSES + np.append(cls[1:], _CLASS[raw[end]] if end < len(raw) else 4)
     at = np.repeat(np.arange(len(cuts)) * (_CLASSES * _CLASSES), size)
     counts = np.bincount(at + pair, minlength=len(cuts) * _CLASSES * _CLASSES).reshape(len(cuts), -1)
     x = np.empty((len(cuts), N_FEATURES), np.float32)
@@ -86,8 +102,20 @@ class Model:
     def score(self, text: str | None) -> float:
         if not self.weights:
             return float(_sigmoid(np.float64(self.shift)))
-        x = passages(text)
-        return float(_sigmoid(np.float64(_forward(self.weights, x, np.array([0]))["logit"][0] + self.shift)))
+        # softmax over all passages, kept up slice by slice: largest weight so far, sums relative to it
+        w, top, total, z = self.weights, -np.inf, 0.0, 0.0
+        for x in passages(text):
+            h, s = _encode(w, x)
+            most = max(top, s.max())
+            e = np.exp(s - most)
+            total, z, top = total * np.exp(top - most) + e.sum(), z * np.exp(top - most) + e @ h, most
+        return float(_sigmoid(np.float64(z / total @ w["c"] + w["d"][0] + self.shift)))
+
+
+def _encode(w: dict[str, np.ndarray], x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Encodings of passages and the logarithms of their attention weights, but for a constant of the bag."""
+    h = np.tanh(x @ w["W"] + w["b"])
+    return h, (np.tanh(h @ w["V"]) * _sigmoid(h @ w["U"])) @ w["w"]
 
 
 def _forward(w: dict[str, np.ndarray], x: np.ndarray, starts: np.ndarray) -> dict[str, np.ndarray]:
@@ -129,7 +157,7 @@ def train(rows: list[tuple[str, int]], share_of_ones: float, seed: int = 7, epoc
     prior = float(np.log(share / (1 - share)))
     if not len(y) or y.min() == y.max():
         return Model({}, prior if len(y) else 0.0)
-    bags = [passages(t) for t, _ in rows]
+    bags = [np.concatenate(list(passages(t))) for t, _ in rows]
     rng = np.random.default_rng(seed)
     w = {"W": rng.normal(0, N_FEATURES ** -0.5, (N_FEATURES, WIDTH)), "b": np.zeros(WIDTH),
          "V": rng.normal(0, WIDTH ** -0.5, (WIDTH, WIDTH)), "U": rng.normal(0, WIDTH ** -0.5, (WIDTH, WIDTH)),
@@ -169,7 +197,9 @@ def sample(docs: DataFrame, labels: DataFrame, allowed: Column, max_rows: int =
         wanted = wanted | ((F.col("y") == y) & (F.pmod("order", F.lit(1 << 30)) < int((1 << 30) * part)))
     ids = known.filter(wanted).orderBy("order").limit(2 * max_rows)
     # the ids are bounded by the limit, so the documents are scanned once and not shuffled
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    bounded = F.coalesce((F.octet_length(text) <= TRAIN_BYTES) & (F.regexp_count(text, F.lit("\n")) < TRAIN_LINES), F.lit(True))
+    rows = (docs.filter(bounded).select(F.col(id_col).alias("id"), text.alias("text"))
             .join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("y").alias("y"), F.min("order").alias("order"))
             .orderBy("order").limit(2 * max_rows).collect())
     taken, out = {0: 0, 1: 0}, []
@@ -192,8 +222,11 @@ def scorer(spark, model: Model) -> Column:
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         m = shared.value
-        return pd.Series([m.score(t) for t in texts], dtype="float64")
+        out = pd.Series([m.score(t) for t in texts], dtype="float64")
+        release_memory()
+        return out
 
+    small_batches(spark)
     return score
 
 

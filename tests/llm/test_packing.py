@@ -25,7 +25,7 @@ def expected(text):
 def test_words_are_those_of_the_tokenizer():
     rng, words = random.Random(1), packing._words(VOCAB)
     parts = ["a", "The ", " ", "\n", "'S", "É", "日本", "1", "23", "!!", "\U0001F600", "\x00", "́", "J̌", "İ", "ß", "ing", "Σ", "\xa0",
-             "\x85", "\x1c", "<|endoftext|>", "<|ENDOFTEXT|>", "K.", "it's.", "word,", "mot,", "été"]
+             "\x85", "\x1c", "<|endoftext|>", "<|ENDOFTEXT|>", "K.", "it's.", "word,", "mot,", "été", "geldİ.", "İ,", "Iİ!", "ǰ;"]
     for _ in range(1500):
         text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))
         assert np.frombuffer(words.ids(text), "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids, repr(text)
