@@ -24,7 +24,7 @@ at most about ``SHARD_KEYS`` to an array, and mapped by the workers, so pages jo
 have any number of them. Html is parsed inside tasks, a page at a time.
 
 Defined results: null or empty html gives an empty text; a null url is a host of its own; unclosed,
-cut-off and misnested tags are closed as browsers do in simple cases; rows are independent, so repeated
+cut-off and misnested tags are closed as browsers do in simple cases, and so are comments; rows are independent, so repeated
 rows give repeated results; other columns are not read; an empty table gives an empty result.
 """
 
@@ -81,14 +81,17 @@ DROPPED_NAMES = set(_words(
     "alert popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "sidebar widget widgets menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments respond disqus "
     "reply replies pagination pager toolbar search"))
-#: of these, the ones that may also name a part of an article
+#: of these, the ones that may also name a part of an article: in there they go if they are a small share of it
 PART_NAMES = set(_words("header footer banner notice alert related nav search"))
+SMALL_PART = 0.25
+#: and of these, the ones that stay with a heading inside, which is the article's
+TITLE_NAMES = set(_words("header banner"))
 #: of these, the ones that hold for an article element too
 ARTICLE_NAMES = set(_words("ad ads advert advertisement promo sponsored comment comments reply replies related recommended"))
 COMMENT_NAMES = set(_words("comment comments respond disqus reply replies"))
 
 _TELLS = re.compile(r"(?:has|no|with|without|is|not)[-_]", re.I)
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*\Z""", re.S)
+_TOKEN = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[/a-zA-Z][^>]*\Z""", re.S)
 _ATTR = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
 _NAME = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 
@@ -106,6 +109,7 @@ class Element:
     link_chars: int = 0
     links: int = 0
     has_main: bool = False
+    has_heading: bool = False
     parts: list = field(default_factory=list)
 
 
@@ -125,6 +129,7 @@ def parse(source: str) -> tuple[list[Element], list[tuple[int, str] | None]]:
         up.link_chars += n.link_chars
         up.links += n.links
         up.has_main |= n.has_main or _is_main(n)
+        up.has_heading |= n.has_heading or n.tag in HEADINGS
         if n.tag in BLOCKS:
             texts.append(None)
 
@@ -204,8 +209,8 @@ def _named(n: Element) -> set[str]:
     return {w.lower() for name in n.names.split() if not _TELLS.match(name) for w in _NAME.findall(name)}
 
 
-def _dropped(n: Element, in_main: bool, page_chars: int) -> bool:
-    """Whether the element by itself is no text of the article."""
+def _dropped(n: Element, in_main: bool, page_chars: int, main_chars: int) -> bool:
+    """Whether the element by itself is no text of the article; ``main_chars``: of the main part around it."""
     if n.tag in ("html", "body", "main"):
         return False
     if n.tag in DROPPED_TAGS or n.hidden or n.role in DROPPED_ROLES:
@@ -219,16 +224,19 @@ def _dropped(n: Element, in_main: bool, page_chars: int) -> bool:
         # what holds most of the page's text is a layout element, unless it holds comments
         if names & wanted and (2 * n.chars < page_chars or names & COMMENT_NAMES):
             return True
+        if in_main and n.chars < SMALL_PART * main_chars and names & (PART_NAMES - TITLE_NAMES if n.has_heading else PART_NAMES):
+            return True
     return not in_main and n.tag in ("ul", "ol", "table", "div", "section", "p") and n.links > 1 and n.link_chars >= 0.8 * n.chars
 
 
 def _survey(nodes: list[Element]) -> tuple[list[bool], list[bool]]:
     """For every element: dropped by itself or with one around it; inside the main part."""
-    dropped, main = [False] * len(nodes), [False] * len(nodes)
+    dropped, main, chars = [False] * len(nodes), [False] * len(nodes), [0] * len(nodes)
     for i, n in enumerate(nodes):
         if i:
-            dropped[i] = dropped[n.parent] or _dropped(n, main[n.parent], nodes[0].chars)
+            dropped[i] = dropped[n.parent] or _dropped(n, main[n.parent], nodes[0].chars, chars[n.parent])
             main[i] = main[n.parent] or (_is_main(n) and not dropped[i])
+            chars[i] = chars[n.parent] or (n.chars if main[i] else 0)       # of the outermost main element
     return dropped, main
 
 

@@ -115,3 +115,61 @@ def test_near_copies_keep_their_text(spark):
     rows += [(10 + k, f"http://b.example/{k}", parts % k, None, None, None) for k in range(4)]
     got = {r["page_id"]: r["text"] for r in st.extract(pages(spark, rows)).collect()}
     assert got == {k: f"2024-01-0{k % 10}\nTitle\n{text.strip()}" + ("\nThe end." if k >= 10 else "") for k in (0, 1, 2, 3, 10, 11, 12, 13)}
+
+
+def test_comments_end_as_in_browsers():
+    assert st.main_text("<p>a<!-->b</p><p>c</p>") == "ab\nc"
+    assert st.main_text("<p>a<!--->b</p>") == "ab"
+    assert st.main_text("<p>a<!-- x --!>b</p><p>c</p>") == "ab\nc"
+    assert st.main_text("<p>a<!---->b<!-- > -- -->c</p>") == "abc"
+
+
+BODY = "<h1>Title</h1><p>" + "The story goes on and on. " * 20 + "</p>"
+WHOLE = "Title\n" + " ".join(["The story goes on and on."] * 20)
+
+
+def test_named_boxes_inside_and_outside_of_the_article():
+    for name in sorted(st.DROPPED_NAMES):
+        box = f'<div class="{name}">Some other words</div>'
+        assert st.main_text(f"<body>{box}<article>{BODY}</article></body>") == WHOLE, name
+        assert st.main_text(f"<body><article>{BODY}{box}</article></body>") == WHOLE, name
+        assert st.main_text(f'<body><article>{BODY}<p id="page-{name}">Some other words</p></article></body>') == WHOLE, name
+
+
+def test_named_parts_of_the_article_stay():
+    for name in sorted(st.TITLE_NAMES):      # the title's own box
+        assert st.main_text(f'<article><div class="article-{name}"><h1>Title</h1></div>{BODY.split("</h1>")[1]}</article>') == WHOLE
+    for name in sorted(st.PART_NAMES):       # a layout element with most of the text
+        assert st.main_text(f'<article><div class="{name}-layout">{BODY}</div></article>') == WHOLE
+    assert st.main_text(f'<article class="related">{BODY}</article>') == WHOLE
+
+
+def test_counts_against_plain_python(spark):
+    """Template keys equal those of a plain count of page bodies per host and per section."""
+    import random
+    rng = random.Random(5)
+    rows = []
+    for k in range(240):
+        h, s = rng.choice(["a", "a", "a", "b", "c"]), rng.choice(["x", "y", "z", ""])
+        parts = [f"<div class=k{j}><p>Block {j} of {h if j % 2 else s}</p></div>" for j in range(8) if rng.random() < 0.1 * (j + 1)]
+        html = f"<body>{''.join(parts)}<div class=t><h2>Chapter {k % 3}</h2><p>Story {k if rng.random() < 0.9 else 0}</p></div></body>"
+        rows.append((k, f"http://{h}.example/{s}/{k}" if s else f"http://{h}.example/{k}", html, None, None, None))
+    bodies, found = {}, {}
+    for _, url, html, *_ in rows:
+        h, _, rest = url.removeprefix("http://").partition("/")
+        body, subtrees = st.template_candidates(html)
+        for scope in [(h,)] + ([(h, rest.split("/")[0])] if "/" in rest else []):
+            bodies.setdefault(scope, set()).add(body)
+            for t, outer in subtrees.items():
+                n = found.setdefault((scope, t), {})
+                n[body] = n.get(body, False) or (outer and len(scope) == 1)
+    hashes = {tuple(r["p"]): r["x"] for r in spark.createDataFrame([(list(s),) for s in bodies], "p array<string>").selectExpr(
+        "p", "if(size(p) = 1, xxhash64(p[0]), xxhash64(p[0], p[1])) AS x").collect()}
+    want = set()
+    for (scope, t), n in found.items():
+        if len(n) >= st.MIN_PAGES and len(n) >= st.MIN_SHARE * len(bodies[scope]):
+            want.add(hashes[scope] ^ t)
+        elif sum(n.values()) >= 20:
+            want.add(~(hashes[scope] ^ t))
+    got = {r["key"] for r in st.site_templates(pages(spark, rows), many_pages=20).collect()}
+    assert got == want and len(want) > 10 and any(len(s) == 2 for s in bodies)
