@@ -22,6 +22,7 @@ from ..operators.commit import replace_folder
 from ..schemas import CONTRACTS, GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, PARTITIONED_SOURCES, RELATIONSHIPS, RULES, UNIQUE
 from ..session import scratch_path
 from ..sources import fixtures, freshness
+from ..sources.colocated import Colocated
 from ..sources.lake import LakeSources, ingest_csv, with_partition_columns
 from ..streaming import daily
 from . import oracle as o
@@ -314,6 +315,23 @@ def q_dq_relationships(spark, sf):
     return quality.check_relationships({**src, **t})
 
 
+def _colocated(spark, src) -> Colocated:
+    copies = Colocated(spark, f"c{uuid.uuid4().hex[:12]}", scratch_path(spark, "colocated"), int(spark.conf.get("spark.sql.shuffle.partitions")), min_rows=100)
+    copies.write(src)
+    return copies
+
+
+def q_colocated_fct_sales(spark, sf):
+    """Bucketed joins where one order holds a third of the items."""
+    return _colocated(spark, fixtures.with_hot_keys(_a(spark, sf))).sales()
+
+
+def q_colocated_fct_sessions(spark, sf):
+    """Bucketed joins where one session holds a third of the pageviews."""
+    src = fixtures.with_hot_keys(_b(spark, sf))
+    return _colocated(spark, src).sessions(silver.dim_products(src))
+
+
 FRESHNESS_CLOCK = dt.datetime(2024, 2, 1, 12)
 
 
@@ -472,6 +490,33 @@ def sql_dq_relationships():
     return o.query(_b_sql("silver"), "\nUNION ALL ".join(parts))
 
 
+def _hot_ctes(p: str, q: str, moved: dict[str, tuple[str, str, str]], tables) -> list[str]:
+    """Sources ``q`` as sources ``p``, in which every n-th row of a table has the smallest key of another."""
+    out = []
+    for t in tables:
+        replaced = ""
+        if t in moved:
+            number, key, of = moved[t]
+            replaced = f" REPLACE (if({number} % {fixtures.SET_HOT_EVERY} = 0, (SELECT min({key}) FROM {p}{of}), {key}) AS {key})"
+        out.append(f"{q}{t} AS (SELECT *{replaced} FROM {p}{t})")
+    return out
+
+
+_HOT_ITEMS = {t: ("order_item_id", "order_id", "orders") for t in ("order_items", "order_item_refunds")}
+_HOT_VIEWS = {"website_pageviews": ("website_pageview_id", "website_session_id", "website_sessions")}
+
+
+def sql_colocated_fct_sales():
+    ctes = o.set_a() + _hot_ctes("a_", "ah_", _HOT_ITEMS, ("products", "orders", *_HOT_ITEMS)) + o.fct_sales("ah_")
+    return o.contract_query(ctes, "ah_sales", "fct_sales")
+
+
+def sql_colocated_fct_sessions():
+    tables = ("products", "website_sessions", "website_pageviews", "orders", *_HOT_ITEMS)
+    ctes = o.set_b("b_") + _hot_ctes("b_", "bh_", {**_HOT_ITEMS, **_HOT_VIEWS}, tables) + o.silver("bh_")
+    return o.contract_query(ctes, "bh_sess", "fct_sessions")
+
+
 def sql_source_freshness():
     clock = f"TIMESTAMP '{FRESHNESS_CLOCK}'"
     parts = [f"SELECT '{t}' AS source_table, CAST(max(created_at) AS TIMESTAMP) AS newest FROM b_{t}" for t in PARTITIONED_SOURCES]
@@ -573,6 +618,8 @@ QUERIES: dict[str, Query] = {
     "column_comments_gold": q_column_comments_gold,
     **{f"changed_{t}": _changed_table(t) for t in ("fct_sales", "fct_sessions", *GOLD)},
     "changed_list_price": _changed_table("product_list_price"),
+    "colocated_fct_sales": q_colocated_fct_sales,
+    "colocated_fct_sessions": q_colocated_fct_sessions,
     "stream_channel_days": q_stream_channel_days,
     "stream_late_rows": q_stream_late_rows,
 }
@@ -645,6 +692,8 @@ ORACLE: dict[str, Callable[[], str]] = {
     "changed_fct_sessions": lambda: o.contract_query(_b_sql("silver"), "b_sess", "fct_sessions"),
     **{f"changed_{m}": sql_mart_b(m) for m in GOLD},
     "changed_list_price": lambda: o.query(_b_sql("silver"), "SELECT product_id, max(gross_revenue_usd) AS list_price_usd FROM b_sales GROUP BY product_id"),
+    "colocated_fct_sales": sql_colocated_fct_sales,
+    "colocated_fct_sessions": sql_colocated_fct_sessions,
     "stream_channel_days": sql_stream_channel_days,
     "stream_late_rows": sql_stream_late_rows,
 }

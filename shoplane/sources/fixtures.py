@@ -40,6 +40,7 @@ SET_B_NO_TIME = 89                       # every 89th pageview has no time
 SET_B_TIED = 7                           # every 7th pageview has the time of its day's start
 SET_B_ORPHAN_K = 99                      # purchases with k = 99 get no order row
 SET_B_LATE_REFUND, SET_B_LATE_VIEW, SET_B_LATE_ORDER, SET_B_LATE_SESSION = 5, 11, 13, 17     # every n-th comes late
+SET_HOT_EVERY = 3                        # with hot keys: every n-th item or pageview has the first key
 PREFIX_END = dt.datetime(2024, 1, 21)    # first incremental run sees rows before this
 
 
@@ -244,3 +245,17 @@ def set_b_with_late_rows(spark: SparkSession, sf_dir: str) -> tuple[dict[str, Da
                 is_late = is_late | (F.col(key) % every == 0)
             early[name], later[name] = df.filter(~is_late), df.filter(is_late)
     return early, later
+
+
+def with_hot_keys(src: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The sources with a third of the items (and their refunds) in the first order, and a third of the
+    pageviews, if there are any, in the first session."""
+    def to_first(df: DataFrame, number: str, key: str, of: DataFrame) -> DataFrame:
+        first = _value(of, F.min(key))
+        return df.withColumn(key, F.when(F.col(number) % SET_HOT_EVERY == 0, F.lit(first).cast("long")).otherwise(F.col(key)))
+    out = dict(src)
+    for t in ("order_items", "order_item_refunds"):
+        out[t] = to_first(src[t], "order_item_id", "order_id", src["orders"])
+    if "website_pageviews" in src:
+        out["website_pageviews"] = to_first(src["website_pageviews"], "website_pageview_id", "website_session_id", src["website_sessions"])
+    return out

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from conftest import ts
 from shoplane.operators import gold, propagate
 from shoplane.operators.versions import VersionedTable
+from shoplane.parallel import run_all
 from shoplane.plans import pipeline
 from shoplane.plans.warehouse import LIST_PRICE, Warehouse
 from shoplane.schemas import SOURCE_SCHEMAS
@@ -46,17 +47,20 @@ def rows_of(df):
 
 
 def full(src):
-    silver_ = pipeline.build_silver(src)
-    out = {t: rows_of(df) for t, df in silver_.items()}
+    silver_ = {t: df.cache() for t, df in pipeline.build_silver(src).items()}
     inputs = {**silver_, "website_pageviews": src["website_pageviews"]}
-    out |= {m: rows_of(gold.MART_BUILDERS[m](inputs)) for m in pipeline.GOLD_ORDER}
-    return {**out, LIST_PRICE: rows_of(gold.product_list_price(silver_["fct_sales"]))}
+    built = {**silver_, **{m: gold.MART_BUILDERS[m](inputs) for m in pipeline.GOLD_ORDER}, LIST_PRICE: gold.product_list_price(silver_["fct_sales"])}
+    out = run_all({t: (lambda df=df: rows_of(df)) for t, df in built.items()})
+    for df in silver_.values():
+        df.unpersist()
+    return out
 
 
 def same(warehouse, src):
     want = full(src)
+    got = run_all({t: (lambda t=t: rows_of(warehouse.read(t))) for t in want})
     for t in (*TABLES, LIST_PRICE):
-        assert rows_of(warehouse.read(t)) == want[t], t
+        assert got[t] == want[t], t
 
 
 class Shop:
@@ -234,7 +238,7 @@ class Died(Exception):
     pass
 
 
-@pytest.mark.parametrize("dies_at", [0, 2, 5])
+@pytest.mark.parametrize("dies_at", [1, 4])
 def test_death_between_any_two_commits(spark, warehouse, monkeypatch, dies_at):
     shop = small_shop(spark)
     warehouse.apply(shop.frames(), {})
