@@ -9,6 +9,9 @@ is reported:
   <mart>.full                     one mart, full build
   <mart>.incremental              the same mart, 7-day lookback merge on the same sources
   validate_b                      declared not_null / unique / grain checks over all tables
+  versions_<mart>.full/.incremental   the returns mart of Set A as a versioned table: one write per run, switched in the catalog
+  warehouse_b.full / .changes     all tables of the clickstream as versioned tables: built in full from what a first run
+                                  sees, then brought up to date by the rows that come late (touched keys and days only)
 
 The returns mart is timed on both source sets (``..._a`` on order items, about 2,500 days), the others on
 the clickstream. The total is the sum of the medians.
@@ -26,11 +29,15 @@ import statistics
 import sys
 import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shoplane.operators import gold  # noqa: E402
+from shoplane.operators.versions import VersionedTable, refresh  # noqa: E402
 from shoplane.plans import pipeline  # noqa: E402
+from shoplane.plans.warehouse import Warehouse  # noqa: E402
+from shoplane.schemas import CONTRACTS, GRAIN, PARTITION_DATE  # noqa: E402
 from shoplane.session import local_session, scratch_scope  # noqa: E402
 from shoplane.sources import fixtures  # noqa: E402
 from shoplane.sources.lake import LakeSources, ingest_frames  # noqa: E402
@@ -66,6 +73,22 @@ def one_round(spark, sf_dir: str, sets: str = "ab") -> dict[str, float]:
                 spark, tables, wh, full_refresh=mode == "full", marts=(mart,)))
             assert facts[mart]["mode"] == mode, facts
     step("validate_b", lambda: pipeline.validate(spark, f"{work}/wh_b").collect())
+
+    mark = uuid.uuid4().hex[:8]
+    if "a" in sets:
+        table = VersionedTable(spark, f"v{mark}.{RETURNS}", f"{work}/versions", CONTRACTS[RETURNS], PARTITION_DATE[RETURNS])
+        for mode in ("full", "incremental"):
+            facts = step(f"versions_{RETURNS}_a.{mode}", lambda: refresh(table, lambda c: gold.MART_BUILDERS[RETURNS](silver_a, c), GRAIN[RETURNS]))
+            assert facts["mode"] == mode, facts
+    early, later = fixtures.set_b_with_late_rows(spark, sf_dir)
+    with scratch_scope(spark, "bench"):
+        ingest_frames(early, f"{work}/lake_c")
+    warehouse = Warehouse(spark, f"{work}/wh_c", prefix=f"w{mark}_")
+    step("warehouse_b.full", lambda: warehouse.build(LakeSources(spark, f"{work}/lake_c")))
+    with scratch_scope(spark, "bench"):
+        ingest_frames(later, f"{work}/lake_c", append=True)
+    facts = step("warehouse_b.changes", lambda: warehouse.apply(LakeSources(spark, f"{work}/lake_c"), later))
+    assert facts["mode"] == "changes", facts
     return times
 
 

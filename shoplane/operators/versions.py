@@ -25,7 +25,7 @@ import datetime as dt
 import re
 import uuid
 from collections.abc import Callable, Iterable
-from urllib.parse import unquote
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -56,6 +56,7 @@ class VersionedTable:
         self.spark, self.name, self.root = spark, name, root.rstrip("/")
         self.schema, self.partition, self.comment = schema, partition, comment
         self.observed: dict[str, int] = {}
+        self._folders: dict[int, dict[dt.date | None, str]] = {}
         self._metrics: dict[str, Column] = {}
         self.database, _, self.table = name.rpartition(".")
         if partition is not None and not isinstance(schema[partition].dataType, T.DateType):
@@ -87,13 +88,16 @@ class VersionedTable:
         return sorted(int(m[1]) for m in found if m)
 
     def folders(self, n: int) -> dict[dt.date | None, str]:
-        """Folder of each partition of a version (from its list of files, no job)."""
+        """Folder of each partition of a version: as this object has committed it, or from its list of files."""
+        if n in self._folders:
+            return dict(self._folders[n])
         out = {}
         for file in self.spark.table(self._version_name(n)).inputFiles():
             folder = unquote(file).rpartition("/")[0]
             value = folder.rpartition("=")[2]
             out[None if value == _NULL else dt.date.fromisoformat(value)] = folder
-        return out
+        self._folders[n] = out
+        return dict(out)
 
     # ---- commits
     def replace(self, rows: DataFrame, observe: dict[str, Column] | None = None) -> int:
@@ -118,6 +122,7 @@ class VersionedTable:
         now = self.version() or 0
         for dead in (v for v in self.versions() if v > now):       # of a run that died before its switch
             self.spark.sql(f"DROP TABLE {self._version_name(dead)}")
+            self._folders.pop(dead, None)
         n = now + 1
         folder = f"{self.root}/v{n:06d}-{uuid.uuid4().hex[:8]}"
         self._write(rows.select(*self.schema.names), folder)
@@ -129,7 +134,9 @@ class VersionedTable:
                 column, eq, value = s.getPath().getName().partition("=")
                 if eq and column == self.partition:
                     written[None if value == _NULL else dt.date.fromisoformat(value)] = f"{folder}/{column}={value}"
-            self._add_partitions(n, {**others(), **written})
+            folders = {**others(), **written}
+            self._add_partitions(n, folders)
+            self._folders[n] = folders
         self._switch(n)
         self.vacuum()
         return n
@@ -169,23 +176,31 @@ class VersionedTable:
         now = self.version()
         if now is None:
             return
-        kept = [n for n in self.versions() if n <= now][-keep:]
-        for n in set(self.versions()) - set(kept):
+        there = self.versions()
+        kept = [n for n in there if n <= now][-keep:]
+        used = {path for n in kept for path in self._paths(n)}
+        dropped = [n for n in there if n not in kept]
+        dead = {path for n in dropped for path in self._paths(n)} - used
+        for n in dropped:
             self.spark.sql(f"DROP TABLE {self._version_name(n)}")
-        used = {unquote(f).rpartition("/")[0] for n in kept for f in self.spark.table(self._version_name(n)).inputFiles()}
-        used = {hadoop_path(self.spark, f)[1].toUri().getPath() for f in used}
+            self._folders.pop(n, None)
         fs, p = hadoop_path(self.spark, self.root)
         for s in fs.listStatus(p) if fs.exists(p) else []:
-            folder = str(s.getPath())
-            if not re.match(r"v\d+-", s.getPath().getName()) or s.getPath().toUri().getPath() in used:
+            path = s.getPath().toUri().getPath()
+            if not re.match(r"v\d+-", s.getPath().getName()):
                 continue
-            parts = [c.getPath() for c in fs.listStatus(s.getPath()) if c.isDirectory()]
-            dead = [c for c in parts if c.toUri().getPath() not in used]
-            if len(dead) == len(parts):
-                delete(self.spark, folder)
+            if any(x == path or x.startswith(f"{path}/") for x in used):
+                for x in dead:
+                    if x.startswith(f"{path}/"):
+                        delete(self.spark, f"{s.getPath()}{x[len(path):]}")
             else:
-                for c in dead:
-                    delete(self.spark, str(c))
+                delete(self.spark, str(s.getPath()))
+
+    def _paths(self, n: int) -> set[str]:
+        """Folders with files of a version, without scheme."""
+        if self.partition is not None:
+            return {urlparse(f).path for f in self.folders(n).values()}
+        return {urlparse(unquote(f)).path.rpartition("/")[0] for f in self.spark.table(self._version_name(n)).inputFiles()}
 
 
 def refresh(table: VersionedTable, build: Callable[[dt.date | None], DataFrame], key: tuple[str, ...],
