@@ -17,8 +17,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators import gold, quality, silver
+from ..operators import bitmaps, gold, quality, silver
 from ..operators.commit import replace_folder
+from ..operators.staging import stage
 from ..schemas import CONTRACTS, GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, PARTITIONED_SOURCES, RELATIONSHIPS, RULES, UNIQUE
 from ..session import scratch_path
 from ..sources import fixtures, freshness
@@ -315,6 +316,14 @@ def q_dq_relationships(spark, sf):
     return quality.check_relationships({**src, **t})
 
 
+def q_weekly_active_users(spark, sf):
+    """Users with a session on a day or the six days before it, and on the day: from the days' bitmaps."""
+    _, t = _silver_b(spark, sf)
+    days = stage(bitmaps.daily_bitmaps(t["fct_sessions"], "session_date", "user_id"), "user-days")
+    return (bitmaps.counts(days, "day", out="active_users_count")
+            .join(bitmaps.rolling(days, 7, out="weekly_users_count"), "day").withColumnRenamed("day", "metric_date"))
+
+
 def _colocated(spark, src) -> Colocated:
     copies = Colocated(spark, f"c{uuid.uuid4().hex[:12]}", scratch_path(spark, "colocated"), int(spark.conf.get("spark.sql.shuffle.partitions")), min_rows=100)
     copies.write(src)
@@ -502,6 +511,13 @@ def _hot_ctes(p: str, q: str, moved: dict[str, tuple[str, str, str]], tables) ->
     return out
 
 
+def sql_weekly_active_users():
+    return o.query(_b_sql("silver"), """SELECT d AS metric_date, count(DISTINCT user_id) FILTER (WHERE session_date = d) AS active_users_count,
+       count(DISTINCT user_id) AS weekly_users_count
+FROM (SELECT DISTINCT session_date AS d FROM b_sess WHERE session_date IS NOT NULL AND user_id IS NOT NULL) JOIN b_sess ON session_date BETWEEN d - 6 AND d
+GROUP BY d""")
+
+
 _HOT_ITEMS = {t: ("order_item_id", "order_id", "orders") for t in ("order_items", "order_item_refunds")}
 _HOT_VIEWS = {"website_pageviews": ("website_pageview_id", "website_session_id", "website_sessions")}
 
@@ -618,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "column_comments_gold": q_column_comments_gold,
     **{f"changed_{t}": _changed_table(t) for t in ("fct_sales", "fct_sessions", *GOLD)},
     "changed_list_price": _changed_table("product_list_price"),
+    "weekly_active_users": q_weekly_active_users,
     "colocated_fct_sales": q_colocated_fct_sales,
     "colocated_fct_sessions": q_colocated_fct_sessions,
     "stream_channel_days": q_stream_channel_days,
@@ -692,6 +709,7 @@ ORACLE: dict[str, Callable[[], str]] = {
     "changed_fct_sessions": lambda: o.contract_query(_b_sql("silver"), "b_sess", "fct_sessions"),
     **{f"changed_{m}": sql_mart_b(m) for m in GOLD},
     "changed_list_price": lambda: o.query(_b_sql("silver"), "SELECT product_id, max(gross_revenue_usd) AS list_price_usd FROM b_sales GROUP BY product_id"),
+    "weekly_active_users": sql_weekly_active_users,
     "colocated_fct_sales": sql_colocated_fct_sales,
     "colocated_fct_sessions": sql_colocated_fct_sessions,
     "stream_channel_days": sql_stream_channel_days,
