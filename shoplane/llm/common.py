@@ -9,10 +9,11 @@ import re
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.staging import stage
 
-__all__ = ["stage", "table", "id_remainder", "fresh", "release_memory", "small_batches", "ASCII_SPACE"]
+__all__ = ["stage", "table", "id_remainder", "id_cuts", "fresh", "release_memory", "small_batches", "ASCII_SPACE"]
 
 #: the white space of all contracts here: space, tab, line feed, vertical tab, form feed, return
 ASCII_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
@@ -48,6 +49,20 @@ def id_remainder(doc_id: Column | str, modulus: int) -> Column:
     return F.pmod(F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+def id_cuts(docs: DataFrame, id_col: str, n: int) -> list:
+    """At most n - 1 different ids, ascending, that cut the ids to n parts of about equal size.
+
+    From approximate percentiles, or for texts, which have none, from a sample of ``100 * n`` rows by hash.
+    """
+    if n <= 1:
+        return []
+    if not isinstance(docs.schema[id_col].dataType, (T.StringType, T.BinaryType)):
+        return sorted(set(docs.select(F.percentile_approx(id_col, [i / n for i in range(1, n)], 10_000)).first()[0] or []))
+    some = docs.select(F.col(id_col).alias("id")).filter(F.col("id").isNotNull()).orderBy(F.xxhash64("id"), "id").limit(100 * n)
+    ids = [r["id"] for r in some.orderBy("id").collect()]
+    return sorted({ids[len(ids) * i // n] for i in range(1, n)}) if ids else []
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names, like the given ones, that ``df`` does not have yet (in any case)."""
     taken = {c.lower() for c in df.columns}

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import id_cuts
 from .line_dedup import LOWER, UPPER
 
 BINS = 256
@@ -125,8 +126,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     spark = docs.sparkSession
     n = min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
     docs = docs.select(F.col(id_col).alias("id"), _filled(F.col(text_col)).alias("text"))
-    cuts = docs.select(F.percentile_approx("id", [i / n for i in range(1, n)], 10_000)).first()[0] if n > 1 else None
-    bucket = _bucket(sorted(set(cuts or [])), F.col("id")).cast("int").alias("bucket")
+    bucket = _bucket(id_cuts(docs, "id", n), F.col("id")).cast("int").alias("bucket")
     tops = docs.select("id", bucket).groupBy("bucket").agg(F.max("id").alias("id")).collect()       # at most n rows
     below = dict(zip(order := sorted((r["bucket"] for r in tops), reverse=True), order[1:] + order[:1]))
     guest_of = {low: b for b, low in below.items()}

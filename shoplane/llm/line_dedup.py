@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, fresh, stage
+from .common import ASCII_SPACE, fresh, id_cuts, stage
 
 MIN_CHARS = 10
 BATCHES = 4
@@ -94,8 +94,8 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per text with dropped lines: id, text_hash, places (from 0) of the lines to drop."""
     spark = docs.sparkSession
-    cuts = docs.select(F.percentile_approx(id_col, [i / batches for i in range(1, batches)], 10_000)).first()[0] or []
-    batch = sum(((F.coalesce(F.col("doc.id") > F.lit(x), F.lit(True))).cast("int") for x in sorted(set(cuts))), F.lit(0))
+    cuts = id_cuts(docs, id_col, batches)
+    batch = sum(((F.coalesce(F.col("doc.id") > F.lit(x), F.lit(True))).cast("int") for x in cuts), F.lit(0))
     lines = (docs.select(_order(F.col(id_col)).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("text_hash"),
                          F.posexplode(split_lines(F.col(text_col))).alias("place", "line"))
              .select("doc", "text_hash", "place", line_key(F.col("line")).alias("key")).filter(F.length("key") >= min_chars)
@@ -103,7 +103,7 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, min_chars: int = MIN_
                      batch.alias("batch")))
     lines = stage(lines, "lines")
     runs, found = LineRuns(spark, fanout), None
-    for b in range(len(set(cuts)) + 1):
+    for b in range(len(cuts) + 1):
         part = runs.add(lines.filter(F.col("batch") == b)).select("doc", "text_hash", "place")
         found = part if found is None else found.unionByName(part)
     return found.groupBy("doc", "text_hash").agg(F.collect_set("place").alias("places")).select(

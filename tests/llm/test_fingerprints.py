@@ -77,3 +77,12 @@ def test_sparse_ids_and_string_ids(spark):
     got = {r["doc_id"]: r["next_text"] for r in fp.with_next(df).collect()}
     order = sorted(ids, reverse=True)
     assert got == {a: f"text {b}" for a, b in zip(order, order[1:] + order[:1])}
+
+
+def test_text_ids(spark):
+    ids = ["doc-a", "doc-b", "", "Z", "é", "日本", "\U0001f600", *(f"d{k}" for k in range(60))]
+    df = spark.createDataFrame([(i, f"text {i}") for i in ids] + [(None, "none")], "doc_id string, text string").repartition(4)
+    got = {r["doc_id"]: r["next_text"] for r in fp.with_next(df).collect()}
+    order = sorted(ids, reverse=True)
+    assert got == {a: f"text {b}" for a, b in zip(order, order[1:])} | {order[-1]: "none", None: f"text {order[0]}"}
+    assert fp.compare_edited(df).count() == len(ids) + 1

@@ -80,3 +80,15 @@ def test_matches_sql(make_docs, sf_rows):
     want = sorted(con.execute(ld.ORACLE_SQL).fetchall())
     got = [(d, n, k, sha256(t.encode()).hexdigest()) for d, n, k, t in run(make_docs(sf_rows))]
     assert sorted(got) == want
+
+
+def test_text_ids(spark):
+    rng = random.Random(8)
+    ids = [f"{rng.choice('abé日')}{k}" for k in range(80)]
+    docs = [(i, "\n".join(rng.choice(["a line that many have", "another common line", f"own line of {k} here", "x"]) for _ in range(5))) for k, i in enumerate(ids)]
+    place = {i: k for k, i in enumerate(sorted(ids))}
+    df = spark.createDataFrame(docs, "doc_id string, text string")
+    numbered = spark.createDataFrame([(place[i], t) for i, t in docs], "doc_id long, text string")
+    got = {place[r["doc_id"]]: r["kept_text"] for r in ld.deduplicate(df).collect()}
+    assert got == {r["doc_id"]: r["kept_text"] for r in ld.deduplicate(numbered).collect()}
+    assert any(r["n_dropped"] for r in ld.deduplicate(df).collect())
