@@ -3,11 +3,13 @@
 A text's features are the character 1- to 4-grams of its lower-cased words, with word borders, hashed to
 ``BUCKETS`` embeddings. The mean embedding goes through a linear layer and a softmax. Both layers are
 trained together by stochastic gradient descent in numpy on a bounded sample, held to whole texts and to
-short spans of them. A temperature and a rejection threshold are set on a part of the sample that training
-does not see. The threshold lies between the least probable right prediction of a whole text there and the
-predictions below it that should not be accepted: wrong ones, and those of texts whose language a model
-was not trained on (the languages are left out in ``FOLDS`` turns). So no text of that part with a right
-prediction is rejected.
+short spans of them. A temperature and two rejection thresholds are set on a part of the sample that training
+does not see. A softmax gives a foreign text to some language with a high probability, so a second score
+tells how much of a text is known: the share of its n-grams that training saw in the language predicted.
+Each threshold lies between the lowest score of a right prediction of a whole text there and the largest
+score below it that should not be accepted: of wrong predictions, and of texts whose language a model was not
+trained on (the languages are left out in ``FOLDS`` turns). So no text of that part with a right prediction
+is rejected.
 
 For prediction the two linear layers are multiplied to one table (buckets x languages), so a text costs
 one look-up per n-gram. Its size is fixed, and it goes to the workers as a Spark broadcast.
@@ -89,6 +91,8 @@ class Model:
     table: np.ndarray       # buckets x languages
     temperature: float
     threshold: float
+    seen: np.ndarray | None = None      # buckets x languages: whether training saw an n-gram of it
+    known: float = 0.0                  # least share of n-grams seen
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, its probability, and whether it is accepted."""
@@ -96,14 +100,17 @@ class Model:
             return UNDETERMINED, 0.0, False
         if not self.languages:
             return UNDETERMINED, 0.0, True
-        total, n = np.zeros(self.table.shape[1]), 0
+        total, seen, n = np.zeros(self.table.shape[1]), np.zeros(self.table.shape[1]), 0
         for part in pieces(text):
             ids = features(part)
             total += self.table[ids].sum(axis=0)
+            if self.seen is not None:
+                seen += self.seen[ids].sum(axis=0)
             n += len(ids)
         p = _softmax(total / n * self.temperature)
         k = int(p.argmax())
-        return self.languages[k], float(p[k]), bool(p[k] >= self.threshold)
+        accepted = p[k] >= self.threshold and (self.seen is None or seen[k] / n >= self.known)
+        return self.languages[k], float(p[k]), bool(accepted)
 
 
 def _softmax(z: np.ndarray) -> np.ndarray:
@@ -131,8 +138,23 @@ def _learn(fit: list[tuple], n_languages: int, rng: np.random.Generator, epochs:
     return (embed @ out).astype(np.float32)
 
 
+def _seen(fit: list[tuple], n_languages: int) -> np.ndarray:
+    """Whether n-grams of a bucket occur in the items of a language."""
+    out = np.zeros((BUCKETS, n_languages), bool)
+    for ids, _, y in fit:
+        out[ids, y] = True
+    return out
+
+
+def _scores(items: list[tuple], table: np.ndarray, seen: np.ndarray, temperature: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Predictions for items, their probabilities, and the shares of n-grams seen in the predicted language."""
+    p = _softmax(np.stack([share @ table[ids] for ids, share, _ in items]) * temperature)
+    best = p.argmax(axis=1)
+    return best, p.max(axis=1), np.array([share @ seen[ids, k] for (ids, share, _), k in zip(items, best)])
+
+
 def _foreign(fit: list[tuple], held: list[tuple], n_languages: int, temperature: float, seed: int, epochs: int, rate: float) -> np.ndarray:
-    """Probabilities of the predictions for held-out texts by models that do not have their language."""
+    """(probability, share seen) of the predictions for held-out texts by models that do not have their language."""
     found = []
     for fold in range(min(FOLDS, n_languages)):
         kept = [k for k in range(n_languages) if k % FOLDS != fold]
@@ -140,17 +162,16 @@ def _foreign(fit: list[tuple], held: list[tuple], n_languages: int, temperature:
         part = [(ids, share, kept.index(y)) for ids, share, y in fit if y % FOLDS != fold]
         if len(kept) > 1 and texts and part:        # one language alone always has all the probability
             table = _learn(part, len(kept), np.random.default_rng(seed + 1 + fold), epochs, rate)
-            found.append(_softmax(np.stack([share @ table[ids] for ids, share, _ in texts]) * temperature).max(axis=1))
-    return np.concatenate(found) if found else np.zeros(0)
+            found.append(np.stack(_scores(texts, table, _seen(part, len(kept)), temperature)[1:], 1))
+    return np.concatenate(found) if found else np.zeros((0, 2))
 
 
-def threshold_between(right: np.ndarray, bad: np.ndarray) -> float:
-    """Below all probabilities in ``right``, half-way to the largest of ``bad`` that is less than them."""
+def threshold_between(right: np.ndarray, bad: np.ndarray, most: float = 0.5) -> float:
+    """Below all scores in ``right``, half-way to the largest of ``bad`` that is less than them; at most ``most``."""
     if not len(right):
         return 0.0
     low = right.min()
-    # never so high that a prediction with most of the probability is rejected
-    return float(min((low + max(bad[bad < low], default=0.0)) / 2, 0.5))
+    return float(min((low + max(bad[bad < low], default=0.0)) / 2, most))
 
 
 def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 3, rate: float = 8.0) -> Model:
@@ -170,17 +191,20 @@ def train(rows: list[tuple[str, str]], seed: int = 7, epochs: int = 3, rate: flo
             (held if i % 5 == 4 and len(rows) > 20 else fit).append((ids, (n / n.sum()).astype(np.float32), index[lang]))
     held = held or fit
     table = _learn(fit, len(languages), rng, epochs, rate)
+    seen = _seen(fit, len(languages))
     logits = np.stack([share @ table[ids] for ids, share, _ in held])
     truth = np.array([y for *_, y in held])
     at = np.arange(len(truth))
     temperature = min((0.25, 0.5, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0),
                       key=lambda t: -np.log(_softmax(logits * t)[at, truth] + 1e-9).mean())
-    p = _softmax(logits * temperature)
-    right = p.argmax(axis=1) == truth
+    best, p, known = _scores(held, table, seen, temperature)
+    right = best == truth
     whole = at % 2 == 0                             # a text comes before its span
     foreign = _foreign(fit, held, len(languages), temperature, seed, epochs, rate)
-    threshold = threshold_between(p[right & whole].max(axis=1), np.concatenate([p[~right].max(axis=1), foreign]))
-    return Model(languages, table, temperature, threshold)
+    # never so high that a prediction with most of the probability is rejected for that
+    threshold = threshold_between(p[right & whole], np.concatenate([p[~right], foreign[:, 0]]))
+    return Model(languages, table, temperature, threshold, seen,
+                 threshold_between(known[right & whole], np.concatenate([known[~right], foreign[:, 1]]), 1.0))
 
 
 def sample(docs: DataFrame, allowed: Column, max_rows: int = MAX_TRAIN, text_col: str = "text",

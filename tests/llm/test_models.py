@@ -148,3 +148,19 @@ def test_language_stage_drops_no_right_held_out_rows(tables):
     dropped = sum(not r["accepted"] for r in right)
     print(f"right held-out rows dropped: {dropped} of {len(right)}")
     assert dropped == 0
+
+
+def test_texts_of_unknown_languages_are_rejected(tables):
+    """Whole texts: at most a tenth of each language that a model was not trained on is accepted, and of the right predictions next to none rejected."""
+    docs, _ = tables
+    rows = [(r["doc_id"], r["text"], r["lang"]) for r in docs.filter("lang IS NOT NULL AND length(text) > 0").orderBy(F.xxhash64("doc_id")).collect()]
+    learned = [(t, lang) for i, t, lang in rows if not held_out(i) and langid.has_letter(t)]
+    held = [(t, lang) for i, t, lang in rows if held_out(i) and langid.has_letter(t)]
+    model = langid.train(learned)
+    found = [(model.predict(t), lang) for t, lang in held]
+    right = [p for p, lang in found if p[0] == lang]
+    assert len(right) >= 0.98 * len(held) and sum(not p[2] for p in right) <= 0.01 * len(right)
+    for out in model.languages:
+        others = langid.train([x for x in learned if x[1] != out])
+        foreign = [others.predict(t)[2] for t, lang in held if lang == out]
+        assert len(foreign) >= 15 and sum(foreign) <= 0.1 * len(foreign), out
