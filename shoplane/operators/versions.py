@@ -118,7 +118,8 @@ class VersionedTable:
         return self._commit(rows, lambda: {v: f for v, f in self.folders(now).items() if v not in gone})
 
     def _commit(self, rows: DataFrame, others: Callable[[], dict[dt.date | None, str]]) -> int:
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        # a folder of its own: dropping a database deletes its folder, which must not be that of the tables
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION {_quoted(self.root.rpartition('/')[0] + '/_db')}")
         now = self.version() or 0
         for dead in (v for v in self.versions() if v > now):       # of a run that died before its switch
             self.spark.sql(f"DROP TABLE {self._version_name(dead)}")

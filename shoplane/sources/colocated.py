@@ -72,7 +72,7 @@ class Colocated:
 
     def write(self, src) -> None:
         """Copy the sources; what was there is replaced."""
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}/_db'")
         for key, names in FAMILIES.items():
             tables = {t: self._typed(src, t, key) for t in names if (t if t != "session_orders" else "orders") in src}
             hot = self.hot_keys(key, list(tables.values())).withColumnRenamed(key, "_hot")

@@ -22,6 +22,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture()
+def few_partitions(spark):
+    """For tests of many small jobs, where most of the time would go to empty tasks."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture()
 def tmp(tmp_path):
     return str(tmp_path)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 
+import pytest
+
 from shoplane.__main__ import main
 from shoplane.plans import pipeline
 from shoplane.plans.warehouse import Warehouse
@@ -12,6 +14,7 @@ from shoplane.sources.lake import LakeSources, ingest_frames
 from shoplane.streaming.changes import start_changes
 from test_propagate import TABLES, full, rows_of
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
 SF = "/root/testdata/sf0.001"
 
 

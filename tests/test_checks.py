@@ -18,6 +18,7 @@ from shoplane.sources.freshness import freshness, newest, newest_month
 from shoplane.sources.lake import LakeSources, ingest_frames
 from shoplane.streaming import daily
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
 SF = "/root/testdata/sf0.001"
 
 

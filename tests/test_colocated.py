@@ -13,6 +13,7 @@ from shoplane.sources import fixtures
 from shoplane.sources.colocated import Colocated
 from test_propagate import rows_of
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
 SF = "/root/testdata/sf0.001"
 
 

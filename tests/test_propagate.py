@@ -18,20 +18,12 @@ from shoplane.plans.warehouse import LIST_PRICE, Warehouse
 from shoplane.schemas import SOURCE_SCHEMAS
 from shoplane.sources import fixtures
 
+pytestmark = pytest.mark.usefixtures("few_partitions")
 D = dt.date
 SF = "/root/testdata/sf0.001"
 TABLES = (*pipeline.SILVER_ORDER, *pipeline.GOLD_ORDER)
 
 
-@pytest.fixture(autouse=True)
-def few_partitions(spark):
-    """The tables here are tiny: most of the time would go to empty tasks."""
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", "2")
-    yield
-    spark.conf.set("spark.sql.shuffle.partitions", before)
-
-
 @pytest.fixture()
 def warehouse(spark, tmp):
     w = Warehouse(spark, f"{tmp}/wh", prefix=f"p{uuid.uuid4().hex[:8]}_")
