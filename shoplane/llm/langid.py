@@ -9,7 +9,7 @@ tells how much of a text is known: the share of its n-grams that training saw in
 Each threshold lies between the lowest score of a right prediction of a whole text there and the largest
 score below it that should not be accepted: of wrong predictions, and of texts whose language a model was not
 trained on (the languages are left out in ``FOLDS`` turns). So no text of that part with a right prediction
-is rejected.
+is rejected. For short texts, whose shares scatter, the second threshold is lower.
 
 For prediction the two linear layers are multiplied to one table (buckets x languages), so a text costs
 one look-up per n-gram. Its size is fixed, and it goes to the workers as a Spark broadcast.
@@ -109,7 +109,9 @@ class Model:
             n += len(ids)
         p = _softmax(total / n * self.temperature)
         k = int(p.argmax())
-        accepted = p[k] >= self.threshold and (self.seen is None or seen[k] / n >= self.known)
+        # the share of a short text scatters: three standard deviations less will do
+        least = self.known - 3 * (self.known * (1 - self.known) / n) ** 0.5
+        accepted = p[k] >= self.threshold and (self.seen is None or seen[k] / n >= least)
         return self.languages[k], float(p[k]), bool(accepted)
 
 
