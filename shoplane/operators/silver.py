@@ -7,10 +7,10 @@ are cast to the contract types first, as the source layer is schema-on-read.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import flag, product_page_url, seconds_between
+from ..functions import count_if, flag, product_page_url, seconds_between
 from ..schemas import conform
 from .joins import broadcast_bounded
 from .sequence import number_within_groups
@@ -36,6 +36,31 @@ def product_pages(dim: DataFrame) -> DataFrame:
                       product_page_url("product_name").alias("product_page_url"))
 
 
+def products_by_page(dim: DataFrame) -> DataFrame:
+    """(product_id, product_page_url, times, several): each product's pages once, with its number of rows there.
+
+    ``several``: the product is on more than one page, or has no id. Any other product is seen exactly when its
+    page is, so products that share a page need not be told apart to count them.
+    """
+    pages = (product_pages(dim).filter(F.col("product_page_url").isNotNull())
+             .groupBy("product_id", "product_page_url").agg(F.count(F.lit(1)).alias("times")))
+    own = (pages.groupBy("product_id").agg((F.min("product_page_url") != F.max("product_page_url")).alias("several"))
+           .select(F.col("product_id").alias("_id"), (F.col("several") | F.col("_id").isNull()).alias("several")))
+    return pages.join(own, F.col("product_id").eqNullSafe(F.col("_id"))).drop("_id")
+
+
+def page_counts(dim: DataFrame) -> DataFrame:
+    """What a view of a page counts, in rows as few as pages: (product_page_url, times, products, product_id).
+
+    One row per page has all its product rows (``times``) and its number of products with no other page
+    (``products``). Products with several pages follow, a row each with the product_id, to be counted distinct.
+    """
+    pages = products_by_page(dim)
+    counts = pages.groupBy("product_page_url").agg(F.sum("times").alias("times"), count_if(~F.col("several")).alias("products"))
+    apart = pages.filter(F.col("several") & F.col("product_id").isNotNull()).select("product_page_url", "product_id")
+    return broadcast_bounded(counts.unionByName(apart, allowMissingColumns=True))
+
+
 # ------------------------------------------------------------------ fct_sales
 def typed_orders(src) -> DataFrame:
     o = src["orders"]
@@ -157,19 +182,26 @@ def pageviews_agg(src) -> DataFrame:
                  F.max_by("pageview_url", last_key).alias("exit_page_url")))
 
 
-def product_pageviews(src, dim: DataFrame | None = None) -> DataFrame:
+def product_pageviews(src, dim: DataFrame | None = None, pages: DataFrame | None = None) -> DataFrame:
     """Pageviews whose URL is a product page (a pageview counts once per product
-    sharing that slug). The product side is broadcast only under a size bound."""
-    dim = dim if dim is not None else dim_products(src)
-    pages = broadcast_bounded(product_pages(dim).select("product_id", "product_page_url"))
+    sharing that slug). The product side is broadcast only under a size bound.
+    ``pages``: other rows than one per product to join, by product_page_url."""
+    if pages is None:
+        dim = dim if dim is not None else dim_products(src)
+        pages = broadcast_bounded(product_pages(dim).select("product_id", "product_page_url"))
     return typed_pageviews(src).join(pages, F.col("pageview_url") == F.col("product_page_url"))
 
 
 def product_pageviews_agg(src, dim: DataFrame | None = None) -> DataFrame:
-    return (product_pageviews(src, dim)
-            .groupBy("website_session_id")
-            .agg(F.count(F.lit(1)).alias("product_pageviews_count"),
-                 F.count_distinct("product_id").alias("viewed_products_count")))
+    """Per session: pageviews of products and different products viewed, by way of (session, page): a page that
+    very many products share stays one row."""
+    dim = dim if dim is not None else dim_products(src)
+    by_page = (product_pageviews(src, dim, page_counts(dim))
+               .groupBy("website_session_id", "product_page_url", "product_id")
+               .agg(F.sum("times").alias("views"), F.max("products").alias("products")))
+    return (by_page.groupBy("website_session_id")
+            .agg(F.coalesce(F.sum("views"), F.lit(0)).alias("product_pageviews_count"),
+                 (F.coalesce(F.sum("products"), F.lit(0)) + F.count_distinct("product_id")).alias("viewed_products_count")))
 
 
 def session_pageview_rollup(src, dim: DataFrame | None = None) -> DataFrame:
@@ -177,8 +209,8 @@ def session_pageview_rollup(src, dim: DataFrame | None = None) -> DataFrame:
 
     Pageviews are first rolled up to (session, URL), which map tasks pre-combine, so a home page
     or a session with very many hits is a few rows before any join. The product pages then join the
-    rolled-up rows; a URL that several products share becomes one row per product there, of which the
-    first carries the URL's pageviews.
+    rolled-up rows; a URL that several products share stays one row there, with their number. Only
+    products that are on other pages too have rows of their own, without the URL's pageviews.
     """
     dim = dim if dim is not None else dim_products(src)
     ts = F.col("pageview_created_at_utc")
@@ -186,20 +218,15 @@ def session_pageview_rollup(src, dim: DataFrame | None = None) -> DataFrame:
     by_url = (typed_pageviews(src).groupBy("website_session_id", "pageview_url")
               .agg(F.count(F.lit(1)).alias("hits"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"),
                    F.min(first_key).alias("first_key"), F.max(last_key).alias("last_key")))
-    pages = (product_pages(dim).filter(F.col("product_page_url").isNotNull())
-             .groupBy("product_page_url", "product_id").agg(F.count(F.lit(1)).alias("times")))
-    place = F.row_number().over(Window.partitionBy("product_page_url").orderBy("product_id"))
-    pages = broadcast_bounded(pages.withColumn("place", place))
-    j = by_url.join(pages, F.col("pageview_url") == F.col("product_page_url"), "left")
-    once = F.coalesce(F.col("place"), F.lit(1)) == 1
+    j = by_url.join(page_counts(dim), F.col("pageview_url") == F.col("product_page_url"), "left")
     return (j.groupBy("website_session_id")
-            .agg(F.sum(F.when(once, F.col("hits"))).alias("pageviews_count"),
+            .agg(F.sum(F.when(F.col("product_id").isNull(), F.col("hits"))).alias("pageviews_count"),
                  F.min("first_ts").alias("first_pageview_at_utc"),
                  F.max("last_ts").alias("last_pageview_at_utc"),
                  F.min_by("pageview_url", "first_key").alias("landing_page_url"),
                  F.max_by("pageview_url", "last_key").alias("exit_page_url"),
                  F.coalesce(F.sum(F.col("hits") * F.col("times")), F.lit(0)).alias("product_pageviews_count"),
-                 F.count_distinct("product_id").alias("viewed_products_count")))
+                 (F.coalesce(F.sum("products"), F.lit(0)) + F.count_distinct("product_id")).alias("viewed_products_count")))
 
 
 def orders_by_session(src) -> DataFrame:
@@ -252,7 +279,7 @@ def fct_sessions(src, dim: DataFrame | None = None) -> DataFrame:
         "fct_sessions")
 
 
-__all__ = ["dim_products", "product_pages", "fct_sales", "refunds_by_item", "typed_orders",
+__all__ = ["dim_products", "product_pages", "products_by_page", "page_counts", "fct_sales", "refunds_by_item", "typed_orders",
            "typed_order_items", "fct_sessions", "pageviews_agg", "pageviews_ranked",
            "product_pageviews", "product_pageviews_agg", "session_pageview_rollup",
            "orders_by_session", "typed_sessions",

@@ -113,3 +113,30 @@ def test_dim_products_trims(make_sources):
     src = make_sources(products=[{"product_id": 3, "created_at": T0, "product_name": "  x y  "}])
     r = silver.dim_products(src).collect()[0]
     assert (r.product_id, r.product_name, str(r.created_date)) == (3, "x y", "2024-01-05")
+
+
+def _shared_page(make_sources):
+    # a page of three products (one row twice), of which one has another page too, and of one without id
+    named = [(1, "Bear"), (2, "bear!"), (2, "Bear"), (3, "Bear"), (3, "Cat"), (None, "Bear"), (None, "Dog"), (4, "Elk")]
+    return make_sources(
+        products=[{"product_id": p, "created_at": T0, "product_name": n} for p, n in named],
+        website_pageviews=[_pv(1, 1, "2024-01-05 09:00:00", "/bear"), _pv(2, 1, "2024-01-05 09:01:00", "/bear"),
+                           _pv(3, 1, "2024-01-05 09:02:00", "/cat"), _pv(4, 2, "2024-01-05 09:00:00", "/dog"),
+                           _pv(5, 3, "2024-01-05 09:00:00", "/home"), _pv(6, None, "2024-01-05 09:00:00", "/elk")])
+
+
+def test_products_of_a_shared_page_are_counted_apart(make_sources):
+    src = _shared_page(make_sources)
+    want = {1: (11, 3), 2: (1, 0), None: (1, 1)}        # 2 views of 5 rows, 1 of 1
+    got = {r[0]: (r[1], r[2]) for r in silver.product_pageviews_agg(src).collect()}
+    assert got == want
+    rollup = {r.website_session_id: r for r in silver.session_pageview_rollup(src).collect()}
+    assert {k: (r.product_pageviews_count, r.viewed_products_count) for k, r in rollup.items()} == {**want, 3: (0, 0)}
+    assert {k: r.pageviews_count for k, r in rollup.items()} == {1: 3, 2: 1, 3: 1, None: 1}
+
+
+def test_page_of_many_products_is_one_row(make_sources):
+    named = [(p, "Bear") for p in range(500)] + [(7, "Cat"), (None, "Bear")]
+    src = make_sources(products=[{"product_id": p, "created_at": T0, "product_name": n} for p, n in named])
+    rows = {(r.product_page_url, r.product_id): (r.times, r.products) for r in silver.page_counts(silver.dim_products(src)).collect()}
+    assert rows == {("/bear", None): (501, 499), ("/bear", 7): (None, None), ("/cat", None): (1, 0), ("/cat", 7): (None, None)}
