@@ -21,7 +21,7 @@ from ..schemas import conform
 from .incremental import partition_predicate
 from .joins import broadcast_bounded
 from .staging import stage
-from .silver import product_pages
+from .silver import product_pages, products_by_page
 
 
 def _since(df: DataFrame, col: str, cutoff: dt.date | None) -> DataFrame:
@@ -50,9 +50,9 @@ def _z(c: str, zero=0):
 
 # ------------------------------------------------------------------ product daily sales
 def product_pageviews_dated(pageviews: DataFrame, dim: DataFrame,
-                            cutoff: dt.date | None = None) -> DataFrame:
-    """(metric_date, product_id, website_session_id) per product pageview."""
-    pages = broadcast_bounded(product_pages(dim).select(
+                            cutoff: dt.date | None = None, pages: DataFrame | None = None) -> DataFrame:
+    """(metric_date, product_id, website_session_id) per product pageview; ``pages``: other pages than the dimension's."""
+    pages = broadcast_bounded((product_pages(dim) if pages is None else pages).select(
         F.col("product_id").cast("long").alias("product_id"), "product_page_url"))
     pv = pageviews.select(*[c for c in ("year", "month") if c in pageviews.columns],
                           to_date("created_at").alias("metric_date"),
@@ -91,15 +91,48 @@ def daily_product_traffic(touch: DataFrame, sessions: DataFrame) -> DataFrame:
                  F.count_distinct("user_id").alias("product_viewers_count")))
 
 
+def page_products(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages (product_id, product_page_url) and the products (page_product, product_id, times) seen on them.
+
+    Products that share their only page have the same touches, so the first of them, ``page_product``, stands for all:
+    ``times`` is how often a view of it counts for ``product_id``. Products with several pages, or without id
+    (which only give days of zeros), stand for themselves.
+    """
+    rows = stage(products_by_page(dim).withColumn("product_id", F.col("product_id").cast("long")), "product-pages")
+    alone, apart = rows.filter("NOT several"), rows.filter("several")
+    first = stage(alone.groupBy("product_page_url").agg(F.min("product_id").alias("page_product")), "first-products")
+    again = apart.withColumn("_", F.explode(F.array_repeat(F.lit(1), F.when(F.col("product_id").isNull(), 1).otherwise(F.col("times")).cast("int"))))
+    pages = first.select(F.col("page_product").alias("product_id"), "product_page_url").unionByName(again.select("product_id", "product_page_url"))
+    products = (alone.join(broadcast_bounded(first), "product_page_url").select("page_product", "product_id", "times")
+                .unionByName(apart.select(F.col("product_id").alias("page_product"), "product_id", F.lit(1).cast("long").alias("times")).distinct()))
+    return pages, products
+
+
+def traffic_of_products(traffic: DataFrame, products: DataFrame) -> DataFrame:
+    """Daily traffic of every product, from that of the products that stand for them (``page_products``)."""
+    j = traffic.withColumnRenamed("product_id", "_page_product").join(
+        broadcast_bounded(products), F.col("_page_product").eqNullSafe(F.col("page_product")))
+    return j.select("metric_date", "product_id", (F.col("product_pageviews_count") * F.col("times")).alias("product_pageviews_count"),
+                    "product_sessions_count", "product_viewers_count")
+
+
 def session_product_touch(ppv: DataFrame) -> DataFrame:
     return ppv.select("metric_date", "product_id", "website_session_id").distinct()
 
 
-def product_conversion(touch: DataFrame, sales: DataFrame) -> DataFrame:
-    """Sessions that viewed a product and bought it the same calendar day."""
+def product_conversion(touch: DataFrame, sales: DataFrame, products: DataFrame | None = None) -> DataFrame:
+    """Sessions that viewed a product and bought it the same calendar day.
+
+    ``products``: with touches of products that stand for others, those (``page_products``).
+    """
     s = sales.select(F.col("order_date").alias("metric_date"), "product_id",
                      "website_session_id", "order_id")
-    return (touch.join(s, ["website_session_id", "product_id", "metric_date"])
+    seen = "product_id"
+    if products is not None:
+        others = products.filter("page_product != product_id").select("product_id", "page_product")
+        s = s.join(broadcast_bounded(others), "product_id", "left").withColumn("page_product", F.coalesce("page_product", "product_id"))
+        touch, seen = touch.withColumnRenamed("product_id", "page_product"), "page_product"
+    return (touch.join(s, ["website_session_id", seen, "metric_date"])
             .groupBy("metric_date", "product_id")
             .agg(F.count_distinct("website_session_id").alias("converted_sessions_count"),
                  F.count_distinct("order_id").alias("converted_orders_count"),
@@ -175,18 +208,21 @@ def mart_product_daily_sales(pageviews: DataFrame, dim: DataFrame, sessions: Dat
     silver facts. All partial results are keyed (metric_date, product_id) and
     brought together by one union and grouping. A NULL date or product yields a
     row of zeros, as joining the parts with '=' does in the source model.
+
+    Touches are kept per page where products share one; products come apart in the daily counts.
     """
+    pages, products = page_products(dim)
     # one pass over the pageviews; traffic and conversion read the staged rollup
-    touch = stage(product_touch_counts(product_pageviews_dated(pageviews, dim, cutoff)),
+    touch = stage(product_touch_counts(product_pageviews_dated(pageviews, dim, cutoff, pages)),
                   "product-touch")
     # only sessions with a touch matter: in an incremental run these are the window's, not all history
     touched = broadcast_bounded(touch.select("website_session_id").distinct())
-    traffic = daily_product_traffic(touch, sessions.join(touched, "website_session_id", "left_semi"))
+    traffic = traffic_of_products(daily_product_traffic(touch, sessions.join(touched, "website_session_id", "left_semi")), products)
     # touches are dated >= cutoff and the join needs equal dates, so the sales side
     # can be cut the same way (stated explicitly: the staged touch table carries no
     # constraint Catalyst could infer it from)
     conv = product_conversion(touch.select("metric_date", "product_id", "website_session_id"),
-                              _since(sales, "order_date", cutoff))
+                              _since(sales, "order_date", cutoff), products)
     key = ["metric_date", "product_id"]
     j = _one_row_per(key, traffic, conv, product_day_users(sales, cutoff), product_day_orders(sales, cutoff))
     # parts meet by "=", which a row without date or product does not

@@ -150,3 +150,40 @@ def test_traffic_with_duplicated_session_rows(make_sources):
     ppv = gold.product_pageviews_dated(t["website_pageviews"], t["dim_products"])
     r = gold.daily_product_traffic(gold.product_touch_counts(ppv), t["fct_sessions"]).first()
     assert (r.product_pageviews_count, r.product_sessions_count, r.product_viewers_count) == (4, 1, 2)
+
+
+def _shared_pages():
+    """Four products on one page (one of them twice, one on another page too), one without id, one alone."""
+    at = ts("2024-01-01 00:00:00")
+    named = [(1, "Bear"), (2, "bear!"), (2, "Bear"), (3, "Bear"), (3, "Cat"), (None, "Bear"), (4, "Dog"), (5, "BEAR"), (5, None)]
+    return [{"product_id": p, "created_at": at, "product_name": n} for p, n in named]
+
+
+def test_products_of_a_shared_page(make_sources):
+    src = make_sources(
+        products=_shared_pages(),
+        website_sessions=[_session(1, 10, "2024-01-05 08:00:00"), _session(2, 11, "2024-01-05 09:00:00")],
+        website_pageviews=[_pv(1, 1, "2024-01-05 08:00:00", "/bear"), _pv(2, 1, "2024-01-05 08:01:00", "/bear"),
+                           _pv(3, 1, "2024-01-05 08:02:00", "/cat"), _pv(4, 2, "2024-01-05 09:00:00", "/dog"),
+                           _pv(5, 2, "2024-01-05 09:01:00", "/cat")],
+        orders=[_order(100, 1, 10, "2024-01-05 08:10:00"), _order(200, 2, 11, "2024-01-05 09:10:00")],
+        order_items=[_item(1000, 100, 2, 5.0, "2024-01-05 08:10:00"), _item(1001, 100, 5, 5.0, "2024-01-05 08:10:00"),
+                     _item(2000, 200, 3, 5.0, "2024-01-05 09:10:00"), _item(2001, 200, 1, 5.0, "2024-01-05 09:10:00")])
+    rows = [r for r in gold.MART_BUILDERS["mart_product_daily_sales"](_tables(src)).collect() if r.product_id is not None]
+    names = ("product_pageviews_count", "product_sessions_count", "product_viewers_count", "converted_sessions_count", "converted_items_count")
+    got = {r.product_id: tuple(r[n] for n in names) for r in rows}
+    # product 3 has two pages: its sessions are not the sum of theirs
+    assert got == {1: (2, 1, 1, 0, 0), 2: (4, 1, 1, 1, 1), 3: (4, 2, 2, 1, 1), 4: (1, 1, 1, 0, 0), 5: (2, 1, 1, 1, 1)}
+
+
+def test_touches_do_not_grow_with_products_of_a_page(spark, make_sources, monkeypatch):
+    src = make_sources(
+        products=[{"product_id": p, "created_at": ts("2024-01-01 00:00:00"), "product_name": "Bear"} for p in range(200)],
+        website_sessions=[_session(s, s, "2024-01-05 08:00:00") for s in range(50)],
+        website_pageviews=[_pv(s, s, "2024-01-05 08:00:00", "/bear") for s in range(50)])
+    staged = {}
+    stage = gold.stage
+    monkeypatch.setattr(gold, "stage", lambda df, name: staged.setdefault(name, stage(df, name)))
+    mart = gold.MART_BUILDERS["mart_product_daily_sales"](_tables(src))
+    assert staged["product-touch"].count() == 50                # were 50 * 200
+    assert mart.filter("product_sessions_count = 50 AND product_viewers_count = 50").count() == 200
