@@ -21,7 +21,7 @@ from ..operators import bitmaps, gold, quality, silver
 from ..operators.commit import replace_folder
 from ..operators.staging import stage
 from ..schemas import CONTRACTS, GRAIN_CHECKED, NOT_NULL, PARTITION_DATE, PARTITIONED_SOURCES, RELATIONSHIPS, RULES, UNIQUE
-from ..session import scratch_path
+from ..session import copartitioned_session, scratch_path
 from ..sources import fixtures, freshness
 from ..sources.colocated import Colocated
 from ..sources.lake import LakeSources, ingest_csv, with_partition_columns
@@ -54,7 +54,8 @@ def rounded(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ Spark side
 def _a(spark, sf):
-    return fixtures.set_a(spark, sf)
+    """Set A, whose items and refunds lie together by order: the sales fact joins them there."""
+    return fixtures.set_a(copartitioned_session(spark), sf)
 
 
 def _b(spark, sf, **kw):
@@ -291,10 +292,12 @@ def _incremental(mart: str) -> Query:
 
 def _changed(spark, sf, *marts: str) -> Warehouse:
     """A warehouse built from what a first run sees, then brought up to date by the rows that came late."""
-    early, changes = fixtures.set_b_with_late_rows(spark, sf)
+    # the sources are read many times, by the build and by the changes
+    src = {name: stage(df, f"source-{name}") for name, df in _b(spark, sf).items()}
+    early, changes = fixtures.late_rows_apart(src)
     wh = Warehouse(spark, scratch_path(spark, "changed"), prefix=f"w{uuid.uuid4().hex[:12]}_", marts=marts)
     wh.build(early, full_refresh=True)
-    facts = wh.apply(_b(spark, sf), changes)
+    facts = wh.apply(src, changes)
     assert facts["mode"] == "changes", facts
     return wh
 

@@ -78,6 +78,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def copartitioned_session(spark: SparkSession) -> SparkSession:
+    """A session of its own with the caller's settings, in which sides that lie together by one of several join
+    keys join without a further exchange. Only where no value of that key is hot."""
+    own = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if spark.conf.isModifiable(k):
+            own.conf.set(k, v)
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    return own
+
+
 _SCRATCH = "shoplane.scratch.dir"
 
 

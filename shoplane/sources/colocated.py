@@ -28,6 +28,7 @@ from ..operators import silver
 from ..operators.joins import broadcast_bounded
 from ..operators.staging import stage
 from ..schemas import SOURCE_SCHEMAS
+from ..session import copartitioned_session, scratch_scope
 
 BY_ORDER, BY_SESSION = "order_id", "website_session_id"
 FAMILIES: dict[str, tuple[str, ...]] = {
@@ -37,20 +38,11 @@ FAMILIES: dict[str, tuple[str, ...]] = {
 MIN_ROWS = 10_000
 
 
-def _own_session(spark: SparkSession) -> SparkSession:
-    own = spark.newSession()
-    for k, v in spark.conf.getAll.items():
-        if spark.conf.isModifiable(k):
-            own.conf.set(k, v)
-    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    return own
-
-
 class Colocated:
     """Bucketed copies in the catalog database ``database``, with files below ``root``."""
 
     def __init__(self, spark: SparkSession, database: str, root: str, buckets: int, min_rows: int = MIN_ROWS):
-        self.spark, self.session = spark, _own_session(spark)
+        self.spark, self.session = spark, copartitioned_session(spark)
         self.database, self.root, self.buckets, self.min_rows = database, root.rstrip("/"), buckets, min_rows
 
     def name(self, table: str, hot: bool = False) -> str:
@@ -73,15 +65,20 @@ class Colocated:
     def write(self, src) -> None:
         """Copy the sources; what was there is replaced."""
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database} LOCATION '{self.root}/_db'")
-        for key, names in FAMILIES.items():
-            tables = {t: self._typed(src, t, key) for t in names if (t if t != "session_orders" else "orders") in src}
-            hot = self.hot_keys(key, list(tables.values())).withColumnRenamed(key, "_hot")
-            for t, df in tables.items():
-                same = F.col(key).eqNullSafe(F.col("_hot"))
-                cold = df.join(F.broadcast(hot), same, "left_anti")         # at most `buckets` keys for each table
-                # the hash of the exchange is that of the buckets: one task and one file for each
-                self._save(cold.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key), self.name(t), t)
-                self._save(df.join(F.broadcast(hot), same, "left_semi").write, self.name(t, True), f"{t}_hot")
+        with scratch_scope(self.spark, "copies"):
+            for key, names in FAMILIES.items():
+                self._write_family(key, [t for t in names if (t if t != "session_orders" else "orders") in src], src)
+
+    def _write_family(self, key: str, names: list[str], src) -> None:
+        # written once: sources may be joins, and each is read for its number of rows, its hot keys and two copies
+        tables = {t: stage(self._typed(src, t, key), f"typed-{t}") for t in names}
+        hot = self.hot_keys(key, list(tables.values())).withColumnRenamed(key, "_hot")
+        for t, df in tables.items():
+            same = F.col(key).eqNullSafe(F.col("_hot"))
+            cold = df.join(F.broadcast(hot), same, "left_anti")         # at most `buckets` keys for each table
+            # the hash of the exchange is that of the buckets: one task and one file for each
+            self._save(cold.repartition(self.buckets, key).write.bucketBy(self.buckets, key).sortBy(key), self.name(t), t)
+            self._save(df.join(F.broadcast(hot), same, "left_semi").write, self.name(t, True), f"{t}_hot")
 
     def _typed(self, src, table: str, key: str) -> DataFrame:
         """The contract's columns with the contract's types, so that equal keys have equal hashes in all tables."""

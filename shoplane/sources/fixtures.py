@@ -228,12 +228,15 @@ def set_b(spark: SparkSession, sf_dir: str, collision: bool = False,
 
 
 def set_b_with_late_rows(spark: SparkSession, sf_dir: str) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
+    return late_rows_apart(set_b(spark, sf_dir))
+
+
+def late_rows_apart(src: dict[str, DataFrame]) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
     """Set B as a first run sees it, and the rows that come after.
 
     Besides all rows from ``PREFIX_END`` on, every 5th item's refunds and every 11th pageview come late,
     whatever their time, and so do every 13th order and every 17th session.
     """
-    src = set_b(spark, sf_dir)
     late = {"order_item_refunds": ("order_item_id", SET_B_LATE_REFUND), "website_pageviews": ("website_pageview_id", SET_B_LATE_VIEW),
             "orders": ("order_id", SET_B_LATE_ORDER), "website_sessions": ("website_session_id", SET_B_LATE_SESSION)}
     early, later = {"products": src["products"]}, {}

@@ -96,3 +96,19 @@ def test_reingest_replaces_only_its_months(spark, tmp):
     ingest_frames({"orders": feb2}, f"{tmp}/lake")           # February rewritten, January kept
     got = sorted(r.order_id for r in spark.read.parquet(f"{tmp}/lake/orders").collect())
     assert got == [1, 2, 4]
+
+
+def test_numbering_spreads_only_hot_keys(spark):
+    hot = [(7, i % 50, i) for i in range(3000)] + [(None, i % 9, 20_000 + i) for i in range(900)]
+    df = spark.createDataFrame(hot + [(k, i, 10_000 + k * 10 + i) for k in range(40, 90) for i in range(5)], "k long, t long, id long")
+    want = df.withColumn("rn", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")).cast("long"))
+    for least in (100, 1000, 100_000):          # both, one, none of them hot
+        got = number_within_groups(df, ["k"], ["t", "id"], "rn", num_partitions=16, min_hot_rows=least)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+        assert ("_seq_pid" in got._jdf.queryExecution().analyzed().toString()) == (least < 100_000)
+
+
+def test_numbered_rows_lie_together_by_their_key(spark):
+    df = spark.range(1000).selectExpr("id % 100 AS k", "id")
+    plan = number_within_groups(df, ["k"], ["id"], "rn").groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1          # were two, after a written copy
