@@ -14,6 +14,7 @@ from ..functions import count_if, flag, product_page_url, seconds_between
 from ..schemas import conform
 from .joins import broadcast_bounded
 from .sequence import number_within_groups
+from .staging import stage
 
 
 def _ts(c: str):
@@ -58,7 +59,7 @@ def page_counts(dim: DataFrame) -> DataFrame:
     pages = products_by_page(dim)
     counts = pages.groupBy("product_page_url").agg(F.sum("times").alias("times"), count_if(~F.col("several")).alias("products"))
     apart = pages.filter(F.col("several") & F.col("product_id").isNotNull()).select("product_page_url", "product_id")
-    return broadcast_bounded(counts.unionByName(apart, allowMissingColumns=True))
+    return broadcast_bounded(stage(counts.unionByName(apart, allowMissingColumns=True), "page-counts"))
 
 
 # ------------------------------------------------------------------ fct_sales

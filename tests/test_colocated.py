@@ -103,3 +103,22 @@ def test_rows_match_their_sql(spark, name):
     got = registry.QUERIES[name](spark, SF)
     columns = sorted(got.columns)
     assert sorted(map(tuple, got.select(*columns).collect()), key=str) == sorted(want.project(", ".join(columns)).fetchall(), key=str)
+
+
+def test_sources_are_read_once(spark, copies, monkeypatch):
+    from shoplane.sources import colocated
+    names, stage = [], colocated.stage
+    monkeypatch.setattr(colocated, "stage", lambda df, name: names.append(name) or stage(df, name))
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    src = dict(fixtures.set_a(spark, SF))
+    rows = src["order_items"].count()
+    src["order_items"] = src["order_items"].mapInArrow(count, src["order_items"].schema)
+    copies.write(src)
+    assert seen.value == rows                                   # was four times as many
+    assert names.count("typed-order_items") == 1
+    assert copies.read("order_items").count() + copies.read("order_items", hot=True).count() == rows
