@@ -48,3 +48,23 @@ def test_command(spark, tmp, capsys):
     assert main(["changes", "--lake", f"{tmp}/lake", "--warehouse", f"{tmp}/wh", "--checkpoint", f"{tmp}/ck", "--prefix", prefix]) == 0
     assert '"mode": "full"' in capsys.readouterr().out
     assert spark.table(f"{prefix}gold.mart_customer_daily_value").count() > 0
+
+
+def test_changed_queries_read_written_sources(spark, monkeypatch):
+    """The build and the changes read copies, not the events again and again."""
+    from shoplane.plans import registry
+    seen = []
+
+    class Tables:
+        def __init__(self, *args, **kw): ...
+
+        def build(self, src, full_refresh):
+            seen.append(src)
+
+        def apply(self, src, changes):
+            seen.extend([src, changes])
+            return {"mode": "changes"}
+    monkeypatch.setattr(registry, "Warehouse", Tables)
+    registry._changed(spark, "/root/testdata/sf0.001")
+    files = [f for tables in seen for df in tables.values() for f in df.inputFiles()]
+    assert len(seen) == 3 and files and all("/source-" in f for f in files)
